@@ -3,11 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillstone.llm.chat_format import OP9_SQL, chat_digest, format_chat
-from quillstone.llm.common import table
+from quillstone.llm.common import crc_mod, table
 from quillstone.llm.exact_dedup import OP10_SQL, exact_dedup
+from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import OP3_SQL, line_dedup
+from quillstone.llm.piece_codec import piece_digest
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = fit_language_model(docs.filter(~held_out))
+    return identify_language(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op2_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digest(table(spark, sf_dir, "documents"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,5 +39,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
 SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL}
