@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from quillstone.llm.chat_format import OP9_SQL, chat_digest, format_chat
 from quillstone.llm.common import crc_mod, table
 from quillstone.llm.exact_dedup import OP10_SQL, exact_dedup
+from quillstone.llm.html_text import extract_text
 from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import OP3_SQL, line_dedup
 from quillstone.llm.piece_codec import piece_digest
+from quillstone.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +30,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -39,5 +52,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op7_toxicity": op7_toxicity, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
 SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL}
