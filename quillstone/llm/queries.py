@@ -12,6 +12,7 @@ from quillstone.llm.html_text import extract_text
 from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import OP3_SQL, line_dedup
 from quillstone.llm.piece_codec import piece_digest
+from quillstone.llm.simhash import simhash_components
 from quillstone.llm.toxicity import fit_toxicity, score_toxicity
 
 
@@ -34,6 +35,10 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
@@ -52,5 +57,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op7_toxicity": op7_toxicity, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op7_toxicity": op7_toxicity, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
 SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL}
