@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.chat_format import OP9_SQL, chat_digest, format_chat
 from quillstone.llm.common import crc_mod, table
+from quillstone.llm.decontaminate import benchmark_matches
 from quillstone.llm.exact_dedup import OP10_SQL, exact_dedup
 from quillstone.llm.html_text import extract_text
 from quillstone.llm.language_id import fit_language_model, identify_language
@@ -39,6 +40,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
@@ -57,5 +62,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op7_toxicity": op7_toxicity, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
 SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL}
