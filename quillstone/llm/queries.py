@@ -13,6 +13,7 @@ from quillstone.llm.html_text import extract_text
 from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import OP3_SQL, line_dedup
 from quillstone.llm.piece_codec import piece_digest
+from quillstone.llm.repeats import remove_repeats, repeats_digest
 from quillstone.llm.simhash import simhash_components
 from quillstone.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -51,6 +52,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats_digest(remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = "</s>[INST] ok [/INST]"
     own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
@@ -62,5 +67,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op8_repeats": op8_repeats, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
 SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL}
