@@ -1,22 +1,67 @@
-"""Corpus cleaning pipeline: stages over documents, each fed what its predecessor kept."""
+"""Corpus cleaning pipeline: stages over documents, each fed what its predecessor kept.
+
+Every stage but the last returns the columns of documents. ``run`` chains them in one plan; a scheduler
+can as well write each stage's result as Parquet and feed it to the next.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quillstone.llm.common import table
+from quillstone.llm.decontaminate import decontaminate
+from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import line_dedup
+from quillstone.llm.piece_codec import piece_codec
+from quillstone.llm.simhash import simhash_components
+
+#: A document is rejected if no learned language has at least this share of the likelihood, or it has no letter.
+LEAST_LANGUAGE_SCORE = 0.5
+
+
+def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear. The model learns from the rows of docs that name a language."""
+    found = identify_language(docs, fit_language_model(docs))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup(docs).select(*docs.columns)
+    """Documents without repeated three-line windows; one of which nothing is left goes."""
+    cut = line_dedup(docs)
+    left = (F.col("n_removed_lines") == 0) | (F.trim("text") != "")
+    return cut.filter(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id in each group of linked fingerprints."""
+    stays = simhash_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
+    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("__stays")), "left_semi").select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded, library_agrees of every document."""
+    return piece_codec(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded", "library_agrees")
 
 
-STAGES = [("line_dedup", dedup_lines)]
+STAGES = [
+    ("language_id", keep_identified),
+    ("line_dedup", dedup_lines),
+    ("simhash_near_dedup", dedup_near_copies),
+    ("decontamination", drop_benchmark),
+    ("piece_codec", encode_pieces),
+]
+#: Language scores and piece ids can't be computed in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
