@@ -1,14 +1,14 @@
-"""Named queries over the test tables, with the DuckDB SQL of their results."""
+"""All queries of the library proper, by name, with the DuckDB SQL of their results."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from quillstone.plans import joins  # noqa: F401  registers its queries
+from quillstone.plans.base import QUERIES, SQL
+
+__all__ = ["QUERIES", "SQL", "flagship"]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").count()
+    return QUERIES["j07_nearest_within"](spark, sf_dir)
