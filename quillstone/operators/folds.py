@@ -1,0 +1,50 @@
+"""Order-dependent selections: folds over the sorted rows of one key.
+
+The rows of a key are collected as a sorted array and folded by ``aggregate``, so the work stays in the
+JVM. State is small; it holds what was taken last and the taken rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def sorted_rows(rows: DataFrame, by: list[str], order: list[str], take: list[str]) -> DataFrame:
+    """One row per key: by, rows (array of structs of ``order`` and ``take``, sorted)."""
+    return rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*order, *take))).alias("rows"))
+
+
+def greedy_min_gap(rows: Column, at: str, gap: int, most: int | None = None) -> Column:
+    """Take the first row, then each next that lies ``gap`` or more after the last taken, up to ``most``."""
+    item = F.slice(rows, 1, 1)
+
+    def step(taken: Column, x: Column) -> Column:
+        ok = x[at] - F.element_at(taken, -1)[at] >= gap
+        return F.when(ok & (F.size(taken) < most) if most else ok, F.concat(taken, F.array(x))).otherwise(taken)
+
+    return F.aggregate(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), item, step)
+
+
+def dedupe_keep_better(rows: Column, at: str, score: str, window: int) -> Column:
+    """Rows in time order: one ``window`` after the last advance is appended and advances; else it replaces the last kept if its score is higher, without advancing."""
+    first = F.struct(F.element_at(rows, 1)[at].alias("last"), F.slice(rows, 1, 1).alias("kept"))
+
+    def step(s: Column, x: Column) -> Column:
+        kept = s["kept"]
+        better = x[score] > F.element_at(kept, -1)[score]
+        return F.when(x[at] - s["last"] >= window, F.struct(x[at].alias("last"), F.concat(kept, F.array(x)).alias("kept"))).otherwise(
+            F.struct(s["last"].alias("last"), F.when(better, F.concat(F.slice(kept, 1, F.size(kept) - 1), F.array(x))).otherwise(kept).alias("kept"))
+        )
+
+    return F.aggregate(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), first, step, lambda s: s["kept"])
+
+
+def greedy_no_overlap(rows: Column, start: str, end: str) -> Column:
+    """Rows in priority order: each is taken unless it overlaps one that was taken."""
+
+    def step(taken: Column, x: Column) -> Column:
+        clash = F.exists(taken, lambda t: (t[start] < x[end]) & (x[start] < t[end]))
+        return F.when(clash, taken).otherwise(F.concat(taken, F.array(x)))
+
+    return F.aggregate(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), F.slice(rows, 1, 1), step)
