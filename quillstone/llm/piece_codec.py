@@ -9,6 +9,7 @@ sentencepiece library, which also decodes.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ from quillstone.llm.common import ship, text_or_empty
 from quillstone.llm.pieces import SPACE, Vocabulary, model_bytes, vocabulary
 
 #: Chunks longer than this get a heap; a worker keeps two generations of so many encoded chunks.
-LIST_WIDTH, KEPT_CHUNKS = 48, 200_000
+LIST_WIDTH, KEPT_CHUNKS = 48, 400_000
 _NEVER = float("inf")
 
 
@@ -107,7 +108,7 @@ class Codec:
         known, older = self.known, self.older
         missing = {c for cs in chunked for c in cs if c not in known}
         known.update((c, older[c]) for c in missing if c in older)
-        new = sorted(c for c in missing if c not in older)
+        new = [c for c in missing if c not in older]
         for c, checked in zip(new, self._library(new), strict=True):
             own = self.agenda.encode(c)
             if list(own) != checked:
@@ -127,6 +128,12 @@ class Codec:
         return self.vocab.library.decode(ids) if ids else []
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(proto: bytes) -> Codec:
+    """One per worker process, so that later tasks know the chunks of earlier ones."""
+    return Codec(proto)
+
+
 def _rounds(texts: list[str], most: int = 2_000_000) -> Iterator[list[str]]:
     """texts in runs of about most characters, so that one Arrow batch of long texts stays small in memory."""
     run, size = [], 0
@@ -154,7 +161,7 @@ def piece_codec(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_type = docs.schema[id_col].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(proto.value)
+        codec = codec_of(proto.value)
         for batch in batches:
             start = 0
             for texts in _rounds(batch.column(1).to_pylist()):
@@ -177,7 +184,7 @@ def piece_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(proto.value)
+        codec = codec_of(proto.value)
         for batch in batches:
             n, ids, decoded, agrees = [], [], [], []
             for texts in _rounds(batch.column(1).to_pylist()):
