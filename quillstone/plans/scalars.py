@@ -62,11 +62,11 @@ def f05(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "customer").select("c_custkey", F.col("c_name").rlike(r"^Customer#[0-9]{9}$").alias("ok"))
 
 
-@query("f06_window_expansion", with_views("timeline", "SELECT seq, CASE WHEN marker < 20 THEN greatest(0, least(lo, hi - 20)) ELSE s END AS start_s, CASE WHEN marker < 20 THEN hi ELSE s + marker END AS end_s FROM (SELECT *, least(720.0, lo + 20) AS hi FROM (SELECT *, ms / 1000 AS s, greatest(0, ms / 1000 - 10) AS lo FROM timeline))"))
+@query("f06_window_expansion", with_views("timeline", "SELECT seq, CASE WHEN marker < 20 THEN greatest(0, least(lo, hi - 20000)) ELSE ms END AS start_ms, CASE WHEN marker < 20 THEN hi ELSE ms + marker * 1000 END AS end_ms FROM (SELECT *, least(720000, lo + 20000) AS hi FROM (SELECT *, greatest(0, ms - 10000) AS lo FROM timeline))"))
 def f06(spark: SparkSession, d: str) -> DataFrame:
-    s = F.col("ms") / 1000
-    lo, hi = S.expand_window(s, s + F.col("marker"), F.lit(20.0), F.lit(720.0), s)
-    return timeline(spark, d).select("seq", lo.alias("start_s"), hi.alias("end_s"))
+    ms = F.col("ms")
+    lo, hi = S.expand_window(ms, ms + F.col("marker") * 1000, F.lit(20000), F.lit(720000), ms)
+    return timeline(spark, d).select("seq", lo.cast("long").alias("start_ms"), hi.cast("long").alias("end_ms"))
 
 
 @query("f07_normalize_space", with_views("segments", r"SELECT video_id, seq, length(trim(regexp_replace(text, '\s+', ' ', 'g'))) AS n FROM segments"))
