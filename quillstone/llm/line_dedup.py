@@ -18,7 +18,7 @@ WINDOW = 3
 
 def line_windows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """h1, h2, place (doc_id, th, pos) of every window of three lines that isn't blank."""
-    trimmed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"), F.transform(F.split(text_or_empty(text_col), "\n", -1), F.trim).alias("lines"))
+    trimmed = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"), F.transform(F.split(text_or_empty(text_col), "\n", -1), lambda x: F.trim(x)).alias("lines"))
     at = lambda i, k: F.get("lines", i + k)
     hashed = F.transform(
         F.sequence(F.lit(0), F.size("lines") - WINDOW),
