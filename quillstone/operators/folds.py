@@ -48,3 +48,16 @@ def greedy_no_overlap(rows: Column, start: str, end: str) -> Column:
         return F.when(clash, taken).otherwise(F.concat(taken, F.array(x)))
 
     return F.aggregate(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))), F.slice(rows, 1, 1), step)
+
+
+def segment_scenes(rows: Column, at: str, value: str, threshold: float, least: int, history: int = 5) -> Column:
+    """Times of cuts: where the mean of the last ``history`` values exceeds the threshold, ``least`` after the last cut. A cut clears the history."""
+    first = F.struct(F.element_at(rows, 1)[at].alias("last"), F.array().cast("array<double>").alias("past"), F.array().cast("array<bigint>").alias("cuts"))
+
+    def step(s: Column, x: Column) -> Column:
+        past = F.concat(F.slice(s["past"], F.greatest(F.size(s["past"]) - history + 2, F.lit(1)), history - 1), F.array(x[value].cast("double")))
+        mean = F.aggregate(past, F.lit(0.0), lambda a, v: a + v) / F.size(past)
+        cut = (mean > threshold) & (x[at] - s["last"] >= least)
+        return F.when(cut, F.struct(x[at].alias("last"), F.array().cast("array<double>").alias("past"), F.concat(s["cuts"], F.array(x[at])).alias("cuts"))).otherwise(F.struct(s["last"].alias("last"), past.alias("past"), s["cuts"].alias("cuts")))
+
+    return F.aggregate(rows, first, step, lambda s: s["cuts"])

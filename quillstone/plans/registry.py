@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.plans import aggregates, joins, predicates, ranking, scalars, selection, sets, sources, templates, windows  # noqa: F401  they register their queries
+from quillstone.plans import aggregates, joins, matching, predicates, ranking, scalars, selection, sets, sources, templates, windows  # noqa: F401  they register their queries
 from quillstone.plans.base import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL", "flagship"]
