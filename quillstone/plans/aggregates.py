@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.plans.base import query
-from quillstone.sources.adapters import cost_log, detections, frames, questions, segments, table, timeline, videos, with_views
+from quillstone.sources.adapters import as_double, cost_log, detections, frames, questions, segments, table, timeline, videos, with_views
 
 
 def _when(condition: str) -> Column:
@@ -188,7 +188,7 @@ def a26(spark: SparkSession, d: str) -> DataFrame:
     return groups.withColumn("share", F.round(F.col("n") / F.sum("n").over(Window.partitionBy()), 6)).filter("n >= 10")
 
 
-@query("a27_threshold_advice", with_views("detections", "SELECT class, CASE WHEN e > 0.3 THEN 0.70 WHEN e > 0.15 THEN 0.80 ELSE 0.85 END AS threshold FROM (SELECT class, count(*) FILTER (confidence < 0.93) / count(*) AS e FROM detections GROUP BY 1)"))
+@query("a27_threshold_advice", as_double(with_views("detections", "SELECT class, CASE WHEN e > 0.3 THEN 0.70 WHEN e > 0.15 THEN 0.80 ELSE 0.85 END AS threshold FROM (SELECT class, count(*) FILTER (confidence < 0.93) / count(*) AS e FROM detections GROUP BY 1)"), "threshold"))
 def a27(spark: SparkSession, d: str) -> DataFrame:
     e = ratio(F.count_if(F.col("confidence") < 0.93), F.count(F.lit(1)))
     return detections(spark, d).groupBy("class").agg(e.alias("e")).select("class", F.when(F.col("e") > 0.3, 0.70).when(F.col("e") > 0.15, 0.80).otherwise(0.85).alias("threshold"))

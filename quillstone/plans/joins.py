@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.operators.joins import band_join, dot, iou, nearest, nearest_within, range_join
 from quillstone.plans.base import query
-from quillstone.sources.adapters import cost_log, detections, frames, questions, segments, table, timeline, videos, with_views
+from quillstone.sources.adapters import as_double, cost_log, detections, frames, questions, segments, table, timeline, videos, with_views
 
 
 @query("j01_failures_of_video", with_views("questions", "SELECT q.video_id, q.question_id, l.quality, q.n_chars AS failure_score, coalesce(nullif(l.toxic, 0), q.n_chars) AS combined_score FROM questions q JOIN labels l ON q.question_id = l.doc_id WHERE l.quality = 0"))
@@ -280,7 +280,7 @@ def j37(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "lang").join(F.broadcast(aliases), "lang", "left").select("doc_id", F.coalesce("name", "lang").alias("official"))
 
 
-@query("j38_set_keyed_lookup", with_views("timeline", "SELECT video_id, k, CASE WHEN k NOT LIKE '%|%' THEN 1.0 WHEN k = 'click|view' THEN 0.9 WHEN k = 'click|error|purchase|signup|view' THEN 0.5 ELSE 0.0 END AS score FROM (SELECT video_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS k FROM timeline WHERE ms < 60000 GROUP BY 1)"))
+@query("j38_set_keyed_lookup", as_double(with_views("timeline", "SELECT video_id, k, CASE WHEN k NOT LIKE '%|%' THEN 1.0 WHEN k = 'click|view' THEN 0.9 WHEN k = 'click|error|purchase|signup|view' THEN 0.5 ELSE 0.0 END AS score FROM (SELECT video_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS k FROM timeline WHERE ms < 60000 GROUP BY 1)"), "score"))
 def j38(spark: SparkSession, d: str) -> DataFrame:
     scores = spark.sql("SELECT * FROM VALUES ('click|view', 0.9D), ('click|error|purchase|signup|view', 0.5D) AS s(k, known)")
     sets = timeline(spark, d).filter("ms < 60000").groupBy("video_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), "|").alias("k"))

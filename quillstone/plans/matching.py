@@ -11,7 +11,7 @@ from quillstone.operators.joins import band_join, nearest, nearest_within, range
 from quillstone.plans.base import query
 from quillstone.plans.scalars import over_sentences, sentences
 from quillstone.plans.templates import first
-from quillstone.sources.adapters import detections, segments, table, timeline, with_views
+from quillstone.sources.adapters import as_double, detections, segments, table, timeline, with_views
 
 _WORDS = "list_filter(string_split(lower({0}), ' '), lambda x: x <> '')"
 
@@ -81,7 +81,7 @@ def f20(spark: SparkSession, d: str) -> DataFrame:
     return detections(spark, d).select("video_id", "part", "supp", "line", F.when(F.col("w").isNull() | (F.col("w") <= 0), "center").when(c < 1 / 3, "left").when(c < 2 / 3, "center").otherwise("right").alias("position"))
 
 
-@query("f31_rule_complexity", over_sentences(r"SELECT id, greatest(0, least(3, len(regexp_extract_all(lower(question), '\b(before|after|while)\b'))) + least(2, len(regexp_extract_all(question, ','))) * 0.5 + least(2, length(question) // 40) - CASE WHEN length(question) < 20 THEN 1 ELSE 0 END) AS complexity FROM q"))
+@query("f31_rule_complexity", as_double(over_sentences(r"SELECT id, greatest(0, least(3, len(regexp_extract_all(lower(question), '\b(before|after|while)\b'))) + least(2, len(regexp_extract_all(question, ','))) * 0.5 + least(2, length(question) // 40) - CASE WHEN length(question) < 20 THEN 1 ELSE 0 END) AS complexity FROM q"), "complexity"))
 def f31(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("question")
     n = lambda p: F.regexp_count(F.lower(q), F.lit(p))
@@ -133,7 +133,7 @@ def v07(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark).select("id", F.round(passed / len(checks), 6).alias("score"), (passed == len(checks)).alias("valid"))
 
 
-@query("v10_confidence_rules", over_sentences(r"SELECT id, round(greatest(0, least(1, 1.0 - CASE WHEN audio = '' AND visual = '' THEN 0.5 WHEN audio = '' OR visual = '' THEN 0.4 ELSE 0 END - CASE WHEN contains(lower(question), ' and ') THEN 0.3 ELSE 0 END - CASE WHEN regexp_matches(lower(question || answer), '\b(he|she|they)\b') THEN 0.2 ELSE 0 END)), 6) AS confidence FROM q"))
+@query("v10_confidence_rules", as_double(over_sentences(r"SELECT id, round(greatest(0, least(1, 1.0 - CASE WHEN audio = '' AND visual = '' THEN 0.5 WHEN audio = '' OR visual = '' THEN 0.4 ELSE 0 END - CASE WHEN contains(lower(question), ' and ') THEN 0.3 ELSE 0 END - CASE WHEN regexp_matches(lower(question || answer), '\b(he|she|they)\b') THEN 0.2 ELSE 0 END)), 6) AS confidence FROM q"), "confidence"))
 def v10(spark: SparkSession, d: str) -> DataFrame:
     none, one = (F.col("audio") == "") & (F.col("visual") == ""), (F.col("audio") == "") | (F.col("visual") == "")
     off = F.when(none, 0.5).when(one, 0.4).otherwise(0.0) + F.when(F.contains(F.lower("question"), F.lit(" and ")), 0.3).otherwise(0.0) + F.when(F.lower(F.concat("question", "answer")).rlike(r"\b(he|she|they)\b"), 0.2).otherwise(0.0)
@@ -164,7 +164,7 @@ def v19(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark).select("id", F.when(F.col("audio") == "", "no cue").when(q.rlike(r"(Dr|Mr)\."), "name").when(~F.lower(q).rlike("whistle|says|speaker"), "no audio word").otherwise("ok").alias("reason"))
 
 
-@query("v20_multiplied_confidence", with_views("detections", "SELECT video_id, part, supp, line, round(CASE WHEN w < 5 THEN 0.7 ELSE 1 END * CASE WHEN h > 60 THEN 0.5 ELSE 1 END * CASE WHEN confidence < 0.95 THEN 0.8 ELSE 1 END, 6) AS confidence FROM detections"))
+@query("v20_multiplied_confidence", as_double(with_views("detections", "SELECT video_id, part, supp, line, round(CASE WHEN w < 5 THEN 0.7 ELSE 1 END * CASE WHEN h > 60 THEN 0.5 ELSE 1 END * CASE WHEN confidence < 0.95 THEN 0.8 ELSE 1 END, 6) AS confidence FROM detections"), "confidence"))
 def v20(spark: SparkSession, d: str) -> DataFrame:
     c = F.when(F.col("w") < 5, 0.7).otherwise(1.0) * F.when(F.col("h") > 60, 0.5).otherwise(1.0) * F.when(F.col("confidence") < 0.95, 0.8).otherwise(1.0)
     return detections(spark, d).select("video_id", "part", "supp", "line", F.round(c, 6).alias("confidence"))

@@ -54,7 +54,7 @@ def t06(spark: SparkSession, d: str) -> DataFrame:
     return _top(bins, "video_id", 5, F.desc("score"), "bin")
 
 
-@query("t07_max_over_map", "SELECT vec_id, round(list_max(embedding[1:8]), 6) AS score FROM embeddings ORDER BY list_max(embedding[1:8]) DESC, vec_id LIMIT 100")
+@query("t07_max_over_map", "SELECT vec_id, round(CAST(list_max(embedding[1:8]) AS DOUBLE), 6) AS score FROM embeddings ORDER BY list_max(embedding[1:8]) DESC, vec_id LIMIT 100")
 def t07(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "embeddings").select("vec_id", F.map_from_arrays(F.sequence(F.lit(1), F.lit(8)), F.slice("embedding", 1, 8)).alias("m"))
     return e.withColumn("s", F.coalesce(F.array_max(F.map_values("m")), F.lit(0.0))).orderBy(F.desc("s"), "vec_id").limit(100).select("vec_id", F.round("s", 6).alias("score"))

@@ -9,7 +9,7 @@ from quillstone.functions import rules as R
 from quillstone.functions import scalars as S
 from quillstone.operators.joins import dot
 from quillstone.plans.base import query
-from quillstone.sources.adapters import detections, frames, questions, segments, table, timeline, with_views
+from quillstone.sources.adapters import as_double, detections, frames, questions, segments, table, timeline, with_views
 
 #: (id, type, question, answer, audio cue, visual cue)
 SENTENCES = [
@@ -22,7 +22,7 @@ SENTENCES = [
     (7, "context", "Does Nike pay? Dr. Smith says \"yes\" and \"no\".", "Mr. Jones holds it at 12.25.", "applause grows", "obvious hidden logo"),
 ]
 _VALUES = ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'" for x in row) + ")" for row in SENTENCES)
-FIXTURE_SQL = f"q AS (SELECT * FROM (VALUES {_VALUES}) v(id, kind, question, answer, audio, visual))"
+FIXTURE_SQL = f"q AS (SELECT * REPLACE (CAST(id AS BIGINT) AS id) FROM (VALUES {_VALUES}) v(id, kind, question, answer, audio, visual))"
 
 
 def sentences(spark: SparkSession) -> DataFrame:
@@ -39,7 +39,7 @@ def f01(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", S.parse_timestamp(text).alias("seconds"))
 
 
-@query("f02_mmss_to_seconds", with_views("timeline", "SELECT seq, CASE WHEN seq % 3 = 0 THEN -(ms // 1000) WHEN seq % 3 = 1 THEN ms // 1000 ELSE 0 END * 1.0 AS seconds FROM timeline"))
+@query("f02_mmss_to_seconds", as_double(with_views("timeline", "SELECT seq, CASE WHEN seq % 3 = 0 THEN -(ms // 1000) WHEN seq % 3 = 1 THEN ms // 1000 ELSE 0 END * 1.0 AS seconds FROM timeline"), "seconds"))
 def f02(spark: SparkSession, d: str) -> DataFrame:
     code = S.seconds_to_mmss(F.col("ms") / 1000)
     text = F.when(F.col("seq") % 3 == 0, F.concat(F.lit("-"), code)).when(F.col("seq") % 3 == 1, code).otherwise("bad")
@@ -131,7 +131,7 @@ def f19(spark: SparkSession, d: str) -> DataFrame:
     return detections(spark, d).select("video_id", "part", "supp", "line", (F.col("w") * F.col("h")).alias("area"), F.when(c < 33, "left").when(c < 66, "center").otherwise("right").alias("side"))
 
 
-@query("f21_quality_class", with_views("detections", "SELECT video_id, part, supp, line, CASE WHEN w > 10 AND confidence BETWEEN 0.92 AND 0.99 THEN 1.0 WHEN w > 10 OR confidence BETWEEN 0.92 AND 0.99 THEN 0.5 ELSE 0.0 END AS quality FROM detections"))
+@query("f21_quality_class", as_double(with_views("detections", "SELECT video_id, part, supp, line, CASE WHEN w > 10 AND confidence BETWEEN 0.92 AND 0.99 THEN 1.0 WHEN w > 10 OR confidence BETWEEN 0.92 AND 0.99 THEN 0.5 ELSE 0.0 END AS quality FROM detections"), "quality"))
 def f21(spark: SparkSession, d: str) -> DataFrame:
     sharp, lit = F.col("w") > 10, F.col("confidence").between(0.92, 0.99)
     return detections(spark, d).select("video_id", "part", "supp", "line", F.when(sharp & lit, 1.0).when(sharp | lit, 0.5).otherwise(0.0).alias("quality"))
@@ -182,14 +182,14 @@ def f25(spark: SparkSession, d: str) -> DataFrame:
     return difficulty(spark)
 
 
-@query("f29_failure_severity", with_views("questions", "SELECT question_id, CASE status WHEN 'rejected' THEN 10 WHEN 'pending' THEN 4 ELSE 0 END * CASE WHEN hallucinated = 1 THEN 2.0 WHEN hallucinated = 0 THEN 1.0 ELSE 1.5 END AS severity FROM questions"))
+@query("f29_failure_severity", as_double(with_views("questions", "SELECT question_id, CASE status WHEN 'rejected' THEN 10 WHEN 'pending' THEN 4 ELSE 0 END * CASE WHEN hallucinated = 1 THEN 2.0 WHEN hallucinated = 0 THEN 1.0 ELSE 1.5 END AS severity FROM questions"), "severity"))
 def f29(spark: SparkSession, d: str) -> DataFrame:
     base = F.when(F.col("status") == "rejected", 10).when(F.col("status") == "pending", 4).otherwise(0)
     boost = F.when(F.col("hallucinated") == 1, 2.0).when(F.col("hallucinated") == 0, 1.0).otherwise(1.5)
     return questions(spark, d).select("question_id", (base * boost).alias("severity"))
 
 
-@query("f30_weighted_level", over_sentences(f"SELECT id, round(s, 6) AS score, CASE WHEN s >= 8 THEN 'expert' WHEN s >= 6 THEN 'hard' WHEN s >= 3 THEN 'medium' ELSE 'easy' END AS level FROM (SELECT id, 0.25 * {_INFERENCE} + 0.20 * {_TEMPORAL} + 0.20 * ({_MULTI}) + 0.15 * {_SUBTLE} + 0.20 * 5 AS s FROM q)"))
+@query("f30_weighted_level", as_double(over_sentences(f"SELECT id, round(s, 6) AS score, CASE WHEN s >= 8 THEN 'expert' WHEN s >= 6 THEN 'hard' WHEN s >= 3 THEN 'medium' ELSE 'easy' END AS level FROM (SELECT id, 0.25 * {_INFERENCE} + 0.20 * {_TEMPORAL} + 0.20 * ({_MULTI}) + 0.15 * {_SUBTLE} + 0.20 * 5 AS s FROM q)"), "score"))
 def f30(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("inference") * 0.25 + F.col("temporal") * 0.20 + F.col("multimodal") * 0.20 + F.col("subtlety") * 0.15 + 1.0
     return difficulty(spark).select("id", F.round(s, 6).alias("score"), S.level_of(s).alias("level"))
@@ -199,7 +199,7 @@ def f30(spark: SparkSession, d: str) -> DataFrame:
 TYPE_WORDS = {"temporal": ["before", "after", "when"], "counting": ["how many", "count", "number of", "total"], "comparative": ["difference", "compare", "distinction", "versus"], "inference": ["why", "purpose", "reason", "because"]}
 
 
-@query("f32_keyword_classifier", over_sentences("SELECT id, kind, round(least(1, n * 0.4), 6) AS score FROM (" + " UNION ALL ".join(f"SELECT id, '{k}' AS kind, {_contained('question', w, ' + ')} AS n FROM q" for k, w in TYPE_WORDS.items()) + ") WHERE n > 0"))
+@query("f32_keyword_classifier", as_double(over_sentences("SELECT id, kind, round(least(1, n * 0.4), 6) AS score FROM (" + " UNION ALL ".join(f"SELECT id, '{k}' AS kind, {_contained('question', w, ' + ')} AS n FROM q" for k, w in TYPE_WORDS.items()) + ") WHERE n > 0"), "score"))
 def f32(spark: SparkSession, d: str) -> DataFrame:
     q = F.lower("question")
     scored = F.array(*[F.struct(F.lit(k).alias("kind"), S.count_contained(q, w).alias("n")) for k, w in TYPE_WORDS.items()])
@@ -286,7 +286,7 @@ def f49(spark: SparkSession, d: str) -> DataFrame:
     return g.select("video_id", F.when(many, 20).otherwise(F.col("n")).alias("premium"), F.when(many, 10).otherwise(30 - F.col("n")).alias("rest"))
 
 
-@query("f50_name_confidence", with_views("timeline", "SELECT seq, round(CASE WHEN marker % 7 = 0 THEN 1.0 WHEN event_type = 'view' THEN greatest(0.5, 1 - 0.1 * (marker % 7)) ELSE greatest(0.7, 1 - 0.05 * (marker % 7)) END, 6) AS confidence FROM timeline"))
+@query("f50_name_confidence", as_double(with_views("timeline", "SELECT seq, round(CASE WHEN marker % 7 = 0 THEN 1.0 WHEN event_type = 'view' THEN greatest(0.5, 1 - 0.1 * (marker % 7)) ELSE greatest(0.7, 1 - 0.05 * (marker % 7)) END, 6) AS confidence FROM timeline"), "confidence"))
 def f50(spark: SparkSession, d: str) -> DataFrame:
     n = F.col("marker") % 7
     return timeline(spark, d).select("seq", F.round(F.when(n == 0, 1.0).when(F.col("event_type") == "view", F.greatest(F.lit(0.5), 1 - n * 0.1)).otherwise(F.greatest(F.lit(0.7), 1 - n * 0.05)), 6).alias("confidence"))

@@ -90,3 +90,8 @@ def with_views(names: str, body: str, *, more: str = "") -> str:
     """DuckDB SQL: the named views, further CTEs, and a query over them."""
     parts = [f"{n} AS ({VIEWS_SQL[n]})" for n in names.split()]
     return "WITH " + ", ".join(parts + ([more] if more else [])) + " " + body
+
+
+def as_double(sql: str, *columns: str) -> str:
+    """The SQL with columns cast to double, where DuckDB would compute in decimals."""
+    return f"SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in columns)}) FROM ({sql})"
