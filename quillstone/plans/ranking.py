@@ -129,7 +129,7 @@ def t18(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).filter((F.col("speaker") == "assistant") & (F.length("text") > 200)).groupBy("video_id").agg(F.min("seq").alias("seq"))
 
 
-@query("t19_stop_at_budget", with_views("cost_log", "SELECT video_id, part, supp, line FROM (SELECT *, sum(amount) OVER (PARTITION BY video_id ORDER BY part, supp, line ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS spent FROM cost_log) WHERE coalesce(spent, 0) < 10000000"))
+@query("t19_stop_at_budget", with_views("cost_log", "SELECT video_id, part, supp, line FROM (SELECT *, sum(amount) OVER (PARTITION BY video_id ORDER BY part, supp, line, amount ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS spent FROM cost_log) WHERE coalesce(spent, 0) < 10000000"))
 def t19(spark: SparkSession, d: str) -> DataFrame:
-    before = F.sum("amount").over(Window.partitionBy("video_id").orderBy("part", "supp", "line").rowsBetween(Window.unboundedPreceding, -1))
+    before = F.sum("amount").over(Window.partitionBy("video_id").orderBy("part", "supp", "line", "amount").rowsBetween(Window.unboundedPreceding, -1))
     return cost_log(spark, d).withColumn("spent", before).filter("coalesce(spent, 0) < 10000000").select("video_id", "part", "supp", "line")
