@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import broadcast_if_small, checkpointed, text_or_empty
 
 SHINGLE, SIMILARITY = 5, 0.8
+#: Up to so many key words travel in the plan; with more, every document is looked at.
+KEY_WORDS = 5000
 #: At a similarity of 0.8, 64 fingerprint bits differ in 10 on average, with a deviation of 3.
 RADIUS, BLOCK_BITS = 23, 8
 
@@ -64,6 +66,18 @@ def _common(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_distinct(a), F.lit(0), lambda acc, s: acc + F.least(F.size(F.filter(a, lambda x: x == s)), F.size(F.filter(b, lambda x: x == s))))
 
 
+def key_words(items: DataFrame, similarity: float) -> DataFrame:
+    """Words (w) of which every match of an item holds one.
+
+    A match lacks n (1 - similarity) of an item's n shingles at most. Of one shingle more, at least one is in
+    it, with its longest word; those with the longest such words, which are rare, are taken.
+    """
+    longest = lambda s: F.array_max(F.transform(F.split(s, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    ranked = F.sort_array(F.transform("item_shingles", longest), asc=False)
+    enough = F.floor(F.lit(1 - similarity) * F.col("n_item") + F.lit(1e-9)).cast("int") + 1
+    return items.select(F.explode(F.transform(F.slice(ranked, 1, enough), lambda x: x["w"])).alias("w")).distinct()
+
+
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per document and item that match: doc_id, item_id, similarity, start_word, n_words, hamming.
 
@@ -86,11 +100,16 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most `shingle` values
     postings = items.select("item", "length", "k", "n_item", F.explode(F.array_distinct("item_hashes")).alias("h"))
 
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"), words_of(text_or_empty(text_col)).alias("words"))
+    raw = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"), text_or_empty(text_col).alias("text"))
+    words = words_of(F.col("text"))
+    texts = raw.select("doc_id", "th", words.alias("words"), F.size(words).alias("n_words"))
+    keys = checkpointed(key_words(items, similarity))
+    if keys.count() <= KEY_WORDS:
+        texts = texts.filter(F.arrays_overlap("words", F.array(*[F.lit(r["w"]) for r in keys.collect()]).cast("array<string>")))
     hashed = None
     for k in sizes:
-        part = texts.filter(F.size("words") >= k).select(
-            "doc_id", "th", F.lit(k).alias("k"), F.size("words").alias("n_words"),
+        part = texts.filter(F.col("n_words") >= k).select(
+            "doc_id", "th", F.lit(k).alias("k"), "n_words",
             F.posexplode(shingle_hashes(F.col("words"), k)).alias("pos", "h"),
         )
         hashed = part if hashed is None else hashed.unionByName(part)
@@ -114,29 +133,31 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     starts = places.select("doc_id", "th", "item", F.explode(F.array_distinct(F.flatten(spans))).alias("start"))
     by_doc = checkpointed(starts.groupBy("doc_id", "th", "item").agg(F.collect_list("start").alias("starts")))
     hit = by_doc.select(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th"), "item", "starts").join(broadcast_if_small(items.drop("item_hashes")), "item")
-    windows = texts.join(broadcast_if_small(hit), texts["doc_id"].eqNullSafe(F.col("hit_id")) & (texts["th"] == F.col("hit_th"))).select(
-        "doc_id", "th", "item", "item_id", "length", "item_shingles", "item_fp", "n_item", "k", "words", F.explode("starts").alias("start")
+    found = raw.join(broadcast_if_small(hit), raw["doc_id"].eqNullSafe(F.col("hit_id")) & (raw["th"] == F.col("hit_th"))).select("doc_id", "th", "item", "length", "starts", words_of(F.col("text")).alias("words"))
+    windows = checkpointed(
+        found.select("doc_id", "th", "item", "length", "words", F.explode("starts").alias("start"))
+        .select("doc_id", "th", "item", "start", F.slice("words", F.col("start") + 1, F.col("length")).alias("window"))
+    )
+    # Equal windows of an item are judged once, however many documents hold them.
+    hashed_windows = checkpointed(
+        windows.select("item", "window").distinct().join(broadcast_if_small(items.drop("item_hashes")), "item")
+        .withColumns({"shingles": shingle_strings(F.col("window"), F.col("k")), "hashes": shingle_hashes(F.col("window"), F.col("k"))})
     )
-    shingled = windows.select(
-        "doc_id", "th", "item", "item_id", "item_shingles", "item_fp", "n_item", "start",
-        F.least("length", F.size("words")).alias("n_words"), "k", F.slice("words", F.col("start") + 1, F.col("length")).alias("window"),
-    ).withColumns({"shingles": shingle_strings(F.col("window"), F.col("k")), "hashes": shingle_hashes(F.col("window"), F.col("k"))})
-    prints = shingled.withColumn("fp", simhash(F.col("hashes"))).drop("window", "hashes")
+    prints = checkpointed(hashed_windows.withColumn("fp", simhash(F.col("hashes"))).select("item", "item_id", "window", "shingles", "fp", "item_fp", "item_shingles", "n_item"))
 
     near = items.select("item", F.explode(_blocks(F.col("item_fp"))).alias("b")).select(
         "item", F.col("b.block").alias("block"), F.explode(F.transform(F.array(*[F.lit(m) for m in _masks(radius)]), lambda m: F.col("b.bits").bitwiseXOR(m))).alias("bits")
     )
     met = (
-        prints.withColumn("b", F.explode(_blocks(F.col("fp")))).withColumns({"block": F.col("b.block"), "bits": F.col("b.bits")})
+        prints.select("item", "window", "fp", "item_fp", F.explode(_blocks(F.col("fp"))).alias("b")).select("item", "window", "fp", "item_fp", F.col("b.block").alias("block"), F.col("b.bits").alias("bits"))
         .join(broadcast_if_small(near), ["item", "block", "bits"])
-        .withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
-        .filter(F.col("hamming") <= radius)
-        # A window that meets its item in several blocks counts once: in the first of them.
-        .dropDuplicates(["doc_id", "th", "item", "start"])
+        .withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).filter(F.col("hamming") <= radius)
+        .select("item", "window", "hamming").distinct()  # a window can meet its item in several blocks
+    )
+    similar = prints.join(met, ["item", "window"]).withColumn("common", _common(F.col("item_shingles"), F.col("shingles"))).select(
+        "item", "item_id", "window", "hamming", F.size("window").alias("n_words"), (F.col("common") / (F.col("n_item") + F.size("shingles") - F.col("common"))).alias("similarity")
     )
-    verified = met.withColumn("common", _common(F.col("item_shingles"), F.col("shingles"))).withColumn(
-        "similarity", F.col("common") / (F.col("n_item") + F.size("shingles") - F.col("common"))
-    ).filter(F.col("similarity") >= similarity)
+    verified = windows.join(checkpointed(similar.filter(F.col("similarity") >= similarity)), ["item", "window"])
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words", "hamming"))
     return verified.groupBy("doc_id", "th", "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).cast("long").alias("start_word"), F.col("best.n_words").cast("long").alias("n_words"), F.col("best.hamming").cast("long").alias("hamming"),

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import checkpointed, ship, text_or_empty
 
 
-def misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa.RecordBatch]:
-    """Lower bounds of the counts of frequent digests of one partition.
+def misra_gries(batches: Iterator[pa.RecordBatch], counters: int, kind: pa.DataType = pa.binary()) -> Iterator[pa.RecordBatch]:  # noqa: B008
+    """Lower bounds of the counts of frequent digests (the first column) of one partition.
 
     A bound is too low by n / (counters + 1) at most, and so a digest without one is not more
     frequent than that. At most ``counters`` entries are held between batches.
@@ -31,7 +31,7 @@ def misra_gries(batches: Iterator[pa.RecordBatch], counters: int) -> Iterator[pa
         if len(held) > counters:
             cut = sorted(held.values(), reverse=True)[counters]
             held = {k: v - cut for k, v in held.items() if v > cut}
-    yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["digest", "low"])
+    yield pa.RecordBatch.from_arrays([pa.array(list(held), kind), pa.array(list(held.values()), pa.int64())], names=["digest", "low"])
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = 4096) -> DataFrame:

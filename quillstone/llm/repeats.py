@@ -2,9 +2,10 @@
 
 Every string of ``length`` bytes belongs to the leftmost smallest hash among the short grams inside it;
 equal strings so have equal grams, at one place in them. A run of strings that one gram owns is a
-context: a short byte string, all of whose strings of that length are judged together. Contexts of grams
-that occur once are dropped, equal contexts are judged by their first occurrence, and the rest is sorted
-in Spark partitions by gram.
+context: a short byte string, all of whose strings of that length are judged together. In one pass over
+the places sorted by gram and digest, contexts of grams that occur once are dropped, equal contexts are judged
+by their first occurrence, and those of grams with several contexts are sorted in Spark partitions by gram.
+Very frequent grams, found by a Misra-Gries summary, take pre-aggregated joins instead.
 
 In a task, the suffixes of a collection of contexts are sorted column by column: each round inserts one
 more symbol of every context, from its end to its start, into the collection's Burrows-Wheeler transform,
@@ -14,21 +15,22 @@ and neighbours with a common prefix of ``length`` bytes are equal strings; all b
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import broadcast_if_small, checkpointed, ship, text_or_empty
+from quillstone.llm.exact_dedup import misra_gries
 
-LENGTH, GRAM = 100, 32
-#: Contexts sorted together; a gram with more than HOT distinct contexts is judged by string hashes in a group-by.
-COLLECTION, HOT = 8192, 20_000
+LENGTH, GRAM = 100, 24
+#: Contexts sorted together; counters of the summary, so grams under 2 / COUNTERS of all places may share a task.
+COLLECTION, COUNTERS = 8192, 65_536
 _SEGMENT = 1 << 19
 _PLACE = np.uint64((1 << 20) - 1)
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -205,69 +207,115 @@ def _sort_contexts(length: int, collection: int):
     return run
 
 
-def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, hot: int = HOT, collection: int = COLLECTION) -> DataFrame:
-    """(id, tie, spans, text): per document the maximal runs of bytes that repeats cover, as (start, stop), and its text."""
+#: A span packs the start of a context and the number of its strings less one.
+_MORE = 256
+_PLACES = "gram long, digest long, id long, tie long, span long"
+
+
+def mark_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From places sorted by gram, digest and place: copies (first is false), and first contexts of grams with several.
+
+    Holds the last gram and digest, and the only context of a gram until another one comes.
+    """
+    gram = digest = None
+    pending: tuple | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        g, d, ids, ties, spans = (batch.column(k).to_numpy() for k in range(5))
+        opens = np.concatenate([[gram is None or g[0] != gram], g[1:] != g[:-1]])
+        new = opens | np.concatenate([[digest is None or d[0] != digest], d[1:] != d[:-1]])
+        firsts = np.flatnonzero(new)
+        opening = opens[firsts]
+        several = ~opening | np.concatenate([~opening[1:], [False]])[: len(firsts)]
+        rows = [(g, ids, ties, spans, np.zeros(len(g), bool), np.flatnonzero(~new)), (g, ids, ties, spans, np.ones(len(g), bool), firsts[several])]
+        parts = [[x[at] for x in row] for *row, at in rows]
+        if len(firsts):
+            if pending is not None and not opening[0]:
+                parts.append([np.array([x]) for x in pending])
+            last = firsts[-1]
+            pending = (g[last], ids[last], ties[last], spans[last], True) if opening[-1] else None
+        gram, digest = g[-1], d[-1]
+        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["gram", "id", "tie", "span", "first"])
+
+
+def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, counters: int = COUNTERS, collection: int = COLLECTION) -> DataFrame:
+    """(id, tie, text, spans): per document its text and the runs of bytes, as (start, stop), that repeats cover."""
     spark: SparkSession = docs.sparkSession
     ship(spark)
+    if length - gram >= _MORE:
+        raise ValueError(f"length - gram must be under {_MORE}")
     named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), text_or_empty(text_col).alias("text"))
     # Rows that share an id are told apart by their text; the tie is 0 for all others.
     shared = checkpointed(named.groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("shared")))
     keyed = named.join(broadcast_if_small(shared), "id", "left").select("id", F.when(F.col("shared"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("tie"), "text")
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def find(batches: Iterator[pa.RecordBatch], grams_only: bool = False) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for batch in batches:
+            for i in range(len(batch)):
+                text = batch.column(2)[i].as_py().encode()
+                h, start, more = contexts_of(text, length, gram)
+                if grams_only:
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["gram"])
+                    continue
+                d = np.fromiter((digest(text[a:b]) for a, b in zip(start.tolist(), (start + more + length).tolist(), strict=True)), np.uint64, len(h))
+                same = lambda k: pa.array(np.full(len(h), batch.column(k)[i].as_py()))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.view(np.int64)), same(0), same(1), pa.array(start * _MORE + more)], names=["gram", "digest", "id", "tie", "span"])
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from misra_gries(larger(find(batches, grams_only=True)), counters, pa.int64())
+
+    def larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
         for batch in batches:
-            ids, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            found = [contexts_of(t.as_py().encode(), length, gram) for t in batch.column(2)]
-            sizes = [len(x[0]) for x in found]
-            h, start, more = (np.concatenate([x[k] for x in found]) for k in range(3))
-            for at in range(0, len(h), 50_000):
-                cut = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(h[cut].view(np.int64)), pa.array(np.repeat(ids, sizes)[cut]), pa.array(np.repeat(ties, sizes)[cut]), pa.array(start[cut].astype(np.int32)), pa.array(more[cut].astype(np.int32))], names=["gram", "id", "tie", "start", "more"])
-
-    contexts = keyed.mapInArrow(find, "gram long, id long, tie long, start int, more int")
-    repeated = contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    # Per document the contexts of repeated grams; no more than the document has.
-    places = checkpointed(contexts.join(repeated, "gram").groupBy("id", "tie").agg(F.collect_list(F.struct("gram", "start", "more")).alias("at")))
-    spark.sparkContext._jvm.System.gc()  # lets go of the shuffle files before the checkpoint
+            held.append(batch)
+            if sum(len(b) for b in held) > 100_000 or len(held) > 2000:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held = []
+        if held and sum(len(b) for b in held):
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    bounds = checkpointed(keyed.mapInArrow(summarise, "digest long, low long").groupBy("digest").agg(F.sum("low").alias("low")))
+    # The bounds add up to no more than all places, so at most counters + 1 grams pass.
+    total = bounds.agg(F.sum("low")).first()[0] or 0
+    hot = checkpointed(bounds.filter((F.col("low") > total / (counters + 1)) & (F.col("low") > 2)).select(F.col("digest").alias("gram")))
+    places = keyed.mapInArrow(find, _PLACES)
+    marks = places.join(F.broadcast(hot), "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "digest", "id", "tie", "span").mapInArrow(mark_copies, "gram long, id long, tie long, span long, first boolean")
+    frequent = checkpointed(places.join(F.broadcast(hot), "gram"))
+    place = F.struct("id", "tie", "span")
+    frequent_firsts = checkpointed(frequent.groupBy("gram", "digest").agg(F.min(place).alias("first")))
+    start, more = F.expr(f"span DIV {_MORE}").cast("int"), (F.col("span") % _MORE).cast("int")
+    covered = lambda rows: rows.select("id", "tie", start.alias("start"), (start + more + length).alias("stop"))
+    spans = covered(marks.filter("NOT first")).unionByName(covered(frequent.join(frequent_firsts, ["gram", "digest"]).filter(place > F.col("first"))))
 
     texts = keyed.repartition("id", "tie")  # one exchange, used by every join below
 
-    def read(with_bytes: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i in range(len(batch)):
-                    text = batch.column(2)[i].as_py().encode()
-                    spans = batch.column(3).slice(i, 1).flatten()
-                    grams, start, more = spans.field(0), spans.field(1).to_numpy(), spans.field(2).to_numpy()
-                    parts = [text[a : a + m + length] for a, m in zip(start.tolist(), more.tolist(), strict=True)]
-                    content = pa.array(parts if with_bytes else [hashlib.blake2b(p, digest_size=16).digest() for p in parts], pa.binary())
-                    same = lambda k: pa.array(np.full(len(parts), batch.column(k)[i].as_py()))  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([grams, same(0), same(1), spans.field(1), spans.field(2), content], names=["gram", "id", "tie", "start", "more", "bytes"])
-
-        return run
-
-    schema = "gram long, id long, tie long, start int, more int, bytes binary"
-    digested = texts.join(places, ["id", "tie"]).mapInArrow(read(False), schema)
-    place = F.struct("id", "tie", "start")
-    firsts = checkpointed(digested.groupBy("gram", "bytes").agg(F.min(F.struct("id", "tie", "start", "more")).alias("first")).select("gram", "bytes", "first.*"))
-    copies = digested.join(firsts.select("gram", "bytes", F.struct("id", "tie", "start").alias("first")), ["gram", "bytes"]).filter(place > F.col("first"))
-    spans = copies.select("id", "tie", "start", (F.col("start") + F.col("more") + length).alias("stop"))
-
-    counted = firsts.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    several = firsts.drop("bytes").join(counted, "gram")
-    listed = several.groupBy("id", "tie").agg(F.collect_list(F.struct("gram", "start", "more")).alias("at"))
-    full = texts.join(listed, ["id", "tie"]).mapInArrow(read(True), schema)
-    crowded = checkpointed(counted.filter(F.col("n") > hot).select("gram"))
-    usual = full.join(broadcast_if_small(crowded), "gram", "left_anti")
-    sorted_spans = usual.repartition("gram").sortWithinPartitions("gram").mapInArrow(_sort_contexts(length, collection), _SPAN)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                text = batch.column(2)[i].as_py().encode()
+                at = batch.column(3).slice(i, 1).flatten()
+                begin, more = np.divmod(at.field(1).to_numpy(), _MORE)
+                parts = [text[a:b] for a, b in zip(begin.tolist(), (begin + more + length).tolist(), strict=True)]
+                same = lambda k: pa.array(np.full(len(parts), batch.column(k)[i].as_py()))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([at.field(0), same(0), same(1), pa.array(begin.astype(np.int32)), pa.array(more.astype(np.int32)), pa.array(parts, pa.binary())], names=["gram", "id", "tie", "start", "more", "bytes"])
+
+    def with_bytes(firsts: DataFrame) -> DataFrame:
+        listed = firsts.groupBy("id", "tie").agg(F.collect_list(F.struct("gram", "span")).alias("at"))  # no more than the document has
+        return texts.join(listed, ["id", "tie"]).mapInArrow(read, "gram long, id long, tie long, start int, more int, bytes binary")
+
+    sorted_spans = with_bytes(marks.filter("first")).repartition("gram").sortWithinPartitions("gram").mapInArrow(_sort_contexts(length, collection), _SPAN)
     spans = spans.unionByName(sorted_spans)
-    if crowded.count():
-        at = F.explode(F.sequence(F.lit(0), F.col("more")))
-        strings = full.join(broadcast_if_small(crowded), "gram").withColumn("k", at).select(
-            F.substring("bytes", F.col("k") + 1, F.lit(length)).alias("string"), "id", "tie", (F.col("start") + F.col("k")).alias("start")
-        ).select(F.xxhash64("string").alias("h1"), F.xxhash64(F.lit(1), F.reverse(F.hex("string"))).alias("h2"), "id", "tie", "start")
-        first = strings.groupBy("h1", "h2").agg(F.min(place).alias("first"))
-        again = strings.join(first, ["h1", "h2"]).filter(place > F.col("first"))
+    if not hot.isEmpty():
+        strings = (
+            with_bytes(frequent_firsts.select("gram", "first.*")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("more"))))
+            .select(F.substring("bytes", F.col("k") + 1, F.lit(length)).alias("string"), "id", "tie", (F.col("start") + F.col("k")).alias("start"))
+            .select(F.xxhash64("string").alias("h1"), F.xxhash64(F.lit(1), F.reverse(F.hex("string"))).alias("h2"), "id", "tie", "start")
+        )
+        at = F.struct("id", "tie", "start")
+        again = strings.join(strings.groupBy("h1", "h2").agg(F.min(at).alias("first")), ["h1", "h2"]).filter(at > F.col("first"))
         spans = spans.unionByName(again.select("id", "tie", "start", (F.col("start") + length).alias("stop")))
     by_doc = spans.groupBy("id", "tie").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
     return texts.join(by_doc, ["id", "tie"], "left").select("id", "tie", "text", "spans")

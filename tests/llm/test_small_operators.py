@@ -353,7 +353,7 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"collection": 5}, {"hot": 2}])
+@pytest.mark.parametrize("options", [{}, {"collection": 5}, {"counters": 5}])
 def test_repeats(spark, options):
     rng = random.Random(11)
     base = ["".join(rng.choices("abé \n", k=rng.randrange(260))) for _ in range(15)]
