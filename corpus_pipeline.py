@@ -13,8 +13,8 @@ from quillstone.llm.common import table
 from quillstone.llm.decontaminate import decontaminate
 from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import line_dedup
+from quillstone.llm.near_copies import near_copy_components
 from quillstone.llm.piece_codec import piece_codec
-from quillstone.llm.simhash import simhash_components
 
 #: A document is rejected if no learned language has at least this share of the likelihood, or it has no letter.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -34,8 +34,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id in each group of linked fingerprints."""
-    stays = simhash_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
+    """The document of the smallest id in each group linked by a similarity of 0.8 of five-word shingles."""
+    stays = near_copy_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
     return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("__stays")), "left_semi").select(*docs.columns)
 
 
