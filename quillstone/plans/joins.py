@@ -201,6 +201,27 @@ def j22(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, "k").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= 6)).select("a", "b")
 
 
+#: j22 over all vectors: signs of 64 numbers, similar if 1 - hamming / 64 > 0.85. Of five bands, one differs in at most a bit.
+_J22_RADIUS, _J22_BANDS = 9, [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
+_J22_WORD = "CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + {}] > 0 THEN CAST(1 AS BIGINT) << i ELSE 0 END)) AS BIGINT)"
+
+
+@query("j22_bit_similarity_all", f"WITH h AS (SELECT vec_id, {_J22_WORD.format(1)} AS lo, {_J22_WORD.format(33)} AS hi FROM embeddings) SELECT a.vec_id AS a, b.vec_id AS b FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE 1 - (bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi))) / 64 > 0.85")
+def j22_all(spark: SparkSession, d: str) -> DataFrame:
+    bits = F.expr(" | ".join(f"shiftleft(if(get(embedding, {i}) > 0, 1L, 0L), {i})" for i in range(64)))
+    h = table(spark, d, "embeddings").select("vec_id", bits.alias("bits"))
+    # Equal signatures are one from here on; their vectors are paired at the end.
+    own = h.select("bits").distinct()
+    part = lambda at, n: F.shiftrightunsigned("bits", at).bitwiseAND(F.lit((1 << n) - 1))
+    exact = [F.struct(F.lit(k).alias("band"), part(at, n).alias("v")) for k, (at, n) in enumerate(_J22_BANDS)]
+    near = [F.struct(F.lit(k).alias("band"), part(at, n).bitwiseXOR(F.lit(m)).alias("v")) for k, (at, n) in enumerate(_J22_BANDS) for m in [0, *(1 << j for j in range(n))]]
+    one, other = own.select(F.col("bits").alias("x"), F.inline(F.array(*exact))), own.select(F.col("bits").alias("y"), F.inline(F.array(*near)))
+    met = one.join(other, ["band", "v"]).filter((F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= _J22_RADIUS)).select("x", "y").distinct()
+    left, right = h.select(F.col("vec_id").alias("p"), F.col("bits").alias("x")), h.select(F.col("vec_id").alias("q"), F.col("bits").alias("y"))
+    apart = met.join(left, "x").join(right, "y").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    return apart.unionByName(left.join(right, F.col("x") == F.col("y")).filter("p < q").select(F.col("p").alias("a"), F.col("q").alias("b")))
+
+
 @query("j26_covered_by_segment", with_views("timeline segments", "SELECT t.video_id, count(*) AS uncovered FROM timeline t WHERE NOT EXISTS (SELECT 1 FROM segments s WHERE s.video_id = t.video_id AND t.ms BETWEEN s.start_ms AND s.end_ms) GROUP BY 1"))
 def j26(spark: SparkSession, d: str) -> DataFrame:
     t = timeline(spark, d).select("video_id", "seq", "ms")
