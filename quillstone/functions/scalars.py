@@ -144,8 +144,10 @@ def shorten(c: Column, most: int) -> Column:
 
 
 def file_size(n: Column) -> Column:
+    """One decimal; a tie goes to the even tenth, as in Python and DuckDB."""
     kb = 1024.0
+    tenths = lambda unit, x: F.format_string(f"%.1f {unit}", F.bround(x, 1))
     return (
-        F.when(n < kb, F.format_string("%.1f B", n.cast("double"))).when(n < kb**2, F.format_string("%.1f KB", n / kb))
-        .when(n < kb**3, F.format_string("%.1f MB", n / kb**2)).otherwise(F.format_string("%.1f GB", n / kb**3))
+        F.when(n < kb, tenths("B", n.cast("double"))).when(n < kb**2, tenths("KB", n / kb))
+        .when(n < kb**3, tenths("MB", n / kb**2)).otherwise(tenths("GB", n / kb**3))
     )

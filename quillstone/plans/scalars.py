@@ -105,6 +105,11 @@ def f13(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").filter("n_chars * 10 % 1024 <> 512").select("doc_id", S.file_size(F.col("n_chars")).alias("size"))
 
 
+@query("f13_file_size_all", "SELECT doc_id, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024) WHEN n_chars < 1073741824 THEN printf('%.1f MB', n_chars / 1048576) ELSE printf('%.1f GB', n_chars / 1073741824) END AS size FROM documents")
+def f13_all(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select("doc_id", S.file_size(F.col("n_chars")).alias("size"))
+
+
 @query("f14_safe_json", "SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k FROM events")
 def f14(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.coalesce(F.from_json("props", "k INT", {"mode": "PERMISSIVE"})["k"], F.lit(-1)).alias("k"))

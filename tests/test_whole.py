@@ -19,3 +19,12 @@ def test_bit_similarity_meets_across_blocks(spark, tmp_path):
     got = registry.QUERIES["j22_bit_similarity_all"](spark, str(tmp_path)).collect()
     assert sorted((r["a"], r["b"]) for r in got) == want
     assert any(a // 25 != b // 25 for a, b in want)
+
+
+def test_file_size_of_every_document(spark, tmp_path):
+    sizes = [0, 1, 1023, 1024, 1280, 1536, 1792, 2304, 1024**2 - 1, 5 * 1024**2 // 4, 7 * 1024**2 // 4, 5 * 1024**3 // 4, *range(2000, 4000)]
+    spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    units = [(1024**3, "GB"), (1024**2, "MB"), (1024, "KB"), (1, "B")]
+    want = [next(f"{n / u:.1f} {name}" for u, name in units if n >= u or u == 1) for n in sizes]
+    got = registry.QUERIES["f13_file_size_all"](spark, str(tmp_path)).collect()
+    assert [r["size"] for r in sorted(got, key=lambda r: r["doc_id"])] == want
