@@ -56,7 +56,7 @@ STAGES = [
     ("decontamination", drop_benchmark),
     ("piece_codec", encode_pieces),
 ]
-#: Language scores and piece ids can't be computed in SQL; tests hold the stages against brute force.
+#: Language scores and piece ids can't be computed in SQL; a test holds the near-dedup stage against brute force, the others have none here.
 ORACLE_SQL = None
 
 
