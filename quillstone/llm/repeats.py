@@ -1,16 +1,18 @@
 """Removal of repeated 100-byte strings, by a multi-document Burrows-Wheeler construction.
 
-Every string of ``length`` bytes belongs to the leftmost smallest hash among the short grams inside it;
-equal strings so have equal grams, at one place in them. A run of strings that one gram owns is a
-context: a short byte string, all of whose strings of that length are judged together. In one pass over
-the places sorted by gram and digest, contexts of grams that occur once are dropped, equal contexts are judged
-by their first occurrence, and those of grams with several contexts are sorted in Spark partitions by gram.
-Very frequent grams, found by a Misra-Gries summary, take pre-aggregated joins instead.
+Every string of ``length`` bytes belongs to the leftmost smallest hash among the grams inside it; equal
+strings so have equal grams, at one place in them. A run of strings that one gram owns is a context: a
+short byte string, all of whose strings of that length are judged together. In one pass over the places
+sorted by gram and digest, contexts of grams that occur once are dropped, equal contexts are judged by
+their first occurrence, and what is left of a gram with several contexts goes to the sort.
 
 In a task, the suffixes of a collection of contexts are sorted column by column: each round inserts one
-more symbol of every context, from its end to its start, into the collection's Burrows-Wheeler transform,
-which goes from one sequential file to the next. Walking the finished transform gives the suffixes in order,
-and neighbours with a common prefix of ``length`` bytes are equal strings; all but the first are removed.
+more symbol of every context, from its end to its start, into the collection's Burrows-Wheeler transform
+and updates the common prefixes of neighbours. Both are in sequential files, which a round reads twice,
+in blocks. Neighbours with a common prefix of a whole string are equal strings; all but the first go.
+
+Grams that a sample of the documents shows to be very frequent, and grams with more contexts than a
+collection holds, are cut into their strings, which are dealt out by their own hashes.
 """
 
 from __future__ import annotations
@@ -21,41 +23,64 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import broadcast_if_small, checkpointed, ship, text_or_empty
-from quillstone.llm.exact_dedup import misra_gries
 
-LENGTH, GRAM = 100, 24
-#: Contexts sorted together; counters of the summary, so grams under 2 / COUNTERS of all places may share a task.
-COLLECTION, COUNTERS = 8192, 65_536
-_SEGMENT = 1 << 19
+LENGTH, GRAM = 100, 48
+#: Contexts sorted together; a gram with more is cut into strings.
+COLLECTION = 8192
+#: A gram with over HOT_PLACES places, by the documents that one hash in SAMPLE picks, is cut before the shuffle; at most HOT_GRAMS are.
+HOT_PLACES, SAMPLE, HOT_GRAMS = 200_000, 32, 65_536
+#: Symbols of the transform held at once; bytes of text hashed at once; places combined before the shuffle.
+BLOCK, _SEGMENT, _COMBINED = 1 << 18, 1 << 19, 400_000
 _PLACE = np.uint64((1 << 20) - 1)
-_BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_BLOCK = 256
+#: A span is a context's first string, the number of its strings less one, and where its gram begins; NO_GRAM if it was cut from one.
+_START, _MORE, NO_GRAM = 1 << 16, 1 << 8, 255
 
 
-def _gram_hashes(data: np.ndarray, size: int, base: np.uint64) -> np.ndarray:
-    """Polynomial hashes of all substrings of a size, by doubling."""
-    block, n, out, done, times = data.astype(np.uint64) + np.uint64(1), 1, None, 0, base
-    left = size
+def _mixed(x: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        while True:
-            if left & 1:
-                if out is None:
-                    out, done = block, n
-                else:
-                    k = len(data) - done - n + 1
-                    out, done = out[:k] * times + block[done : done + k], done + n
-            left >>= 1
-            if not left:
-                break
-            block, n, times = block[:-n] * times + block[n:], n * 2, times * times
-        out = out * _MIX
-        return out ^ (out >> np.uint64(31))
+        x = (x ^ (x >> np.uint64(32))) * _MIX
+        x = (x ^ (x >> np.uint64(32))) * _MIX
+    return x ^ (x >> np.uint64(32))
+
+
+class _Powers:
+    """Powers of an odd base and of its inverse, modulo 2**64."""
+
+    def __init__(self, base: int, n: int):
+        one = np.ones(1, np.uint64)
+        self.up, self.down = (np.cumprod(np.concatenate([one, np.full(n, x, np.uint64)])) for x in (base, pow(base, -1, 2**64)))
+
+
+_POWERS: dict[tuple[int, int], _Powers] = {}
+
+
+class SubstringHashes:
+    """64-bit hashes of any substrings of a piece of text, from one running sum of its symbols times powers."""
+
+    def __init__(self, data: np.ndarray, which: int):
+        key = (which, _SEGMENT + 256)
+        if len(data) > key[1]:
+            key = (which, len(data))
+        if key not in _POWERS:
+            _POWERS[key] = _Powers(_BASES[which], key[1])
+        self.powers = _POWERS[key]
+        with np.errstate(over="ignore"):
+            self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers.up[: len(data)])])
+
+    def all(self, size: int) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return _mixed((self.sums[size:] - self.sums[:-size]) * self.powers.down[: len(self.sums) - size])
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return _mixed((self.sums[stop] - self.sums[start]) * self.powers.down[start])
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -65,117 +90,300 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - n)], x[width - n :]) if width > n else x
 
 
-def contexts_of(text: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(gram hash, first string's start, number of strings less one) of each context of a text."""
-    out = []
-    for at in range(0, max(len(text) - length + 1, 0), _SEGMENT):
-        data = np.frombuffer(text, np.uint8, min(len(text) - at, _SEGMENT + length - 1), at)
-        h = _gram_hashes(data, gram, _BASES[0])
-        # The place breaks ties to the left. It fits, as a segment is shorter than the low bits' range.
+def _contexts(data: np.ndarray, edges: np.ndarray, hot: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document, gram, digest, span) of the contexts of texts that lie end to end, cut at edges, a piece at a time."""
+    for at in range(int(edges[0]), max(int(edges[-1]) - length + 1, int(edges[0])), _SEGMENT):
+        piece = data[at : min(at + _SEGMENT + length - 1, int(edges[-1]))]
+        hashes = SubstringHashes(piece, 0)
+        h = hashes.all(gram)
+        # The place breaks ties to the left. It fits, as a piece is shorter than the low bits' range.
         owner = _sliding_min((h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
-        first = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
-        last = np.concatenate([first[1:] - 1, [len(owner) - 1]])
-        out.append((h[(owner[first] & _PLACE).astype(np.int64)], first + at, last - first))
-    if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+        crossing = np.zeros(len(owner) + 1, np.int32)
+        inner = edges[(edges > at) & (edges < at + len(piece))] - at
+        np.add.at(crossing, np.clip(inner - length + 1, 0, len(owner)), 1)
+        np.add.at(crossing, np.clip(inner, 0, len(owner)), -1)
+        inside = np.cumsum(crossing[:-1]) == 0
+        turns = np.concatenate([[True], (owner[1:] != owner[:-1]) | ~inside[:-1]]), np.concatenate([(owner[1:] != owner[:-1]) | ~inside[1:], [True]])
+        first, last = np.flatnonzero(inside & turns[0]), np.flatnonzero(inside & turns[1])
+        if not len(first):
+            continue
+        place = (owner[first] & _PLACE).astype(np.int64)
+        grams = h[place]
+        digests = SubstringHashes(piece, 1)
+        cut = np.isin(grams, hot) if len(hot) else np.zeros(len(grams), bool)
+        begin, keys, marks = first[~cut], grams[~cut], digests.of(first[~cut], last[~cut] + length)
+        shape = (last - first)[~cut] * _MORE + (place - first)[~cut]
+        if cut.any():
+            counts = (last - first)[cut] + 1
+            each = np.repeat(first[cut], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            begin, keys = np.concatenate([begin, each]), np.concatenate([keys, hashes.of(each, each + length)])
+            marks, shape = np.concatenate([marks, digests.of(each, each + length)]), np.concatenate([shape, np.full(len(each), NO_GRAM)])
+        doc = np.searchsorted(edges, begin + at, "right") - 1
+        yield doc, keys, marks, (begin + at - edges[doc]) * _START + shape
+
+
+def places_of(batch: pa.RecordBatch, hot: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[pa.RecordBatch]:
+    """gram, digest, id, tie, span of the contexts in a batch of (id, tie, text).
+
+    Of equal contexts of about _COMBINED, all but the first are known to be copies: their span is complemented
+    and their gram replaced by a hash of their place, so that a frequent context is met once by each task.
+    """
+    text = batch.column(2)
+    edges = np.frombuffer(text.buffers()[1], np.int32 if pa.types.is_string(text.type) or pa.types.is_binary(text.type) else np.int64)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+    if not len(text) or edges[0] == edges[-1]:
+        return
+    data = np.frombuffer(text.buffers()[2], np.uint8)
+    ids, ties = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+    order = sorted(range(len(ids)), key=lambda i: (ids[i] is not None, ids[i] if ids[i] is not None else 0, ties[i]))
+    rank = np.empty(len(ids), np.int64)
+    rank[order] = np.cumsum([k > 0 and (ids[i], ties[i]) != (ids[order[k - 1]], ties[order[k - 1]]) for k, i in enumerate(order)])
+
+    def combined(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        doc, grams, digests, spans = (np.concatenate(x) for x in zip(*parts, strict=True))
+        with np.errstate(over="ignore"):
+            code = grams * _MIX + digests
+        order = np.lexsort((spans, rank[doc], code))
+        order = order[np.concatenate([[True], (np.diff(rank[doc[order]]) != 0) | (np.diff(spans[order]) != 0)])]  # not the places of repeated rows
+        doc, grams, digests, spans = (x[order] for x in (doc, grams, digests, spans))
+        copy = np.concatenate([[False], (grams[1:] == grams[:-1]) & (digests[1:] == digests[:-1])])
+        spread = _mixed(spans.view(np.uint64) * _MIX ^ doc.view(np.uint64))
+        columns = [np.where(copy, spread, grams).view(np.int64), digests.view(np.int64), None, ties[doc], np.where(copy, ~spans, spans)]
+        arrays = [batch.column(0).take(pa.array(doc)) if c is None else pa.array(c) for c in columns]
+        return pa.RecordBatch.from_arrays(arrays, names=["gram", "digest", "id", "tie", "span"])
+
+    held, n = [], 0
+    for part in _contexts(data, edges, hot, length, gram):
+        held.append(part)
+        n += len(part[0])
+        if n > _COMBINED:
+            yield combined(held)
+            held, n = [], 0
+    if held:
+        yield combined(held)
+
+
+def _without_twins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows without those of the same gram and place as the row before: repeated rows of one document."""
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = batch if last is None else pa.concat_batches([last, batch])
+        last = batch.slice(len(batch) - 1, 1)
+        tie, span, gram = (rows.column(c).to_numpy() for c in ("tie", "span", "gram"))
+        same = (tie[1:] == tie[:-1]) & (tie[1:] != 0) & (span[1:] == span[:-1]) & (gram[1:] == gram[:-1])  # the tie is 0 if no other row has the id
+        if same.any():
+            a, b = rows.column("id").slice(1), rows.column("id").slice(0, len(rows) - 1)
+            equal = pc.if_else(pc.is_null(a), pc.is_null(b), pc.fill_null(pc.equal(a, b), False))
+            keep = np.concatenate([[True], ~(same & equal.to_numpy(zero_copy_only=False))])[len(rows) - len(batch) :]
+            batch = batch.filter(pa.array(keep))
+        yield batch
 
 
-class Transform:
-    """The Burrows-Wheeler transform of a growing collection of suffixes, kept in sequential files."""
-
-    def __init__(self, folder: str):
-        self.paths = [Path(folder, "even"), Path(folder, "odd")]
-        self.now = 0
-
-    def read(self) -> np.ndarray:
-        return np.fromfile(self.paths[self.now], np.uint8)
-
-    def write(self, symbols: np.ndarray) -> None:
-        """Replace what read() gives."""
-        self.now = 1 - self.now
-        symbols.tofile(self.paths[self.now])
-
-
-def _ranks(symbols: np.ndarray, places: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """How often each wanted symbol occurs before its place, plus how often smaller ones (but the end mark) occur at all."""
-    n = -(-(len(symbols) + 1) // _BLOCK)
-    padded = np.zeros(n * _BLOCK, np.uint8)
-    padded[: len(symbols)] = symbols
-    blocks = padded.reshape(n, _BLOCK)
-    counts = np.bincount((np.arange(n, dtype=np.int32)[:, None] * 256 + blocks).ravel(), minlength=n * 256).reshape(n, 256)
-    before = np.cumsum(counts, axis=0) - counts
-    total = before[-1] + counts[-1]
-    total[0] = 0
-    smaller = np.cumsum(total) - total
-    inside = ((blocks[places // _BLOCK] == wanted[:, None]) & (np.arange(_BLOCK) < (places % _BLOCK)[:, None])).sum(axis=1)
-    return smaller[wanted] + before[places // _BLOCK, wanted] + inside
+def mark_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From places sorted by gram, digest and place: copies (first is false), and first contexts of grams with several.
 
+    Holds the last gram and digest, and the only context of a gram until another one comes.
+    """
+    gram = digest = pending = None
+    for batch in _without_twins(batches):
+        g, d, spans = (batch.column(k).to_numpy() for k in (0, 1, 4))
+        known = spans < 0
+        parts = [_marked(batch.filter(pa.array(known)), False, complement=True)] if known.any() else []
+        if known.any():
+            batch = batch.filter(pa.array(~known))
+            g, d = g[~known], d[~known]
+        if len(g):
+            opens = np.concatenate([[gram is None or g[0] != gram], g[1:] != g[:-1]])
+            new = opens | np.concatenate([[digest is None or d[0] != digest], d[1:] != d[:-1]])
+            firsts = np.flatnonzero(new)
+            opening = opens[firsts]
+            several = ~opening | np.concatenate([~opening[1:], [False]])[: len(firsts)]
+            parts.append(_marked(batch.filter(pa.array(~new)), False))
+            parts.append(_marked(batch.take(pa.array(firsts[several])), True))
+            if len(firsts):
+                if pending is not None and not opening[0]:
+                    parts.append(_marked(pending, True))
+                pending = batch.slice(int(firsts[-1]), 1) if opening[-1] else None
+            gram, digest = g[-1], d[-1]
+        for part in parts:
+            if len(part):
+                yield part
+
+
+def _marked(rows: pa.RecordBatch, first: bool, complement: bool = False) -> pa.RecordBatch:
+    spans = rows.column(4).to_numpy()
+    return pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), rows.column(3), pa.array(~spans if complement else spans), pa.array(np.full(len(rows), first))], names=["gram", "id", "tie", "span", "first"])
 
-def sorted_suffixes(texts: np.ndarray, lengths: np.ndarray, least: int, folder: str) -> tuple[np.ndarray, np.ndarray]:
-    """(text, start) of all suffixes of ``least`` symbols or more, in order.
 
-    texts holds one text a row, its symbols at the left and over 0; equal suffixes come by row.
-    """
-    n, rows = len(texts), np.arange(len(texts))
-    transform = Transform(folder)
+class Transform:
+    """The Burrows-Wheeler transform of a growing collection of suffixes, with the common prefix of each suffix and the
+    one before it, its text and its size, in sequential files that are read and written in blocks."""
+
+    COLUMNS = (("symbol", np.uint16), ("common", np.uint8), ("text", np.int32), ("size", np.uint8))
+
+    def __init__(self, folder: str, block: int):
+        self.folder, self.block, self.now, self.count = folder, block, 0, 0
+
+    def _paths(self, which: int) -> list[Path]:
+        return [Path(self.folder, f"{name}-{which}") for name, _ in self.COLUMNS]
+
+    def blocks(self) -> Iterator[tuple[int, list[np.ndarray]]]:
+        """(first place, columns) of every block in order."""
+        files = [p.open("rb") for p in self._paths(self.now)]
+        try:
+            for at in range(0, self.count, self.block):
+                yield at, [np.fromfile(f, kind, min(self.block, self.count - at)) for f, (_, kind) in zip(files, self.COLUMNS, strict=True)]
+        finally:
+            for f in files:
+                f.close()
+
+    def insert(self, places: np.ndarray, columns: list[np.ndarray], changed: np.ndarray, common: np.ndarray) -> None:
+        """Insert rows at places (ascending, in the new order), and set the common prefixes at changed (new places)."""
+        before = places - np.arange(len(places))
+        files = [p.open("wb") for p in self._paths(1 - self.now)]
+        try:
+            for at, block in self.blocks() if self.count else [(0, [np.empty(0, kind) for _, kind in self.COLUMNS])]:
+                end = at + len(block[0])
+                a = np.searchsorted(before, at) if at else 0
+                b = np.searchsorted(before, end) if end < self.count else len(before)
+                begin, n = at + a, end - at + b - a
+                old = np.ones(n, bool)
+                old[places[a:b] - begin] = False
+                x, y = np.searchsorted(changed, (begin, begin + n))
+                for k, ((_, kind), f) in enumerate(zip(self.COLUMNS, files, strict=True)):
+                    out = np.empty(n, kind)
+                    out[old] = block[k]
+                    out[places[a:b] - begin] = columns[k][a:b]
+                    if k == 1:
+                        out[changed[x:y] - begin] = common[x:y]
+                    out.tofile(f)
+        finally:
+            for f in files:
+                f.close()
+        self.now, self.count = 1 - self.now, self.count + len(places)
+
+
+def _range_minima(x: np.ndarray) -> list[np.ndarray]:
+    """Minima of all runs of 1, 2, 4, ... values."""
+    out, n = [x], 1
+    while n * 2 <= len(x):
+        out.append(np.minimum(out[-1][:-n], out[-1][n:]))
+        n *= 2
+    return out
+
+
+def _minimum_of(minima: list[np.ndarray], start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Minima of x[start:stop], 255 of nothing."""
+    out = np.full(len(start), 255, np.uint8)
+    level = np.frexp(np.maximum(stop - start, 1).astype(float))[1] - 1
+    for k in np.unique(level):
+        at = np.flatnonzero((level == k) & (stop > start))
+        out[at] = np.minimum(minima[k][start[at]], minima[k][stop[at] - (1 << int(k))])
+    return out
+
+
+def sort_suffixes(texts: np.ndarray, lengths: np.ndarray, folder: str, block: int = BLOCK) -> Transform:
+    """The finished transform of texts: one text a row, its symbols at the left and over 0; equal suffixes come by row."""
+    n, alphabet = len(texts), int(texts.max(initial=0)) + 1
+    transform = Transform(folder, block)
     # Round 0: the empty suffixes in row order, each preceded by its text's last symbol.
-    transform.write(np.where(lengths > 0, texts[rows, np.maximum(lengths - 1, 0)], 0).astype(np.uint8))
-    places, live = rows, rows[lengths > 0]
-    places = places[live]
-    for size in range(1, int(lengths.max(initial=0)) + 1):
-        symbols = transform.read()
-        places = n + _ranks(symbols, places, symbols[places])
-        grown = np.empty(len(symbols) + len(places), np.uint8)
-        old = np.ones(len(grown), bool)
-        old[places] = False
-        grown[old] = symbols
-        starts = lengths[live] - size
-        grown[places] = np.where(starts > 0, texts[live, np.maximum(starts - 1, 0)], 0)
-        transform.write(grown)
-        going = starts > 0
-        places, live = places[going], live[going]
-    symbols = transform.read()
-    order = np.argsort(symbols, kind="stable")
-    follows = np.empty(len(symbols), np.int64)  # of a suffix: where it is with the symbol before it
-    ends = int((symbols == 0).sum())
-    follows[order] = np.arange(len(order)) + n - ends
-    text_at, start_at = np.full(len(symbols), -1, np.int64), np.zeros(len(symbols), np.int64)
-    at, live = rows, rows
+    inserted = texts[np.arange(n), np.maximum(lengths - 1, 0)]
+    transform.insert(np.arange(n), [inserted, np.zeros(n, np.uint8), np.arange(n, dtype=np.int32), np.zeros(n, np.uint8)], np.empty(0, np.int64), np.empty(0, np.uint8))
+    total = np.bincount(inserted, minlength=alphabet)
+    total[0] = 0
     for size in range(1, int(lengths.max(initial=0)) + 1):
-        going = lengths[live] >= size
-        live, at = live[going], follows[at[going]]
-        if size >= least:
-            text_at[at], start_at[at] = live, lengths[live] - size
-    kept = text_at >= 0
-    return text_at[kept], start_at[kept]
-
-
-def repeated_spans(contexts: list[bytes], ids: np.ndarray, ties: np.ndarray, starts: np.ndarray, length: int, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, from, to) of the bytes in a string that starts earlier, by id, tie and place, in this collection."""
-    lengths = np.array([len(c) for c in contexts])
-    texts = np.zeros((len(contexts), int(lengths.max())), np.uint8)
-    texts[np.arange(texts.shape[1]) < lengths[:, None]] = np.frombuffer(b"".join(contexts), np.uint8) + 1
-    row, at = sorted_suffixes(texts, lengths, length, folder)
-    same = np.zeros(len(row), bool)  # has a common prefix of `length` with the suffix before it
-    strings = np.lib.stride_tricks.sliding_window_view(texts, length, axis=1)
-    for a in range(1, len(row), 50_000):
-        b = min(a + 50_000, len(row))
-        same[a:b] = (strings[row[a:b], at[a:b]] == strings[row[a - 1 : b - 1], at[a - 1 : b - 1]]).all(axis=1)
-    group = np.cumsum(~same)
-    place = starts[row] + at
-    order = np.lexsort((place, ties[row], ids[row], group))
-    later = np.concatenate([[False], group[order][1:] == group[order][:-1]]) if len(order) else np.zeros(0, bool)
-    edge = np.zeros((len(contexts), texts.shape[1] + 1), np.int32)
-    np.add.at(edge, (row[order][later], at[order][later]), 1)
-    np.add.at(edge, (row[order][later], at[order][later] + length), -1)
-    covered = np.zeros((len(contexts), texts.shape[1] + 2), np.int8)
+        smaller = n + np.cumsum(total) - total
+        seen = np.zeros(alphabet, np.int64)
+        since = np.full(alphabet, 255, np.uint8)  # of a symbol: the least common prefix after its last place
+        was_new = np.zeros(alphabet, bool)
+        found: list[tuple[np.ndarray, ...]] = []
+        for _, (symbol, common, text, sizes) in transform.blocks():
+            order = np.argsort(symbol, kind="stable")
+            ordered = symbol[order]
+            starts = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+            at = np.flatnonzero(starts)
+            ends = np.append(at[1:], len(order)) - 1
+            present = ordered[at]
+            new = (sizes == size - 1)[order]
+            wanted = new.copy()
+            wanted[1:] |= new[:-1] & ~starts[1:]
+            wanted[at] |= was_new[present]
+            if present[0] == 0:
+                wanted[: ends[0] + 1] = False
+            k = np.flatnonzero(wanted)
+            c, place, opens = ordered[k], order[k], starts[k]
+            minima = _range_minima(common)
+            least = _minimum_of(minima, np.where(opens, 0, order[k - 1] + 1), place + 1)
+            least = np.where(opens, np.minimum(least, since[c]), least)
+            first_ever = opens & (seen[c] == 0)
+            group = np.cumsum(starts)[k] - 1
+            found.append((smaller[c] + seen[c] + k - at[group], np.where(first_ever, 0, least + 1).astype(np.uint8), new[k], text[place]))
+            lasts = order[ends]
+            since = np.minimum(since, minima[-1].min())
+            since[present] = _minimum_of(minima, lasts + 1, np.full(len(lasts), len(common)))
+            seen[present] += ends - at + 1
+            was_new[present] = new[ends]
+        places, least, new, text = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(places)
+        places, least, new, text = (x[order] for x in (places, least, new, text))
+        rows = text[new]
+        left = lengths[rows] - size
+        inserted = np.where(left > 0, texts[rows, np.maximum(left - 1, 0)], 0).astype(np.uint16)
+        transform.insert(places[new], [inserted, least[new], rows, np.full(len(rows), size, np.uint8)], places[~new], least[~new])
+        total += np.bincount(inserted, minlength=alphabet)
+        total[0] = 0
+    return transform
+
+
+def repeated_spans(contexts: list[bytes], more: np.ndarray, gram_at: np.ndarray, length: int, gram: int, folder: str, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, from, to) of the bytes in a string that an earlier context of this collection has too.
+
+    Equal strings have equal grams at one place, so a gram is one symbol here: a number for its bytes.
+    """
+    raw = np.zeros((len(contexts), 2 * length - gram), np.uint8)
+    sizes = more + length
+    raw[np.arange(raw.shape[1]) < sizes[:, None]] = np.frombuffer(b"".join(contexts), np.uint8)
+    grams = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(raw, gram, axis=1)[np.arange(len(raw)), gram_at])
+    number = np.unique(grams.view(f"V{gram}").ravel(), return_inverse=True)[1].ravel()
+    string, lengths = length - gram + 1, sizes - gram + 1
+    column = np.arange(int(lengths.max()))
+    source = np.minimum(column + np.where(column > gram_at[:, None], gram - 1, 0), raw.shape[1] - 1)
+    texts = np.take_along_axis(raw, source, axis=1).astype(np.uint16) + 1
+    texts[np.arange(len(raw)), gram_at] = 257 + number
+    texts[column >= lengths[:, None]] = 0
+    edge = np.zeros((len(contexts), raw.shape[1] + 1), np.int32)
+    held: list[np.ndarray] = [np.empty(0, np.int64)] * 2
+
+    def judge(row: np.ndarray, at: np.ndarray, group: np.ndarray) -> None:
+        order = np.lexsort((row, group))
+        later = np.concatenate([[False], group[order][1:] == group[order][:-1]])
+        np.add.at(edge, (row[order][later], at[order][later]), 1)
+        np.add.at(edge, (row[order][later], at[order][later] + length), -1)
+
+    for _, (_, common, text, size) in sort_suffixes(texts, lengths, folder, block).blocks():
+        # A group of equal strings can reach from block to block; what is whole is judged.
+        row, at = np.concatenate([held[0], text]), np.concatenate([held[1], lengths[text] - size])
+        new = np.concatenate([np.zeros(len(held[0]), bool), common < string])
+        group = np.cumsum(new)
+        whole = group < group[-1]
+        long = size_of(lengths, row, at) >= string
+        if (whole & long).any():
+            judge(row[whole & long], at[whole & long], group[whole & long])
+        held = [row[~whole], at[~whole]]
+    if len(held[0]) and (keep := size_of(lengths, *held) >= string).any():
+        judge(held[0][keep], held[1][keep], np.zeros(keep.sum(), np.int64))
+    covered = np.zeros((len(contexts), raw.shape[1] + 2), np.int8)
     covered[:, 1:] = np.cumsum(edge, axis=1) > 0
     step = np.diff(covered, axis=1)
     where, begin = np.nonzero(step == 1)
     return where, begin, np.nonzero(step == -1)[1]
 
 
+def size_of(lengths: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return lengths[row] - at
+
+
 def _collections(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
     """Rows sorted by gram, in tables of over ``most`` rows that end where a gram does."""
     held: list[pa.RecordBatch] = []
@@ -193,132 +401,99 @@ def _collections(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Ta
         yield pa.Table.from_batches(held)
 
 
-_SPAN = "id long, tie long, start int, stop int"
-
-
-def _sort_contexts(length: int, collection: int):
+def _sort_contexts(length: int, gram: int, collection: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with tempfile.TemporaryDirectory() as folder:
-            for rows in _collections(batches, collection):
-                ids, ties, starts = (rows[c].to_numpy() for c in ("id", "tie", "start"))
-                row, begin, end = repeated_spans(rows["bytes"].to_pylist(), ids, ties, starts, length, folder)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[row]), pa.array(ties[row]), pa.array((starts[row] + begin).astype(np.int32)), pa.array((starts[row] + end).astype(np.int32))], names=["id", "tie", "start", "stop"])
+            for rows in _collections(_without_twins(batches), collection):
+                spans = rows["span"].to_numpy()
+                row, begin, end = repeated_spans(rows["bytes"].to_pylist(), spans // _MORE % _MORE, spans % _MORE, length, gram, folder)
+                start = spans[row] // _START
+                taken = rows.select(["id", "tie"]).take(pa.array(row)).combine_chunks()
+                for part in pa.table([*taken.columns, pa.array(start + begin), pa.array(start + end)], names=["id", "tie", "start", "stop"]).to_batches():
+                    yield part
 
     return run
 
 
-#: A span packs the start of a context and the number of its strings less one.
-_MORE = 256
-_PLACES = "gram long, digest long, id long, tie long, span long"
+def _bytes_of(length: int):
+    """gram, id, tie, span, bytes of contexts, from (id, tie, text, at: gram and span of each)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                text = batch.column(2)[i].as_py().encode()
+                at = batch.column(3).slice(i, 1).flatten()
+                spans = at.field(1).to_numpy()
+                begin = spans // _START
+                parts = [text[a:b] for a, b in zip(begin.tolist(), (begin + spans // _MORE % _MORE + length).tolist(), strict=True)]
+                own = pa.array(np.full(len(parts), i))
+                yield pa.RecordBatch.from_arrays([at.field(0), batch.column(0).take(own), batch.column(1).take(own), at.field(1), pa.array(parts, pa.binary())], names=["gram", "id", "tie", "span", "bytes"])
 
-def mark_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From places sorted by gram, digest and place: copies (first is false), and first contexts of grams with several.
+    return run
 
-    Holds the last gram and digest, and the only context of a gram until another one comes.
-    """
-    gram = digest = None
-    pending: tuple | None = None
-    for batch in batches:
-        if not len(batch):
-            continue
-        g, d, ids, ties, spans = (batch.column(k).to_numpy() for k in range(5))
-        opens = np.concatenate([[gram is None or g[0] != gram], g[1:] != g[:-1]])
-        new = opens | np.concatenate([[digest is None or d[0] != digest], d[1:] != d[:-1]])
-        firsts = np.flatnonzero(new)
-        opening = opens[firsts]
-        several = ~opening | np.concatenate([~opening[1:], [False]])[: len(firsts)]
-        rows = [(g, ids, ties, spans, np.zeros(len(g), bool), np.flatnonzero(~new)), (g, ids, ties, spans, np.ones(len(g), bool), firsts[several])]
-        parts = [[x[at] for x in row] for *row, at in rows]
-        if len(firsts):
-            if pending is not None and not opening[0]:
-                parts.append([np.array([x]) for x in pending])
-            last = firsts[-1]
-            pending = (g[last], ids[last], ties[last], spans[last], True) if opening[-1] else None
-        gram, digest = g[-1], d[-1]
-        columns = [np.concatenate(x) for x in zip(*parts, strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["gram", "id", "tie", "span", "first"])
-
-
-def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, counters: int = COUNTERS, collection: int = COLLECTION) -> DataFrame:
-    """(id, tie, text, spans): per document its text and the runs of bytes, as (start, stop), that repeats cover."""
+
+def repeated_bytes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
+    collection: int = COLLECTION, hot_places: int = HOT_PLACES, sample: int = SAMPLE,
+) -> DataFrame:
+    """(id, tie, text, spans): per row of docs its text and the runs of bytes, as (start, stop), that repeats cover."""
     spark: SparkSession = docs.sparkSession
     ship(spark)
-    if length - gram >= _MORE:
-        raise ValueError(f"length - gram must be under {_MORE}")
-    named = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), text_or_empty(text_col).alias("text"))
+    if not 0 < gram < length or 2 * length - gram >= NO_GRAM:
+        raise ValueError(f"gram must be shorter than length, and contexts shorter than {NO_GRAM} bytes")
+    named = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    id_type = named.schema["id"].dataType.simpleString()
     # Rows that share an id are told apart by their text; the tie is 0 for all others.
-    shared = checkpointed(named.groupBy("id").count().filter("count > 1").select("id", F.lit(True).alias("shared")))
-    keyed = named.join(broadcast_if_small(shared), "id", "left").select("id", F.when(F.col("shared"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")).alias("tie"), "text")
-
-    def find(batches: Iterator[pa.RecordBatch], grams_only: bool = False) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
-        for batch in batches:
-            for i in range(len(batch)):
-                text = batch.column(2)[i].as_py().encode()
-                h, start, more = contexts_of(text, length, gram)
-                if grams_only:
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["gram"])
-                    continue
-                d = np.fromiter((digest(text[a:b]) for a, b in zip(start.tolist(), (start + more + length).tolist(), strict=True)), np.uint64, len(h))
-                same = lambda k: pa.array(np.full(len(h), batch.column(k)[i].as_py()))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(d.view(np.int64)), same(0), same(1), pa.array(start * _MORE + more)], names=["gram", "digest", "id", "tie", "span"])
-
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from misra_gries(larger(find(batches, grams_only=True)), counters, pa.int64())
-
-    def larger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            held.append(batch)
-            if sum(len(b) for b in held) > 100_000 or len(held) > 2000:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-        if held and sum(len(b) for b in held):
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    bounds = checkpointed(keyed.mapInArrow(summarise, "digest long, low long").groupBy("digest").agg(F.sum("low").alias("low")))
-    # The bounds add up to no more than all places, so at most counters + 1 grams pass.
-    total = bounds.agg(F.sum("low")).first()[0] or 0
-    hot = checkpointed(bounds.filter((F.col("low") > total / (counters + 1)) & (F.col("low") > 2)).select(F.col("digest").alias("gram")))
-    places = keyed.mapInArrow(find, _PLACES)
-    marks = places.join(F.broadcast(hot), "gram", "left_anti").repartition("gram").sortWithinPartitions("gram", "digest", "id", "tie", "span").mapInArrow(mark_copies, "gram long, id long, tie long, span long, first boolean")
-    frequent = checkpointed(places.join(F.broadcast(hot), "gram"))
-    place = F.struct("id", "tie", "span")
-    frequent_firsts = checkpointed(frequent.groupBy("gram", "digest").agg(F.min(place).alias("first")))
-    start, more = F.expr(f"span DIV {_MORE}").cast("int"), (F.col("span") % _MORE).cast("int")
-    covered = lambda rows: rows.select("id", "tie", start.alias("start"), (start + more + length).alias("stop"))
-    spans = covered(marks.filter("NOT first")).unionByName(covered(frequent.join(frequent_firsts, ["gram", "digest"]).filter(place > F.col("first"))))
-
-    texts = keyed.repartition("id", "tie")  # one exchange, used by every join below
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                text = batch.column(2)[i].as_py().encode()
-                at = batch.column(3).slice(i, 1).flatten()
-                begin, more = np.divmod(at.field(1).to_numpy(), _MORE)
-                parts = [text[a:b] for a, b in zip(begin.tolist(), (begin + more + length).tolist(), strict=True)]
-                same = lambda k: pa.array(np.full(len(parts), batch.column(k)[i].as_py()))  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([at.field(0), same(0), same(1), pa.array(begin.astype(np.int32)), pa.array(more.astype(np.int32)), pa.array(parts, pa.binary())], names=["gram", "id", "tie", "start", "more", "bytes"])
-
-    def with_bytes(firsts: DataFrame) -> DataFrame:
-        listed = firsts.groupBy("id", "tie").agg(F.collect_list(F.struct("gram", "span")).alias("at"))  # no more than the document has
-        return texts.join(listed, ["id", "tie"]).mapInArrow(read, "gram long, id long, tie long, start int, more int, bytes binary")
-
-    sorted_spans = with_bytes(marks.filter("first")).repartition("gram").sortWithinPartitions("gram").mapInArrow(_sort_contexts(length, collection), _SPAN)
-    spans = spans.unionByName(sorted_spans)
-    if not hot.isEmpty():
-        strings = (
-            with_bytes(frequent_firsts.select("gram", "first.*")).withColumn("k", F.explode(F.sequence(F.lit(0), F.col("more"))))
-            .select(F.substring("bytes", F.col("k") + 1, F.lit(length)).alias("string"), "id", "tie", (F.col("start") + F.col("k")).alias("start"))
-            .select(F.xxhash64("string").alias("h1"), F.xxhash64(F.lit(1), F.reverse(F.hex("string"))).alias("h2"), "id", "tie", "start")
-        )
-        at = F.struct("id", "tie", "start")
-        again = strings.join(strings.groupBy("h1", "h2").agg(F.min(at).alias("first")), ["h1", "h2"]).filter(at > F.col("first"))
-        spans = spans.unionByName(again.select("id", "tie", "start", (F.col("start") + length).alias("stop")))
-    by_doc = spans.groupBy("id", "tie").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("spans"))
-    return texts.join(by_doc, ["id", "tie"], "left").select("id", "tie", "text", "spans")
+    shared = checkpointed(named.groupBy("id").count().filter("count > 1").select(F.col("id").alias("shared_id"), F.lit(True).alias("shared")))
+    tie = F.when(F.col("shared"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    keyed = named.join(broadcast_if_small(shared), F.col("id").eqNullSafe(F.col("shared_id")), "left").select("id", tie.alias("tie"), "text")
+
+    def find(hot):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield from places_of(batch, hot.value, length, gram)
+
+        return run
+
+    places_schema = f"gram long, digest long, id {id_type}, tie long, span long"
+    picked = keyed.filter(F.pmod(F.xxhash64("id", "tie"), F.lit(sample)) == 0)
+    none = spark.sparkContext.broadcast(np.empty(0, np.uint64))
+    # Copies that a task combines have no gram any more, so a gram is counted once a task and digest, as it is shuffled.
+    counted = picked.mapInArrow(find(none), places_schema).filter("span >= 0").groupBy("gram").count()
+    frequent = counted.filter(F.col("count") * sample > hot_places).orderBy(F.desc("count"), "gram").limit(HOT_GRAMS).collect()
+    hot = spark.sparkContext.broadcast(np.array(sorted(r["gram"] for r in frequent), np.int64).view(np.uint64))
+
+    def marked(places: DataFrame) -> DataFrame:
+        dealt = places.repartition("gram").sortWithinPartitions("gram", "digest", "id", "tie", "span")
+        return dealt.mapInArrow(mark_copies, f"gram long, id {id_type}, tie long, span long, first boolean")
+
+    marks = checkpointed(marked(keyed.mapInArrow(find(hot), places_schema)))
+    start, more = F.expr(f"span DIV {_START}"), F.expr(f"span DIV {_MORE} % {_MORE}")
+    covered = lambda rows: rows.filter("NOT first").select("id", "tie", start.alias("start"), (start + more + length).alias("stop"))
+    spans = covered(marks)
+
+    # Strings cut from a gram are equal only if their digests are; the others' contexts are compared.
+    firsts = marks.filter(F.col("first") & (F.col("span") % _MORE != NO_GRAM)).select("gram", "id", "tie", "span")
+    crowded = checkpointed(firsts.groupBy("gram").count().filter(F.col("count") > collection).select("gram"))
+
+    def with_bytes(wanted: DataFrame) -> DataFrame:
+        listed = wanted.groupBy("id", "tie").agg(F.collect_list(F.struct("gram", "span")).alias("at"))  # no more than the document has
+        own = [F.col(f"t.{c}") for c in ("id", "tie", "text")]
+        met = keyed.alias("t").join(listed.alias("l"), F.col("t.id").eqNullSafe(F.col("l.id")) & (F.col("t.tie") == F.col("l.tie"))).select(*own, "at")
+        return met.mapInArrow(_bytes_of(length), f"gram long, id {id_type}, tie long, span long, bytes binary")
+
+    some = not crowded.isEmpty()
+    few = firsts.join(broadcast_if_small(crowded), "gram", "left_anti") if some else firsts
+    dealt = with_bytes(few).repartition("gram").sortWithinPartitions("gram", "id", "tie", "span")
+    spans = spans.unionByName(dealt.mapInArrow(_sort_contexts(length, gram, collection), f"id {id_type}, tie long, start long, stop long"))
+    if some:
+        cut = with_bytes(firsts.join(broadcast_if_small(crowded), "gram", "left_semi")).select("id", "tie", start.alias("start"), "bytes", F.explode(F.sequence(F.lit(0).cast("long"), more)).alias("k"))
+        string = F.expr(f"substring(bytes, CAST(k AS INT) + 1, {length})")
+        strings = cut.select(F.xxhash64(string).alias("gram"), F.xxhash64(F.lit(1), string).alias("digest"), "id", "tie", ((F.col("start") + F.col("k")) * _START + NO_GRAM).alias("span"))
+        spans = spans.unionByName(covered(marked(strings)))
+    by_doc = spans.groupBy("id", "tie").agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("spans"))
+    same = F.col("t.id").eqNullSafe(F.col("s.id")) & (F.col("t.tie") == F.col("s.tie"))
+    return keyed.alias("t").join(by_doc.alias("s"), same, "left").select("t.id", "t.tie", "t.text", "s.spans")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: int) -> DataFrame:
@@ -326,9 +501,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document of smaller
     id, or earlier in its own. spans are the maximal runs that go, kept is what stays (bytes, as a run can
-    end inside a character). Null texts count as empty, texts shorter than ``length`` stay whole. Null ids
-    sort first; rows that share an id are ordered by a hash of their text, and repeated rows (same id, same
-    text) are one document and get one result. Other columns are not read.
+    end inside a character). Ids are of any type with an order. Null texts count as empty, texts shorter than
+    ``length`` stay whole. Null ids sort first; rows that share an id are ordered by a hash of their text, and
+    repeated rows (same id, same text) are one document and get one result. Other columns are not read.
     """
     found = repeated_bytes(docs, id_col, text_col, **options)
 
@@ -346,12 +521,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 runs.append([{"start": a, "stop": b} for a, b in merged])
                 edges = [0, *(x for ab in merged for x in ab), len(data)]
                 kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
-    own = F.when(F.col("id") != F.lit(-(2**63)), F.col("id")).alias("doc_id")
-    return found.select(own, "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, spans array<struct<start:int,stop:int>>, kept binary")
+    id_type = found.schema["id"].dataType.simpleString()
+    return found.select(F.col("id").alias("doc_id"), "text", "spans").mapInArrow(cut, f"doc_id {id_type}, n_bytes long, spans array<struct<start:long,stop:long>>, kept binary")
 
 
 def repeats_digest(removed: DataFrame) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of remove_repeats; a row without spans removes nothing."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["stop"] - s["start"])
     return removed.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -10,6 +10,7 @@ import regex
 import sentencepiece
 import xxhash
 from public_tokenizers import path
+from pyspark.sql import functions as F
 
 from quillstone.llm import chat_format, decontaminate, exact_dedup, html_text, language_id, line_dedup, piece_codec, pieces, repeats, simhash, toxicity
 
@@ -353,7 +354,7 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"collection": 5}, {"counters": 5}])
+@pytest.mark.parametrize("options", [{}, {"collection": 5}, {"hot_places": 1, "sample": 1}, {"gram": 20, "collection": 300}, {"hot_places": 20, "sample": 1, "collection": 2}])
 def test_repeats(spark, options):
     rng = random.Random(11)
     base = ["".join(rng.choices("abé \n", k=rng.randrange(260))) for _ in range(15)]
@@ -365,19 +366,32 @@ def test_repeats(spark, options):
 
 def test_repeats_of_repeated_ids(spark, empty):
     text = "".join(random.Random(12).choices("abcdef", k=300))
-    rows = [(5, text), (5, text), (None, text), (None, "short"), (6, text[:150])]
+    once = "".join(random.Random(14).choices("abcdef", k=500))
+    rows = [(5, text), (5, text), (None, text), (None, "short"), (6, text[:150]), (7, once), (7, once), (8, once[:200] + text[:99])]
     got = Counter((r["doc_id"], r["n_removed"]) for r in repeats.repeats_digest(repeats.remove_repeats(spark.createDataFrame(rows, SCHEMA))).collect())
-    assert got == Counter([(None, 0), (None, 0), (5, 300), (5, 300), (6, 150)])
+    assert got == Counter([(None, 0), (None, 0), (5, 300), (5, 300), (6, 150), (7, 0), (7, 0), (8, 200)])
     assert repeats.remove_repeats(empty).count() == 0
 
 
-def test_suffixes_are_sorted(tmp_path):
+def test_repeats_with_text_ids_and_clashing_columns(spark):
+    text = "".join(random.Random(15).choices("abcdef", k=240))
+    rows = [("b", text, 1, "x"), ("a", "zz" + text, 2, None), (None, text[:130], 3, "gram"), ("", "", 4, "")]
+    clashing = spark.createDataFrame(rows, "doc_id string, text string, span long, gram string").withColumn("id", F.lit(0)).withColumn("tie", F.lit(None))
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.repeats_digest(repeats.remove_repeats(clashing)).collect()}
+    assert got == {None: 0, "": 0, "a": 130, "b": 240}
+
+
+@pytest.mark.parametrize("block", [7, 64, 1 << 18])
+def test_suffixes_are_sorted_with_common_prefixes(tmp_path, block):
     rng = random.Random(13)
     texts = ["".join(rng.choices("ab", k=rng.randrange(1, 12))).encode() for _ in range(40)]
     lengths = np.array([len(t) for t in texts])
-    padded = np.zeros((40, 12), np.uint8)
+    padded = np.zeros((40, 12), np.uint16)
     for i, t in enumerate(texts):
         padded[i, : len(t)] = np.frombuffer(t, np.uint8)
-    row, at = repeats.sorted_suffixes(padded, lengths, 1, str(tmp_path))
-    got = [(texts[r][a:], r) for r, a in zip(row.tolist(), at.tolist(), strict=True)]
-    assert got == sorted((t[a:], i) for i, t in enumerate(texts) for a in range(len(t)))
+    rows = [x for _, (symbol, common, text, size) in repeats.sort_suffixes(padded, lengths, str(tmp_path), block).blocks() for x in zip(symbol.tolist(), common.tolist(), text.tolist(), size.tolist(), strict=True)]
+    expected = sorted((t[a:], i) for i, t in enumerate(texts) for a in range(len(t) + 1))
+    assert [(texts[r][lengths[r] - n :], r) for _, _, r, n in rows] == expected
+    assert [s for s, *_ in rows] == [0 if n == lengths[r] else texts[r][lengths[r] - n - 1] for _, _, r, n in rows]
+    same = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    assert [c for _, c, *_ in rows] == [0] + [same(a[0], b[0]) for a, b in zip(expected, expected[1:], strict=False)]
