@@ -218,78 +218,94 @@ def _marked(rows: pa.RecordBatch, first: bool, complement: bool = False) -> pa.R
 
 class Transform:
     """The Burrows-Wheeler transform of a growing collection of suffixes, with the common prefix of each suffix and the
-    one before it, its text and its size, in sequential files that are read and written in blocks."""
+    one before it and a label, in sequential files that are read and written in blocks."""
 
-    COLUMNS = (("symbol", np.uint16), ("common", np.uint8), ("text", np.int32), ("size", np.uint8))
+    KINDS = (np.uint16, np.uint8, np.uint32)  # symbol, common prefix, label
 
     def __init__(self, folder: str, block: int):
-        self.folder, self.block, self.now, self.count = folder, block, 0, 0
-
-    def _paths(self, which: int) -> list[Path]:
-        return [Path(self.folder, f"{name}-{which}") for name, _ in self.COLUMNS]
-
-    def blocks(self) -> Iterator[tuple[int, list[np.ndarray]]]:
-        """(first place, columns) of every block in order."""
-        files = [p.open("rb") for p in self._paths(self.now)]
-        try:
-            for at in range(0, self.count, self.block):
-                yield at, [np.fromfile(f, kind, min(self.block, self.count - at)) for f, (_, kind) in zip(files, self.COLUMNS, strict=True)]
-        finally:
-            for f in files:
-                f.close()
+        self.block, self.now, self.count = block, 0, 0
+        self.files = [[Path(folder, f"{k}-{which}").open("w+b", buffering=0) for k in range(len(self.KINDS))] for which in (0, 1)]
+
+    def __enter__(self) -> Transform:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for f in self.files[0] + self.files[1]:
+            f.close()
+
+    def blocks(self) -> Iterator[list[np.ndarray]]:
+        """The columns of every block in order."""
+        for f in self.files[self.now]:
+            f.seek(0)
+        for at in range(0, self.count, self.block):
+            columns = [np.empty(min(self.block, self.count - at), kind) for kind in self.KINDS]
+            for f, x in zip(self.files[self.now], columns, strict=True):
+                left = memoryview(x).cast("B")
+                while len(left):
+                    left = left[f.readinto(left) :]
+            yield columns
 
     def insert(self, places: np.ndarray, columns: list[np.ndarray], changed: np.ndarray, common: np.ndarray) -> None:
         """Insert rows at places (ascending, in the new order), and set the common prefixes at changed (new places)."""
-        before = places - np.arange(len(places))
-        files = [p.open("wb") for p in self._paths(1 - self.now)]
-        try:
-            for at, block in self.blocks() if self.count else [(0, [np.empty(0, kind) for _, kind in self.COLUMNS])]:
-                end = at + len(block[0])
-                a = np.searchsorted(before, at) if at else 0
-                b = np.searchsorted(before, end) if end < self.count else len(before)
-                begin, n = at + a, end - at + b - a
-                old = np.ones(n, bool)
-                old[places[a:b] - begin] = False
-                x, y = np.searchsorted(changed, (begin, begin + n))
-                for k, ((_, kind), f) in enumerate(zip(self.COLUMNS, files, strict=True)):
-                    out = np.empty(n, kind)
-                    out[old] = block[k]
-                    out[places[a:b] - begin] = columns[k][a:b]
-                    if k == 1:
-                        out[changed[x:y] - begin] = common[x:y]
-                    out.tofile(f)
-        finally:
-            for f in files:
-                f.close()
+        before = places - np.arange(len(places))  # old rows
+        files = self.files[1 - self.now]
+        for f in files:
+            f.seek(0)
+        end = a = 0
+        for block in self.blocks() if self.count else [[np.empty(0, kind) for kind in self.KINDS]]:
+            begin, end = end + a, end + len(block[0])
+            b = int(np.searchsorted(before, end)) if end < self.count else len(before)
+            at = places[a:b] - begin
+            old = np.ones(len(block[0]) + b - a, bool)
+            old[at] = False
+            x, y = np.searchsorted(changed, (begin, begin + len(old)))
+            for k, (kind, f) in enumerate(zip(self.KINDS, files, strict=True)):
+                out = np.empty(len(old), kind)
+                out[old] = block[k]
+                out[at] = columns[k][a:b]
+                if k == 1:
+                    out[changed[x:y] - begin] = common[x:y]
+                left = memoryview(out).cast("B")
+                while len(left):
+                    left = left[f.write(left) :]
+            a = b
         self.now, self.count = 1 - self.now, self.count + len(places)
 
 
-def _range_minima(x: np.ndarray) -> list[np.ndarray]:
-    """Minima of all runs of 1, 2, 4, ... values."""
-    out, n = [x], 1
-    while n * 2 <= len(x):
-        out.append(np.minimum(out[-1][:-n], out[-1][n:]))
-        n *= 2
-    return out
+class _RangeMinima:
+    """Minima of any runs of a block of common prefixes, from those of all runs of 1, 2, 4, ... of them."""
+
+    def __init__(self, x: np.ndarray):
+        levels, n = [x], 1
+        while n * 2 <= len(x):
+            levels.append(np.minimum(levels[-1][:-n], levels[-1][n:]))
+            n *= 2
+        self.least = levels[-1].min()
+        self.flat = np.concatenate(levels)
+        self.begin = np.concatenate([[0], np.cumsum([len(v) for v in levels])])
+
+    def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Minima of x[start:stop], which isn't empty."""
+        level = np.frexp((stop - start).astype(np.float32))[1] - 1
+        begin = self.begin[level]
+        return np.minimum(self.flat[begin + start], self.flat[begin + stop - (1 << level)])
 
 
-def _minimum_of(minima: list[np.ndarray], start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """Minima of x[start:stop], 255 of nothing."""
-    out = np.full(len(start), 255, np.uint8)
-    level = np.frexp(np.maximum(stop - start, 1).astype(float))[1] - 1
-    for k in np.unique(level):
-        at = np.flatnonzero((level == k) & (stop > start))
-        out[at] = np.minimum(minima[k][start[at]], minima[k][stop[at] - (1 << int(k))])
-    return out
+def _label(text: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    return (text.astype(np.uint32) << np.uint32(8)) | np.asarray(size, np.uint32)
 
 
-def sort_suffixes(texts: np.ndarray, lengths: np.ndarray, folder: str, block: int = BLOCK) -> Transform:
-    """The finished transform of texts: one text a row, its symbols at the left and over 0; equal suffixes come by row."""
+def labels(label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, size) of suffixes."""
+    return (label >> np.uint32(8)).astype(np.int64), (label & np.uint32(255)).astype(np.int64)
+
+
+def sort_suffixes(transform: Transform, texts: np.ndarray, lengths: np.ndarray) -> None:
+    """Fill an empty transform: one text a row, its symbols at the left and over 0; equal suffixes come by row."""
     n, alphabet = len(texts), int(texts.max(initial=0)) + 1
-    transform = Transform(folder, block)
     # Round 0: the empty suffixes in row order, each preceded by its text's last symbol.
     inserted = texts[np.arange(n), np.maximum(lengths - 1, 0)]
-    transform.insert(np.arange(n), [inserted, np.zeros(n, np.uint8), np.arange(n, dtype=np.int32), np.zeros(n, np.uint8)], np.empty(0, np.int64), np.empty(0, np.uint8))
+    transform.insert(np.arange(n), [inserted, np.zeros(n, np.uint8), _label(np.arange(n), 0)], np.empty(0, np.int64), np.empty(0, np.uint8))
     total = np.bincount(inserted, minlength=alphabet)
     total[0] = 0
     for size in range(1, int(lengths.max(initial=0)) + 1):
@@ -298,14 +314,15 @@ def sort_suffixes(texts: np.ndarray, lengths: np.ndarray, folder: str, block: in
         since = np.full(alphabet, 255, np.uint8)  # of a symbol: the least common prefix after its last place
         was_new = np.zeros(alphabet, bool)
         found: list[tuple[np.ndarray, ...]] = []
-        for _, (symbol, common, text, sizes) in transform.blocks():
+        for symbol, common, label in transform.blocks():
             order = np.argsort(symbol, kind="stable")
             ordered = symbol[order]
             starts = np.concatenate([[True], ordered[1:] != ordered[:-1]])
             at = np.flatnonzero(starts)
             ends = np.append(at[1:], len(order)) - 1
             present = ordered[at]
-            new = (sizes == size - 1)[order]
+            new = ((label & np.uint32(255)) == size - 1)[order]
+            # The rows inserted last, and those that follow them among the rows of their symbol, but for whole texts.
             wanted = new.copy()
             wanted[1:] |= new[:-1] & ~starts[1:]
             wanted[at] |= was_new[present]
@@ -313,27 +330,28 @@ def sort_suffixes(texts: np.ndarray, lengths: np.ndarray, folder: str, block: in
                 wanted[: ends[0] + 1] = False
             k = np.flatnonzero(wanted)
             c, place, opens = ordered[k], order[k], starts[k]
-            minima = _range_minima(common)
-            least = _minimum_of(minima, np.where(opens, 0, order[k - 1] + 1), place + 1)
+            minima = _RangeMinima(common)
+            least = minima.of(np.where(opens, 0, order[k - 1] + 1), place + 1)
             least = np.where(opens, np.minimum(least, since[c]), least)
             first_ever = opens & (seen[c] == 0)
-            group = np.cumsum(starts)[k] - 1
-            found.append((smaller[c] + seen[c] + k - at[group], np.where(first_ever, 0, least + 1).astype(np.uint8), new[k], text[place]))
-            lasts = order[ends]
-            since = np.minimum(since, minima[-1].min())
-            since[present] = _minimum_of(minima, lasts + 1, np.full(len(lasts), len(common)))
+            rank = k - at[np.searchsorted(at, k, "right") - 1]
+            found.append((smaller[c] + seen[c] + rank, np.where(first_ever, 0, least + 1).astype(np.uint8), new[k], label[place] >> np.uint32(8)))
+            since = np.minimum(since, minima.least)
+            lasts = order[ends] + 1
+            since[present] = 255
+            inner = lasts < len(common)
+            since[present[inner]] = minima.of(lasts[inner], np.full(inner.sum(), len(common)))
             seen[present] += ends - at + 1
             was_new[present] = new[ends]
-        places, least, new, text = (np.concatenate(x) for x in zip(*found, strict=True))
+        places, least, new, rows = (np.concatenate(x) for x in zip(*found, strict=True))
         order = np.argsort(places)
-        places, least, new, text = (x[order] for x in (places, least, new, text))
-        rows = text[new]
+        places, least, new, rows = (x[order] for x in (places, least, new, rows))
+        rows = rows[new].astype(np.int64)
         left = lengths[rows] - size
         inserted = np.where(left > 0, texts[rows, np.maximum(left - 1, 0)], 0).astype(np.uint16)
-        transform.insert(places[new], [inserted, least[new], rows, np.full(len(rows), size, np.uint8)], places[~new], least[~new])
+        transform.insert(places[new], [inserted, least[new], _label(rows, size)], places[~new], least[~new])
         total += np.bincount(inserted, minlength=alphabet)
         total[0] = 0
-    return transform
 
 
 def repeated_spans(contexts: list[bytes], more: np.ndarray, gram_at: np.ndarray, length: int, gram: int, folder: str, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -353,7 +371,7 @@ def repeated_spans(contexts: list[bytes], more: np.ndarray, gram_at: np.ndarray,
     texts[np.arange(len(raw)), gram_at] = 257 + number
     texts[column >= lengths[:, None]] = 0
     edge = np.zeros((len(contexts), raw.shape[1] + 1), np.int32)
-    held: list[np.ndarray] = [np.empty(0, np.int64)] * 2
+    row, at = np.empty((2, 0), np.int64)
 
     def judge(row: np.ndarray, at: np.ndarray, group: np.ndarray) -> None:
         order = np.lexsort((row, group))
@@ -361,18 +379,19 @@ def repeated_spans(contexts: list[bytes], more: np.ndarray, gram_at: np.ndarray,
         np.add.at(edge, (row[order][later], at[order][later]), 1)
         np.add.at(edge, (row[order][later], at[order][later] + length), -1)
 
-    for _, (_, common, text, size) in sort_suffixes(texts, lengths, folder, block).blocks():
-        # A group of equal strings can reach from block to block; what is whole is judged.
-        row, at = np.concatenate([held[0], text]), np.concatenate([held[1], lengths[text] - size])
-        new = np.concatenate([np.zeros(len(held[0]), bool), common < string])
-        group = np.cumsum(new)
-        whole = group < group[-1]
-        long = size_of(lengths, row, at) >= string
-        if (whole & long).any():
-            judge(row[whole & long], at[whole & long], group[whole & long])
-        held = [row[~whole], at[~whole]]
-    if len(held[0]) and (keep := size_of(lengths, *held) >= string).any():
-        judge(held[0][keep], held[1][keep], np.zeros(keep.sum(), np.int64))
+    with Transform(folder, block) as transform:
+        sort_suffixes(transform, texts, lengths)
+        for _, common, label in transform.blocks():
+            text, size = labels(label)
+            long = size >= string  # what follows a suffix with as many symbols in common is as long
+            new = np.concatenate([np.zeros(len(row), bool), (common < string)[long]])
+            row, at = np.concatenate([row, text[long]]), np.concatenate([at, (lengths[text] - size)[long]])
+            if len(row):
+                group = np.cumsum(new)
+                whole = group < group[-1]  # the last group can go on in the next block
+                judge(row[whole], at[whole], group[whole])
+                row, at = row[~whole], at[~whole]
+    judge(row, at, np.zeros(len(row), np.int64))
     covered = np.zeros((len(contexts), raw.shape[1] + 2), np.int8)
     covered[:, 1:] = np.cumsum(edge, axis=1) > 0
     step = np.diff(covered, axis=1)
@@ -380,10 +399,6 @@ def repeated_spans(contexts: list[bytes], more: np.ndarray, gram_at: np.ndarray,
     return where, begin, np.nonzero(step == -1)[1]
 
 
-def size_of(lengths: np.ndarray, row: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return lengths[row] - at
-
-
 def _collections(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
     """Rows sorted by gram, in tables of over ``most`` rows that end where a gram does."""
     held: list[pa.RecordBatch] = []

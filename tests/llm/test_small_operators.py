@@ -389,7 +389,9 @@ def test_suffixes_are_sorted_with_common_prefixes(tmp_path, block):
     padded = np.zeros((40, 12), np.uint16)
     for i, t in enumerate(texts):
         padded[i, : len(t)] = np.frombuffer(t, np.uint8)
-    rows = [x for _, (symbol, common, text, size) in repeats.sort_suffixes(padded, lengths, str(tmp_path), block).blocks() for x in zip(symbol.tolist(), common.tolist(), text.tolist(), size.tolist(), strict=True)]
+    with repeats.Transform(str(tmp_path), block) as transform:
+        repeats.sort_suffixes(transform, padded, lengths)
+        rows = [x for symbol, common, label in transform.blocks() for x in zip(symbol.tolist(), common.tolist(), *(y.tolist() for y in repeats.labels(label)), strict=True)]
     expected = sorted((t[a:], i) for i, t in enumerate(texts) for a in range(len(t) + 1))
     assert [(texts[r][lengths[r] - n :], r) for _, _, r, n in rows] == expected
     assert [s for s, *_ in rows] == [0 if n == lengths[r] else texts[r][lengths[r] - n - 1] for _, _, r, n in rows]
