@@ -11,8 +11,7 @@ more symbol of every context, from its end to its start, into the collection's B
 and updates the common prefixes of neighbours. Both are in sequential files, which a round reads twice,
 in blocks. Neighbours with a common prefix of a whole string are equal strings; all but the first go.
 
-Grams that a sample of the documents shows to be very frequent, and grams with more contexts than a
-collection holds, are cut into their strings, which are dealt out by their own hashes.
+Grams that a sample of the documents shows to be very frequent, and grams with very many contexts, are cut into their strings, which are dealt out by their own hashes.
 """
 
 from __future__ import annotations
@@ -30,8 +29,8 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import broadcast_if_small, checkpointed, ship, text_or_empty
 
 LENGTH, GRAM = 100, 48
-#: Contexts sorted together; a gram with more is cut into strings.
-COLLECTION = 8192
+#: Contexts sorted together; a gram with over CROWDED is cut into strings.
+COLLECTION, CROWDED = 8192, 1024
 #: A gram with over HOT_PLACES places, by the documents that one hash in SAMPLE picks, is cut before the shuffle; at most HOT_GRAMS are.
 HOT_PLACES, SAMPLE, HOT_GRAMS = 200_000, 32, 65_536
 #: Symbols of the transform held at once; bytes of text hashed at once; places combined before the shuffle.
@@ -449,7 +448,7 @@ def _bytes_of(length: int):
 
 def repeated_bytes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM,
-    collection: int = COLLECTION, hot_places: int = HOT_PLACES, sample: int = SAMPLE,
+    collection: int = COLLECTION, crowded: int = CROWDED, hot_places: int = HOT_PLACES, sample: int = SAMPLE,
 ) -> DataFrame:
     """(id, tie, text, spans): per row of docs its text and the runs of bytes, as (start, stop), that repeats cover."""
     spark: SparkSession = docs.sparkSession
@@ -489,7 +488,7 @@ def repeated_bytes(
 
     # Strings cut from a gram are equal only if their digests are; the others' contexts are compared.
     firsts = marks.filter(F.col("first") & (F.col("span") % _MORE != NO_GRAM)).select("gram", "id", "tie", "span")
-    crowded = checkpointed(firsts.groupBy("gram").count().filter(F.col("count") > collection).select("gram"))
+    many = checkpointed(firsts.groupBy("gram").count().filter(F.col("count") > crowded).select("gram"))
 
     def with_bytes(wanted: DataFrame) -> DataFrame:
         listed = wanted.groupBy("id", "tie").agg(F.collect_list(F.struct("gram", "span")).alias("at"))  # no more than the document has
@@ -497,12 +496,12 @@ def repeated_bytes(
         met = keyed.alias("t").join(listed.alias("l"), F.col("t.id").eqNullSafe(F.col("l.id")) & (F.col("t.tie") == F.col("l.tie"))).select(*own, "at")
         return met.mapInArrow(_bytes_of(length), f"gram long, id {id_type}, tie long, span long, bytes binary")
 
-    some = not crowded.isEmpty()
-    few = firsts.join(broadcast_if_small(crowded), "gram", "left_anti") if some else firsts
+    some = not many.isEmpty()
+    few = firsts.join(broadcast_if_small(many), "gram", "left_anti") if some else firsts
     dealt = with_bytes(few).repartition("gram").sortWithinPartitions("gram", "id", "tie", "span")
     spans = spans.unionByName(dealt.mapInArrow(_sort_contexts(length, gram, collection), f"id {id_type}, tie long, start long, stop long"))
     if some:
-        cut = with_bytes(firsts.join(broadcast_if_small(crowded), "gram", "left_semi")).select("id", "tie", start.alias("start"), "bytes", F.explode(F.sequence(F.lit(0).cast("long"), more)).alias("k"))
+        cut = with_bytes(firsts.join(broadcast_if_small(many), "gram", "left_semi")).select("id", "tie", start.alias("start"), "bytes", F.explode(F.sequence(F.lit(0).cast("long"), more)).alias("k"))
         string = F.expr(f"substring(bytes, CAST(k AS INT) + 1, {length})")
         strings = cut.select(F.xxhash64(string).alias("gram"), F.xxhash64(F.lit(1), string).alias("digest"), "id", "tie", ((F.col("start") + F.col("k")) * _START + NO_GRAM).alias("span"))
         spans = spans.unionByName(covered(marked(strings)))

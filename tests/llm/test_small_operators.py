@@ -354,7 +354,7 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("options", [{}, {"collection": 5}, {"hot_places": 1, "sample": 1}, {"gram": 20, "collection": 300}, {"hot_places": 20, "sample": 1, "collection": 2}])
+@pytest.mark.parametrize("options", [{}, {"collection": 5}, {"hot_places": 1, "sample": 1}, {"gram": 20, "collection": 300}, {"hot_places": 20, "sample": 1, "crowded": 2}])
 def test_repeats(spark, options):
     rng = random.Random(11)
     base = ["".join(rng.choices("abé \n", k=rng.randrange(260))) for _ in range(15)]
