@@ -1,9 +1,11 @@
 """HTML extraction by composite text density.
 
-A tolerant tokenizer builds a small tree without what is boilerplate by its tag or name. Every node
-gets a density: its characters per tag, lowered where much of its text is links. The lowest density on
-the path from the densest node up to the body is the threshold; among the nodes at or above it, the one
-whose children's densities sum to most is the main text, widened to the article it is in.
+A tolerant scanner, which looks at each character once, builds a small tree. Every node gets a density:
+its characters per tag, lowered where much of its text is links. The lowest density on the path from the
+densest node up to the body is the threshold; among the nodes at or above it, the one whose children's
+densities sum to most is chosen. What is boilerplate by tag, role or name goes then: from inside the
+choice, and if there was some, densities choose again in what is left of it; if the choice lies in
+boilerplate itself, in what is left of the page. The result is widened to the article it is in.
 """
 
 from __future__ import annotations
@@ -23,111 +25,137 @@ from quillstone.llm.common import ship, text_or_empty
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+IN_HEAD = frozenset("base head link meta noscript script style template title".split())
 CLOSES_P = BLOCK - frozenset("body caption dd dt html li tbody td tfoot th thead tr".split())
 #: Elements whose end tag may be left out, and the open elements that their start ends.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 SCOPE = frozenset("table ul ol dl select html body article section div td th".split())
-#: Never main text.
-DROPPED = frozenset("head nav header footer aside form script style noscript template iframe object embed svg canvas button select option textarea title menu dialog audio video map noembed noframes xmp input label fieldset".split())
+#: Never main text; a header is, in an article or main element.
+DROPPED = frozenset("head nav footer aside form script style noscript template iframe object embed svg canvas button select option textarea title menu dialog audio video map noembed noframes xmp input label fieldset".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Parts of class names and ids that name boilerplate.
+#: Class names and ids that name boilerplate, as a whole; of those that name it as one of several parts, only on containers.
 NAMES = frozenset(
-    "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs byline-links comment comments commentlist consent cookie cookies copyright disclaimer disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice pagination pager paywall popup promo promoted promotion related recommended reply replies respond share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar tracking widget widgets".split()
+    "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice pagination pager paywall popup promo related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
-_ATTR = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))", re.S)
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
-_NAME = re.compile(r"[a-z0-9]+")
+PARTS = NAMES - frozenset("form header notice related share sharing social login".split())
+CONTAINERS = frozenset("div section ul ol dl table center details figure".split())
+_TURN = re.compile(r"=\s*+[\"']|>")
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+_ATTR = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s\"']*+)))?")
+_HIDDEN = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", re.I)
+_PART = re.compile(r"[a-z0-9]++")
 
 
 class Node:
-    __slots__ = ("chars", "children", "density", "dropped", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
+    __slots__ = ("boilerplate", "chars", "children", "density", "dropped", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
 
-    def __init__(self, tag: str, parent: Node | None = None, dropped: bool = False):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None = None, boilerplate: bool = False):
+        self.tag, self.parent, self.boilerplate = tag, parent, boilerplate
+        self.dropped = False
         self.children: list[Node | str] = []
-        self.chars = self.tags = self.link_chars = self.link_tags = 0
-        self.density = self.sum = 0.0
 
 
-def _is_boilerplate(tag: str, attributes: str) -> bool:
-    if tag in DROPPED:
+def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+    if tag in DROPPED or (tag == "header" and not in_article):
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
-    found = {k.lower(): unescape(a or b or c) for k, a, b, c in _ATTR.findall(attributes)}
-    if found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")):
+    found: dict[str, str] = {}
+    for m in _ATTR.finditer(attributes):
+        found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
+    if "hidden" in found or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")):
         return True
-    if re.search(r"(?:^|\s)hidden(?:\s|=|$)", attributes):
-        return True
-    names = f"{found.get('class', '')} {found.get('id', '')}"
-    return any(not NAMES.isdisjoint(_NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", x).lower())) for x in names.split())
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        if name.lower() in NAMES:
+            return True
+        if tag in CONTAINERS and not PARTS.isdisjoint(_PART.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())):
+            return True
+    return False
+
+
+def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
+    """The place of the > that ends a tag, -1 if none does. A quote that is never closed is a character like any other."""
+    while (m := _TURN.search(html, at)) is not None:
+        if m[0] == ">":
+            return m.start()
+        quote, at = m[0][-1], m.end()
+        if at <= last[quote]:
+            at = html.index(quote, at) + 1
+    return -1
 
 
 def parse(html: str) -> Node:
-    """The body as a tree. Misnested and unclosed tags are closed where the next block or end tag requires it."""
-    root = node = Node("body")
-    depth: dict[str, int] = {}  # open elements by name
+    """The body as a tree. Misnested and unclosed tags are closed where the next block or end tag requires it.
+
+    A < that begins no tag is text, and so is all from a tag that is never ended. Every character is looked at a bounded
+    number of times: the open elements are a stack, with the places of each name in it.
+    """
+    root = Node("body")
+    stack, places = [root], {}
+    last = {q: html.rfind(q) for q in "\"'"}
 
-    def close(tag: str, stop: frozenset[str] = frozenset()) -> None:
+    def close(tag: str, stops: frozenset[str] = frozenset()) -> None:
         """Close the nearest open tag and what is open inside it, unless a stop comes first."""
-        nonlocal node
-        at = node
-        while at.parent is not None and at.tag != tag:
-            if at.tag in stop:
-                return
-            at = at.parent
-        if at.parent is None:
+        if not places.get(tag):
             return
-        while True:
-            depth[node.tag] -= 1
-            ended, node = node, node.parent
-            if ended is at:
-                return
-
-    at, end = 0, len(html)
-    while at < end:
-        m = _TAG.search(html, at)
+        at = places[tag][-1]
+        if any(places[s][-1] > at for s in stops if s != tag and places.get(s)):
+            return
+        while len(stack) > at:
+            places[stack.pop().tag].pop()
+
+    def add(text: str) -> None:
+        if text:
+            stack[-1].children.append(unescape(text))
+
+    at, end, text_from = 0, len(html), 0
+    while (lt := html.find("<", at)) >= 0:
+        after = html[lt + 1 : lt + 2]
+        if after in ("!", "?"):
+            add(html[text_from:lt])
+            over = html.find("-->", lt + 4) if html.startswith("<!--", lt) else html.find(">", lt)
+            at = text_from = end if over < 0 else over + (3 if html.startswith("<!--", lt) else 1)
+            continue
+        ending = after == "/"
+        m = _NAME.match(html, lt + 1 + ending)
         if m is None:
-            node.children.append(html[at:])
-            break
-        if m.start() > at:
-            node.children.append(html[at : m.start()])
-        at = m.end()
-        if not m[2]:
+            at = lt + 1
             continue
-        tag = m[2].lower()
+        gt = _tag_end(html, m.end(), last)
+        if gt < 0:
+            break
+        add(html[text_from:lt])
+        tag, attributes = m[0].lower(), html[m.end() : gt]
+        at = text_from = gt + 1
+        if not ending and tag not in IN_HEAD:
+            close("head")
         if tag in ("html", "body"):
             continue
-        if m[1]:
-            if tag == "br":
-                node.children.append(" ")
-            elif depth.get(tag):
-                close(tag)
+        if tag in ("br", "wbr"):
+            stack[-1].children.append(" " if tag == "br" else "")
+            continue
+        if ending:
+            close(tag)
             continue
         if tag in RAW:
             over = re.compile(rf"</{tag}[\s/>]", re.I).search(html, at)
-            at = over.start() if over else end
-            continue
-        if tag in ("br", "wbr"):
-            node.children.append(" " if tag == "br" else "")
+            at = text_from = over.start() if over else end
             continue
-        if tag in CLOSES_P and depth.get("p"):
+        if tag in CLOSES_P:
             close("p", frozenset(("table", "td", "th", "button", "object")))
-        if tag in ENDS:
-            for other in ENDS[tag]:
-                if depth.get(other):
-                    close(other, SCOPE - {other, "div"} if tag in ("li", "dt", "dd", "option") else frozenset(("table",)))
-        child = Node(tag, node, _is_boilerplate(tag, m[3]))
-        node.children.append(child)
-        if tag not in VOID and not (m[3].endswith("/") and tag in ("svg", "path")):
-            node = child
-            depth[tag] = depth.get(tag, 0) + 1
+        for other in ENDS.get(tag, ()):
+            close(other, SCOPE - {other, "div"} if tag in ("li", "dt", "dd", "option") else frozenset(("table",)))
+        node = Node(tag, stack[-1], _is_boilerplate(tag, attributes, bool(places.get("article") or places.get("main"))))
+        stack[-1].children.append(node)
+        if tag not in VOID and not (attributes.endswith("/") and tag in ("svg", "path")):
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(node)
+    add(html[text_from:])
     return root
 
 
 def _walk(root: Node) -> list[Node]:
-    """Kept nodes, parents first, without recursion: pages can nest deeply."""
+    """Nodes that aren't dropped, parents first, without recursion: pages can nest deeply."""
     out, left = [], [root]
     while left:
         node = left.pop()
@@ -137,7 +165,10 @@ def _walk(root: Node) -> list[Node]:
 
 
 def _measure(nodes: list[Node]) -> None:
+    """Density and sum of every node; the first is the whole."""
     for n in reversed(nodes):
+        n.chars = n.tags = n.link_chars = n.link_tags = 0
+        n.density = 0.0
         for c in n.children:
             if isinstance(c, str):
                 n.chars += len("".join(c.split()))
@@ -148,33 +179,56 @@ def _measure(nodes: list[Node]) -> None:
                 n.link_tags += c.link_tags
         if n.tag == "a":
             n.link_chars, n.link_tags = n.chars, n.tags + 1
-    body = nodes[0]
+    whole = nodes[0]
     for n in nodes:
-        if not n.chars:
-            continue
-        tags, links, free = max(n.tags, 1), max(n.link_chars, 1), max(n.chars - n.link_chars, 1)
-        base = math.log(n.chars / free * n.link_chars + body.link_chars / max(body.chars, 1) * n.chars + math.e)
-        n.density = n.chars / tags * max(math.log(n.chars / links * tags / max(n.link_tags, 1)) / math.log(base) if base > 1.0001 else math.log(n.chars * tags + math.e), 0.0)
+        if n.chars:
+            tags, links, free = max(n.tags, 1), max(n.link_chars, 1), max(n.chars - n.link_chars, 1)
+            base = math.log(n.chars / free * n.link_chars + whole.link_chars / max(whole.chars, 1) * n.chars + math.e)
+            n.density = n.chars / tags * max(math.log(n.chars / links * tags / max(n.link_tags, 1)) / math.log(base) if base > 1.0001 else math.log(n.chars * tags + math.e), 0.0)
     for n in nodes:
         n.sum = sum(c.density for c in n.children if isinstance(c, Node) and not c.dropped)
 
 
-def main_node(root: Node) -> Node | None:
-    """The subtree that holds the main text; None if nothing is left."""
+def densest_subtree(root: Node) -> Node | None:
+    """The subtree of the largest density sum at or above the threshold; None if there is no text."""
     nodes = _walk(root)
     _measure(nodes)
     if not root.chars:
         return None
     densest = max(nodes, key=lambda n: n.density)
     threshold, at = densest.density, densest
+    while at is not root:
+        at = at.parent
+        threshold = min(threshold, at.density)
+    return max((n for n in nodes if n.density >= threshold), key=lambda n: (n.sum, n.chars))
+
+
+def main_node(root: Node) -> Node | None:
+    """The subtree that holds the main text, with what is boilerplate in it dropped; None if nothing is left."""
+    best = densest_subtree(root)
+    if best is None:
+        return None
+    at, inside = best, False
     while at is not None:
-        threshold, at = min(threshold, at.density), at.parent
-    best = max((n for n in nodes if n.density >= threshold), key=lambda n: (n.sum, n.chars))
-    widest, at = best, best
+        inside, at = inside or at.boilerplate, at.parent
+    top = root if inside else best
+    found = [n for n in _walk(top) if n.boilerplate]
+    for n in found:
+        n.dropped = True
+    if found:
+        best = densest_subtree(top)
+    if best is None and top is not root:  # nothing but boilerplate
+        for n in _walk(root):
+            n.dropped = n.boilerplate
+        best = densest_subtree(root)
+    widest = at = best
     while at is not None:
         if at.tag in ("article", "main"):
             widest = at
         at = at.parent
+    if widest is not best:
+        for n in _walk(widest):
+            n.dropped = n.boilerplate
     return widest
 
 
@@ -184,7 +238,7 @@ def blocks(node: Node) -> list[str]:
     run: list[str] = []
 
     def flush() -> None:
-        if text := " ".join(unescape("".join(run)).split()):
+        if text := " ".join("".join(run).split()):
             out.append(text)
         run.clear()
 

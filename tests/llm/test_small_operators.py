@@ -1,7 +1,9 @@
 """Operators on small tables: nulls, blanks, ties, repeated rows, empty tables, clashing names, and brute force."""
 
 import hashlib
+import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -188,11 +190,83 @@ def test_language_accuracy_and_undetermined(spark, empty):
     ("<body><script>if (a<b) '</p>'</script><style>p{}</style><div id=main-text><h1>H</h1><p>A long paragraph of text, quite long.</p><p>And a second one.</p></div><div class='sidebar'><a href=1>l</a><a href=2>m</a></div><section id='comments'><p>Reader says hello and a lot more words than the text has, really a lot of words.</p></section></body>", "H\n\nA long paragraph of text, quite long.\n\nAnd a second one."),
     ("<div role=navigation>x</div><div hidden>y</div><div style='display: none'>z</div><p>kept", "kept"),
     ("<!-- c --><header>h</header><main><p>m</p><form><input><button>go</button></form></main>", "m"),
+    ('<article><p title="the hidden cost of x">a</p><h2 class="section-header">b</h2><p class="form-factor">c</p><p hidden>no</p><p class="x ad">no</p></article>', "a\n\nb\n\nc"),
+    ("<header><h1>Site</h1></header><article><header><h1>Title</h1></header><p>text</p><div class='post-comments'>no</div></article>", "Title\n\ntext"),
+    ("<html><head><title>t</title><meta charset=utf-8><p>no body tag</p>", "no body tag"),
+    ("<p>&am<b>p;</b> it's <a href='x'>1 < 2</a> <p title=it's>b", "&amp; it's 1 < 2\n\nb"),
+    ("a <b and no end", "a <b and no end"),
+    ("<div class=a><div class=sidebar>one two three</div></div><div>kept</div>", "kept"),
 ])
 def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize("part", ["<a ", "<a '", "<a b='", '<p x="', "<", "</", "<!", "<!--", "<p>", "<div>", "<i>", "<table><td><i>", "<li>", "<p><table><td><i><div>", "<p aaaaaaaa aa", "<a = = =", "<script>", "&amp;", "</p>"])
+def test_broken_pages_take_time_in_proportion(part):
+    """The bound is about ten times what a slow machine needs for a megabyte; a square of it would take hours."""
+    html = part * (500_000 // len(part))
+    began = time.process_time()
+    html_text.main_text(html)
+    html_text.main_text(html + ">")
+    assert time.process_time() - began < 40
+
+
+def plain_densities(node, whole=None):
+    """(characters, tags, characters of links, tags of links, density, sum) by the formulas, from the leaves up, by recursion."""
+    kids = [(c, plain_densities(c, whole)) for c in node.children if isinstance(c, html_text.Node)]
+    text = "".join(c for c in node.children if isinstance(c, str))
+    chars = len("".join(text.split())) + sum(k[0] for _, k in kids)
+    tags = len(kids) + sum(k[1] for _, k in kids)
+    links, link_tags = (chars, tags + 1) if node.tag == "a" else (sum(k[2] for _, k in kids), sum(k[3] for _, k in kids))
+    if whole is None:
+        return chars, tags, links, link_tags, 0, 0
+    c, t, lc, lt = chars, max(tags, 1), max(links, 1), max(link_tags, 1)
+    base = math.log(c / max(c - links, 1) * links + whole[2] / max(whole[0], 1) * c + math.e)
+    density = 0.0
+    if c:
+        factor = math.log(c / lc * t / lt) / math.log(base) if base > 1.0001 else math.log(c * t + math.e)
+        density = c / t * max(factor, 0.0)
+    return chars, tags, links, link_tags, density, sum(k[4] for _, k in kids)
+
+
+def test_choice_is_the_largest_density_sum_over_the_threshold():
+    rng = random.Random(21)
+
+    def page(deep):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            tag = rng.choice(["div", "p", "a", "section", "b"])
+            inner = page(deep - 1) if deep and rng.random() < 0.6 else "word " * rng.randrange(0, 12)
+            parts.append(f"<{tag}>{inner}</{tag}>" + "x" * rng.randrange(3))
+        return "".join(parts)
+
+    for _ in range(150):
+        root = html_text.parse(page(3))
+        whole = plain_densities(root)
+        left, all_nodes = [root], []
+        while left:
+            n = left.pop()
+            all_nodes.append((n, plain_densities(n, whole)))
+            left += [c for c in n.children if isinstance(c, html_text.Node)]
+        best = html_text.densest_subtree(root)
+        if not whole[0]:
+            assert best is None
+            continue
+        values = {id(n): v for n, v in all_nodes}
+        densest = max((n for n, _ in all_nodes), key=lambda n: (values[id(n)][4]))
+        top = max(v[4] for _, v in all_nodes)
+        thresholds = set()
+        for n, v in all_nodes:
+            if v[4] == top:
+                path_min, at = v[4], n
+                while at is not root:
+                    at = at.parent
+                    path_min = min(path_min, values[id(at)][4])
+                thresholds.add(path_min)
+        assert densest is not None
+        assert any((values[id(best)][5], values[id(best)][0]) == max((v[5], v[0]) for _, v in all_nodes if v[4] >= t) for t in thresholds)
+
+
 def test_extract_table(spark):
     pages = spark.createDataFrame([(1, "u", None), (2, None, "<p>é x</p>"), (2, None, "<p>é x</p>"), (3, "d", "<div>" * 3000 + "deep")], "page_id long, text string, html string")
     got = sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(pages).collect())
