@@ -9,9 +9,10 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-#: Rows up to which a counted table is broadcast. Rows of these tables are narrow (under 200 bytes).
-BROADCAST_ROWS = 50_000
+#: A table is broadcast up to so many rows and, if some of its columns have no fixed width, so many bytes of JSON.
+BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 16 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,18 +22,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage of df in the cluster's shared folder (``spark.checkpoint.dir``).
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is set only where the session names none and all tasks run in this process, as in tests.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="quillstone-checkpoint-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quillstone-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if a count shows it has few rows; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """df with a broadcast hint if a count shows it has few rows and bytes; else as it is, for a shuffled join."""
+    wide = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType, ArrayType, MapType, StructType))]
+    size = F.sum(F.length(F.to_json(F.struct(*wide)))) if wide else F.lit(0)
+    found = df.agg(F.count(F.lit(1)).alias("n"), size.alias("bytes")).first()
+    return F.broadcast(df) if found["n"] <= rows and (found["bytes"] or 0) <= most_bytes else df
 
 
 def ship(spark: SparkSession) -> None:

@@ -1,11 +1,12 @@
 """Benchmark decontamination with DataFrame functions only.
 
-For every benchmark item, the item-sized windows of documents that could reach the similarity are
-found through the shingles they share with it: a window that is similar enough holds a known number of
-the item's shingles, so windows with fewer can't match and none with enough is missed. The windows'
-SimHash fingerprints are cut into blocks; an item's blocks are looked up with all values near them, so
-every window within ``radius`` bits of the item meets it in some block. What meets is verified by the
-exact similarity of the shingle multisets.
+Item-sized windows of documents get SimHash fingerprints, which are cut into blocks; the blocks of the
+items of that size are looked up with all values near them, so a window meets every item within ``radius``
+bits in some block. What meets is verified by the exact similarity of the shingle multisets.
+
+Only windows that could match some item are fingerprinted. A window that is similar enough to an item
+holds a known number of its shingles, so the others can't match. This says where to look; which item a
+window matches is found by the blocks alone.
 """
 
 from __future__ import annotations
@@ -16,8 +17,6 @@ from pyspark.sql import functions as F
 from quillstone.llm.common import broadcast_if_small, checkpointed, text_or_empty
 
 SHINGLE, SIMILARITY = 5, 0.8
-#: Up to so many key words travel in the plan; with more, every document is looked at.
-KEY_WORDS = 5000
 #: At a similarity of 0.8, 64 fingerprint bits differ in 10 on average, with a deviation of 3.
 RADIUS, BLOCK_BITS = 23, 8
 
@@ -32,10 +31,21 @@ def shingle_strings(words: Column, size: Column) -> Column:
     return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.array_join(F.slice(words, i + 1, size), " "))).otherwise(F.array().cast("array<string>"))
 
 
-def shingle_hashes(words: Column, size: Column | int) -> Column:
-    """64-bit hashes of the same shingles, in order."""
+def shingle_hashes(words: Column, size: int) -> Column:
+    """64-bit hashes of the same shingles, in order, from those of their words."""
+    own = F.transform(words, lambda w: F.xxhash64(w))
     n = F.size(words) - size
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(words, i + 1, size)))).otherwise(F.array().cast("array<bigint>"))
+    of = lambda w: F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(size)]))
+    # The word hashes are the one element of an outer array, so that they are computed once.
+    return F.when(n >= 0, F.flatten(F.transform(F.array(own), of))).otherwise(F.array().cast("array<bigint>"))
+
+
+def sized_hashes(words: Column, k: Column, sizes: list[int]) -> Column:
+    """shingle_hashes of a size that is one of few."""
+    out = F.array().cast("array<bigint>")
+    for size in sizes:
+        out = F.when(k == size, shingle_hashes(words, size)).otherwise(out)
+    return out
 
 
 def simhash(hashes: Column) -> Column:
@@ -66,18 +76,6 @@ def _common(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_distinct(a), F.lit(0), lambda acc, s: acc + F.least(F.size(F.filter(a, lambda x: x == s)), F.size(F.filter(b, lambda x: x == s))))
 
 
-def key_words(items: DataFrame, similarity: float) -> DataFrame:
-    """Words (w) of which every match of an item holds one.
-
-    A match lacks n (1 - similarity) of an item's n shingles at most. Of one shingle more, at least one is in
-    it, with its longest word; those with the longest such words, which are rare, are taken.
-    """
-    longest = lambda s: F.array_max(F.transform(F.split(s, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    ranked = F.sort_array(F.transform("item_shingles", longest), asc=False)
-    enough = F.floor(F.lit(1 - similarity) * F.col("n_item") + F.lit(1e-9)).cast("int") + 1
-    return items.select(F.explode(F.transform(F.slice(ranked, 1, enough), lambda x: x["w"])).alias("w")).distinct()
-
-
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """One row per document and item that match: doc_id, item_id, similarity, start_word, n_words, hamming.
 
@@ -88,33 +86,23 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     nor do documents that have fewer words than an item's shingles. Null texts count as empty. Rows of
     one id and equal text are one document; repeated items are one item. Ids may be null.
     """
-    items = (
+    every = (
         benchmark.select(F.col(item_col).alias("item_id"), words_of(text_or_empty(item_text_col)).alias("words")).filter(F.size("words") > 0)
         .dropDuplicates(["item_id", "words"])
         .withColumns({"length": F.size("words"), "k": F.least(F.lit(shingle), F.size("words"))})
-        .withColumn("item_shingles", shingle_strings(F.col("words"), F.col("k")))
-        .withColumn("item_hashes", shingle_hashes(F.col("words"), F.col("k")))
-        .withColumns({"item_fp": simhash(F.col("item_hashes")), "item": F.xxhash64(F.col("item_id"), F.lit(1), "words"), "n_item": F.size("item_shingles")})
     )
-    items = checkpointed(items.select("item", "item_id", "length", "k", "item_shingles", "item_hashes", "item_fp", "n_item"))
-    sizes = sorted(r["k"] for r in items.select("k").distinct().collect())  # at most `shingle` values
+    sizes = sorted(r["k"] for r in every.select("k").distinct().collect())  # at most `shingle` values
+    hashed_items = every.withColumns({"item_shingles": shingle_strings(F.col("words"), F.col("k")), "item_hashes": sized_hashes(F.col("words"), F.col("k"), sizes)})
+    items = checkpointed(hashed_items.select(
+        F.xxhash64(F.col("item_id"), F.lit(1), "words").alias("item"), "item_id", "length", "k", "item_shingles", "item_hashes", simhash(F.col("item_hashes")).alias("item_fp"), F.size("item_shingles").alias("n_item")
+    ))
     postings = items.select("item", "length", "k", "n_item", F.explode(F.array_distinct("item_hashes")).alias("h"))
 
     raw = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("th"), text_or_empty(text_col).alias("text"))
     words = words_of(F.col("text"))
-    texts = raw.select("doc_id", "th", words.alias("words"), F.size(words).alias("n_words"))
-    keys = checkpointed(key_words(items, similarity))
-    if keys.count() <= KEY_WORDS:
-        texts = texts.filter(F.arrays_overlap("words", F.array(*[F.lit(r["w"]) for r in keys.collect()]).cast("array<string>")))
-    hashed = None
-    for k in sizes:
-        part = texts.filter(F.col("n_words") >= k).select(
-            "doc_id", "th", F.lit(k).alias("k"), "n_words",
-            F.posexplode(shingle_hashes(F.col("words"), k)).alias("pos", "h"),
-        )
-        hashed = part if hashed is None else hashed.unionByName(part)
-    if hashed is None:  # no item has words
-        hashed = texts.select("doc_id", "th", F.lit(0).alias("k"), F.lit(0).alias("n_words"), F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h")).limit(0)
+    of_size = lambda k: F.transform(shingle_hashes(F.col("words"), k), lambda h, pos: F.struct(F.lit(k).alias("k"), pos.alias("pos"), h.alias("h")))
+    none = F.array().cast("array<struct<k:int,pos:int,h:bigint>>")
+    hashed = raw.select("doc_id", "th", words.alias("words")).select("doc_id", "th", F.size("words").alias("n_words"), F.explode(F.concat(none, *[of_size(k) for k in sizes])).alias("s")).select("doc_id", "th", "n_words", "s.*")
 
     places = (
         hashed.join(broadcast_if_small(postings), ["k", "h"])
@@ -130,34 +118,32 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
         F.filter(F.sequence(F.lit(0), F.size("at") - F.col("need")), lambda i: far(i) - F.get("at", i) < F.col("n_window")),
         lambda i: F.sequence(F.greatest(F.lit(0), far(i) - F.col("n_window") + 1), F.least(F.get("at", i), F.col("n_words") - F.col("k") + 1 - F.col("n_window"))),
     )
-    starts = places.select("doc_id", "th", "item", F.explode(F.array_distinct(F.flatten(spans))).alias("start"))
-    by_doc = checkpointed(starts.groupBy("doc_id", "th", "item").agg(F.collect_list("start").alias("starts")))
-    hit = by_doc.select(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th"), "item", "starts").join(broadcast_if_small(items.drop("item_hashes")), "item")
-    found = raw.join(broadcast_if_small(hit), raw["doc_id"].eqNullSafe(F.col("hit_id")) & (raw["th"] == F.col("hit_th"))).select("doc_id", "th", "item", "length", "starts", words_of(F.col("text")).alias("words"))
-    windows = checkpointed(
-        found.select("doc_id", "th", "item", "length", "words", F.explode("starts").alias("start"))
-        .select("doc_id", "th", "item", "start", F.slice("words", F.col("start") + 1, F.col("length")).alias("window"))
-    )
-    # Equal windows of an item are judged once, however many documents hold them.
-    hashed_windows = checkpointed(
-        windows.select("item", "window").distinct().join(broadcast_if_small(items.drop("item_hashes")), "item")
-        .withColumns({"shingles": shingle_strings(F.col("window"), F.col("k")), "hashes": shingle_hashes(F.col("window"), F.col("k"))})
-    )
-    prints = checkpointed(hashed_windows.withColumn("fp", simhash(F.col("hashes"))).select("item", "item_id", "window", "shingles", "fp", "item_fp", "item_shingles", "n_item"))
-
-    near = items.select("item", F.explode(_blocks(F.col("item_fp"))).alias("b")).select(
-        "item", F.col("b.block").alias("block"), F.explode(F.transform(F.array(*[F.lit(m) for m in _masks(radius)]), lambda m: F.col("b.bits").bitwiseXOR(m))).alias("bits")
+    starts = places.select("doc_id", "th", "length", F.explode(F.array_distinct(F.flatten(spans))).alias("start"))
+    by_doc = checkpointed(starts.groupBy("doc_id", "th").agg(F.collect_set(F.struct("length", "start")).alias("starts")))  # of one document
+    hit = by_doc.select(F.col("doc_id").alias("hit_id"), F.col("th").alias("hit_th"), "starts")
+    found = raw.join(broadcast_if_small(hit), raw["doc_id"].eqNullSafe(F.col("hit_id")) & (raw["th"] == F.col("hit_th"))).select("doc_id", "th", "starts", words_of(F.col("text")).alias("words"))
+    cut = F.transform("starts", lambda s: F.struct(s["length"].alias("length"), s["start"].alias("start"), F.slice("words", s["start"] + 1, s["length"]).alias("window")))
+    windows = checkpointed(found.select("doc_id", "th", F.inline(cut)))
+    # Equal windows are judged once, however many documents hold them.
+    k = F.least(F.lit(shingle), F.col("length"))
+    hashed_windows = windows.select("length", "window").distinct().withColumn("hashes", sized_hashes(F.col("window"), k, sizes))
+    prints = checkpointed(hashed_windows.select("length", "window", simhash(F.col("hashes")).alias("fp")))
+
+    near = items.select("item", "length", "item_fp", F.explode(_blocks(F.col("item_fp"))).alias("b")).select(
+        "item", "length", "item_fp", F.col("b.block").alias("block"), F.explode(F.transform(F.array(*[F.lit(m) for m in _masks(radius)]), lambda m: F.col("b.bits").bitwiseXOR(m))).alias("bits")
     )
     met = (
-        prints.select("item", "window", "fp", "item_fp", F.explode(_blocks(F.col("fp"))).alias("b")).select("item", "window", "fp", "item_fp", F.col("b.block").alias("block"), F.col("b.bits").alias("bits"))
-        .join(broadcast_if_small(near), ["item", "block", "bits"])
+        prints.select("length", "window", "fp", F.explode(_blocks(F.col("fp"))).alias("b")).select("length", "window", "fp", F.col("b.block").alias("block"), F.col("b.bits").alias("bits"))
+        .join(broadcast_if_small(near), ["length", "block", "bits"])
         .withColumn("hamming", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).filter(F.col("hamming") <= radius)
-        .select("item", "window", "hamming").distinct()  # a window can meet its item in several blocks
+        .select("item", "window", "hamming").distinct()  # a window can meet an item in several blocks
     )
-    similar = prints.join(met, ["item", "window"]).withColumn("common", _common(F.col("item_shingles"), F.col("shingles"))).select(
-        "item", "item_id", "window", "hamming", F.size("window").alias("n_words"), (F.col("common") / (F.col("n_item") + F.size("shingles") - F.col("common"))).alias("similarity")
+    similar = (
+        met.join(broadcast_if_small(items.select("item", "item_id", "k", "item_shingles", "n_item", "length")), "item").withColumn("shingles", shingle_strings(F.col("window"), F.col("k")))
+        .withColumn("common", _common(F.col("item_shingles"), F.col("shingles")))
+        .select("length", "item_id", "window", "hamming", F.size("window").alias("n_words"), (F.col("common") / (F.col("n_item") + F.size("shingles") - F.col("common"))).alias("similarity"))
     )
-    verified = windows.join(checkpointed(similar.filter(F.col("similarity") >= similarity)), ["item", "window"])
+    verified = windows.join(checkpointed(similar.filter(F.col("similarity") >= similarity)), ["length", "window"])
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words", "hamming"))
     return verified.groupBy("doc_id", "th", "item_id").agg(best.alias("best")).select(
         "doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).cast("long").alias("start_word"), F.col("best.n_words").cast("long").alias("n_words"), F.col("best.hamming").cast("long").alias("hamming"),

@@ -386,6 +386,24 @@ def test_decontamination(spark, empty):
     assert {r["doc_id"] for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def test_decontamination_finds_items_by_blocks_alone(spark, monkeypatch):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    clashing = spark.createDataFrame([(1, text, 7, "a"), (2, "x " + text, 8, None), (None, text, 9, "")], "doc_id long, text string, item long, fp string").withColumns({"length": F.lit("l"), "th": F.lit(1), "k": F.lit(2)})
+    bench = spark.createDataFrame([(5, text, "q"), (5, text, "q"), (None, text, "r")], "item_id long, text string, doc_id string")
+    got = Counter((r["doc_id"], r["item_id"]) for r in decontaminate.benchmark_matches(clashing, bench).collect())
+    assert got == Counter([(d, i) for d in (1, 2, None) for i in (5, None)])
+    assert decontaminate.decontaminate(clashing, bench).columns == clashing.columns
+    monkeypatch.setattr(decontaminate, "_masks", lambda radius: [-1])
+    assert decontaminate.benchmark_matches(clashing, bench).count() == 0
+
+
+def test_decontamination_radius_loses_nothing_that_is_similar_enough(spark):
+    """Against the exact similarity alone: within 64 bits, everything meets."""
+    docs, bench = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
+    get = lambda radius: sorted(decontaminate.benchmark_matches(docs, bench, radius=radius).collect())
+    assert get(decontaminate.RADIUS) == get(64) != []
+
+
 # Toxicity
 
 
