@@ -26,10 +26,11 @@ FIT_DOCS = 600
 ROUNDS, SMOOTHING = 2, 0.05
 #: Probability of a character that is no piece, alike in all languages.
 UNKNOWN = 1e-7
-#: Longer words are scored in runs of this many characters; words held by a worker.
-RUN, KEPT_WORDS = 48, 200_000
-#: Keeps products of small probabilities in range: each character counts this many times more.
-_LIFT = 32.0
+#: Words held by a worker.
+KEPT_WORDS = 200_000
+#: Keeps products of small probabilities in range: each character counts this many times more, and sums are brought
+#: back to 1 every STEP characters. Characters of the words looked at together, and starts of very long ones.
+_LIFT, STEP, CELLS, COLUMNS = 32.0, 8, 1 << 18, 1 << 14
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -38,6 +39,7 @@ class LanguageModel:
     langs: list[str]
     probs: np.ndarray  # pieces x languages
     prior: np.ndarray  # log, by language
+    letters: dict[str, float]  # log probabilities of single characters, in all languages together
 
 
 def words_of(text: str) -> list[str]:
@@ -45,76 +47,97 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def _runs(word: str) -> list[str]:
-    """The word with its start mark, cut to runs if it is very long."""
-    marked = SPACE + word
-    return [marked[i : i + RUN] for i in range(0, len(marked), RUN)]
+def _batches(words: list[str]) -> Iterator[list[int]]:
+    """Places of words of like lengths, CELLS characters or one word at a time."""
+    some: list[int] = []
+    for i in sorted(range(len(words)), key=lambda i: len(words[i])):
+        if some and (len(some) + 1) * len(words[i]) > CELLS:
+            yield some
+            some = []
+        some.append(i)
+    if some:
+        yield some
 
 
-def _lattice(index: SubstringIndex, probs: np.ndarray, words: list[str]) -> tuple[list[np.ndarray], list[tuple[np.ndarray, ...]], np.ndarray]:
-    """Per substring length: piece ids (words x starts), and the words, starts and lifted probabilities of what is a piece or an unknown character; and the words' lengths."""
-    codes = code_points(words, max(map(len, words)))
-    ids = index.by_length(codes)
+Arcs = list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _lattice(index: SubstringIndex, probs: np.ndarray, codes: np.ndarray) -> Arcs:
+    """Per substring length: the words, starts, piece ids and lifted probabilities of what is a piece or an unknown character (-1)."""
     arcs = []
-    for n, i in enumerate(ids, 1):
-        rows, starts = np.nonzero(((i >= 0) | (codes != 0)).T if n == 1 else (i >= 0).T)[::-1]
-        pieces = i[rows, starts]
-        arcs.append((rows, starts, np.where((pieces < 0)[:, None], UNKNOWN, probs[pieces]) * _LIFT**n))
-    return ids, arcs, np.array([len(w) for w in words])
-
-
-def _by_start(arcs: list[tuple[np.ndarray, ...]], width: int) -> list[list[tuple[int, np.ndarray, np.ndarray]]]:
-    """Per start: (length, words, probabilities) of the arcs from there; arcs come sorted by start."""
-    out: list[list[tuple[int, np.ndarray, np.ndarray]]] = [[] for _ in range(width)]
-    for size, (rows, starts, weights) in enumerate(arcs, 1):
-        edges = np.searchsorted(starts, np.arange(width + 1))
-        for k in np.flatnonzero(np.diff(edges)):
-            out[k].append((size, rows[edges[k] : edges[k + 1]], weights[edges[k] : edges[k + 1]]))
-    return out
+    for n, ids in enumerate(index.by_length(codes), 1):
+        starts, rows = np.nonzero((((ids >= 0) | (codes != 0)) if n == 1 else (ids >= 0)).T)
+        pieces = ids[rows, starts]
+        arcs.append((rows, starts, pieces, np.where((pieces < 0)[:, None], UNKNOWN, probs[pieces]) * _LIFT**n))
+    return arcs
 
 
-def _forward(by_start: list, n: int, langs: int) -> np.ndarray:
-    """Sums over the segmentations of every prefix: (width + 1) x words x languages."""
-    alpha = np.zeros((len(by_start) + 1, n, langs))
-    alpha[0] = 1.0
-    for start, arcs in enumerate(by_start):
-        for size, rows, weights in arcs:
-            alpha[start + size, rows] += alpha[start, rows] * weights
-    return alpha
+def _forward(arcs: Arcs, begin: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over the segmentations of every prefix, from those of the first ones: (width + len(arcs) + 1) x words x languages.
+
+    A sum at t is in units of the exponential of the second result at min(t, width - 1) // STEP. Arcs come sorted by start.
+    """
+    alpha = np.zeros((width + len(arcs) + 1, *begin.shape[1:]))
+    alpha[: len(begin)] = begin
+    logs = np.zeros((width // STEP + 1, *begin.shape[1:]))
+    edges = [np.searchsorted(starts, np.arange(width + 1)) for _, starts, _, _ in arcs]
+    counts = np.array([np.diff(e) for e in edges])
+    for start in range(width):
+        if start % STEP == 0 and start:
+            here = alpha[start]
+            unit = np.where(here > 0, here, 1.0)
+            alpha[start : start + len(arcs)] /= unit
+            logs[start // STEP] = logs[start // STEP - 1] + np.log(unit)
+        for k in np.flatnonzero(counts[:, start]):
+            rows, _, _, weights = arcs[k]
+            some = slice(edges[k][start], edges[k][start + 1])
+            alpha[start + k + 1, rows[some]] += alpha[start, rows[some]] * weights[some]
+    return alpha, logs
+
+
+def _one(n: int, langs: int) -> np.ndarray:
+    return np.ones((1, n, langs))
 
 
 def word_log_likelihoods(index: SubstringIndex, probs: np.ndarray, words: list[str]) -> np.ndarray:
-    """words x languages, for words of one RUN at most."""
+    """words x languages: the logarithm of the sum over all segmentations, for words of any length."""
     out = np.empty((len(words), probs.shape[1]))
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for at in range(0, len(order), 4096):
-        some = order[at : at + 4096]
-        _, arcs, lengths = _lattice(index, probs, [words[i] for i in some])
-        alpha = _forward(_by_start(arcs, int(lengths.max())), len(some), probs.shape[1])
-        out[some] = np.log(alpha[lengths, np.arange(len(some))]) - lengths[:, None] * np.log(_LIFT)
+    for some in _batches(words):
+        lengths = np.array([len(words[i]) for i in some])
+        codes = code_points([words[i] for i in some], int(lengths.max()))
+        begin, unit = _one(len(some), probs.shape[1]), np.zeros((len(some), probs.shape[1]))
+        for at in range(0, codes.shape[1], COLUMNS):
+            width = min(COLUMNS, codes.shape[1] - at)
+            arcs = _lattice(index, probs, codes[:, at : at + width + index.longest - 1])
+            alpha, logs = _forward(arcs, begin, width)
+            ends = np.flatnonzero((lengths > at) & (lengths <= at + width))
+            t = lengths[ends] - at
+            out[np.array(some)[ends]] = np.log(alpha[t, ends]) + logs[np.minimum(t, width - 1) // STEP, ends] + unit[ends] - lengths[ends, None] * np.log(_LIFT)
+            begin, unit = alpha[width:], unit + logs[(width - 1) // STEP]
     return out
 
 
 def expected_pieces(index: SubstringIndex, probs: np.ndarray, words: list[str], counts: np.ndarray) -> np.ndarray:
     """Expected uses of each piece (of one language: probs is pieces x 1) in words that occur counts times."""
     total = np.zeros(len(probs))
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    for at in range(0, len(order), 4096):
-        some = order[at : at + 4096]
-        ids, arcs, lengths = _lattice(index, probs, [words[i] for i in some])
+    for some in _batches(words):
+        lengths = np.array([len(words[i]) for i in some])
         width = int(lengths.max())
-        by_start = _by_start(arcs, width)
-        alpha = _forward(by_start, len(some), 1)[..., 0]
-        beta = np.zeros((width + 1, len(some)))
-        beta[lengths, np.arange(len(some))] = 1.0
-        for start in range(width - 1, -1, -1):
-            for size, rows, weights in by_start[start]:
-                beta[start, rows] += weights[:, 0] * beta[start + size, rows]
-        scale = counts[some] / beta[0]
-        for size, (i, (rows, starts, weights)) in enumerate(zip(ids, arcs, strict=True), 1):
-            share = alpha[starts, rows] * weights[:, 0] * beta[starts + size, rows] * scale[rows]
-            pieces = i[rows, starts]
-            total += np.bincount(np.where(pieces < 0, len(total), pieces), share, len(total) + 1)[:-1]
+        arcs = _lattice(index, probs, code_points([words[i] for i in some], width))
+        back: Arcs = []  # the same from the words' ends
+        for size, (rows, starts, pieces, weights) in enumerate(arcs, 1):
+            left = lengths[rows] - starts - size
+            order = np.argsort(left, kind="stable")
+            back.append((rows[order], left[order], pieces[order], weights[order]))
+        alpha, alpha_logs = _forward(arcs, _one(len(some), 1), width)
+        beta, beta_logs = _forward(back, _one(len(some), 1), width)
+        unit = lambda logs, t, rows: logs[np.minimum(t, width - 1) // STEP, rows, 0]
+        own = np.arange(len(some))
+        whole = np.log(alpha[lengths, own, 0]) + unit(alpha_logs, lengths, own)
+        for size, (rows, starts, pieces, weights) in enumerate(arcs, 1):
+            left = lengths[rows] - starts - size
+            share = alpha[starts, rows, 0] * weights[:, 0] * beta[left, rows, 0] * np.exp(unit(alpha_logs, starts, rows) + unit(beta_logs, left, rows) - whole[rows])
+            total += np.bincount(np.where(pieces < 0, len(total), pieces), share * counts[some][rows], len(total) + 1)[:-1]
     return total
 
 
@@ -128,31 +151,31 @@ def _index(proto: bytes) -> SubstringIndex:
     return _INDEXES[id(vocab)]
 
 
-def fit_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS, model_path: str | None = None) -> LanguageModel:
+def fit_language_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS, model_path: str | None = None, id_col: str = "doc_id") -> LanguageModel:
     """Learn from the rows of docs that have a language and a text.
 
     The fit reads a bounded sample: about ``fit_docs`` whole texts of each language, picked by a hash of
-    the text, so equal texts are picked alike. Word counts are gathered by Spark and expectation steps
-    run in its tasks; the driver receives one row per language and piece.
+    the id and the text, so copies under other ids are picked each by its own chance. Word counts are gathered by Spark
+    and expectation steps run in its tasks; the driver receives one row per language and piece, and one per character.
     """
     spark = docs.sparkSession
     ship(spark)
     proto_bytes = model_bytes(model_path)
     proto = spark.sparkContext.broadcast(proto_bytes)
     size = vocabulary(proto_bytes).size
-    rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     n_by_lang = {r["lang"]: r["n"] for r in docs.filter(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(n_by_lang)
     if not langs:
-        return LanguageModel([], np.zeros((size, 0)), np.zeros(0))
+        return LanguageModel([], np.zeros((size, 0)), np.zeros(0), {})
     share = F.create_map(*[x for lang in langs for x in (F.lit(lang), F.lit(int(min(1.0, fit_docs / n_by_lang[lang]) * 2**31)))])
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(2**31)) < share[F.col("lang")])
+    picked = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(2**31)) < share[F.col("lang")]).select("lang", "text")
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             by_lang: dict[str, Counter] = {}
             for lang, text in zip(frame["lang"], frame["text"], strict=True):
-                by_lang.setdefault(lang, Counter()).update(r for w in words_of(text) for r in _runs(w))
+                by_lang.setdefault(lang, Counter()).update(SPACE + w for w in words_of(text))
             for lang, c in by_lang.items():
                 yield pd.DataFrame({"lang": lang, "word": list(c), "n": list(c.values())})
 
@@ -176,7 +199,9 @@ def fit_language_model(docs: DataFrame, text_col: str = "text", lang_col: str =
         probs = uses / uses.sum(axis=0)
         sent.unpersist()
     n = np.array([n_by_lang[x] for x in langs], float)
-    return LanguageModel(langs, probs, np.log(n / n.sum()))
+    letters = counted.select(F.explode(F.split("word", "")).alias("c"), "n").groupBy("c").agg(F.sum("n").alias("n")).collect()  # one row a character of Unicode at most
+    seen = sum(r["n"] for r in letters)
+    return LanguageModel(langs, probs, np.log(n / n.sum()), {r["c"]: float(np.log(r["n"] / seen)) for r in letters})
 
 
 class Scorer:
@@ -185,7 +210,7 @@ class Scorer:
     def __init__(self, model: LanguageModel, proto: bytes):
         self.model, self.index = model, _index(proto)
         self.place: dict[str, int] = {}
-        self.table = np.empty((KEPT_WORDS, len(model.langs)))
+        self.table = np.empty((KEPT_WORDS, len(model.langs) + 2))  # by language, by letters, number of characters
 
     def _learn(self, words: set[str]) -> None:
         new = sorted(w for w in words if w not in self.place)
@@ -194,56 +219,61 @@ class Scorer:
             new = sorted(words)
         if len(new) > len(self.table):
             self.table = np.empty((len(new), self.table.shape[1]))
-        for words in ([w for w in new if len(w) < RUN], [w for w in new if len(w) >= RUN]):
-            if words:
-                parts = [_runs(w) for w in words]
-                values = word_log_likelihoods(self.index, self.model.probs, [p for ps in parts for p in ps])
-                if len(values) > len(words):  # a long word's likelihood is the product of its runs'
-                    values = np.add.reduceat(values, np.cumsum([0, *map(len, parts[:-1])]), axis=0)
-                begin = len(self.place)
-                self.table[begin : begin + len(words)] = values
-                self.place.update(zip(words, range(begin, begin + len(words)), strict=True))
-
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
-        langs, scores = [], []
+        if new:
+            begin, least = len(self.place), float(np.log(UNKNOWN))
+            rows = self.table[begin : begin + len(new)]
+            rows[:, :-2] = word_log_likelihoods(self.index, self.model.probs, [SPACE + w for w in new])
+            rows[:, -2] = [sum(self.model.letters.get(c, least) for c in SPACE + w) for w in new]
+            rows[:, -1] = [len(w) + 1 for w in new]
+            self.place.update(zip(new, range(begin, begin + len(new)), strict=True))
+
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
+        langs, scores, evidence = [], [], []
         for at in range(0, len(texts), 256):
             split = [words_of(t) for t in texts[at : at + 256]]
-            self._learn({w for ws in split for w in ws})
+            if self.model.langs:
+                self._learn({w for ws in split for w in ws})
             for ws in split:
                 if not ws or not self.model.langs:
                     langs.append("und")
                     scores.append(0.0)
+                    evidence.append(0.0)
                     continue
-                logs = self.table[[self.place[w] for w in ws]].sum(axis=0) + self.model.prior
+                sums = self.table[[self.place[w] for w in ws]].sum(axis=0)
+                logs = sums[:-2] + self.model.prior
                 shares = np.exp(logs - logs.max())
                 best = int(shares.argmax())
                 langs.append(self.model.langs[best])
                 scores.append(float(shares[best] / shares.sum()))
-        return langs, scores
+                evidence.append(float((sums[best] - sums[-2]) / sums[-1]))
+        return langs, scores, evidence
 
 
 def language_column(model: LanguageModel, spark, text: Column, model_path: str | None = None) -> Column:
-    """struct(lang_pred, score) of a text column; null texts and texts without a letter get ('und', 0)."""
+    """struct(lang_pred, score, evidence) of a text column; null texts and texts without a letter get ('und', 0, 0)."""
     ship(spark)
     sent = spark.sparkContext.broadcast((model, model_bytes(model_path)))
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, evidence double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(*sent.value)
         for texts in batches:
-            langs, scores = scorer.predict(texts.tolist())
-            yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype="object"), "score": pd.Series(scores, dtype="float64")})
+            langs, scores, evidence = scorer.predict(texts.tolist())
+            yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype="object"), "score": pd.Series(scores, dtype="float64"), "evidence": pd.Series(evidence, dtype="float64")})
 
     return predict(F.coalesce(text, F.lit("")))
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", model_path: str | None = None) -> DataFrame:
-    """All columns of docs plus lang_pred and score.
+    """All columns of docs plus lang_pred, score and evidence.
 
     lang_pred is a learned language, the first by name of equal ones, and ``und`` for a null text, one
     without a letter, or a model without languages; score is its posterior probability, 0 for ``und``.
-    Only text_col is read. Columns named lang_pred or score are replaced.
+    evidence tells how much better that language explains the text than letters drawn one by one from all
+    languages do: the difference of log likelihoods by character, below 0 for text of no learned language.
+    Only text_col is read. Columns named lang_pred, score or evidence are replaced. Repeated rows give repeated rows.
     """
-    own = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    new = ("lang_pred", "score", "evidence")
+    own = [c for c in docs.columns if c not in new]
     found = docs.select(*own, language_column(model, docs.sparkSession, text_or_empty(text_col), model_path).alias("__found"))
-    return found.select(*own, F.col("__found.lang_pred").alias("lang_pred"), F.col("__found.score").alias("score"))
+    return found.select(*own, *[F.col(f"__found.{c}").alias(c) for c in new])

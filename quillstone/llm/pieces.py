@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
@@ -92,14 +93,13 @@ class SubstringIndex:
             hit = np.where(self.hashes[i] == want, self.found[i], hit)
         return places[hit >= 0], hit[hit >= 0]
 
-    def by_length(self, codes: np.ndarray) -> list[np.ndarray]:
+    def by_length(self, codes: np.ndarray) -> Iterator[np.ndarray]:
         """Per length from 1: piece ids (or -1) of the substrings starting at each column."""
-        out, h = [], np.zeros(codes.shape, np.uint64)
+        h = np.zeros(codes.shape, np.uint64)
         wide = codes.astype(np.uint64) + np.uint64(1)
         for n in range(1, min(self.longest, codes.shape[1]) + 1):
             h = h[:, : codes.shape[1] - n + 1] * _BASE + wide[:, n - 1 :]
             ids = np.full(h.shape, -1, np.int64)
             places, found = self.look_up(h * _MIX)
             ids.ravel()[places] = found
-            out.append(ids)
-        return out
+            yield ids

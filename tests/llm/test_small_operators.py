@@ -152,14 +152,16 @@ def test_forward_sums_all_segmentations():
     vocab = pieces.vocabulary(pieces.model_bytes())
     index = pieces.SubstringIndex(vocab.ids)
     probs = np.random.default_rng(0).dirichlet(np.ones(vocab.size), 2).T
-    for word in ["▁the", "▁ça", "▁日本x", "▁" + "ab" * 10]:
-        alpha = np.zeros((len(word) + 1, 2))
-        alpha[0] = 1
+    rng = random.Random(31)
+    words = ["▁the", "▁ça", "▁日本x", "▁" + "ab" * 10] + ["▁" + "".join(rng.choices("etaoin日本語", k=n)) for n in (7, 8, 9, 48, 49, 80, 170, 1000, 20_000)]
+    together = language_id.word_log_likelihoods(index, probs, words)
+    for word, found in zip(words, together, strict=True):
+        logs = np.zeros((len(word) + 1, 2))
         for end in range(1, len(word) + 1):
-            for start in range(end):
-                i = vocab.ids.get(word[start:end])
-                alpha[end] += alpha[start] * (probs[i] if i is not None else (language_id.UNKNOWN if end - start == 1 else 0))
-        assert np.allclose(language_id.word_log_likelihoods(index, probs, [word])[0], np.log(alpha[-1]))
+            terms = [(start, vocab.ids.get(word[start:end])) for start in range(max(end - vocab.longest, 0), end)]
+            parts = [logs[start] + np.log(probs[i] if i is not None else language_id.UNKNOWN) for start, i in terms if i is not None or end - start == 1]
+            logs[end] = np.logaddexp.reduce(parts, axis=0)
+        assert np.allclose(language_id.word_log_likelihoods(index, probs, [word])[0], logs[-1], rtol=1e-9) and np.allclose(found, logs[-1], rtol=1e-9)
         # Every segmentation has as many pieces' expected uses as it has pieces; characters add up to the word.
         uses = language_id.expected_pieces(index, probs[:, [0]], [word], np.array([3.0]))
         known = sum(u * len(p) for p, u in ((p, uses[i]) for p, i in vocab.ids.items()) if u)
@@ -172,6 +174,9 @@ def test_language_accuracy_and_undetermined(spark, empty):
     found = language_id.identify_language(docs.filter("doc_id % 2 = 1").withColumnRenamed("source", "score"), model).toPandas()
     assert (found["lang"] == found["lang_pred"]).mean() > 0.97
     odd = spark.createDataFrame([(1, None), (2, "12 ... 3"), (3, ""), (4, "the " * 50), (5, "x" * 100000)], SCHEMA)
+    assert (found["evidence"] > 0).mean() > 0.97
+    strange = spark.createDataFrame([(i, " ".join("".join(random.Random(i * 99 + k).choices("qzxjwkvy", k=6)) for k in range(20)), "en") for i in range(5)], SCHEMA + ", lang string")
+    assert all(r["evidence"] < 0 for r in language_id.identify_language(strange, model).collect())
     got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language_id.identify_language(odd, model).collect()}
     assert got[1] == got[2] == got[3] == ("und", 0.0) and got[4][0] == "en" and 0 <= got[5][1] <= 1
     none = language_id.fit_language_model(spark.createDataFrame([], SCHEMA + ", lang string"))
