@@ -210,7 +210,7 @@ class Scorer:
     def __init__(self, model: LanguageModel, proto: bytes):
         self.model, self.index = model, _index(proto)
         self.place: dict[str, int] = {}
-        self.table = np.empty((KEPT_WORDS, len(model.langs) + 2))  # by language, by letters, number of characters
+        self.table = np.empty((KEPT_WORDS, len(model.langs) + 1))  # log likelihoods by language, and by letters
 
     def _learn(self, words: set[str]) -> None:
         new = sorted(w for w in words if w not in self.place)
@@ -220,11 +220,10 @@ class Scorer:
         if len(new) > len(self.table):
             self.table = np.empty((len(new), self.table.shape[1]))
         if new:
-            begin, least = len(self.place), float(np.log(UNKNOWN))
+            begin, usual = len(self.place), sum(np.exp(x) * x for x in self.model.letters.values())  # a strange letter counts like others on average
             rows = self.table[begin : begin + len(new)]
-            rows[:, :-2] = word_log_likelihoods(self.index, self.model.probs, [SPACE + w for w in new])
-            rows[:, -2] = [sum(self.model.letters.get(c, least) for c in SPACE + w) for w in new]
-            rows[:, -1] = [len(w) + 1 for w in new]
+            rows[:, :-1] = word_log_likelihoods(self.index, self.model.probs, [SPACE + w for w in new])
+            rows[:, -1] = [sum(self.model.letters.get(c, usual) for c in SPACE + w) for w in new]
             self.place.update(zip(new, range(begin, begin + len(new)), strict=True))
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
@@ -240,12 +239,12 @@ class Scorer:
                     evidence.append(0.0)
                     continue
                 sums = self.table[[self.place[w] for w in ws]].sum(axis=0)
-                logs = sums[:-2] + self.model.prior
+                logs = sums[:-1] + self.model.prior
                 shares = np.exp(logs - logs.max())
                 best = int(shares.argmax())
                 langs.append(self.model.langs[best])
                 scores.append(float(shares[best] / shares.sum()))
-                evidence.append(float((sums[best] - sums[-2]) / sums[-1]))
+                evidence.append(float(sums[best] - sums[-1]))
         return langs, scores, evidence
 
 
@@ -270,7 +269,7 @@ def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "te
     lang_pred is a learned language, the first by name of equal ones, and ``und`` for a null text, one
     without a letter, or a model without languages; score is its posterior probability, 0 for ``und``.
     evidence tells how much better that language explains the text than letters drawn one by one from all
-    languages do: the difference of log likelihoods by character, below 0 for text of no learned language.
+    languages do: the difference of the text's log likelihoods, far below 0 for text of no learned language.
     Only text_col is read. Columns named lang_pred, score or evidence are replaced. Repeated rows give repeated rows.
     """
     new = ("lang_pred", "score", "evidence")
