@@ -13,6 +13,8 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 
 #: A table is broadcast up to so many rows and, if some of its columns have no fixed width, so many bytes of JSON.
 BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 16 << 20
+#: Bound of the keys that are broadcast as frequent ones.
+HOT_KEYS = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +44,18 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, most_bytes: in
     return F.broadcast(df) if found["n"] <= rows and (found["bytes"] or 0) <= most_bytes else df
 
 
+def join_counted(rows: DataFrame, found: DataFrame, key: str, total: int, n: str = "n") -> DataFrame:
+    """rows joined with found on a key that is unique in found, which counts in n how many of the total rows have it.
+
+    Keys of more than a HOT_KEYS-th of the rows are broadcast, so their rows stay where they are; fewer than HOT_KEYS
+    keys can be that frequent. The rest is shuffled.
+    """
+    often = F.col(n) * HOT_KEYS > total
+    hot = F.broadcast(found.filter(often).drop(n))
+    rest = rows.join(hot.select(key), key, "left_anti").join(found.filter(~often).drop(n), key)
+    return rows.join(hot, key).unionByName(rest)
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable on the Python workers of every executor, once per context."""
     sc = spark.sparkContext

@@ -1,9 +1,10 @@
-"""Near copies by exact similarity of word shingles.
+"""SimHash near-dedup up to a given similarity of word shingles: the form for pipelines.
 
-Two texts are linked if the Jaccard similarity of their sets of word shingles reaches a threshold. Pairs to
-compare come from MinHash bands; every link is verified on the whole sets. A band's bucket is first
-compared with one member; after that only members that the links so far leave in different components
-are compared, each with all others of the bucket, so a large group of near copies costs no pairs within.
+Two texts are linked if the Jaccard similarity of their sets of word shingles reaches a threshold; every link
+is verified on the whole sets. Pairs to compare come from the anchors of the SimHash fingerprints and, as
+texts at 0.8 differ in 10 of 64 bits where anchors reach 4, from bands of minimal hashes too. A band's bucket
+is first compared with one member; after that only members that the links so far leave in different
+components are compared, each with all others of the bucket, so a large group of near copies costs no pairs within.
 """
 
 from __future__ import annotations
@@ -16,9 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import broadcast_if_small, checkpointed, ship, text_or_empty
+from quillstone.llm.common import checkpointed, join_counted, ship, text_or_empty
 from quillstone.llm.components import connected_components
-from quillstone.llm.simhash import shingles_of
+from quillstone.llm.simhash import fingerprint, fingerprint_links, shingles_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity s shares no band with a chance of (1 - s ** BAND_ROWS) ** BANDS: 1 in 20,000 at 0.8.
@@ -27,9 +28,9 @@ _FACTORS = np.random.default_rng(5).integers(0, 2**31, BANDS * BAND_ROWS, np.uin
 _ADDENDS = np.random.default_rng(6).integers(0, 2**32, BANDS * BAND_ROWS, np.uint32)
 
 
-def shingle_set(text: str, size: int) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the word shingles."""
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles_of(text, size)), np.uint64))
+def shingle_hashes(text: str, size: int) -> np.ndarray:
+    """64-bit hashes of the word shingles, repeats included."""
+    return np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles_of(text, size)), np.uint64)
 
 
 def band_keys(hashes: np.ndarray) -> list[int]:
@@ -49,16 +50,17 @@ def _node(hashes: np.ndarray) -> int:
 
 
 def _sketched(texts: DataFrame, size: int) -> DataFrame:
-    """doc_id, th, node (hash of the shingle set), n (its size), bands of every row of texts(doc_id, th, text)."""
+    """doc_id, th, fp, node (hash of the shingle set), n (its size), bands of every row of texts(doc_id, th, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), size) for t in batch.column(2)]
-            found = [pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=["doc_id", "th", "node", "n", "bands"])
+            hashes = [shingle_hashes(t.as_py(), size) for t in batch.column(2)]
+            sets = [np.unique(h) for h in hashes]
+            found = [pa.array([fingerprint(h) for h in hashes], pa.int64()), pa.array([_node(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found], names=["doc_id", "th", "fp", "node", "n", "bands"])
 
     id_type = texts.schema["doc_id"].dataType.simpleString()
-    return texts.mapInArrow(run, f"doc_id {id_type}, th long, node long, n int, bands array<long>")
+    return texts.mapInArrow(run, f"doc_id {id_type}, th long, fp long, node long, n int, bands array<long>")
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -66,7 +68,7 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t.as_py(), size) for t in batch.column(0)]
+            sets = [np.unique(shingle_hashes(t.as_py(), size)) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["node", "shingles"])
 
     return texts.mapInArrow(run, "node long, shingles array<long>")
@@ -93,18 +95,25 @@ def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     rows = checkpointed(_sketched(texts, shingle))
     # Equal sets are one node from here on, so a hot text costs no more than a rare one.
-    nodes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("th").alias("th")))
+    nodes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("th").alias("th"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies")))
     keyed = rows.select("node", "n", F.explode("bands").alias("key")).distinct()
     shared = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("key", "first")
     met = checkpointed(keyed.join(shared, "key"))
 
-    wanted = met.select("node").distinct().join(nodes, "node").select("th")
+    # Fingerprints within reach of an anchor: their first nodes are compared, and the nodes of one fingerprint with its first.
+    by_fp = checkpointed(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
+    ends = [by_fp.select(F.col("fp").alias(c), F.col("first").alias(f"first_{c}")) for c in "ab"]
+    linked_fps = fingerprint_links(by_fp.select("fp")).join(ends[0], "a").join(ends[1], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b"))
+    one_fp = join_counted(nodes.select("fp", "node"), by_fp, "fp", nodes.count()).filter(F.col("first") != F.col("node")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    anchored = checkpointed(linked_fps.unionByName(one_fp))
+
+    wanted = met.select("node").unionByName(anchored.select(F.explode(F.array("a", "b")).alias("node"))).distinct().join(nodes, "node").select("th")
     sets = checkpointed(_sets(texts.join(wanted, "th", "left_semi").dropDuplicates(["th"]).select("text"), shingle))
 
     def alike(n: str, m: str):
         return F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9  # else the sizes alone rule it out
 
-    stars = met.filter((F.col("node") != F.col("first.node")) & alike("n", "first.n")).select(F.col("first.node").alias("a"), F.col("node").alias("b")).distinct()
+    stars = met.filter((F.col("node") != F.col("first.node")) & alike("n", "first.n")).select(F.col("first.node").alias("a"), F.col("node").alias("b")).unionByName(anchored).distinct()
     links = checkpointed(_verified(stars, sets, similarity))
     roots = connected_components(links).select("node", "root")
 
@@ -117,9 +126,10 @@ def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     cross = mixed.join(minor, "key").filter((F.col("root") != F.col("other")) & alike("n", "m")).select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
     more = _verified(cross.join(stars, ["a", "b"], "left_anti"), sets, similarity)
 
-    ends = checkpointed(connected_components(links.unionByName(more)))
-    rooted = nodes.join(ends, "node").select("node", "root", "least_id")
+    whole = checkpointed(connected_components(links.unionByName(more)))
+    rooted = nodes.join(whole, "node").select("node", "root", "least_id")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     linked = rooted.join(least, "root").select("node", "component_id")
-    by_node = nodes.join(linked, "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.select("doc_id", "node").join(broadcast_if_small(by_node), "node").select("doc_id", "component_id")
+    by_node = checkpointed(nodes.join(linked, "node", "left").select("node", F.col("copies").alias("n"), F.coalesce("component_id", "least_id").alias("component_id")))
+    total = nodes.agg(F.sum("copies")).first()[0] or 0
+    return join_counted(rows.select("doc_id", "node"), by_node, "node", total).select("doc_id", "component_id")

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import broadcast_if_small, checkpointed, ship, text_or_empty
+from quillstone.llm.common import broadcast_if_small, checkpointed, join_counted, ship, text_or_empty
 from quillstone.llm.components import connected_components
 
 BITS, HALF, THRESHOLD = 64, 32, 4
@@ -178,10 +178,11 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = checkpointed(fingerprints(docs, id_col, text_col, shingle_words))
     # Equal fingerprints are one node from here on, so a hot text costs no more than a rare one.
-    nodes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    nodes = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n")))
     roots = checkpointed(connected_components(fingerprint_links(nodes.select("fp"))))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"]).select("fp", "root", "least_id")
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     linked = rooted.join(least, "root").select("fp", "component_id")
-    by_fp = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "least_id").alias("component_id"))
-    return rows.join(by_fp, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    by_fp = checkpointed(nodes.join(linked, "fp", "left").select("fp", "n", F.coalesce("component_id", "least_id").alias("component_id")))
+    total = nodes.agg(F.sum("n")).first()[0] or 0
+    return join_counted(rows, by_fp, "fp", total).select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

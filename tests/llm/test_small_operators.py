@@ -316,7 +316,7 @@ def test_simhash(spark, empty):
         rows += [(i, " ".join(base)), (i + 1000, " ".join(base[:150] + ["New"] + base[150:])), (i + 2000, " ".join(base).upper())]
     fps = [brute_fingerprint(t) for _, t in rows]
     want = sorted(zip([i for i, _ in rows], [f"{f:016x}" for f in fps], components(fps, [i for i, _ in rows]), strict=True), key=repr)
-    got = simhash.simhash_components(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("n", "fp"))
+    got = simhash.simhash_components(spark.createDataFrame(rows, SCHEMA).withColumns({"fp": F.lit("f"), "component_id": F.lit(1), "n": F.lit(None)}))
     assert sorted(((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got.collect()), key=repr) == want
     assert simhash.simhash_components(empty).count() == 0
 
