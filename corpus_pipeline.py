@@ -16,14 +16,18 @@ from quillstone.llm.line_dedup import line_dedup
 from quillstone.llm.near_copies import near_copy_components
 from quillstone.llm.piece_codec import piece_codec
 
-#: A document is rejected if no learned language has at least this share of the likelihood, or it has no letter.
-LEAST_LANGUAGE_SCORE = 0.5
+#: A document is rejected if it has no letter, if no learned language has at least this share of the likelihood, or if
+#: letters drawn one by one explain it better than the language does, by a factor of which this is the logarithm.
+LEAST_LANGUAGE_SCORE, LEAST_EVIDENCE = 0.5, -30.0
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear. The model learns from the rows of docs that name a language."""
+    """Documents in a learned language, which is clear. The model learns from the rows of docs that name a language and have a text.
+
+    A null text, or one without letters, goes. Ids may be null or repeated; equal rows stay or go together.
+    """
     found = identify_language(docs, fit_language_model(docs))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE) & (F.col("evidence") >= LEAST_EVIDENCE)).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
