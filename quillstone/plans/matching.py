@@ -86,19 +86,19 @@ def f31(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("question")
     n = lambda p: F.regexp_count(F.lower(q), F.lit(p))
     score = F.least(F.lit(3), n(r"\b(before|after|while)\b")) + F.least(F.lit(2), n(",")) * 0.5 + F.least(F.lit(2), F.floor(F.length(q) / 40)) - F.when(F.length(q) < 20, 1).otherwise(0)
-    return sentences(spark).select("id", F.greatest(F.lit(0.0), score.cast("double")).alias("complexity"))
+    return sentences(spark, d).select("id", F.greatest(F.lit(0.0), score.cast("double")).alias("complexity"))
 
 
 @query("f33_sub_types", over_sentences("SELECT id, list_filter([CASE WHEN contains(lower(question), 'how many') THEN 'counting' END, CASE WHEN contains(lower(question), 'why') THEN 'reason' END, CASE WHEN contains(lower(question), 'first') THEN 'order' END], lambda x: x IS NOT NULL) AS types FROM q"))
 def f33(spark: SparkSession, d: str) -> DataFrame:
     has = lambda w: F.contains(F.lower("question"), F.lit(w))
-    return sentences(spark).select("id", F.array_compact(F.array(F.when(has("how many"), "counting"), F.when(has("why"), "reason"), F.when(has("first"), "order"))).alias("types"))
+    return sentences(spark, d).select("id", F.array_compact(F.array(F.when(has("how many"), "counting"), F.when(has("why"), "reason"), F.when(has("first"), "order"))).alias("types"))
 
 
 @query("f35_name_maps", over_sentences("SELECT id, CASE kind WHEN 'temporal' THEN 'Temporal Understanding' WHEN 'needle' THEN 'Needle' ELSE kind END AS official FROM q"))
 def f35(spark: SparkSession, d: str) -> DataFrame:
     names = F.create_map(F.lit("temporal"), F.lit("Temporal Understanding"), F.lit("needle"), F.lit("Needle"))
-    return sentences(spark).select("id", F.coalesce(names[F.col("kind")], "kind").alias("official"))
+    return sentences(spark, d).select("id", F.coalesce(names[F.col("kind")], "kind").alias("official"))
 
 
 @query("f39_test_outcome", with_views("timeline", "SELECT seq, CASE WHEN event_type = 'error' THEN 'hallucination' WHEN marker > 70 THEN 'pass' WHEN marker < 30 THEN 'fail' ELSE 'unclear' END AS outcome FROM timeline"))
@@ -109,18 +109,18 @@ def f39(spark: SparkSession, d: str) -> DataFrame:
 @query("f44_capitalised_names", over_sentences("SELECT id, list_filter(string_split(answer, ' ')[2:], lambda x: regexp_matches(x, '^[A-Z][a-z]+')) AS names FROM q"))
 def f44(spark: SparkSession, d: str) -> DataFrame:
     words = F.split("answer", " ")
-    return sentences(spark).select("id", F.filter(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w: w.rlike("^[A-Z][a-z]+")).alias("names"))
+    return sentences(spark, d).select("id", F.filter(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w: w.rlike("^[A-Z][a-z]+")).alias("names"))
 
 
 @query("f51_ordered_replacements", over_sentences("SELECT id, replace(replace(answer, 'the', 'THE'), 'THE player', 'someone') AS text FROM q"))
 def f51(spark: SparkSession, d: str) -> DataFrame:
     steps = F.array(F.struct(F.lit("the").alias("a"), F.lit("THE").alias("b")), F.struct(F.lit("THE player").alias("a"), F.lit("someone").alias("b")))
-    return sentences(spark).select("id", F.aggregate(steps, F.col("answer"), lambda t, s: F.replace(t, s["a"], s["b"])).alias("text"))
+    return sentences(spark, d).select("id", F.aggregate(steps, F.col("answer"), lambda t, s: F.replace(t, s["a"], s["b"])).alias("text"))
 
 
 @query("v05_quality_checker", over_sentences(r"SELECT id, CASE WHEN regexp_matches(lower(question), '\b(might|seems|appears)\b') THEN 'CRITICAL' WHEN regexp_matches(lower(answer), '\b(maybe|probably)\b') THEN 'MODERATE' ELSE 'OK' END AS severity FROM q"))
 def v05(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", F.when(F.lower("question").rlike(r"\b(might|seems|appears)\b"), "CRITICAL").when(F.lower("answer").rlike(r"\b(maybe|probably)\b"), "MODERATE").otherwise("OK").alias("severity"))
+    return sentences(spark, d).select("id", F.when(F.lower("question").rlike(r"\b(might|seems|appears)\b"), "CRITICAL").when(F.lower("answer").rlike(r"\b(maybe|probably)\b"), "MODERATE").otherwise("OK").alias("severity"))
 
 
 _CHECKS = {"question mark": "question LIKE '%?%'", "audio cue": "audio <> ''", "visual cue": "visual <> ''", "answer length": "length(answer) >= 10", "no hedge": r"NOT regexp_matches(lower(answer), '\b(maybe|probably|could be)\b')"}
@@ -130,19 +130,19 @@ _CHECKS = {"question mark": "question LIKE '%?%'", "audio cue": "audio <> ''", "
 def v07(spark: SparkSession, d: str) -> DataFrame:
     checks = [F.contains("question", F.lit("?")), F.col("audio") != "", F.col("visual") != "", F.length("answer") >= 10, ~F.lower("answer").rlike(r"\b(maybe|probably|could be)\b")]
     passed = F.size(F.filter(F.array(*checks), lambda x: x))
-    return sentences(spark).select("id", F.round(passed / len(checks), 6).alias("score"), (passed == len(checks)).alias("valid"))
+    return sentences(spark, d).select("id", F.round(passed / len(checks), 6).alias("score"), (passed == len(checks)).alias("valid"))
 
 
 @query("v10_confidence_rules", as_double(over_sentences(r"SELECT id, round(greatest(0, least(1, 1.0 - CASE WHEN audio = '' AND visual = '' THEN 0.5 WHEN audio = '' OR visual = '' THEN 0.4 ELSE 0 END - CASE WHEN contains(lower(question), ' and ') THEN 0.3 ELSE 0 END - CASE WHEN regexp_matches(lower(question || answer), '\b(he|she|they)\b') THEN 0.2 ELSE 0 END)), 6) AS confidence FROM q"), "confidence"))
 def v10(spark: SparkSession, d: str) -> DataFrame:
     none, one = (F.col("audio") == "") & (F.col("visual") == ""), (F.col("audio") == "") | (F.col("visual") == "")
     off = F.when(none, 0.5).when(one, 0.4).otherwise(0.0) + F.when(F.contains(F.lower("question"), F.lit(" and ")), 0.3).otherwise(0.0) + F.when(F.lower(F.concat("question", "answer")).rlike(r"\b(he|she|they)\b"), 0.2).otherwise(0.0)
-    return sentences(spark).select("id", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - off)), 6).alias("confidence"))
+    return sentences(spark, d).select("id", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - off)), 6).alias("confidence"))
 
 
 @query("v14_cue_quality", over_sentences(r"SELECT id, NOT regexp_matches(lower(audio || ' ' || visual), '\b(maybe|she|he|they|appears?)\b') AS clean FROM q"))
 def v14(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", (~F.lower(F.concat_ws(" ", "audio", "visual")).rlike(r"\b(maybe|she|he|they|appears?)\b")).alias("clean"))
+    return sentences(spark, d).select("id", (~F.lower(F.concat_ws(" ", "audio", "visual")).rlike(r"\b(maybe|she|he|they|appears?)\b")).alias("clean"))
 
 
 @query("v17_combination_validity", with_views("timeline", "SELECT video_id, CASE WHEN k IN ('click|view', 'purchase|view') THEN 0.9 WHEN k NOT LIKE '%|%' THEN 1.0 ELSE 0.1 END >= 0.5 AS valid FROM (SELECT video_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS k FROM timeline WHERE ms < 20000 GROUP BY 1)"))
@@ -155,13 +155,13 @@ def v17(spark: SparkSession, d: str) -> DataFrame:
 @query("v18_structure", over_sentences("SELECT id, CASE kind WHEN 'counting' THEN regexp_matches(lower(question), '^how many') AND regexp_matches(answer, '[0-9]') WHEN 'inference' THEN regexp_matches(lower(question), '^(why|is)') ELSE question <> '' END AS fits FROM q"))
 def v18(spark: SparkSession, d: str) -> DataFrame:
     q = F.lower("question")
-    return sentences(spark).select("id", F.when(F.col("kind") == "counting", q.rlike("^how many") & F.col("answer").rlike("[0-9]")).when(F.col("kind") == "inference", q.rlike("^(why|is)")).otherwise(F.col("question") != "").alias("fits"))
+    return sentences(spark, d).select("id", F.when(F.col("kind") == "counting", q.rlike("^how many") & F.col("answer").rlike("[0-9]")).when(F.col("kind") == "inference", q.rlike("^(why|is)")).otherwise(F.col("question") != "").alias("fits"))
 
 
 @query("v19_unified_first_reason", over_sentences("SELECT id, CASE WHEN audio = '' THEN 'no cue' WHEN regexp_matches(question, '(Dr|Mr)\\.') THEN 'name' WHEN NOT regexp_matches(lower(question), 'whistle|says|speaker') THEN 'no audio word' ELSE 'ok' END AS reason FROM q"))
 def v19(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("question")
-    return sentences(spark).select("id", F.when(F.col("audio") == "", "no cue").when(q.rlike(r"(Dr|Mr)\."), "name").when(~F.lower(q).rlike("whistle|says|speaker"), "no audio word").otherwise("ok").alias("reason"))
+    return sentences(spark, d).select("id", F.when(F.col("audio") == "", "no cue").when(q.rlike(r"(Dr|Mr)\."), "name").when(~F.lower(q).rlike("whistle|says|speaker"), "no audio word").otherwise("ok").alias("reason"))
 
 
 @query("v20_multiplied_confidence", as_double(with_views("detections", "SELECT video_id, part, supp, line, round(CASE WHEN w < 5 THEN 0.7 ELSE 1 END * CASE WHEN h > 60 THEN 0.5 ELSE 1 END * CASE WHEN confidence < 0.95 THEN 0.8 ELSE 1 END, 6) AS confidence FROM detections"), "confidence"))

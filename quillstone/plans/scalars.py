@@ -1,4 +1,4 @@
-"""Scalar-function queries, over table columns and over a fixed list of sentences."""
+"""Scalar-function queries, over table columns and over questions and answers made of conversation turns."""
 
 from __future__ import annotations
 
@@ -11,26 +11,43 @@ from quillstone.operators.joins import dot
 from quillstone.plans.base import query
 from quillstone.sources.adapters import as_double, detections, frames, questions, segments, table, timeline, with_views
 
-#: (id, type, question, answer, audio cue, visual cue)
-SENTENCES = [
-    (1, "temporal", "What happens before the whistle?", "The player raises a hand.", "whistle", "raised hand"),
-    (2, "counting", "How many people appear to be running when she says \"go now\"?", "Maybe 15 people, at 3.5 seconds.", "she says go now", ""),
-    (3, "needle", "Why does the faint sign seem to change?", "It could be the light, probably.", "", "faint sign in the background"),
-    (4, "inference", "Is the speaker not similar to the first one?", "They are.", "none", "clear face"),
-    (5, "comparative", "Compare the first and the last scene, and explain the difference?", "The last scene is darker; the first shows 2 lamps.", "music and clapping", "2 lamps"),
-    (6, "subscene", "", "", "", ""),
-    (7, "context", "Does Nike pay? Dr. Smith says \"yes\" and \"no\".", "Mr. Jones holds it at 12.25.", "applause grows", "obvious hidden logo"),
-]
-_VALUES = ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else "'" + x.replace("'", "''") + "'" for x in row) + ")" for row in SENTENCES)
-FIXTURE_SQL = f"q AS (SELECT * REPLACE (CAST(id AS BIGINT) AS id) FROM (VALUES {_VALUES}) v(id, kind, question, answer, audio, visual))"
+#: By kind of question: its text, answer, audio and visual cue, as SQL over what a turn of a conversation said and the reply to it.
+SENTENCES = {
+    "temporal": ("'What happens before the whistle and ' || said || '?'", "reply", "'whistle'", "'raised hand'"),
+    "counting": ("'How many people appear to be running when she says \"' || said || '\"?'", "'Maybe 15 people, at 3.5 seconds. ' || reply", "'she says ' || said", "''"),
+    "needle": ("'Why does the faint sign seem to say ' || said || '?'", "'It could be the light, probably ' || reply", "''", "'faint sign in ' || reply"),
+    "inference": ("'Is the speaker not similar to ' || said || '?'", "'They are.'", "'none'", "'clear face'"),
+    "comparative": ("'Compare the first and the last scene, and explain ' || said || '?'", "reply || ' the first shows 2 lamps.'", "'music and clapping'", "'2 lamps'"),
+    "subscene": ("said", "reply", "''", "''"),
+    "context": ("'Does Nike pay? Dr. Smith says \"' || said || '\" and \"no\".'", "'Mr. Jones holds it at 12.25. ' || reply", "'applause grows'", "'obvious hidden logo'"),
+}
+_KIND = "CASE pmod7 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(SENTENCES)) + " END"
+_PARTS = {name: "CASE kind " + " ".join(f"WHEN '{k}' THEN {v[i]}" for k, v in SENTENCES.items()) + " END" for i, name in enumerate(("question", "answer", "audio", "visual"))}
 
 
-def sentences(spark: SparkSession) -> DataFrame:
-    return spark.sql(f"SELECT CAST(id AS BIGINT) AS id, kind, question, answer, audio, visual FROM VALUES {_VALUES} AS v(id, kind, question, answer, audio, visual)")
+def _ascii_line(c: str, options: str = "") -> str:
+    """White space as spaces, and letters beyond ASCII as the letter x, so that word bounds are the same in all dialects."""
+    return f"regexp_replace(regexp_replace(coalesce({c}, ''), '[\\n\\t\\r]', ' '{options}), '[^ -~]', 'x'{options})"
+
+
+SENTENCES_SQL = (
+    f"turns AS (SELECT c.conv_id * 1000000 + c.turn AS id, (c.conv_id + c.turn) % 7 AS pmod7, {_ascii_line('c.text', ', ' + chr(39) + 'g' + chr(39))} AS said, {_ascii_line('n.text', ', ' + chr(39) + 'g' + chr(39))} AS reply "
+    f"FROM conversations c LEFT JOIN conversations n ON n.conv_id = c.conv_id AND n.turn = c.turn + 1), kinds AS (SELECT id, {_KIND} AS kind, said, reply FROM turns), "
+    f"q AS (SELECT id, kind, {', '.join(f'{sql} AS {name}' for name, sql in _PARTS.items())} FROM kinds)"
+)
+
+
+def sentences(spark: SparkSession, d: str) -> DataFrame:
+    """Questions on every turn of every conversation: id, kind, question, answer, audio, visual. Null texts are empty; the last turn has no reply."""
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "text")
+    said = turns.select((F.col("conv_id") * 1000000 + F.col("turn")).alias("id"), ((F.col("conv_id") + F.col("turn")) % 7).alias("pmod7"), "conv_id", "turn", F.expr(_ascii_line("text")).alias("said"))
+    after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next"))
+    both = said.join(after, ["conv_id", "turn"], "left").select("id", F.expr(_KIND).alias("kind"), "said", F.expr(_ascii_line("next")).alias("reply"))
+    return both.select("id", "kind", *[F.expr(sql).alias(name) for name, sql in _PARTS.items()])
 
 
 def over_sentences(body: str) -> str:
-    return f"WITH {FIXTURE_SQL} {body}"
+    return f"WITH {SENTENCES_SQL} {body}"
 
 
 @query("f01_parse_timestamp", with_views("timeline", "SELECT seq, CAST(ms // 1000 AS DOUBLE) AS seconds FROM timeline"))
@@ -76,12 +93,12 @@ def f07(spark: SparkSession, d: str) -> DataFrame:
 
 @query("f08_extract_quotes", over_sentences("SELECT id, regexp_extract_all(question, '\"([^\"]*)\"', 1) AS quotes FROM q"))
 def f08(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", S.extract_quotes(F.col("question")).alias("quotes"))
+    return sentences(spark, d).select("id", S.extract_quotes(F.col("question")).alias("quotes"))
 
 
 @query("f09_extract_numbers", over_sentences(r"SELECT id, list_transform(regexp_extract_all(answer, '\b\d+\.?\d*\b'), lambda x: CAST(x AS DOUBLE)) AS numbers FROM q"))
 def f09(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", S.extract_numbers(F.col("answer")).alias("numbers"))
+    return sentences(spark, d).select("id", S.extract_numbers(F.col("answer")).alias("numbers"))
 
 
 @query("f10_md5", "SELECT doc_id, md5(text) AS h FROM documents")
@@ -173,10 +190,10 @@ _MULTI = f"CASE WHEN {_N_VISUAL} > 0 AND {_N_AUDIO} > 0 THEN 6.0 + least({_N_VIS
 _SUBTLE = f"greatest(0.0, least(10.0, CASE kind WHEN 'needle' THEN 9.0 WHEN 'spurious_correlation' THEN 8.0 WHEN 'subscene' THEN 7.0 WHEN 'counting' THEN 3.0 WHEN 'context' THEN 3.0 ELSE 5.0 END + {_contained('audio', S.SUBTLE_WORDS, ' OR ')}::INT - {_contained('audio', S.CLEAR_WORDS, ' OR ')}::INT * 0.5 + {_contained('visual', S.SUBTLE_WORDS, ' OR ')}::INT - {_contained('visual', S.CLEAR_WORDS, ' OR ')}::INT * 0.5))"
 
 
-def difficulty(spark: SparkSession) -> DataFrame:
+def difficulty(spark: SparkSession, d: str) -> DataFrame:
     k, q = F.col("kind"), F.col("question")
     n = lambda c: F.size(S.tokens(F.col(c)))
-    return sentences(spark).select(
+    return sentences(spark, d).select(
         "id", S.inference_difficulty(k, q, n("visual"), n("audio")).alias("inference"), S.temporal_difficulty(k, q, F.col("id") * 15).alias("temporal"),
         S.multimodal_difficulty(k, n("visual"), n("audio")).alias("multimodal"), S.subtlety_difficulty(k, F.array("audio", "visual")).alias("subtlety"),
     )
@@ -184,7 +201,7 @@ def difficulty(spark: SparkSession) -> DataFrame:
 
 @query("f25_to_f28_difficulty", over_sentences(f"SELECT id, CAST({_INFERENCE} AS DOUBLE) AS inference, CAST({_TEMPORAL} AS DOUBLE) AS temporal, CAST({_MULTI} AS DOUBLE) AS multimodal, CAST({_SUBTLE} AS DOUBLE) AS subtlety FROM q"))
 def f25(spark: SparkSession, d: str) -> DataFrame:
-    return difficulty(spark)
+    return difficulty(spark, d)
 
 
 @query("f29_failure_severity", as_double(with_views("questions", "SELECT question_id, CASE status WHEN 'rejected' THEN 10 WHEN 'pending' THEN 4 ELSE 0 END * CASE WHEN hallucinated = 1 THEN 2.0 WHEN hallucinated = 0 THEN 1.0 ELSE 1.5 END AS severity FROM questions"), "severity"))
@@ -197,7 +214,7 @@ def f29(spark: SparkSession, d: str) -> DataFrame:
 @query("f30_weighted_level", as_double(over_sentences(f"SELECT id, round(s, 6) AS score, CASE WHEN s >= 8 THEN 'expert' WHEN s >= 6 THEN 'hard' WHEN s >= 3 THEN 'medium' ELSE 'easy' END AS level FROM (SELECT id, 0.25 * {_INFERENCE} + 0.20 * {_TEMPORAL} + 0.20 * ({_MULTI}) + 0.15 * {_SUBTLE} + 0.20 * 5 AS s FROM q)"), "score"))
 def f30(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("inference") * 0.25 + F.col("temporal") * 0.20 + F.col("multimodal") * 0.20 + F.col("subtlety") * 0.15 + 1.0
-    return difficulty(spark).select("id", F.round(s, 6).alias("score"), S.level_of(s).alias("level"))
+    return difficulty(spark, d).select("id", F.round(s, 6).alias("score"), S.level_of(s).alias("level"))
 
 
 #: Keywords of question types.
@@ -208,7 +225,7 @@ TYPE_WORDS = {"temporal": ["before", "after", "when"], "counting": ["how many",
 def f32(spark: SparkSession, d: str) -> DataFrame:
     q = F.lower("question")
     scored = F.array(*[F.struct(F.lit(k).alias("kind"), S.count_contained(q, w).alias("n")) for k, w in TYPE_WORDS.items()])
-    return sentences(spark).select("id", F.explode(F.filter(scored, lambda x: x["n"] > 0)).alias("x")).select("id", F.col("x.kind").alias("kind"), F.round(F.least(F.lit(1.0), F.col("x.n") * 0.4), 6).alias("score"))
+    return sentences(spark, d).select("id", F.explode(F.filter(scored, lambda x: x["n"] > 0)).alias("x")).select("id", F.col("x.kind").alias("kind"), F.round(F.least(F.lit(1.0), F.col("x.n") * 0.4), 6).alias("score"))
 
 
 @query("f34_cooccurrence_rule", with_views("timeline", "SELECT video_id, CASE WHEN list_contains(l, 'click') AND NOT list_contains(l, 'after-click') THEN replace(array_to_string(l, '; '), 'click', 'click; after-click') ELSE array_to_string(l, '; ') END AS types FROM (SELECT video_id, list_sort(list(DISTINCT event_type)) AS l FROM timeline WHERE ms < 100000 GROUP BY 1)"))
@@ -221,7 +238,7 @@ def f34(spark: SparkSession, d: str) -> DataFrame:
 
 @query("f36_added_tokens", over_sentences("SELECT id, len(list_filter(list_distinct(list_filter(string_split(lower(answer), ' '), lambda x: x <> '')), lambda x: NOT list_contains(string_split(lower(question), ' '), x))) AS added FROM q"))
 def f36(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", F.size(F.array_except(S.tokens(F.col("answer")), S.tokens(F.col("question")))).cast("long").alias("added"))
+    return sentences(spark, d).select("id", F.size(F.array_except(S.tokens(F.col("answer")), S.tokens(F.col("question")))).cast("long").alias("added"))
 
 
 @query("f37_severity_class", with_views("timeline", "SELECT seq, CASE WHEN marker / 100 < 0.3 THEN 'none' WHEN marker / 100 < 0.5 THEN 'low' WHEN marker / 100 < 0.7 THEN 'medium' ELSE 'high' END AS severity FROM timeline"))
@@ -229,15 +246,15 @@ def f37(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", S.severity_of(F.col("marker") / 100).alias("severity"))
 
 
-@query("f38_answer_comparison", over_sentences("SELECT a.id, b.id AS other, CASE WHEN lower(trim(a.answer)) = lower(trim(b.answer)) THEN 'correct' WHEN j >= 0.8 THEN 'close' WHEN j >= 0.2 THEN 'partial' ELSE 'wrong' END AS verdict FROM (SELECT a.id AS ai, b.id AS bi, coalesce(len(list_intersect(list_filter(string_split(lower(a.answer), ' '), lambda x: x <> ''), list_filter(string_split(lower(b.answer), ' '), lambda x: x <> ''))) / nullif(len(list_distinct(list_filter(string_split(lower(b.answer), ' '), lambda x: x <> ''))), 0), 0) AS j FROM q a, q b) p JOIN q a ON a.id = ai JOIN q b ON b.id = bi"))
+@query("f38_answer_comparison", over_sentences("SELECT id, other, CASE WHEN lower(trim(answer)) = lower(trim(expected)) THEN 'correct' WHEN j >= 0.8 THEN 'close' WHEN j >= 0.2 THEN 'partial' ELSE 'wrong' END AS verdict FROM (SELECT a.id, b.id AS other, a.answer, b.answer AS expected, coalesce(len(list_intersect(list_filter(string_split(lower(a.answer), ' '), lambda x: x <> ''), list_filter(string_split(lower(b.answer), ' '), lambda x: x <> ''))) / nullif(len(list_distinct(list_filter(string_split(lower(b.answer), ' '), lambda x: x <> ''))), 0), 0) AS j FROM q a JOIN q b ON b.id = a.id + 7000000)"))
 def f38(spark: SparkSession, d: str) -> DataFrame:
-    q = sentences(spark)
-    others = q.agg(F.collect_list(F.struct("id", "answer")).alias("others"))  # the fixed sentences
-    pairs = q.join(F.broadcast(others)).select("id", "answer", F.explode("others").alias("o"))
-    a, b = S.tokens(F.col("answer")), S.tokens(F.col("o.answer"))
+    """Against the answer to the question of the same kind and turn seven conversations later."""
+    q = sentences(spark, d)
+    expected = q.select((F.col("id") - 7_000_000).alias("id"), F.col("id").alias("other"), F.col("answer").alias("expected"))
+    a, b = S.tokens(F.col("answer")), S.tokens(F.col("expected"))
     j = F.coalesce(F.try_divide(F.size(F.array_intersect(a, b)), F.size(F.array_distinct(b))), F.lit(0.0))
-    same = F.lower(F.trim("answer")) == F.lower(F.trim("o.answer"))
-    return pairs.select("id", F.col("o.id").alias("other"), F.when(same, "correct").when(j >= 0.8, "close").when(j >= 0.2, "partial").otherwise("wrong").alias("verdict"))
+    same = F.lower(F.trim("answer")) == F.lower(F.trim("expected"))
+    return q.join(expected, "id").select("id", "other", F.when(same, "correct").when(j >= 0.8, "close").when(j >= 0.2, "partial").otherwise("wrong").alias("verdict"))
 
 
 @query("f40_token_price", "SELECT doc_id, n_chars // 4 AS tokens, round(n_chars // 4 * 0.003 / 1000, 9) AS price FROM documents")
@@ -259,7 +276,7 @@ def f42(spark: SparkSession, d: str) -> DataFrame:
 
 @query("f43_replace_names", over_sentences("SELECT id, regexp_replace(regexp_replace(question, 'Nike', 'someone', 'gi'), 'Smith', 'someone', 'gi') AS text FROM q"))
 def f43(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", S.replace_names(F.col("question"), ["Nike", "Smith"], "someone").alias("text"))
+    return sentences(spark, d).select("id", S.replace_names(F.col("question"), ["Nike", "Smith"], "someone").alias("text"))
 
 
 @query("f45_reason_text", with_views("questions", "SELECT question_id, concat_ws('; ', CASE WHEN n_chars > 3000 THEN 'long' END, CASE WHEN status = 'rejected' THEN 'rejected' END, CASE WHEN hallucinated = 1 THEN 'doubtful' END) AS reasons FROM questions"))
@@ -276,7 +293,7 @@ def f46(spark: SparkSession, d: str) -> DataFrame:
 def f47(spark: SparkSession, d: str) -> DataFrame:
     lines = F.split(F.concat(F.lit("Question: x\nAnswer: "), F.col("answer")), "\n")
     last = F.try_element_at(F.filter(lines, lambda x: F.startswith(x, F.lit("Answer:"))), F.lit(-1))
-    return sentences(spark).select("id", F.trim(F.substr(last, F.lit(len("Answer:") + 1))).alias("answer"))
+    return sentences(spark, d).select("id", F.trim(F.substr(last, F.lit(len("Answer:") + 1))).alias("answer"))
 
 
 @query("f48_progress", with_views("timeline", "SELECT video_id, round(count(DISTINCT event_type) / 9, 6) AS progress FROM timeline WHERE ms < 90000 GROUP BY 1"))
@@ -311,42 +328,42 @@ def _pattern_hits(patterns: list[str], column: str) -> str:
 @query("v01_hedging", over_sentences(f"SELECT id, {_pattern_hits(R.HEDGING, 'answer')} AS violations, CAST({_pattern_counts(R.HEDGING, 'answer')} AS BIGINT) AS occurrences, ({_pattern_hits(R.HEDGING, 'answer')}) = 0 AS valid FROM q"))
 def v01(spark: SparkSession, d: str) -> DataFrame:
     rules = R.rule_table(spark, {"hedging": R.HEDGING}, {"hedging": "CRITICAL"})
-    return R.verdicts(sentences(spark), rules, ["id"], "answer").withColumn("violations", F.col("violations").cast("int"))
+    return R.verdicts(sentences(spark, d), rules, ["id"], "answer").withColumn("violations", F.col("violations").cast("int"))
 
 
 @query("v02_pronouns", over_sentences(f"SELECT id, {_pattern_hits(R.PRONOUNS, 'question || answer')} AS violations, CAST({_pattern_counts(R.PRONOUNS, 'question || answer')} AS BIGINT) AS occurrences, ({_pattern_hits(R.PRONOUNS, 'question || answer')}) = 0 AS valid FROM q"))
 def v02(spark: SparkSession, d: str) -> DataFrame:
     rules = R.rule_table(spark, {"pronoun": R.PRONOUNS}, {"pronoun": "CRITICAL"})
-    return R.verdicts(sentences(spark).withColumn("text", F.concat("question", "answer")), rules, ["id"]).withColumn("violations", F.col("violations").cast("int"))
+    return R.verdicts(sentences(spark, d).withColumn("text", F.concat("question", "answer")), rules, ["id"]).withColumn("violations", F.col("violations").cast("int"))
 
 
 @query("v04_titled_names", over_sentences(r"SELECT id, regexp_extract(question || ' ' || answer, '\b(?:Mr|Mrs|Ms|Dr)\.\s+[A-Z][a-z]+\b') AS name FROM q"))
 def v04(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", F.regexp_extract(F.concat_ws(" ", "question", "answer"), r"\b(?:Mr|Mrs|Ms|Dr)\.\s+[A-Z][a-z]+\b", 0).alias("name"))
+    return sentences(spark, d).select("id", F.regexp_extract(F.concat_ws(" ", "question", "answer"), r"\b(?:Mr|Mrs|Ms|Dr)\.\s+[A-Z][a-z]+\b", 0).alias("name"))
 
 
 @query("v06_anchored_checks", over_sentences(r"SELECT id, regexp_matches(lower(question), '^(is|does|do|are|can)\b') AS yes_no, contains(lower(question), ' and ') AS multi_part, length(answer) < 12 AS generic FROM q"))
 def v06(spark: SparkSession, d: str) -> DataFrame:
     q = F.lower("question")
-    return sentences(spark).select("id", q.rlike(r"^(is|does|do|are|can)\b").alias("yes_no"), F.contains(q, F.lit(" and ")).alias("multi_part"), (F.length("answer") < 12).alias("generic"))
+    return sentences(spark, d).select("id", q.rlike(r"^(is|does|do|are|can)\b").alias("yes_no"), F.contains(q, F.lit(" and ")).alias("multi_part"), (F.length("answer") < 12).alias("generic"))
 
 
 @query("v08_first_failure", over_sentences("SELECT id, CASE WHEN audio = '' OR visual = '' THEN 'L1' WHEN question NOT LIKE '%?%' THEN 'L2' WHEN length(answer) < 10 THEN 'L3' ELSE 'ok' END AS layer FROM q"))
 def v08(spark: SparkSession, d: str) -> DataFrame:
     fails = [((F.col("audio") == "") | (F.col("visual") == ""), "L1"), (~F.contains("question", F.lit("?")), "L2"), (F.length("answer") < 10, "L3")]
-    return sentences(spark).select("id", F.coalesce(*[F.when(c, name) for c, name in fails], F.lit("ok")).alias("layer"))
+    return sentences(spark, d).select("id", F.coalesce(*[F.when(c, name) for c, name in fails], F.lit("ok")).alias("layer"))
 
 
 @query("v11_answer_rules", over_sentences("SELECT id, len(list_filter(string_split(answer, ' '), lambda x: x <> '')) BETWEEN 3 AND 40 AS concise, regexp_matches(answer, '[.!?]$') AS ended, contains(lower(answer), 'some') OR contains(lower(answer), 'a') AS imprecise FROM q"))
 def v11(spark: SparkSession, d: str) -> DataFrame:
     a = F.col("answer")
-    return sentences(spark).select("id", F.size(F.array_remove(F.split(a, " "), "")).between(3, 40).alias("concise"), a.rlike("[.!?]$").alias("ended"), S.any_contained(F.lower(a), ["some", "a"]).alias("imprecise"))
+    return sentences(spark, d).select("id", F.size(F.array_remove(F.split(a, " "), "")).between(3, 40).alias("concise"), a.rlike("[.!?]$").alias("ended"), S.any_contained(F.lower(a), ["some", "a"]).alias("imprecise"))
 
 
 @query("v12_audio_cue", over_sentences("SELECT id, CASE WHEN contains(lower(audio), 'none') THEN 'placeholder' WHEN lower(audio) IN ('music', 'whistle') THEN 'vague' WHEN length(audio) < 5 THEN 'short' WHEN len(list_filter(string_split(audio, ' '), lambda x: x <> '')) < 2 THEN 'one word' ELSE 'ok' END AS reason FROM q"))
 def v12(spark: SparkSession, d: str) -> DataFrame:
     a = F.lower("audio")
-    return sentences(spark).select("id", F.when(F.contains(a, F.lit("none")), "placeholder").when(a.isin("music", "whistle"), "vague").when(F.length(a) < 5, "short").when(F.size(S.tokens(a)) < 2, "one word").otherwise("ok").alias("reason"))
+    return sentences(spark, d).select("id", F.when(F.contains(a, F.lit("none")), "placeholder").when(a.isin("music", "whistle"), "vague").when(F.length(a) < 5, "short").when(F.size(S.tokens(a)) < 2, "one word").otherwise("ok").alias("reason"))
 
 
 @query("v13_noise_filter", with_views("segments", r"SELECT video_id, seq, CASE WHEN length(trim(text)) < 3 THEN '[short]' WHEN regexp_matches(text, '^[^\p{L}\p{N}]+$') THEN '[symbols]' WHEN contains(lower(text), 'copyright') THEN '[watermark]' ELSE 'kept' END AS state FROM segments"))
@@ -357,13 +374,13 @@ def v13(spark: SparkSession, d: str) -> DataFrame:
 
 @query("v15_dual_cue", over_sentences("SELECT id, trim(audio) <> '' AND trim(visual) <> '' AS dual FROM q"))
 def v15(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark).select("id", F.forall(F.array("audio", "visual"), lambda c: F.trim(c) != "").alias("dual"))
+    return sentences(spark, d).select("id", F.forall(F.array("audio", "visual"), lambda c: F.trim(c) != "").alias("dual"))
 
 
 @query("v16_all_errors", over_sentences("SELECT id, concat_ws('; ', CASE WHEN audio = '' THEN 'no audio' END, CASE WHEN visual = '' THEN 'no visual' END, CASE WHEN question NOT LIKE '%?%' THEN 'no question' END) AS errors FROM q"))
 def v16(spark: SparkSession, d: str) -> DataFrame:
     errors = F.array_compact(F.array(F.when(F.col("audio") == "", "no audio"), F.when(F.col("visual") == "", "no visual"), F.when(~F.contains("question", F.lit("?")), "no question")))
-    return sentences(spark).select("id", F.array_join(errors, "; ").alias("errors"))
+    return sentences(spark, d).select("id", F.array_join(errors, "; ").alias("errors"))
 
 
 @query("v21_span_precision", with_views("timeline", "SELECT seq, ms % 100 > 50 AS imprecise, ms BETWEEN 3000 AND 715000 AS covered FROM timeline"))
