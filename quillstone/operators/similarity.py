@@ -5,10 +5,14 @@ from __future__ import annotations
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: What Python's strip takes for white space, as a Java pattern.
+_SPACE = r"[\s\x1c-\x1f]+"
+
+
 def ratio(a: str | None, b: str | None) -> float:
     return SequenceMatcher(None, (a or "").lower().strip(), (b or "").lower().strip()).ratio()
 
@@ -25,9 +29,11 @@ def similar_pairs(rows: DataFrame, by: str, key: str, text: str, above: float) -
         return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
     step = (2 - above) / above
-    bucket = F.floor(F.log(F.length(F.trim(text)) + F.lit(1.0)) / F.log(F.lit(step))).cast("int")
-    base = rows.select(by, F.col(key).alias("a"), F.col(text).alias("ta"), bucket.alias("k"))
-    other = rows.select(F.col(by).alias("__by"), F.col(key).alias("b"), F.col(text).alias("tb"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("near"))
+    # The text as ratio compares it: lower case, without white space of any kind at its ends.
+    own = F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"(?U)^{_SPACE}|{_SPACE}$", ""))
+    bucket = F.floor(F.log(F.length(own) + F.lit(1.0)) / F.log(F.lit(step))).cast("int")
+    base = rows.select(by, F.col(key).alias("a"), own.alias("ta"), bucket.alias("k"))
+    other = rows.select(F.col(by).alias("__by"), F.col(key).alias("b"), own.alias("tb"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("near"))
     pairs = base.join(other, (F.col(by) == F.col("__by")) & (F.col("k") == F.col("near")) & (F.col("a") < F.col("b")))
     return pairs.withColumn("ratio", ratios("ta", "tb")).filter(F.col("ratio") > above).select(by, "a", "b", "ratio")
 
@@ -55,8 +61,11 @@ def pick_diverse(rows: DataFrame, by: str, key: str, kind: str, difficulty: str,
     """(by, key, place) of k rows per key: each round takes the best score given the kinds already chosen.
 
     Score: half the difficulty, a fifth of the failure, and 0.3 of a bonus for a new kind less a penalty that
-    grows with the rows of that kind. Ties go to the smaller key.
+    grows with the rows of that kind. Ties go to the smaller key. Of a kind, the bonus is the same for all rows, so only
+    its k best can be chosen; a window keeps those, and a task gets k rows per key and kind.
     """
+    best_first = Window.partitionBy(by, kind).orderBy((F.col(difficulty) * 0.5 + F.col(failure) * 0.2).desc(), key)
+    rows = rows.withColumn("__nth", F.row_number().over(best_first)).filter(F.col("__nth") <= k)
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         left, taken = group.sort_values(key).to_dict("records"), []

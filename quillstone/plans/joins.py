@@ -193,30 +193,45 @@ def j20(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).filter("ms < 720000").groupBy("video_id", F.expr("ms * 8 DIV 720000").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("j22_bit_similarity", "SELECT a.vec_id AS a, b.vec_id AS b FROM h a JOIN h b ON a.k = b.k AND a.vec_id < b.vec_id WHERE bit_count(xor(a.bits, b.bits)) <= 6".join(["WITH h AS (SELECT vec_id, vec_id // 25 AS k, CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + 1] > 0 THEN CAST(1 AS BIGINT) << i ELSE 0 END)) AS BIGINT) AS bits FROM embeddings) ", ""]))
-def j22(spark: SparkSession, d: str) -> DataFrame:
-    bits = F.aggregate(F.sequence(F.lit(0), F.lit(31)), F.lit(0).cast("long"), lambda s, i: s + F.when(F.get("embedding", i) > 0, F.expr("1L")).otherwise(F.expr("0L")) * F.pow(F.lit(2), i).cast("long"))
-    h = table(spark, d, "embeddings").select("vec_id", F.expr("vec_id DIV 25").alias("k"), bits.alias("bits"))
-    a, b = h.select("k", F.col("vec_id").alias("a"), F.col("bits").alias("x")), h.select("k", F.col("vec_id").alias("b"), F.col("bits").alias("y"))
-    return a.join(b, "k").filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= 6)).select("a", "b")
-
-
 #: j22 over all vectors: signs of 64 numbers, similar if 1 - hamming / 64 > 0.85. Of five bands, one differs in at most a bit.
 _J22_RADIUS, _J22_BANDS = 9, [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
 _J22_WORD = "CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + {}] > 0 THEN CAST(1 AS BIGINT) << i ELSE 0 END)) AS BIGINT)"
 
 
-@query("j22_bit_similarity_all", f"WITH h AS (SELECT vec_id, {_J22_WORD.format(1)} AS lo, {_J22_WORD.format(33)} AS hi FROM embeddings) SELECT a.vec_id AS a, b.vec_id AS b FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE 1 - (bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi))) / 64 > 0.85")
-def j22_all(spark: SparkSession, d: str) -> DataFrame:
+_J22_SQL = f"WITH h AS (SELECT vec_id, {_J22_WORD.format(1)} AS lo, {_J22_WORD.format(33)} AS hi FROM embeddings)"
+_J22_ALIKE = "1 - (bit_count(xor(a.lo, b.lo)) + bit_count(xor(a.hi, b.hi))) / 64 > 0.85"
+
+
+def _signatures(spark: SparkSession, d: str) -> DataFrame:
     bits = F.expr(" | ".join(f"shiftleft(if(get(embedding, {i}) > 0, 1L, 0L), {i})" for i in range(64)))
-    h = table(spark, d, "embeddings").select("vec_id", bits.alias("bits"))
-    # Equal signatures are one from here on; their vectors are paired at the end.
-    own = h.select("bits").distinct()
+    return table(spark, d, "embeddings").select("vec_id", bits.alias("bits"))
+
+
+def _similar_signatures(own: DataFrame) -> DataFrame:
+    """Pairs x < y of distinct signatures (bits) that are similar."""
     part = lambda at, n: F.shiftrightunsigned("bits", at).bitwiseAND(F.lit((1 << n) - 1))
     exact = [F.struct(F.lit(k).alias("band"), part(at, n).alias("v")) for k, (at, n) in enumerate(_J22_BANDS)]
     near = [F.struct(F.lit(k).alias("band"), part(at, n).bitwiseXOR(F.lit(m)).alias("v")) for k, (at, n) in enumerate(_J22_BANDS) for m in [0, *(1 << j for j in range(n))]]
     one, other = own.select(F.col("bits").alias("x"), F.inline(F.array(*exact))), own.select(F.col("bits").alias("y"), F.inline(F.array(*near)))
-    met = one.join(other, ["band", "v"]).filter((F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= _J22_RADIUS)).select("x", "y").distinct()
+    return one.join(other, ["band", "v"]).filter((F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= _J22_RADIUS)).select("x", "y").distinct()
+
+
+@query("j22_bit_similarity", f"{_J22_SQL}, c AS (SELECT lo, hi, min(vec_id) AS rep FROM h GROUP BY ALL) SELECT a.rep AS a, b.rep AS b FROM c a JOIN c b ON a.rep < b.rep WHERE {_J22_ALIKE} UNION ALL SELECT rep, vec_id FROM h JOIN c ON h.lo = c.lo AND h.hi = c.hi WHERE vec_id <> rep")
+def j22(spark: SparkSession, d: str) -> DataFrame:
+    """Similar pairs of class representatives (the smallest id of a signature), and each representative with its members."""
+    h = _signatures(spark, d)
+    classes = h.groupBy("bits").agg(F.min("vec_id").alias("rep"))
+    met = _similar_signatures(classes.select("bits"))
+    one, other = classes.select(F.col("bits").alias("x"), F.col("rep").alias("p")), classes.select(F.col("bits").alias("y"), F.col("rep").alias("q"))
+    apart = met.join(one, "x").join(other, "y").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    return apart.unionByName(h.join(classes, "bits").filter("vec_id <> rep").select(F.col("rep").alias("a"), F.col("vec_id").alias("b")))
+
+
+@query("j22_bit_similarity_all", f"{_J22_SQL} SELECT a.vec_id AS a, b.vec_id AS b FROM h a JOIN h b ON a.vec_id < b.vec_id WHERE {_J22_ALIKE}")
+def j22_all(spark: SparkSession, d: str) -> DataFrame:
+    h = _signatures(spark, d)
+    # Equal signatures are one in the search; their vectors are paired at the end.
+    met = _similar_signatures(h.select("bits").distinct())
     left, right = h.select(F.col("vec_id").alias("p"), F.col("bits").alias("x")), h.select(F.col("vec_id").alias("q"), F.col("bits").alias("y"))
     apart = met.join(left, "x").join(right, "y").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
     return apart.unionByName(left.join(right, F.col("x") == F.col("y")).filter("p < q").select(F.col("p").alias("a"), F.col("q").alias("b")))

@@ -117,13 +117,12 @@ def f12(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", S.is_url(F.col("url")).alias("valid"), F.contains("url", F.lit("example.com")).alias("known"))
 
 
-@query("f13_file_size", "SELECT doc_id, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) ELSE printf('%.1f KB', n_chars / 1024) END AS size FROM documents WHERE n_chars * 10 % 1024 <> 512")
-def f13(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").filter("n_chars * 10 % 1024 <> 512").select("doc_id", S.file_size(F.col("n_chars")).alias("size"))
+_FILE_SIZE = "SELECT doc_id, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024) WHEN n_chars < 1073741824 THEN printf('%.1f MB', n_chars / 1048576) ELSE printf('%.1f GB', n_chars / 1073741824) END AS size FROM documents"
 
 
-@query("f13_file_size_all", "SELECT doc_id, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST(n_chars AS DOUBLE)) WHEN n_chars < 1048576 THEN printf('%.1f KB', n_chars / 1024) WHEN n_chars < 1073741824 THEN printf('%.1f MB', n_chars / 1048576) ELSE printf('%.1f GB', n_chars / 1073741824) END AS size FROM documents")
-def f13_all(spark: SparkSession, d: str) -> DataFrame:
+@query("f13_file_size", _FILE_SIZE)
+@query("f13_file_size_all", _FILE_SIZE)
+def f13(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", S.file_size(F.col("n_chars")).alias("size"))
 
 

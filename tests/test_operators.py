@@ -128,3 +128,46 @@ def test_streams_agree_with_batches(spark, tmp_path):
         out = []
         streaming.run_available(view(streaming.read_events(spark, str(tmp_path / "in"))), lambda batch, _, out=out: out.extend(batch.collect()), str(tmp_path / f"c{k}"), "complete")
         assert sorted(map(tuple, out)) == sorted(map(tuple, view(frame).collect()))
+
+
+def test_pick_diverse_matches_choosing_from_all_rows(spark):
+    rng = random.Random(41)
+    rows = [(v, i, rng.choice("abc"), rng.randrange(40) / 4, rng.randrange(8) / 4) for v in range(6) for i in range(v * 9)]
+    want = []
+    for v in range(6):
+        left, taken = [r for r in rows if r[0] == v], []
+        while left and len(taken) < 4:
+            def score(r, taken=taken):
+                n = sum(t[2] == r[2] for t in taken)
+                return 0.5 * r[3] + 0.3 * ((2.0 if n == 0 else 0.0) - (3.0 * n + (10.0 if n >= 2 else 0.0))) + 0.2 * r[4]
+
+            best = max(left, key=lambda r: (round(score(r), 9), -r[1]))
+            left.remove(best)
+            taken.append(best)
+            want.append((v, best[1], len(taken)))
+    frame = spark.createDataFrame(rows, "video long, id long, kind string, hard double, failed double")
+    assert sorted(tuple(r) for r in similarity.pick_diverse(frame, "video", "id", "kind", "hard", "failed").collect()) == sorted(want)
+
+
+def test_similar_pairs_ignore_white_space_at_the_ends(spark):
+    text = "a text of some length"
+    frame = spark.createDataFrame([(1, 1, text), (1, 2, text + "\n\n" * 40), (1, 3, "\u00a0\t" * 60 + text.upper()), (1, 4, None)], "v long, id long, text string")
+    assert sorted((r["a"], r["b"], r["ratio"]) for r in similarity.similar_pairs(frame, "v", "id", "text", 0.8).collect()) == [(1, 2, 1.0), (1, 3, 1.0), (2, 3, 1.0)]
+
+
+def test_dedupe_replacing_matches_a_plain_fold(spark):
+    rng = random.Random(42)
+    words = ["go", "stop", "run", "wait"]
+    rows = [(v, i, " ".join(rng.choices(words, k=3)), rng.randrange(10)) for v in range(3) for i in range(25)]
+    want = []
+    for v in range(3):
+        kept = []
+        for r in (r for r in rows if r[0] == v):
+            like = [i for i, k in enumerate(kept) if similarity.ratio(r[2], k[2]) > 0.8]
+            if not like:
+                kept.append(r)
+            elif r[3] > kept[like[0]][3]:
+                kept[like[0]] = r
+        want += [(v, k[1]) for k in kept]
+    got = similarity.dedupe_replacing(spark.createDataFrame(rows, "v long, i long, text string, score long"), "v", "i", "text", "score", 0.8).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
