@@ -3,8 +3,8 @@
 Two texts are linked if the Jaccard similarity of their sets of word shingles reaches a threshold; every link
 is verified on the whole sets. Pairs to compare come from the anchors of the SimHash fingerprints and, as
 texts at 0.8 differ in 10 of 64 bits where anchors reach 4, from bands of minimal hashes too. A band's bucket
-is first compared with one member; after that only members that the links so far leave in different
-components are compared, each with all others of the bucket, so a large group of near copies costs no pairs within.
+is first compared with the member that meets most others; after that only members that the links so far leave in different
+components are compared, inside tasks that hand out links alone, so a large group of near copies makes no pairs.
 """
 
 from __future__ import annotations
@@ -17,13 +17,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import checkpointed, join_counted, ship, text_or_empty
+from quillstone.llm.common import broadcast_if_small, checkpointed, join_counted, ship, text_or_empty
 from quillstone.llm.components import connected_components
 from quillstone.llm.simhash import fingerprint, fingerprint_links, shingles_of
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity s shares no band with a chance of (1 - s ** BAND_ROWS) ** BANDS: 1 in 20,000 at 0.8.
 BANDS, BAND_ROWS = 25, 5
+#: Members of a bucket that one task compares.
+CELL = 4096
 _FACTORS = np.random.default_rng(5).integers(0, 2**31, BANDS * BAND_ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
 _ADDENDS = np.random.default_rng(6).integers(0, 2**32, BANDS * BAND_ROWS, np.uint32)
 
@@ -82,7 +84,65 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(common / (F.size("s_a") + F.size("s_b") - common) >= similarity).select("a", "b")
 
 
-def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def _links_within(node: np.ndarray, root: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links that join all components (root) of one bucket that similar sets connect; shingles holds the sets end to end."""
+    if (root == root[0]).all():
+        return []
+    number, root, out = np.unique(shingles, return_inverse=True)[1].ravel(), root.copy(), []
+    begin = np.cumsum(sizes) - sizes
+    mine = np.zeros(int(number.max()) + 1, np.int32)
+    for i in range(len(node) - 1):
+        own = number[begin[i] : begin[i] + sizes[i]]
+        mine[own] = 1
+        common = np.add.reduceat(mine[number[begin[i + 1] :]], begin[i + 1 :] - begin[i + 1])
+        mine[own] = 0
+        near = i + 1 + np.flatnonzero(common >= similarity * (sizes[i] + sizes[i + 1 :] - common) - 1e-9)
+        for j in near[root[near] != root[i]]:
+            if root[j] != root[i]:
+                out.append((int(node[i]), int(node[j])))
+                root[root == root[j]] = root[i]
+        if (root == root[0]).all():
+            break
+    return out
+
+
+def _compared(members: DataFrame, similarity: float, cell: int) -> DataFrame:
+    """Links (a, b) within the buckets of members(key, node, root, shingles); a bucket of over cell members is a triangle of
+    cells: each member goes to the cells of its piece with every piece."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+            key = rows["cell"].to_numpy()
+            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
+            if last:
+                yield links(rows.slice(0, last))
+            held = rows.slice(last)
+        if held is not None and len(held):
+            yield links(held)
+
+    def links(rows: pa.Table) -> pa.RecordBatch:
+        key, node, root = (rows[c].to_numpy() for c in ("cell", "node", "root"))
+        sets = rows["shingles"].combine_chunks()
+        sets = sets if isinstance(sets, pa.ListArray) else pa.concat_arrays(sets.chunks)
+        shingles, sizes = sets.flatten().to_numpy(), np.diff(sets.offsets.to_numpy())
+        ends, starts, out = np.cumsum(sizes), np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]), []
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            out += _links_within(node[a:b], root[a:b], sizes[a:b], shingles[ends[a] - sizes[a] : ends[b - 1]], similarity)
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell).select("key", F.ceil(F.col("n") / cell * 2).cast("int").alias("pieces"))
+    dealt = members.join(broadcast_if_small(checkpointed(crowded)), "key", "left")
+    piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
+    cells = F.when(F.col("pieces").isNull(), F.array(F.col("key"))).otherwise(
+        F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda j: F.xxhash64("key", F.least(j, piece), F.greatest(j, piece)))
+    )
+    keyed = dealt.select(F.explode(cells).alias("cell"), "node", "root", "shingles")
+    return keyed.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(compare, "a long, b long")
+
+
+def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, cell: int = CELL) -> DataFrame:
     """One row per input row: doc_id, component_id.
 
     component_id is the smallest id that links reach, itself included; links join texts whose sets of
@@ -97,8 +157,13 @@ def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     # Equal sets are one node from here on, so a hot text costs no more than a rare one.
     nodes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("th").alias("th"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies")))
     keyed = rows.select("node", "n", F.explode("bands").alias("key")).distinct()
-    shared = keyed.groupBy("key").agg(F.min(F.struct("node", "n")).alias("first"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("key", "first")
-    met = checkpointed(keyed.join(shared, "key"))
+    crowd = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    crowded = checkpointed(keyed.join(crowd, "key"))
+    # A bucket is compared with the member that meets most texts in all its buckets: of edited copies, the original.
+    weights = crowded.groupBy("node").agg(F.sum("members").alias("weight"))
+    weighed = checkpointed(crowded.join(weights, "node"))
+    shared = weighed.groupBy("key").agg(F.max(F.struct("weight", "node", "n")).alias("first"))
+    met = checkpointed(weighed.select("key", "node", "n").join(shared, "key"))
 
     # Fingerprints within reach of an anchor: their first nodes are compared, and the nodes of one fingerprint with its first.
     by_fp = checkpointed(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n")))
@@ -117,14 +182,11 @@ def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     links = checkpointed(_verified(stars, sets, similarity))
     roots = connected_components(links).select("node", "root")
 
-    # Pairs of different components are all that is left; one of the two is not in its bucket's largest.
+    # Pairs of different components are all that is left; tasks compare them bucket by bucket.
     placed = checkpointed(met.select("key", "node", "n").join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root")))
-    parts = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
-    split = parts.groupBy("key").agg(F.max(F.struct("size", "root")).alias("most"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("key", F.col("most.root").alias("main"))
-    mixed = checkpointed(placed.join(split, "key"))
-    minor = mixed.filter(F.col("root") != F.col("main")).select("key", F.col("node").alias("y"), F.col("n").alias("m"), F.col("root").alias("other"))
-    cross = mixed.join(minor, "key").filter((F.col("root") != F.col("other")) & alike("n", "m")).select(F.least("node", "y").alias("a"), F.greatest("node", "y").alias("b")).distinct()
-    more = _verified(cross.join(stars, ["a", "b"], "left_anti"), sets, similarity)
+    split = checkpointed(placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high"))
+    mixed = placed.join(split.select("key"), "key").select("key", "node", "root")
+    more = checkpointed(_compared(mixed.join(sets, "node"), similarity, cell).distinct())
 
     whole = checkpointed(connected_components(links.unionByName(more)))
     rooted = nodes.join(whole, "node").select("node", "root", "least_id")

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline
 from quillstone.llm import near_copies, simhash
 
@@ -50,9 +52,10 @@ def cases():
     return rows
 
 
-def test_components_are_those_of_all_pairs(spark):
+@pytest.mark.parametrize("cell", [near_copies.CELL, 4])
+def test_components_are_those_of_all_pairs(spark, cell):
     rows = cases()
-    got = near_copies.near_copy_components(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    got = near_copies.near_copy_components(spark.createDataFrame(rows, SCHEMA).repartition(3), cell=cell).collect()
     assert sorted(((r["doc_id"], r["component_id"]) for r in got), key=repr) == sorted(zip((i for i, _ in rows), brute(rows), strict=True), key=repr)
     assert near_copies.near_copy_components(spark.createDataFrame([], SCHEMA)).count() == 0
 
