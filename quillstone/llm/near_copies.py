@@ -84,14 +84,14 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(common / (F.size("s_a") + F.size("s_b") - common) >= similarity).select("a", "b")
 
 
-def _links_within(node: np.ndarray, root: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, similarity: float) -> list[tuple[int, int]]:
-    """Links that join all components (root) of one bucket that similar sets connect; shingles holds the sets end to end."""
+def _links_within(root: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links between the components (root) of one bucket that similar sets connect; shingles holds the sets end to end."""
     if (root == root[0]).all():
         return []
-    number, root, out = np.unique(shingles, return_inverse=True)[1].ravel(), root.copy(), []
+    number, given, root, out = np.unique(shingles, return_inverse=True)[1].ravel(), root, root.copy(), []
     begin = np.cumsum(sizes) - sizes
     mine = np.zeros(int(number.max()) + 1, np.int32)
-    for i in range(len(node) - 1):
+    for i in range(len(root) - 1):
         own = number[begin[i] : begin[i] + sizes[i]]
         mine[own] = 1
         common = np.add.reduceat(mine[number[begin[i + 1] :]], begin[i + 1 :] - begin[i + 1])
@@ -99,7 +99,7 @@ def _links_within(node: np.ndarray, root: np.ndarray, sizes: np.ndarray, shingle
         near = i + 1 + np.flatnonzero(common >= similarity * (sizes[i] + sizes[i + 1 :] - common) - 1e-9)
         for j in near[root[near] != root[i]]:
             if root[j] != root[i]:
-                out.append((int(node[i]), int(node[j])))
+                out.append((int(given[i]), int(given[j])))
                 root[root == root[j]] = root[i]
         if (root == root[0]).all():
             break
@@ -107,7 +107,7 @@ def _links_within(node: np.ndarray, root: np.ndarray, sizes: np.ndarray, shingle
 
 
 def _compared(members: DataFrame, similarity: float, cell: int) -> DataFrame:
-    """Links (a, b) within the buckets of members(key, node, root, shingles); a bucket of over cell members is a triangle of
+    """Links (a, b) between roots within the buckets of members(key, node, root, shingles); a bucket of over cell members is a triangle of
     cells: each member goes to the cells of its piece with every piece."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,13 +123,13 @@ def _compared(members: DataFrame, similarity: float, cell: int) -> DataFrame:
             yield links(held)
 
     def links(rows: pa.Table) -> pa.RecordBatch:
-        key, node, root = (rows[c].to_numpy() for c in ("cell", "node", "root"))
+        key, root = (rows[c].to_numpy() for c in ("cell", "root"))
         sets = rows["shingles"].combine_chunks()
         sets = sets if isinstance(sets, pa.ListArray) else pa.concat_arrays(sets.chunks)
         shingles, sizes = sets.flatten().to_numpy(), np.diff(sets.offsets.to_numpy())
         ends, starts, out = np.cumsum(sizes), np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]]), []
         for a, b in zip(starts[:-1], starts[1:], strict=True):
-            out += _links_within(node[a:b], root[a:b], sizes[a:b], shingles[ends[a] - sizes[a] : ends[b - 1]], similarity)
+            out += _links_within(root[a:b], sizes[a:b], shingles[ends[a] - sizes[a] : ends[b - 1]], similarity)
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell).select("key", F.ceil(F.col("n") / cell * 2).cast("int").alias("pieces"))
@@ -188,10 +188,12 @@ def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     mixed = placed.join(split.select("key"), "key").select("key", "node", "root")
     more = checkpointed(_compared(mixed.join(sets, "node"), similarity, cell).distinct())
 
-    whole = checkpointed(connected_components(links.unionByName(more)))
-    rooted = nodes.join(whole, "node").select("node", "root", "least_id")
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    linked = rooted.join(least, "root").select("node", "component_id")
-    by_node = checkpointed(nodes.join(linked, "node", "left").select("node", F.col("copies").alias("n"), F.coalesce("component_id", "least_id").alias("component_id")))
+    # Components are joined by their roots, of which there are fewer than nodes; a large component's root is a frequent key.
+    tops = connected_components(more).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    rooted = checkpointed(nodes.join(roots, "node", "left").select("node", "least_id", "copies", F.coalesce("root", "node").alias("root")))
+    by_root = checkpointed(rooted.groupBy("root").agg(F.min("least_id").alias("least_id"), F.count(F.lit(1)).alias("n")).join(tops, "root", "left").withColumn("top", F.coalesce("top", "root")))
+    least = by_root.groupBy("top").agg(F.min("least_id").alias("component_id"))
+    found = checkpointed(by_root.join(least, "top").select("root", "n", "component_id"))
+    by_node = checkpointed(join_counted(rooted, found, "root", rooted.count()).select("node", F.col("copies").alias("n"), "component_id"))
     total = nodes.agg(F.sum("copies")).first()[0] or 0
     return join_counted(rows.select("doc_id", "node"), by_node, "node", total).select("doc_id", "component_id")
