@@ -15,14 +15,16 @@ import heapq
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from quillstone.llm.common import ship, text_or_empty
 from quillstone.llm.pieces import SPACE, Vocabulary, model_bytes, vocabulary
 
-#: Chunks longer than this get a heap; a worker keeps two generations of so many encoded chunks.
-LIST_WIDTH, KEPT_CHUNKS = 48, 400_000
+#: Chunks longer than this get a heap; a worker keeps two generations of so many encoded chunks, of about 200 bytes each,
+#: for as long as it lives, beside what later stages need.
+LIST_WIDTH, KEPT_CHUNKS = 48, 200_000
 _NEVER = float("inf")
 
 
@@ -93,8 +95,8 @@ class Codec:
     def __init__(self, proto: bytes):
         self.vocab = vocabulary(proto)
         self.agenda = Agenda(self.vocab)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.older: dict[str, bytes] = {}
         self.disputed: set[str] = set()
 
     def _library(self, chunks: list[str]) -> list[list[int]]:
@@ -114,7 +116,7 @@ class Codec:
             if list(own) != checked:
                 self.disputed.add(c)
                 own = tuple(checked)
-            known[c] = own
+            known[c] = np.array(own, np.int32).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], bool]]:
         """Per text: ids, and whether the library agrees on every chunk."""
@@ -122,7 +124,7 @@ class Codec:
         self._learn(chunked)
         get = self.known.__getitem__
         for cs in chunked:
-            yield list(chain.from_iterable(map(get, cs))), not self.disputed or self.disputed.isdisjoint(cs)
+            yield np.frombuffer(b"".join(map(get, cs)), np.int32).tolist(), not self.disputed or self.disputed.isdisjoint(cs)
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.vocab.library.decode(ids) if ids else []
