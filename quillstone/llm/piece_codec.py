@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from quillstone.llm.common import ship, text_or_empty
 from quillstone.llm.pieces import SPACE, Vocabulary, model_bytes, vocabulary
 
-#: Chunks longer than this get a heap; a worker keeps two generations of so many encoded chunks, of about 200 bytes each,
-#: for as long as it lives, beside what later stages need.
-LIST_WIDTH, KEPT_CHUNKS = 48, 200_000
+#: Chunks longer than this get a heap; a task keeps two generations of so many encoded chunks, of about 150 bytes each;
+#: the newer stays in the worker for later tasks, beside what other stages need.
+LIST_WIDTH, KEPT_CHUNKS = 48, 400_000
 _NEVER = float("inf")
 
 
@@ -126,6 +126,10 @@ class Codec:
         for cs in chunked:
             yield np.frombuffer(b"".join(map(get, cs)), np.int32).tolist(), not self.disputed or self.disputed.isdisjoint(cs)
 
+    def rest(self) -> None:
+        """Give up the older generation, between tasks."""
+        self.older = {}
+
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.vocab.library.decode(ids) if ids else []
 
@@ -173,6 +177,7 @@ def piece_codec(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     names=["doc_id", "ids", "decoded", "library_agrees"],
                 )
                 start += len(texts)
+        codec.rest()
 
     return docs.select(docs[id_col].alias("doc_id"), text_or_empty(text_col)).mapInArrow(run, f"doc_id {id_type.simpleString()}, ids array<int>, decoded string, library_agrees boolean")
 
@@ -196,5 +201,6 @@ def piece_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 agrees += [c[1] for c in coded]
                 decoded += [sha(t) for t in codec.decode([c[0] for c in coded])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), pa.array(agrees, pa.bool_())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "library_agrees"])
+        codec.rest()
 
     return docs.select(docs[id_col].alias("doc_id"), text_or_empty(text_col)).mapInArrow(run, f"doc_id {id_type.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string, library_agrees boolean")
