@@ -9,9 +9,12 @@ from quillstone.llm.chat_format import OP9_SQL, chat_digest, format_chat
 from quillstone.llm.common import crc_mod, table
 from quillstone.llm.decontaminate import benchmark_matches
 from quillstone.llm.exact_dedup import OP10_SQL, exact_dedup
+from quillstone.llm.fill_middle import OP13_SQL, fill_middle
 from quillstone.llm.html_text import extract_text
 from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import OP3_SQL, line_dedup
+from quillstone.llm.merkle import OP11_SQL, dataset_manifest, tampered_text
+from quillstone.llm.packing import pack, pieces_digest
 from quillstone.llm.piece_codec import piece_digest
 from quillstone.llm.repeats import remove_repeats, repeats_digest
 from quillstone.llm.simhash import simhash_components
@@ -67,5 +70,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op8_repeats": op8_repeats, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup}
-SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_manifest(table(spark, sf_dir, "documents"), tampered=tampered_text())
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_digest(pack(table(spark, sf_dir, "documents")))
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle(table(spark, sf_dir, "documents"), ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"))
+
+
+QUERIES = {"op1_language_id": op1_language_id, "op2_piece_codec": op2_piece_codec, "op3_line_dedup": op3_line_dedup, "op4_html_text": op4_html_text, "op5_simhash": op5_simhash, "op6_decontaminate": op6_decontaminate, "op7_toxicity": op7_toxicity, "op8_repeats": op8_repeats, "op9_chat_format": op9_chat_format, "op10_exact_dedup": op10_exact_dedup, "op11_merkle": op11_merkle, "op12_packing": op12_packing, "op13_fill_middle": op13_fill_middle}
+SQL = {"op3_line_dedup": OP3_SQL, "op9_chat_format": OP9_SQL, "op10_exact_dedup": OP10_SQL, "op11_merkle": OP11_SQL, "op13_fill_middle": OP13_SQL}
