@@ -76,16 +76,8 @@ def _common(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_distinct(a), F.lit(0), lambda acc, s: acc + F.least(F.size(F.filter(a, lambda x: x == s)), F.size(F.filter(b, lambda x: x == s))))
 
 
-def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """One row per document and item that match: doc_id, item_id, similarity, start_word, n_words, hamming.
-
-    A document matches an item if some window of as many words as the item (the whole document, if that is
-    shorter) has a weighted Jaccard similarity of its shingle multiset of ``similarity`` or more, and a
-    fingerprint within ``radius`` bits. The most similar window is returned, the first of equals. Items
-    with fewer words than ``shingle`` use shingles of all their words; items without words match nothing;
-    nor do documents that have fewer words than an item's shingles. Null texts count as empty. Rows of
-    one id and equal text are one document; repeated items are one item. Ids may be null.
-    """
+def _matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """As benchmark_matches, with th, the hash of the document's text."""
     every = (
         benchmark.select(F.col(item_col).alias("item_id"), words_of(text_or_empty(item_text_col)).alias("words")).filter(F.size("words") > 0)
         .dropDuplicates(["item_id", "words"])
@@ -146,11 +138,25 @@ def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
     verified = windows.join(checkpointed(similar.filter(F.col("similarity") >= similarity)), ["length", "window"])
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words", "hamming"))
     return verified.groupBy("doc_id", "th", "item_id").agg(best.alias("best")).select(
-        "doc_id", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).cast("long").alias("start_word"), F.col("best.n_words").cast("long").alias("n_words"), F.col("best.hamming").cast("long").alias("hamming"),
+        "doc_id", "th", "item_id", F.col("best.similarity").alias("similarity"), (-F.col("best.back")).cast("long").alias("start_word"), F.col("best.n_words").cast("long").alias("n_words"), F.col("best.hamming").cast("long").alias("hamming"),
     )
 
 
+def benchmark_matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """One row per document and item that match: doc_id, item_id, similarity, start_word, n_words, hamming.
+
+    A document matches an item if some window of as many words as the item (the whole document, if that is
+    shorter) has a weighted Jaccard similarity of its shingle multiset of ``similarity`` or more, and a
+    fingerprint within ``radius`` bits. The most similar window is returned, the first of equals. Items
+    with fewer words than ``shingle`` use shingles of all their words; items without words match nothing;
+    nor do documents that have fewer words than an item's shingles. Null texts count as empty. Rows of
+    one id and equal text are one document; repeated items are one item. Ids may be null.
+    """
+    return _matches(docs, benchmark, id_col, text_col, item_col, item_text_col, shingle, similarity, radius).drop("th")
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
-    """docs without the rows whose document matches an item; a row with a null id goes if a row without an id matches."""
-    dirty = checkpointed(benchmark_matches(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("__dirty")).distinct())
-    return docs.join(broadcast_if_small(dirty), docs[id_col].eqNullSafe(F.col("__dirty")), "left_anti")
+    """docs without the rows whose document matches an item; rows that share an id, or have none, are judged by their own texts."""
+    dirty = checkpointed(_matches(docs, benchmark, id_col, text_col, **options).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct())
+    here = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__th"))
+    return docs.join(broadcast_if_small(dirty), here, "left_anti")

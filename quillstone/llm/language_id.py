@@ -8,13 +8,13 @@ expectation-maximisation: forward-backward gives the expected number of times ea
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +26,13 @@ FIT_DOCS = 600
 ROUNDS, SMOOTHING = 2, 0.05
 #: Probability of a character that is no piece, alike in all languages.
 UNKNOWN = 1e-7
-#: Words held by a worker.
-KEPT_WORDS = 200_000
+#: Words held by a worker, and their characters.
+KEPT_WORDS, KEPT_CHARS = 200_000, 8_000_000
 #: Keeps products of small probabilities in range: each character counts this many times more, and sums are brought
 #: back to 1 every STEP characters. Characters of the words looked at together, and starts of very long ones.
 _LIFT, STEP, CELLS, COLUMNS = 32.0, 8, 1 << 18, 1 << 14
-_WORD = re.compile(r"[^\W\d_]+")
+#: A letter, then letters and the marks that combine with them; numbers of any kind are none.
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 
 
 @dataclass
@@ -210,29 +211,33 @@ class Scorer:
     def __init__(self, model: LanguageModel, proto: bytes):
         self.model, self.index = model, _index(proto)
         self.place: dict[str, int] = {}
+        self.chars = 0
         self.table = np.empty((KEPT_WORDS, len(model.langs) + 1))  # log likelihoods by language, and by letters
 
     def _learn(self, words: set[str]) -> None:
         new = sorted(w for w in words if w not in self.place)
-        if len(self.place) + len(new) > KEPT_WORDS:
+        if len(self.place) + len(new) > KEPT_WORDS or self.chars > KEPT_CHARS:
             self.place.clear()
+            self.chars = 0
             new = sorted(words)
         if len(new) > len(self.table):
             self.table = np.empty((len(new), self.table.shape[1]))
         if new:
+            self.chars += sum(map(len, new))
             begin, usual = len(self.place), sum(np.exp(x) * x for x in self.model.letters.values())  # a strange letter counts like others on average
             rows = self.table[begin : begin + len(new)]
             rows[:, :-1] = word_log_likelihoods(self.index, self.model.probs, [SPACE + w for w in new])
             rows[:, -1] = [sum(self.model.letters.get(c, usual) for c in SPACE + w) for w in new]
             self.place.update(zip(new, range(begin, begin + len(new)), strict=True))
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
-        langs, scores, evidence = [], [], []
+    def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float], list[int]]:
+        langs, scores, evidence, letters = [], [], [], []
         for at in range(0, len(texts), 256):
             split = [words_of(t) for t in texts[at : at + 256]]
             if self.model.langs:
                 self._learn({w for ws in split for w in ws})
             for ws in split:
+                letters.append(sum(map(len, ws)))
                 if not ws or not self.model.langs:
                     langs.append("und")
                     scores.append(0.0)
@@ -245,34 +250,34 @@ class Scorer:
                 langs.append(self.model.langs[best])
                 scores.append(float(shares[best] / shares.sum()))
                 evidence.append(float(sums[best] - sums[-1]))
-        return langs, scores, evidence
+        return langs, scores, evidence, letters
 
 
 def language_column(model: LanguageModel, spark, text: Column, model_path: str | None = None) -> Column:
-    """struct(lang_pred, score, evidence) of a text column; null texts and texts without a letter get ('und', 0, 0)."""
+    """struct(lang_pred, score, evidence, letters) of a text column; null texts and texts without a letter get ('und', 0, 0, 0)."""
     ship(spark)
     sent = spark.sparkContext.broadcast((model, model_bytes(model_path)))
 
-    @F.pandas_udf("lang_pred string, score double, evidence double")
+    @F.pandas_udf("lang_pred string, score double, evidence double, letters long")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(*sent.value)
         for texts in batches:
-            langs, scores, evidence = scorer.predict(texts.tolist())
-            yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype="object"), "score": pd.Series(scores, dtype="float64"), "evidence": pd.Series(evidence, dtype="float64")})
+            langs, scores, evidence, letters = scorer.predict(texts.tolist())
+            yield pd.DataFrame({"lang_pred": pd.Series(langs, dtype="object"), "score": pd.Series(scores, dtype="float64"), "evidence": pd.Series(evidence, dtype="float64"), "letters": pd.Series(letters, dtype="int64")})
 
     return predict(F.coalesce(text, F.lit("")))
 
 
 def identify_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", model_path: str | None = None) -> DataFrame:
-    """All columns of docs plus lang_pred, score and evidence.
+    """All columns of docs plus lang_pred, score, evidence and letters.
 
     lang_pred is a learned language, the first by name of equal ones, and ``und`` for a null text, one
     without a letter, or a model without languages; score is its posterior probability, 0 for ``und``.
     evidence tells how much better that language explains the text than letters drawn one by one from all
     languages do: the difference of the text's log likelihoods, far below 0 for text of no learned language.
-    Only text_col is read. Columns named lang_pred, score or evidence are replaced. Repeated rows give repeated rows.
+    letters counts letters and their marks. Only text_col is read. Columns of these names are replaced. Repeated rows give repeated rows.
     """
-    new = ("lang_pred", "score", "evidence")
+    new = ("lang_pred", "score", "evidence", "letters")
     own = [c for c in docs.columns if c not in new]
     found = docs.select(*own, language_column(model, docs.sparkSession, text_or_empty(text_col), model_path).alias("__found"))
     return found.select(*own, *[F.col(f"__found.{c}").alias(c) for c in new])

@@ -24,8 +24,8 @@ from quillstone.llm.simhash import fingerprint, fingerprint_links, shingles_of
 SHINGLE, SIMILARITY = 5, 0.8
 #: A pair of similarity s shares no band with a chance of (1 - s ** BAND_ROWS) ** BANDS: 1 in 20,000 at 0.8.
 BANDS, BAND_ROWS = 25, 5
-#: Members of a bucket that one task compares.
-CELL = 4096
+#: Members of a bucket, and hashes in their sets, that one task compares; a larger set is a piece of its own.
+CELL, CELL_HASHES = 4096, 1 << 20
 _FACTORS = np.random.default_rng(5).integers(0, 2**31, BANDS * BAND_ROWS, np.uint32) * np.uint32(2) + np.uint32(1)
 _ADDENDS = np.random.default_rng(6).integers(0, 2**32, BANDS * BAND_ROWS, np.uint32)
 
@@ -107,8 +107,8 @@ def _links_within(root: np.ndarray, sizes: np.ndarray, shingles: np.ndarray, sim
 
 
 def _compared(members: DataFrame, similarity: float, cell: int) -> DataFrame:
-    """Links (a, b) between roots within the buckets of members(key, node, root, shingles); a bucket of over cell members is a triangle of
-    cells: each member goes to the cells of its piece with every piece."""
+    """Links (a, b) between roots within the buckets of members(key, node, root, shingles); a bucket of over cell members, or CELL_HASHES hashes, is a
+    triangle of cells: each member goes to the cells of its piece with every piece."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -132,7 +132,8 @@ def _compared(members: DataFrame, similarity: float, cell: int) -> DataFrame:
             out += _links_within(root[a:b], sizes[a:b], shingles[ends[a] - sizes[a] : ends[b - 1]], similarity)
         return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    crowded = members.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell).select("key", F.ceil(F.col("n") / cell * 2).cast("int").alias("pieces"))
+    load = F.greatest(F.count(F.lit(1)) / cell, F.sum(F.size("shingles")) / CELL_HASHES)
+    crowded = members.groupBy("key").agg(load.alias("load")).filter("load > 1").select("key", F.ceil(F.col("load") * 2).cast("int").alias("pieces"))
     dealt = members.join(broadcast_if_small(checkpointed(crowded)), "key", "left")
     piece = F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int")
     cells = F.when(F.col("pieces").isNull(), F.array(F.col("key"))).otherwise(
@@ -142,20 +143,14 @@ def _compared(members: DataFrame, similarity: float, cell: int) -> DataFrame:
     return keyed.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(compare, "a long, b long")
 
 
-def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, cell: int = CELL) -> DataFrame:
-    """One row per input row: doc_id, component_id.
-
-    component_id is the smallest id that links reach, itself included; links join texts whose sets of
-    ``shingle``-word shingles have a Jaccard similarity of ``similarity`` or more. A text of fewer words
-    is one shingle; texts without words are copies of each other. Null ids are never the smallest
-    unless a component has no other. Repeated rows give repeated rows.
-    """
+def _components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, cell: int = CELL) -> DataFrame:
+    """One row per input row: doc_id, th (hash of the text), first (doc_id and th of the component's first row)."""
     ship(docs.sparkSession)
     text = text_or_empty(text_col)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("th"), text.alias("text"))
     rows = checkpointed(_sketched(texts, shingle))
     # Equal sets are one node from here on, so a hot text costs no more than a rare one.
-    nodes = checkpointed(rows.groupBy("node").agg(F.min("doc_id").alias("least_id"), F.min("th").alias("th"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies")))
+    nodes = checkpointed(rows.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("least_id"), F.min("th").alias("th"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("copies")))
     keyed = rows.select("node", "n", F.explode("bands").alias("key")).distinct()
     crowd = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     crowded = checkpointed(keyed.join(crowd, "key"))
@@ -196,4 +191,32 @@ def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     found = checkpointed(by_root.join(least, "top").select("root", "n", "component_id"))
     by_node = checkpointed(join_counted(rooted, found, "root", rooted.count()).select("node", F.col("copies").alias("n"), "component_id"))
     total = nodes.agg(F.sum("copies")).first()[0] or 0
-    return join_counted(rows.select("doc_id", "node"), by_node, "node", total).select("doc_id", "component_id")
+    return join_counted(rows.select("doc_id", "th", "node"), by_node, "node", total).select("doc_id", "th", F.col("component_id").alias("first"))
+
+
+def near_copy_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, cell: int = CELL) -> DataFrame:
+    """One row per input row: doc_id, component_id.
+
+    component_id is the smallest id that links reach, itself included; links join texts whose sets of
+    ``shingle``-word shingles have a Jaccard similarity of ``similarity`` or more. A text of fewer words
+    is one shingle; texts without words are copies of each other. Null ids are never the smallest
+    unless a component has no other. Repeated rows give repeated rows.
+    """
+    return _components(docs, id_col, text_col, shingle, similarity, cell).select("doc_id", F.col("first.doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+    """docs with one row of each component: that of the smallest id, then of the smallest text hash.
+
+    A row without an id stays only if its component has no other; of repeated rows (same id, same text) one stays, whichever. An id
+    that several unlike texts share is judged text by text.
+    """
+    found = checkpointed(_components(docs, id_col, text_col, **options))
+    first = found.filter(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th")))
+    stays = checkpointed(first.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(F.count(F.lit(1)).alias("__rows")))
+    hashed = docs.withColumn("__hash", F.xxhash64(text_or_empty(text_col)))
+    here = docs[id_col].eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th"))
+    once = hashed.join(stays.filter("__rows = 1"), here, "left_semi")
+    # Only texts of repeated rows are shuffled to be told apart.
+    again = hashed.join(broadcast_if_small(stays.filter("__rows > 1")), here, "left_semi").dropDuplicates([id_col, "__hash"])
+    return once.unionByName(again).select(*docs.columns)
