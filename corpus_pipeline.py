@@ -13,12 +13,12 @@ from quillstone.llm.common import table
 from quillstone.llm.decontaminate import decontaminate
 from quillstone.llm.language_id import fit_language_model, identify_language
 from quillstone.llm.line_dedup import line_dedup
-from quillstone.llm.near_copies import near_copy_components
+from quillstone.llm.near_copies import drop_near_copies
 from quillstone.llm.piece_codec import piece_codec
 
-#: A document is rejected if it has no letter, if no learned language has at least this share of the likelihood, or if
-#: letters drawn one by one explain it better than the language does, by a factor of which this is the logarithm.
-LEAST_LANGUAGE_SCORE, LEAST_EVIDENCE = 0.5, -30.0
+#: A document is rejected if it has no letter, if no learned language has at least this share of the likelihood, or if letters drawn
+#: one by one explain it better than the language does: by as many nats a letter, and so many in all that chance is ruled out.
+LEAST_LANGUAGE_SCORE, LEAST_EVIDENCE_A_LETTER, SURE = 0.5, -0.75, -12.0
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,29 +27,35 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     A null text, or one without letters, goes. Ids may be null or repeated; equal rows stay or go together.
     """
     found = identify_language(docs, fit_language_model(docs))
-    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE) & (F.col("evidence") >= LEAST_EVIDENCE)).select(*docs.columns)
+    foreign = (F.col("evidence") < SURE) & (F.col("evidence") < LEAST_EVIDENCE_A_LETTER * F.col("letters"))
+    return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE) & ~foreign).select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated three-line windows; one of which nothing is left goes."""
+    """Documents without repeated three-line windows; one of which nothing is left goes.
+
+    A null text becomes empty. Ids may be null or repeated: places are of texts under ids, in the order of both.
+    """
     cut = line_dedup(docs)
     left = (F.col("n_removed_lines") == 0) | (F.trim("text") != "")
     return cut.filter(left).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id in each group linked by a similarity of 0.8 of five-word shingles."""
-    stays = near_copy_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
-    return docs.join(stays, docs["doc_id"].eqNullSafe(F.col("__stays")), "left_semi").select(*docs.columns)
+    """One document of each group linked by a similarity of 0.8 of five-word shingles: that of the smallest id, a null id last.
+
+    Texts that share an id are judged each by itself; of repeated rows one stays; null and empty texts are copies of each other.
+    """
+    return drop_near_copies(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of the benchmark."""
+    """Documents that hold no passage of the benchmark; null and empty texts stay, and rows that share an id are judged by their texts."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, decoded, library_agrees of every document."""
+    """doc_id, n_tokens, ids, decoded, library_agrees of every document; a null text counts as empty, repeated rows give repeated rows."""
     return piece_codec(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded", "library_agrees")
 
 
@@ -60,7 +66,7 @@ STAGES = [
     ("decontamination", drop_benchmark),
     ("piece_codec", encode_pieces),
 ]
-#: Language scores and piece ids can't be computed in SQL; a test holds the near-dedup stage against brute force, the others have none here.
+#: Language scores and piece ids can't be computed in SQL; tests hold the stages, and a whole run, against what they are to keep.
 ORACLE_SQL = None
 
 
