@@ -12,14 +12,15 @@ import numpy as np
 import public_tokenizers
 
 #: Chunks up to this length are remembered by a worker, up to so many bytes; longer ones seldom come back.
-KEPT_LENGTH, KEPT_BYTES = 64, 160 << 20
+KEPT_LENGTH, KEPT_BYTES = 64, 256 << 20
 #: What a remembered chunk takes besides its characters.
 ENTRY_BYTES = 190
 DEFAULT_MODEL = "byte_bpe_50k.json"
 #: A byte-level vocabulary splits before every run of white space and between a letter and a point or comma, so a text can be cut there.
 #: Python's pattern takes four control characters for white space that the library doesn't.
 _CHUNKS = re.compile(r"[^\S\x1c-\x1f]*[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,;:!?])|[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+").findall
-_SPACED = re.compile(r"[^\S\x1c-\x1f]+[\S\x1c-\x1f]").match
+#: White space that chunks often begin with. Such a chunk can follow any that doesn't end with white space.
+_LEADS = " \n\t"
 
 
 def model_json(path: str | None = None) -> str:
@@ -57,15 +58,14 @@ class ByteBpe:
 
     def _learn(self, new: list[str]) -> list[str]:
         """Remember new chunks; returns the long ones, to be forgotten after use."""
-        spaced, rest = [], []
-        for c in new:
-            (spaced if _SPACED(c) else rest).append(c)
+        spaced = [c for c in new if c[0] in _LEADS and not c.isspace()]
+        rest = [c for c in new if c[0] not in _LEADS or c.isspace()]
         for some, encode in ((spaced, self._together), (rest, self._one_by_one)):
             for start in range(0, len(some), 4096):
                 part = some[start : start + 4096]
                 self.known.update(zip(part, encode(part), strict=True))
         long = [c for c in new if len(c) > KEPT_LENGTH]
-        self.held += sum(len(c) for c in new if len(c) <= KEPT_LENGTH) + ENTRY_BYTES * (len(new) - len(long))
+        self.held += sum(map(len, new)) - sum(map(len, long)) + ENTRY_BYTES * (len(new) - len(long))
         return long
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
