@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import scalars as S
-from quillstone.operators.folds import segment_scenes, sorted_rows
 from quillstone.operators.joins import band_join, nearest, nearest_within, range_join
 from quillstone.plans.base import query
 from quillstone.plans.scalars import over_sentences, sentences
@@ -41,12 +40,6 @@ def j28(spark: SparkSession, d: str) -> DataFrame:
     return words.filter("speaker = 'user'").select("video_id", "word").distinct().join(said, ["video_id", "word"], "left").select("video_id", "word", F.coalesce("grounded", F.lit(False)).alias("grounded"))
 
 
-@query("w08_scene_cuts")
-def w08(spark: SparkSession, d: str) -> DataFrame:
-    rows = sorted_rows(timeline(spark, d), ["video_id"], ["ms", "seq"], ["marker"])
-    return rows.select("video_id", F.explode(segment_scenes(F.col("rows"), "ms", "marker", 60.0, 20000)).alias("cut_ms"))
-
-
 @query("f15_matching_blocks")
 def f15(spark: SparkSession, d: str) -> DataFrame:
     from quillstone.operators.similarity import ratio

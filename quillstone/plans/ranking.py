@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.operators.folds import greedy_no_overlap, sorted_rows
+from quillstone.operators.exclusion import exclusive_spans
 from quillstone.plans.base import query
 from quillstone.sources.adapters import cost_log, detections, questions, segments, table, timeline, videos, with_views
 
@@ -30,11 +30,50 @@ def t02(spark: SparkSession, d: str) -> DataFrame:
     return page.withColumns({"n": n, "k": F.count(F.lit(1)).over(Window.partitionBy())}).filter("n <= 20").select("video_id", (F.col("k") > 20).alias("has_more"))
 
 
-@query("t03_priority_no_overlap")
+# What a frame must show for a type of question, and the protected radius of each mode, in seconds.
+FRAME_NEEDS = {
+    "Needle": ("has_text", "No visible text for Needle question"),
+    "Referential Grounding": ("has_text", "No visible text for Referential Grounding question"),
+    "Counting": ("objects >= 2", "Need 2+ objects for Counting question"),
+    "Object Interaction Reasoning": ("has_person", "No person detected for Object Interaction question"),
+    "Context": ("coalesce(scene, 'unknown') NOT IN ('unknown', '')", "No clear scene for Context question"),
+    "Subscene": ("coalesce(scene, 'unknown') NOT IN ('unknown', '')", "No clear scene for Subscene question"),
+    "Temporal Understanding": ("objects > 0 OR coalesce(scene, '') <> ''", "No visible content for Temporal Understanding question"),
+    "Sequential": ("objects > 0 OR coalesce(scene, '') <> ''", "No visible content for Sequential question"),
+    "Inference": ("objects > 0", "No visible action/object for Inference question"),
+    "General Holistic Reasoning": ("coalesce(scene, 'unknown') NOT IN ('unknown', '')", "No clear scene for General Holistic Reasoning question"),
+    "Comparative": ("objects >= 2", "Need 2+ objects/elements for Comparative question"),
+    "Audio-Visual Stitching": ("objects > 0 OR coalesce(scene, '') <> ''", "No visible content for Audio-Visual Stitching question"),
+    "Tackling Spurious Correlations": ("objects > 0 OR coalesce(scene, '') <> ''", "No visible content for Spurious Correlation question"),
+}
+MODE_RADII = {"precise": 5.0, "micro_temporal": 3.0, "inference_window": 2.0, "cluster": 0.0}
+#: Moments proposed on the timeline: an event each, whose type, mode, window and frame follow from its row.
+_MOMENT = {
+    "kind": "CASE seq % 13 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(FRAME_NEEDS)) + " END",
+    "mode": "CASE WHEN seq % 4 = 0 THEN 'cluster' WHEN seq % 4 = 1 THEN 'precise' WHEN seq % 4 = 2 THEN 'inference_window' ELSE 'micro_temporal' END",
+    "radius": "CAST(CASE WHEN seq % 9 = 0 THEN 9 WHEN seq % 4 = 1 THEN 5 WHEN seq % 4 = 2 THEN 2 ELSE 3 END AS DOUBLE)",
+    "start_ms": "CASE WHEN seq % 31 <> 0 THEN ms END",
+    "end_ms": "ms + CASE WHEN seq % 4 = 0 THEN 20000 ELSE 8000 END",
+    "objects": "marker % 5", "has_text": "marker % 3 <> 0", "has_person": "marker % 2 = 0", "scene": "CASE WHEN marker % 7 = 0 THEN 'unknown' WHEN marker % 11 = 0 THEN NULL ELSE event_type END",
+}
+_CONTENT = "CASE kind " + " ".join(f"WHEN '{k}' THEN CASE WHEN NOT ({need}) THEN 'Frame content: {text}' END" for k, (need, text) in FRAME_NEEDS.items()) + " END"
+_EXPECTED = "CASE mode " + " ".join(f"WHEN '{m}' THEN {r}" for m, r in MODE_RADII.items()) + " ELSE 5.0 END"
+_RADIUS = f"mode <> 'cluster' AND abs(radius - {_EXPECTED}) > 1.0"
+_EXCLUSIVE = f"""m AS (SELECT video_id, seq, score, {', '.join(f'{sql} AS {c}' for c, sql in _MOMENT.items())} FROM timeline),
+j AS (SELECT *, coalesce({_CONTENT}, CASE WHEN {_RADIUS} THEN 'Protected radius' END) AS early, row_number() OVER (PARTITION BY video_id ORDER BY score DESC NULLS LAST, seq) AS n FROM m),
+g AS (SELECT video_id, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::VARCHAR AS reason, NULL::BIGINT AS against, []::STRUCT(s BIGINT, e BIGINT, c BOOLEAN, k BIGINT)[] AS taken FROM (SELECT DISTINCT video_id FROM j) UNION ALL
+  SELECT video_id, n, seq, coalesce(early, CASE WHEN clash IS NOT NULL THEN 'overlap' END), clash, CASE WHEN early IS NULL AND clash IS NULL AND start_ms IS NOT NULL THEN list_append(taken, {{'s': start_ms, 'e': end_ms, 'c': mode = 'cluster', 'k': seq}}) ELSE taken END FROM (
+    SELECT j.*, g.taken, CASE WHEN early IS NULL THEN list_filter(g.taken, lambda t: t.c = (j.mode = 'cluster') AND j.start_ms < t.e AND j.end_ms > t.s AND (NOT t.c OR least(j.end_ms, t.e) - greatest(j.start_ms, t.s) > 0.5 * least(j.end_ms - j.start_ms, t.e - t.s)))[1].k END AS clash
+    FROM g JOIN j ON j.video_id = g.video_id AND j.n = g.n + 1))"""
+
+
+@query("t03_priority_no_overlap", with_views("timeline", "SELECT video_id, seq, reason IS NULL AS taken, reason, against FROM g WHERE n > 0", more=_EXCLUSIVE).replace("WITH ", "WITH RECURSIVE ", 1))
 def t03(spark: SparkSession, d: str) -> DataFrame:
-    t = timeline(spark, d).withColumns({"rank": -F.coalesce("score", F.lit(0.5)), "start_ms": F.col("ms"), "end_ms": F.col("ms") + 8000})
-    rows = sorted_rows(t, ["video_id"], ["rank", "seq"], ["start_ms", "end_ms"])
-    return rows.select("video_id", F.explode(greedy_no_overlap(F.col("rows"), "start_ms", "end_ms")).alias("r")).select("video_id", F.col("r.seq").alias("seq"))
+    t = timeline(spark, d)
+    moments = t.select("video_id", "seq", "score", *[F.expr(sql).alias(c) for c, sql in {**_MOMENT, "mode": _MOMENT["mode"]}.items()])
+    first = moments.withColumns({"content": F.expr(_CONTENT), "off": F.expr(_RADIUS)})
+    judged = exclusive_spans(first, "video_id", "seq", "score", "start_ms", "end_ms", F.col("mode") == "cluster", [("content", F.col("content").isNotNull()), ("Protected radius", F.col("off"))])
+    return judged.select("video_id", "seq", F.col("reason").isNull().alias("taken"), F.when(F.col("reason") == "content", F.col("content")).otherwise(F.col("reason")).alias("reason"), "against")
 
 
 @query("t05_round_robin_caps", with_views("timeline", "SELECT video_id, seq FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY n, event_type) AS place FROM (SELECT *, row_number() OVER (PARTITION BY video_id, event_type ORDER BY score DESC, seq) AS n FROM timeline) WHERE n <= 3) WHERE place <= 10"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.operators.folds import greedy_min_gap, sorted_rows
+from quillstone.operators.pieces import greedy_min_gap
 from quillstone.operators.joins import band_join, nearest_within, range_join
 from quillstone.plans.base import query
 from quillstone.sources.adapters import segments, timeline, with_views
@@ -38,11 +38,18 @@ def q02(spark: SparkSession, d: str) -> DataFrame:
     return first(t.filter("nms - ms >= 5000 AND ms >= 15000 AND nms <= 705000"), "seq", "nxt")
 
 
-@query("q03_sequential")
+_CHAIN = """r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ms, seq) AS n FROM timeline),
+g AS (SELECT video_id, n, event_type, ms AS last_ms, true AS take FROM r WHERE n = 1 UNION ALL
+  SELECT r.video_id, r.n, r.event_type, CASE WHEN r.ms - g.last_ms >= 5000 THEN r.ms ELSE g.last_ms END, r.ms - g.last_ms >= 5000 FROM g JOIN r ON r.video_id = g.video_id AND r.n = g.n + 1),
+p AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY n) AS place FROM g WHERE take)"""
+
+
+@query("q03_sequential", with_views("timeline", "SELECT video_id, string_agg(event_type, ' > ' ORDER BY place) AS sequence FROM p WHERE place <= 3 GROUP BY 1 HAVING count(*) = 3", more=_CHAIN).replace("WITH ", "WITH RECURSIVE ", 1))
 def q03(spark: SparkSession, d: str) -> DataFrame:
-    rows = sorted_rows(timeline(spark, d), ["video_id"], ["ms", "seq"], ["event_type"])
-    picked = rows.withColumn("p", greedy_min_gap(F.col("rows"), "ms", 5000, 3)).filter(F.size("p") == 3)
-    return picked.select("video_id", F.array_join(F.transform("p", lambda x: x["event_type"]), " > ").alias("sequence"))
+    rows = timeline(spark, d).select("video_id", "ms", "seq", "event_type")
+    three = greedy_min_gap(rows, ["video_id"], "ms", ["seq"], 5000, 3)
+    in_turn = F.array_sort(F.collect_list(F.struct("ms", "seq", "event_type"))).alias("p")  # three at most
+    return three.groupBy("video_id").agg(in_turn).filter(F.size("p") == 3).select("video_id", F.array_join(F.col("p.event_type"), " > ").alias("sequence"))
 
 
 @query("q04_needle", with_views("timeline segments", f"SELECT video_id, {_FIRST.format('seq')} AS seq FROM timeline t WHERE marker >= 90 AND EXISTS (SELECT 1 FROM segments s WHERE s.video_id = t.video_id AND abs(s.start_ms - t.ms) <= 3000) GROUP BY 1"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quillstone.operators.folds import dedupe_keep_better, greedy_min_gap, sorted_rows
+from quillstone.operators.pieces import dedupe_keep_better, greedy_min_gap, scene_cuts
 from quillstone.operators.joins import dot
 from quillstone.plans.base import query
 from quillstone.sources.adapters import frames, segments, timeline, with_views
@@ -116,14 +116,33 @@ _GREEDY = "r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ms,
 
 @query("w15_greedy_min_gap", with_views("timeline", "SELECT video_id, seq FROM g WHERE take", more=_GREEDY).replace("WITH ", "WITH RECURSIVE ", 1))
 def w15(spark: SparkSession, d: str) -> DataFrame:
-    rows = sorted_rows(timeline(spark, d), ["video_id"], ["ms", "seq"], [])
-    return rows.select("video_id", F.explode(greedy_min_gap(F.col("rows"), "ms", 5000, 3)).alias("r")).select("video_id", F.col("r.seq").alias("seq"))
+    rows = timeline(spark, d).select("video_id", "ms", "seq")
+    return greedy_min_gap(rows, ["video_id"], "ms", ["seq"], 5000, 3).select("video_id", "seq")
 
 
-@query("w16_greedy_dedup")
+_DEDUP = """r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ms, seq) AS n FROM timeline),
+g AS (SELECT video_id, n, ms AS last_ms, seq AS kept, score FROM r WHERE n = 1 UNION ALL
+  SELECT r.video_id, r.n, CASE WHEN r.ms - g.last_ms >= 5000 THEN r.ms ELSE g.last_ms END, CASE WHEN r.ms - g.last_ms >= 5000 OR r.score > g.score THEN r.seq ELSE g.kept END, CASE WHEN r.ms - g.last_ms >= 5000 OR r.score > g.score THEN r.score ELSE g.score END
+  FROM g JOIN r ON r.video_id = g.video_id AND r.n = g.n + 1)"""
+
+
+@query("w16_greedy_dedup", with_views("timeline", "SELECT video_id, arg_max(kept, n) AS seq FROM g GROUP BY video_id, last_ms", more=_DEDUP).replace("WITH ", "WITH RECURSIVE ", 1))
 def w16(spark: SparkSession, d: str) -> DataFrame:
-    rows = sorted_rows(timeline(spark, d), ["video_id"], ["ms", "seq"], ["score"])
-    return rows.select("video_id", F.explode(dedupe_keep_better(F.col("rows"), "ms", "score", 5000)).alias("r")).select("video_id", F.col("r.seq").alias("seq"))
+    rows = timeline(spark, d).select("video_id", "ms", "seq", "score")
+    return dedupe_keep_better(rows, ["video_id"], "ms", ["seq"], "score", 5000).select("video_id", "seq")
+
+
+_SCENES = """r AS (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ms, seq) AS n FROM timeline),
+g AS (SELECT video_id, n, ms, ms AS last_ms, [marker::DOUBLE] AS past, false AS cut FROM r WHERE n = 1 UNION ALL
+  SELECT *, coalesce(list_sum(past) / len(past) > 60 AND ms - last_ms >= 20000, false) FROM (
+    SELECT r.video_id, r.n, r.ms, CASE WHEN g.cut THEN g.ms ELSE g.last_ms END AS last_ms, list_append(CASE WHEN g.cut THEN [] ELSE g.past[-4:] END, r.marker::DOUBLE) AS past
+    FROM g JOIN r ON r.video_id = g.video_id AND r.n = g.n + 1))"""
+
+
+@query("w08_scene_cuts", with_views("timeline", "SELECT video_id, ms AS cut_ms FROM g WHERE cut", more=_SCENES).replace("WITH ", "WITH RECURSIVE ", 1))
+def w08(spark: SparkSession, d: str) -> DataFrame:
+    rows = timeline(spark, d).select("video_id", "ms", "seq", "marker")
+    return scene_cuts(rows, ["video_id"], "ms", ["seq"], "marker", 60.0, 20000).select("video_id", F.col("ms").alias("cut_ms"))
 
 
 @query("w17_block_trend", with_views("timeline", "SELECT video_id, CASE WHEN avg(marker) FILTER (n <= 10) - avg(marker) FILTER (n > 10) > 5 THEN 'up' WHEN avg(marker) FILTER (n <= 10) - avg(marker) FILTER (n > 10) < -5 THEN 'down' ELSE 'stable' END AS trend FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY ms DESC, seq DESC) AS n FROM timeline) WHERE n <= 20 GROUP BY 1 HAVING count(*) = 20"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstone.functions import rules, scalars
-from quillstone.operators import folds, joins, similarity
+from quillstone.operators import exclusion, joins, pieces, similarity
 from quillstone.sources import files
 from quillstone.streaming import events as streaming
 
@@ -60,15 +60,17 @@ def test_range_join_bounds(spark):
 def test_folds(spark):
     rng = random.Random(5)
     rows = [(v, rng.randrange(60), s, rng.random()) for v in range(6) for s in range(rng.randrange(1, 15))]
-    frame = folds.sorted_rows(spark.createDataFrame(rows, "v long, at long, seq long, c double"), ["v"], ["at", "seq"], ["c"])
-    got = {r["v"]: r for r in frame.select("v", folds.greedy_min_gap(F.col("rows"), "at", 5, 3).alias("g"), folds.dedupe_keep_better(F.col("rows"), "at", "c", 5).alias("d")).collect()}
+    frame = spark.createDataFrame(rows, "v long, at long, seq long, c double")
+    of = lambda df: {v: sorted((r["at"], r["seq"], r["c"]) for r in df if r["v"] == v) for v in range(6)}
+    gaps = of(pieces.greedy_min_gap(frame, ["v"], "at", ["seq"], 5, 3).collect())
+    better = of(pieces.dedupe_keep_better(frame, ["v"], "at", ["seq"], "c", 5).collect())
     for v in range(6):
         mine = sorted((at, s, c) for w, at, s, c in rows if w == v)
         taken = []
         for at, s, _ in mine:
             if len(taken) < 3 and (not taken or at - taken[-1][0] >= 5):
                 taken.append((at, s))
-        assert [(x["at"], x["seq"]) for x in got[v]["g"]] == taken
+        assert [x[:2] for x in gaps[v]] == taken
         last, kept = mine[0][0], [mine[0]]
         for x in mine[1:]:
             if x[0] - last >= 5:
@@ -76,14 +78,15 @@ def test_folds(spark):
                 last = x[0]
             elif x[2] > kept[-1][2]:
                 kept[-1] = x
-        assert [(x["at"], x["seq"], x["c"]) for x in got[v]["d"]] == kept
+        assert better[v] == sorted(kept)
 
 
 def test_no_overlap_is_greedy(spark):
     rng = random.Random(8)
     rows = [(1, i, s, s + rng.randrange(1, 9)) for i, s in enumerate(rng.sample(range(100), 30))]
-    frame = folds.sorted_rows(spark.createDataFrame(rows, "v long, rank long, lo long, hi long"), ["v"], ["rank"], ["lo", "hi"])
-    got = [x["rank"] for x in frame.select(folds.greedy_no_overlap(F.col("rows"), "lo", "hi").alias("g")).first()["g"]]
+    frame = spark.createDataFrame(rows, "v long, rank long, lo long, hi long").withColumn("priority", -F.col("rank"))
+    judged = exclusion.exclusive_spans(frame, "v", "rank", "priority", "lo", "hi", F.lit(False), [])
+    got = sorted(r["rank"] for r in judged.filter("reason IS NULL").collect())
     taken = []
     for _, i, lo, hi in rows:
         if all(hi <= a or b <= lo for _, a, b in taken):
