@@ -13,6 +13,8 @@ from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, Struct
 
 #: A table is broadcast up to so many rows and, if some of its columns have no fixed width, so many bytes of JSON.
 BROADCAST_ROWS, BROADCAST_BYTES = 50_000, 16 << 20
+#: Rows of a batch that goes to a Python worker, where the session has the default of 10,000.
+BATCH_ROWS = 1_000
 #: Bound of the keys that are broadcast as frequent ones.
 HOT_KEYS = 10_000
 
@@ -57,7 +59,10 @@ def join_counted(rows: DataFrame, found: DataFrame, key: str, total: int, n: str
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on the Python workers of every executor, once per context."""
+    """Make this package importable on the Python workers of every executor, once per context, and keep their batches small."""
+    # Texts can be long, and tasks hold a batch on both sides; a session's own setting stands.
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     sc = spark.sparkContext
     if getattr(sc, "_quillstone_shipped", False):
         return

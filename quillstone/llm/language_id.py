@@ -30,7 +30,7 @@ UNKNOWN = 1e-7
 KEPT_WORDS, KEPT_CHARS = 200_000, 8_000_000
 #: Keeps products of small probabilities in range: each character counts this many times more, and sums are brought
 #: back to 1 every STEP characters. Characters of the words looked at together, and starts of very long ones.
-_LIFT, STEP, CELLS, COLUMNS = 32.0, 8, 1 << 18, 1 << 14
+_LIFT, STEP, CELLS, COLUMNS = 32.0, 8, 1 << 16, 1 << 14
 #: A letter, then letters and the marks that combine with them; numbers of any kind are none.
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
 
