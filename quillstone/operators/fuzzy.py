@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.operators.joins import band_join
-from quillstone.operators.similarity import ratio
+from quillstone.operators.similarity import common_length, ratio
 from quillstone.operators.skew import dealt_join, kept
 
 #: A likeness that rounds to this many percent is found.
@@ -21,19 +21,6 @@ PERCENT = 80
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
-def common_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence; the rows of the table are bits of one number."""
-    at: dict[str, int] = {}
-    for i, c in enumerate(a):
-        at[c] = at.get(c, 0) | 1 << i
-    every = (1 << len(a)) - 1
-    free = every
-    for c in b:
-        hit = free & at.get(c, 0)
-        free = (free + hit | free - hit) & every
-    return len(a) - free.bit_count()
-
-
 def percent(a: str, b: str) -> int:
     return round(200 * common_length(a, b) / (len(a) + len(b))) if a or b else 100
 

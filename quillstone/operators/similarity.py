@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstone.operators.graph import components
+from quillstone.operators.skew import dealt_join, kept
 
 #: What Python's strip takes for white space, as a Java pattern.
 _SPACE = r"[\s\x1c-\x1f]+"
@@ -17,44 +22,112 @@ def ratio(a: str | None, b: str | None) -> float:
     return SequenceMatcher(None, (a or "").lower().strip(), (b or "").lower().strip()).ratio()
 
 
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence; the rows of the table are bits of one number."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(a):
+        at[c] = at.get(c, 0) | 1 << i
+    every = (1 << len(a)) - 1
+    free = every
+    for c in b:
+        hit = free & at.get(c, 0)
+        free = (free + hit | free - hit) & every
+    return len(a) - free.bit_count()
+
+
+def can_exceed(a: str, b: str, above: float) -> bool:
+    """Whether matching blocks can cover more than the share ``above``: they hold no more than the characters of each kind that both have, nor than the longest common subsequence."""
+    least = above * (len(a) + len(b))
+    if not a or not b:
+        return a == b
+    return 2 * sum((Counter(a) & Counter(b)).values()) > least and 2 * common_length(a, b) > least
+
+
+def _compared(text: str) -> Column:
+    """The text as ratio compares it: lower case, without white space of any kind at its ends."""
+    return F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"(?U)^{_SPACE}|{_SPACE}$", ""))
+
+
+def _length_bucket(text: str, above: float) -> Column:
+    """A ratio over r needs lengths within (2 - r) / r of each other: such texts meet in this bucket or one beside it."""
+    return F.floor(F.log(F.length(text) + F.lit(1.0)) / F.log(F.lit((2 - above) / above))).cast("int")
+
+
 def similar_pairs(rows: DataFrame, by: str, key: str, text: str, above: float) -> DataFrame:
     """(by, a, b, ratio) of texts of one ``by`` with a < b and a ratio over ``above``.
 
-    A ratio over r needs lengths within (2 - r) / r of each other: pairs meet in length buckets of that
-    width, so texts of very different length are never compared.
+    Pairs meet in buckets of like lengths; crowded buckets are dealt out. Upper bounds rule most pairs out before blocks are matched.
     """
 
     @F.pandas_udf("double")
     def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
-
-    step = (2 - above) / above
-    # The text as ratio compares it: lower case, without white space of any kind at its ends.
-    own = F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"(?U)^{_SPACE}|{_SPACE}$", ""))
-    bucket = F.floor(F.log(F.length(own) + F.lit(1.0)) / F.log(F.lit(step))).cast("int")
-    base = rows.select(by, F.col(key).alias("a"), own.alias("ta"), bucket.alias("k"))
-    other = rows.select(F.col(by).alias("__by"), F.col(key).alias("b"), own.alias("tb"), F.explode(F.array(bucket - 1, bucket, bucket + 1)).alias("near"))
-    pairs = base.join(other, (F.col(by) == F.col("__by")) & (F.col("k") == F.col("near")) & (F.col("a") < F.col("b")))
+        return pd.Series([SequenceMatcher(None, x, y).ratio() if can_exceed(x, y, above) else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    own = rows.select(by, F.col(key).alias("a"), _compared(text).alias("ta")).withColumn("k", _length_bucket("ta", above))
+    other = own.select(by, F.col("a").alias("b"), F.col("ta").alias("tb"), F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"))
+    pairs = dealt_join(own, other, [by, "k"], ["b"]).filter("a < b")
     return pairs.withColumn("ratio", ratios("ta", "tb")).filter(F.col("ratio") > above).select(by, "a", "b", "ratio")
 
 
 def dedupe_replacing(rows: DataFrame, by: str, order: str, text: str, score: str, above: float) -> DataFrame:
-    """(by, order) of the texts kept: in order, a text like a kept one replaces it if its score is higher, else it goes."""
-
-    def fold(group: pd.DataFrame) -> pd.DataFrame:
-        kept: list[tuple] = []
-        for row in group.sort_values(order).itertuples(index=False):
-            for i, old in enumerate(kept):
-                if ratio(getattr(row, text), getattr(old, text)) > above:
-                    if getattr(row, score) > getattr(old, score):
-                        kept[i] = row
-                    break
-            else:
-                kept.append(row)
-        return pd.DataFrame({by: [getattr(k, by) for k in kept], order: [getattr(k, order) for k in kept]})
+    """(by, order) of the texts kept: in order, a text like a kept one replaces it if its score is higher, else it goes. A missing score neither replaces nor is replaced.
+
+    Only texts that are alike, or linked by others that are, act on each other: equal texts are one node, likeness over ``above`` an edge, and components are folded
+    one by one. A task streams a component's rows in order, and holds its edges and what is kept of it; many copies of a text are one node.
+    """
+
+    @F.pandas_udf("struct<ab:boolean,ba:boolean>")
+    def alike(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        out = []
+        for x, y in zip(a, b, strict=True):  # ratios depend on the order
+            can = can_exceed(x, y, above)
+            out.append((can and SequenceMatcher(None, x, y).ratio() > above, can and SequenceMatcher(None, y, x).ratio() > above))
+        return pd.DataFrame(out, columns=["ab", "ba"])
+
+    own = kept(rows.select(by, order, score, _compared(text).alias("t")).withColumn("node", F.md5(F.concat_ws("\x1f", F.coalesce(F.col(by).cast("string"), F.lit("\x1e")), "t"))))
+    texts = own.groupBy(F.coalesce(F.col(by).cast("string"), F.lit("\x1e")).alias("v"), "node").agg(F.first("t").alias("t")).withColumn("k", _length_bucket("t", above))
+    one = texts.select("v", "k", F.col("node").alias("a"), F.col("t").alias("ta"))
+    other = texts.select("v", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"), F.col("node").alias("b"), F.col("t").alias("tb"))
+    pairs = dealt_join(one, other, ["v", "k"], ["b"]).filter("a < b").select("a", "b", alike("ta", "tb").alias("is")).filter("is.ab OR is.ba")
+    edges = kept(pairs.select("a", "b", "is.ab", "is.ba"))
+    roots = components(edges)
+    rooted = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # ab: b may stand in for a, when a comes later.
+    directed = edges.filter("ab").select(F.col("a").alias("node"), F.col("b").alias("old")).unionByName(edges.filter("ba").select(F.col("b").alias("node"), F.col("a").alias("old")))
+    links = directed.join(roots, "node").select("root", "node", "old")
+    stream = rooted.select("root", F.lit(1).alias("kind"), by, order, F.col(score).cast("double").alias("score"), "node").unionByName(links.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, near, slots, places = None, {}, [], {}
+        kinds: list[pa.DataType] = []
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([s[k] for s in slots], kinds[k]) for k in (0, 1)], names=[by, order])
+
+        for batch in batches:
+            kinds = [batch.schema.field(c).type for c in (by, order)]
+            for root, kind, v, i, points, node, old in zip(*[batch.column(c).to_pylist() for c in ("root", "kind", by, order, "score", "node", "old")], strict=True):
+                if root != at:
+                    if slots:
+                        yield done()
+                    at, near, slots, places = root, {}, [], {}
+                if kind == 0:
+                    near.setdefault(node, []).append(old)
+                    continue
+                like = [min(places[n]) for n in (node, *near.get(node, ())) if places.get(n)]
+                if not like:
+                    places.setdefault(node, set()).add(len(slots))
+                    slots.append((v, i, points, node))
+                elif points is not None and slots[min(like)][2] is not None and points > slots[min(like)][2]:
+                    j = min(like)
+                    places[slots[j][3]].discard(j)
+                    places.setdefault(node, set()).add(j)
+                    slots[j] = (v, i, points, node)
+        if slots:
+            yield done()
 
     types = {f.name: f.dataType.simpleString() for f in rows.schema}
-    return rows.select(by, order, text, score).groupBy(by).applyInPandas(fold, f"{by} {types[by]}, {order} {types[order]}")
+    return stream.repartition("root").sortWithinPartitions("root", "kind", order).mapInArrow(fold, f"{by} {types[by]}, {order} {types[order]}")
 
 
 def pick_diverse(rows: DataFrame, by: str, key: str, kind: str, difficulty: str, failure: str, k: int = 4) -> DataFrame:

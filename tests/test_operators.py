@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstone.functions import rules, scalars
-from quillstone.operators import exclusion, joins, pieces, similarity
+from quillstone.operators import exclusion, graph, joins, pieces, similarity
 from quillstone.sources import files
 from quillstone.streaming import events as streaming
 
@@ -158,19 +158,38 @@ def test_similar_pairs_ignore_white_space_at_the_ends(spark):
     assert sorted((r["a"], r["b"], r["ratio"]) for r in similarity.similar_pairs(frame, "v", "id", "text", 0.8).collect()) == [(1, 2, 1.0), (1, 3, 1.0), (2, 3, 1.0)]
 
 
-def test_dedupe_replacing_matches_a_plain_fold(spark):
+@pytest.mark.parametrize("above", [0.5, 0.8])
+def test_dedupe_replacing_matches_a_plain_fold(spark, above):
     rng = random.Random(42)
     words = ["go", "stop", "run", "wait"]
-    rows = [(v, i, " ".join(rng.choices(words, k=3)), rng.randrange(10)) for v in range(3) for i in range(25)]
+    rows = [(v, i, " ".join(rng.choices(words, k=rng.randrange(1, 4))), rng.choice([None, *range(10)])) for v in (0, 1, None) for i in range(40)]
+    rows += [(3, i, rng.choice(["hot text", "Hot text ", "hot  text", "cold texts"]), i % 17) for i in range(300)] + [(4, 0, None, 1), (4, 1, "", 2), (4, 2, " \t", 0), (4, 3, "go", 1)]
     want = []
-    for v in range(3):
+    for v in (0, 1, 3, 4, None):
         kept = []
         for r in (r for r in rows if r[0] == v):
-            like = [i for i, k in enumerate(kept) if similarity.ratio(r[2], k[2]) > 0.8]
+            like = [i for i, k in enumerate(kept) if similarity.ratio(r[2], k[2]) > above]
             if not like:
                 kept.append(r)
-            elif r[3] > kept[like[0]][3]:
+            elif r[3] is not None and kept[like[0]][3] is not None and r[3] > kept[like[0]][3]:
                 kept[like[0]] = r
         want += [(v, k[1]) for k in kept]
-    got = similarity.dedupe_replacing(spark.createDataFrame(rows, "v long, i long, text string, score long"), "v", "i", "text", "score", 0.8).collect()
-    assert sorted(tuple(r) for r in got) == sorted(want)
+    frame = spark.createDataFrame(rows, "v long, i long, text string, score long").repartition(5)
+    got = similarity.dedupe_replacing(frame, "v", "i", "text", "score", above).collect()
+    assert sorted((tuple(r) for r in got), key=repr) == sorted(want, key=repr)
+    assert similarity.dedupe_replacing(frame.limit(0), "v", "i", "text", "score", above).count() == 0
+
+
+def test_bounds_never_hide_a_ratio():
+    rng = random.Random(43)
+    for _ in range(500):
+        a, b = ("".join(rng.choices("abc d", k=rng.randrange(40))) for _ in "ab")
+        r = similarity.ratio(a, b)
+        assert all(similarity.can_exceed(a.strip(), b.strip(), above) for above in (0.3, 0.5, 0.7, 0.9) if r > above)
+
+
+def test_components_of_a_path_and_a_star(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(300, 200), (200, 250), (7, 3)]
+    got = {r["node"]: r["root"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 160)}, 200: 200, 250: 200, 300: 200}
+    assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
