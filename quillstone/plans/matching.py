@@ -99,11 +99,6 @@ def f51(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.aggregate(steps, F.col("answer"), lambda t, s: F.replace(t, s["a"], s["b"])).alias("text"))
 
 
-@query("v05_quality_checker", over_sentences(r"SELECT id, CASE WHEN regexp_matches(lower(question), '\b(might|seems|appears)\b') THEN 'CRITICAL' WHEN regexp_matches(lower(answer), '\b(maybe|probably)\b') THEN 'MODERATE' ELSE 'OK' END AS severity FROM q"))
-def v05(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark, d).select("id", F.when(F.lower("question").rlike(r"\b(might|seems|appears)\b"), "CRITICAL").when(F.lower("answer").rlike(r"\b(maybe|probably)\b"), "MODERATE").otherwise("OK").alias("severity"))
-
-
 _CHECKS = {"question mark": "question LIKE '%?%'", "audio cue": "audio <> ''", "visual cue": "visual <> ''", "answer length": "length(answer) >= 10", "no hedge": r"NOT regexp_matches(lower(answer), '\b(maybe|probably|could be)\b')"}
 
 

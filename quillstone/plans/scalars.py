@@ -347,12 +347,6 @@ def v06(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", q.rlike(r"^(is|does|do|are|can)\b").alias("yes_no"), F.contains(q, F.lit(" and ")).alias("multi_part"), (F.length("answer") < 12).alias("generic"))
 
 
-@query("v08_first_failure", over_sentences("SELECT id, CASE WHEN audio = '' OR visual = '' THEN 'L1' WHEN question NOT LIKE '%?%' THEN 'L2' WHEN length(answer) < 10 THEN 'L3' ELSE 'ok' END AS layer FROM q"))
-def v08(spark: SparkSession, d: str) -> DataFrame:
-    fails = [((F.col("audio") == "") | (F.col("visual") == ""), "L1"), (~F.contains("question", F.lit("?")), "L2"), (F.length("answer") < 10, "L3")]
-    return sentences(spark, d).select("id", F.coalesce(*[F.when(c, name) for c, name in fails], F.lit("ok")).alias("layer"))
-
-
 @query("v11_answer_rules", over_sentences("SELECT id, len(list_filter(string_split(answer, ' '), lambda x: x <> '')) BETWEEN 3 AND 40 AS concise, regexp_matches(answer, '[.!?]$') AS ended, contains(lower(answer), 'some') OR contains(lower(answer), 'a') AS imprecise FROM q"))
 def v11(spark: SparkSession, d: str) -> DataFrame:
     a = F.col("answer")
