@@ -76,12 +76,6 @@ def f33(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.array_compact(F.array(F.when(has("how many"), "counting"), F.when(has("why"), "reason"), F.when(has("first"), "order"))).alias("types"))
 
 
-@query("f35_name_maps", over_sentences("SELECT id, CASE kind WHEN 'temporal' THEN 'Temporal Understanding' WHEN 'needle' THEN 'Needle' ELSE kind END AS official FROM q"))
-def f35(spark: SparkSession, d: str) -> DataFrame:
-    names = F.create_map(F.lit("temporal"), F.lit("Temporal Understanding"), F.lit("needle"), F.lit("Needle"))
-    return sentences(spark, d).select("id", F.coalesce(names[F.col("kind")], "kind").alias("official"))
-
-
 @query("f39_test_outcome", with_views("timeline", "SELECT seq, CASE WHEN event_type = 'error' THEN 'hallucination' WHEN marker > 70 THEN 'pass' WHEN marker < 30 THEN 'fail' ELSE 'unclear' END AS outcome FROM timeline"))
 def f39(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", F.when(F.col("event_type") == "error", "hallucination").when(F.col("marker") > 70, "pass").when(F.col("marker") < 30, "fail").otherwise("unclear").alias("outcome"))

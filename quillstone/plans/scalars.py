@@ -235,11 +235,6 @@ def f34(spark: SparkSession, d: str) -> DataFrame:
     return t.select("video_id", F.array_join(fixed, "; ").alias("types"))
 
 
-@query("f36_added_tokens", over_sentences("SELECT id, len(list_filter(list_distinct(list_filter(string_split(lower(answer), ' '), lambda x: x <> '')), lambda x: NOT list_contains(string_split(lower(question), ' '), x))) AS added FROM q"))
-def f36(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark, d).select("id", F.size(F.array_except(S.tokens(F.col("answer")), S.tokens(F.col("question")))).cast("long").alias("added"))
-
-
 @query("f37_severity_class", with_views("timeline", "SELECT seq, CASE WHEN marker / 100 < 0.3 THEN 'none' WHEN marker / 100 < 0.5 THEN 'low' WHEN marker / 100 < 0.7 THEN 'medium' ELSE 'high' END AS severity FROM timeline"))
 def f37(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", S.severity_of(F.col("marker") / 100).alias("severity"))
@@ -370,12 +365,6 @@ def v15(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.forall(F.array("audio", "visual"), lambda c: F.trim(c) != "").alias("dual"))
 
 
-@query("v16_all_errors", over_sentences("SELECT id, concat_ws('; ', CASE WHEN audio = '' THEN 'no audio' END, CASE WHEN visual = '' THEN 'no visual' END, CASE WHEN question NOT LIKE '%?%' THEN 'no question' END) AS errors FROM q"))
-def v16(spark: SparkSession, d: str) -> DataFrame:
-    errors = F.array_compact(F.array(F.when(F.col("audio") == "", "no audio"), F.when(F.col("visual") == "", "no visual"), F.when(~F.contains("question", F.lit("?")), "no question")))
-    return sentences(spark, d).select("id", F.array_join(errors, "; ").alias("errors"))
-
-
 @query("v21_span_precision", with_views("timeline", "SELECT seq, ms % 100 > 50 AS imprecise, ms BETWEEN 3000 AND 715000 AS covered FROM timeline"))
 def v21(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", (F.col("ms") % 100 > 50).alias("imprecise"), F.col("ms").between(3000, 715000).alias("covered"))
