@@ -4,25 +4,30 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a key that one task should take; a key with less than a SHARE-th of all rows is left whole, so fewer than SHARE keys are split.
 CELL, SHARE = 20_000, 10_000
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df, written to the cluster's checkpoint folder and read from there, so that lost executors don't cost what lies before.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it, and set as the checkpoint folder.
 
     A folder of our own is set only where the session names none and all tasks run in this process, as in tests.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
         if shared is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quillstone-checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """df, written to the cluster's checkpoint folder and read from there, so that lost executors don't cost what lies before."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
