@@ -5,7 +5,12 @@ its characters per tag, lowered where much of its text is links. The lowest dens
 densest node up to the body is the threshold; among the nodes at or above it, the one whose children's
 densities sum to most is chosen. What is boilerplate by tag, role or name goes then: from inside the
 choice, and if there was some, densities choose again in what is left of it; if the choice lies in
-boilerplate itself, in what is left of the page. The result is widened to the article it is in.
+boilerplate itself, in what is left of the page. The result is widened to the article it is in. Of two articles beside each
+other, the one of the larger density sum is the main text.
+
+Names only advise. A name that says boilerplate by one of several parts must say so as its noun (post-comments, ad-box), not as what
+qualifies another (has-sidebar, comment-article); it takes away no more than half of the page's text that isn't links. A heading is never dropped for its
+name, other small elements only for names of adverts and notices, or if they are mostly links. If nothing would be left, names are not heard.
 """
 
 from __future__ import annotations
@@ -31,46 +36,66 @@ CLOSES_P = BLOCK - frozenset("body caption dd dt html li tbody td tfoot th thead
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"thead", "tbody", "tr", "td", "th"}}
 SCOPE = frozenset("table ul ol dl select html body article section div td th".split())
 #: Never main text; a header is, in an article or main element.
-DROPPED = frozenset("head nav footer aside form script style noscript template iframe object embed svg canvas button select option textarea title menu dialog audio video map noembed noframes xmp input label fieldset".split())
+DROPPED = frozenset("head nav footer aside form script style noscript template iframe object embed svg canvas button select option textarea title menu dialog audio video map noembed noframes xmp input".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Class names and ids that name boilerplate, as a whole; of those that name it as one of several parts, only on containers.
+#: Class names and ids that name boilerplate; those among them that name adverts and notices.
 NAMES = frozenset(
     "ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disqus footer form gdpr header login masthead menu modal nav navbar navigation newsletter notice pagination pager paywall popup promo related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+ADVERTS = frozenset("ad ads adv advert advertisement advertising banner consent cookie cookies copyright gdpr newsletter notice paywall popup promo sponsor sponsored subscribe".split())
 PARTS = NAMES - frozenset("form header notice related share sharing social login".split())
+#: What stands behind a name in a compound without changing what it names, and what before it takes it back.
+LAYOUT = frozenset("area bar block body bottom box button buttons column container content icons inner item items left links list outer panel right section slot top unit wrap wrapper zone".split())
+NEGATING = frozenset("has have hide hidden is layout no non not without with".split())
 CONTAINERS = frozenset("div section ul ol dl table center details figure".split())
+#: What bears a name out: that the element has no more than half of the page's text that isn't links, or that it is mostly links.
+FEW, LINKS = 1, 2
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _TURN = re.compile(r"=\s*+[\"']|>")
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
 _ATTR = re.compile(r"([^\s=\"'/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s\"']*+)))?")
 _HIDDEN = re.compile(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", re.I)
 _PART = re.compile(r"[a-z0-9]++")
+_HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 class Node:
-    __slots__ = ("boilerplate", "chars", "children", "density", "dropped", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
+    __slots__ = ("advice", "boilerplate", "chars", "children", "density", "dropped", "link_chars", "link_tags", "parent", "sum", "tag", "tags")
 
-    def __init__(self, tag: str, parent: Node | None = None, boilerplate: bool = False):
-        self.tag, self.parent, self.boilerplate = tag, parent, boilerplate
+    def __init__(self, tag: str, parent: Node | None = None, boilerplate: bool = False, advice: int = 0):
+        self.tag, self.parent, self.boilerplate, self.advice = tag, parent, boilerplate, advice
         self.dropped = False
         self.children: list[Node | str] = []
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool) -> bool:
+def _advice(name: str) -> int:
+    """What a compound name's noun, words of layout aside, says: FEW if it names boilerplate, LINKS if it also names other things, else 0."""
+    parts = _PART.findall(_HUMP.sub(" ", name).lower())
+    while len(parts) > 1 and (parts[-1] in LAYOUT or parts[-1].isdigit()):
+        parts.pop()
+    if not parts or parts[-1] not in NAMES or not NEGATING.isdisjoint(parts[:-1]):
+        return 0
+    return FEW if parts[-1] in PARTS else LINKS
+
+
+def _judged(tag: str, attributes: str, in_article: bool, names: bool = True) -> tuple[bool, int]:
+    """Whether an element is boilerplate; and, if its names only advise so, what must bear them out."""
     if tag in DROPPED or (tag == "header" and not in_article):
-        return True
+        return True, 0
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, 0
     found: dict[str, str] = {}
     for m in _ATTR.finditer(attributes):
         found.setdefault(m[1].lower(), unescape(m[2] or m[3] or m[4] or ""))
     if "hidden" in found or found.get("role", "").lower() in ROLES or found.get("aria-hidden") == "true" or _HIDDEN.search(found.get("style", "")):
-        return True
-    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
-        if name.lower() in NAMES:
-            return True
-        if tag in CONTAINERS and not PARTS.isdisjoint(_PART.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())):
-            return True
-    return False
+        return True, 0
+    advice = 0
+    if names and tag not in HEADINGS:
+        for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+            if name.lower() in (NAMES if tag in CONTAINERS else ADVERTS):
+                return True, 0
+            advice = advice or (_advice(name) if tag in CONTAINERS else LINKS if name.lower() in NAMES else 0)
+    return False, advice
 
 
 def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
@@ -84,8 +109,8 @@ def _tag_end(html: str, at: int, last: dict[str, int]) -> int:
     return -1
 
 
-def parse(html: str) -> Node:
-    """The body as a tree. Misnested and unclosed tags are closed where the next block or end tag requires it.
+def parse(html: str, names: bool = True) -> Node:
+    """The body as a tree, of which only tags, roles and hidden parts are judged if not ``names``. Misnested and unclosed tags are closed where the next block or end tag requires it.
 
     A < that begins no tag is text, and so is all from a tag that is never ended. Every character is looked at a bounded
     number of times: the open elements are a stack, with the places of each name in it.
@@ -145,7 +170,7 @@ def parse(html: str) -> Node:
             close("p", frozenset(("table", "td", "th", "button", "object")))
         for other in ENDS.get(tag, ()):
             close(other, SCOPE - {other, "div"} if tag in ("li", "dt", "dd", "option") else frozenset(("table",)))
-        node = Node(tag, stack[-1], _is_boilerplate(tag, attributes, bool(places.get("article") or places.get("main"))))
+        node = Node(tag, stack[-1], *_judged(tag, attributes, bool(places.get("article") or places.get("main")), names))
         stack[-1].children.append(node)
         if tag not in VOID and not (attributes.endswith("/") and tag in ("svg", "path")):
             places.setdefault(tag, []).append(len(stack))
@@ -203,8 +228,28 @@ def densest_subtree(root: Node) -> Node | None:
     return max((n for n in nodes if n.density >= threshold), key=lambda n: (n.sum, n.chars))
 
 
-def main_node(root: Node) -> Node | None:
-    """The subtree that holds the main text, with what is boilerplate in it dropped; None if nothing is left."""
+def _weigh_advice(root: Node) -> None:
+    """Hear the advice of names where densities bear it out; what remains boilerplate is so by now."""
+    nodes = _walk(root)
+    advised = [n for n in nodes if n.advice]
+    if not advised:
+        return
+    for n in nodes:
+        n.dropped = n.boilerplate
+    left = _walk(root)
+    _measure(left)
+    page = root.chars - root.link_chars
+    reached = set(map(id, left))
+    for n in advised:
+        if id(n) in reached:
+            own = n.chars - n.link_chars
+            n.boilerplate = 2 * own <= page if n.advice == FEW else 2 * n.link_chars >= n.chars
+    for n in nodes:
+        n.dropped = False
+
+
+def _chosen(root: Node) -> Node | None:
+    """The subtree that densities choose once boilerplate is gone, widened to its article; None if nothing is left."""
     best = densest_subtree(root)
     if best is None:
         return None
@@ -232,6 +277,16 @@ def main_node(root: Node) -> Node | None:
     return widest
 
 
+def main_node(html: str) -> Node | None:
+    """The subtree that holds the main text, with what is boilerplate in it dropped; None if the page has none."""
+    root = parse(html)
+    _weigh_advice(root)
+    best = _chosen(root)
+    if best is None:
+        best = _chosen(parse(html, names=False))  # names may be why nothing is left
+    return best
+
+
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks of a subtree in page order, white space made single, empty ones left out."""
     out: list[str] = []
@@ -259,7 +314,7 @@ def blocks(node: Node) -> list[str]:
 
 
 def main_text(html: str) -> str:
-    node = main_node(parse(html))
+    node = main_node(html)
     return "" if node is None else "\n\n".join(blocks(node))
 
 

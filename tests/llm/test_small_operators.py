@@ -201,11 +201,51 @@ def test_language_accuracy_and_undetermined(spark, empty):
     ("<p>&am<b>p;</b> it's <a href='x'>1 < 2</a> <p title=it's>b", "&amp; it's 1 < 2\n\nb"),
     ("a <b and no end", "a <b and no end"),
     ("<div class=a><div class=sidebar>one two three</div></div><div>kept</div>", "kept"),
+    ("<div class=widget><p>only this</p></div>", "only this"),
+    ("<article><fieldset><label>Size</label> ten</fieldset><p>text</p><form><label>Mail</label></form></article>", "Size ten\n\ntext"),
 ])
 def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+ARTICLE = "<h1>A title of some words</h1>" + "".join(f"<p>Sentence {i} of an article has a number of words in it, and {i} more of them.</p>" for i in range(5))
+TEXT = "\n\n".join(["A title of some words", *(f"Sentence {i} of an article has a number of words in it, and {i} more of them." for i in range(5))])
+
+
+@pytest.mark.parametrize("wrapped", [
+    '<div class="site has-sidebar">{}<div class="sidebar"><a href=1>one</a> <a href=2>two</a></div></div>', '<div class="comment-article">{}</div><p>foot</p>', '<div id="toolbar-content">{}</div>', '<div class="layout-no-sidebar">{}</div><div>the foot</div>',
+    '<div class="page withSidebar">{}</div>', '<div class="post-comments">{}</div>', "<div class=x><div class=ad-box>Buy this now, it is cheap and good.</div>{}</div>", "<div>{}</div><div class='related-links'><a href=1>Other news of the day</a></div>", "<div class=post>{}<div id=comments-area><p>Nice text, said a reader.</p></div></div>",
+])
+def test_names_of_layout_take_nothing_away(wrapped):
+    assert html_text.main_text(wrapped.format(ARTICLE)) == TEXT
+
+
+@pytest.mark.parametrize("part", ['<h2 class="notice">part</h2>', '<p class="related">part</p>', '<div class="ad-hoc-analysis">part</div>', '<table class="widget-sizes"><tr><td>part</table>', '<figure class="banner-image">part</figure>', "<fieldset>part</fieldset>", "<p><label>part</label></p>", "<span class=menu>part</span>", '<div class="menu-prices-of-1900">part</div>'])
+def test_parts_of_an_article_stay(part):
+    assert html_text.main_text(f"<article>{ARTICLE}{part}<p>last of all</p></article>") == f"{TEXT}\n\npart\n\nlast of all"
+
+
+@pytest.mark.parametrize("part", ["<div class=ad>part</div>", "<p class=notice>part</p>", "<div class=newsletter-box>part</div>", "<ul class=share-buttons><li><a href=1>part</a></ul>", "<span class=share><a href=1>part</a></span>", "<div class=commentList><p>part</p></div>", "<div id=sidebar-1>part</div>", "<aside>part</aside>", "<form><label>part</label></form>"])
+def test_clutter_in_an_article_goes(part):
+    assert html_text.main_text(f"<article>{ARTICLE}{part}<p>last of all</p></article>") == f"{TEXT}\n\nlast of all"
+
+
+def test_densities_alone_find_the_text_of_real_pages(spark):
+    """Pages of which all tags that tell parts apart, and all names, are taken away: the text is what they give with them, and not the whole page."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("html").orderBy("page_id").limit(60).collect()]
+    found = whole = 0
+    for html in pages:
+        want = html_text.main_text(html)
+        bare = regex.sub(r"<(/?)(?:nav|footer|aside|header|article|main|section)\b[^>]*>", r"<\1div>", html)
+        bare = regex.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", bare)
+        root = html_text.parse(bare)
+        for n in html_text._walk(root):
+            n.dropped = n.boilerplate
+        whole += "\n\n".join(html_text.blocks(root)) != want
+        found += html_text.main_text(bare) == want
+    assert whole == len(pages) and found >= 0.9 * len(pages)
+
+
 @pytest.mark.parametrize("part", ["<a ", "<a '", "<a b='", '<p x="', "<", "</", "<!", "<!--", "<p>", "<div>", "<i>", "<table><td><i>", "<li>", "<p><table><td><i><div>", "<p aaaaaaaa aa", "<a = = =", "<script>", "&amp;", "</p>"])
 def test_broken_pages_take_time_in_proportion(part):
     """The bound is about ten times what a slow machine needs for a megabyte; a square of it would take hours."""
