@@ -93,23 +93,6 @@ def f51(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.aggregate(steps, F.col("answer"), lambda t, s: F.replace(t, s["a"], s["b"])).alias("text"))
 
 
-_CHECKS = {"question mark": "question LIKE '%?%'", "audio cue": "audio <> ''", "visual cue": "visual <> ''", "answer length": "length(answer) >= 10", "no hedge": r"NOT regexp_matches(lower(answer), '\b(maybe|probably|could be)\b')"}
-
-
-@query("v07_guideline_score", over_sentences(f"SELECT id, round(({' + '.join(f'({c})::INT' for c in _CHECKS.values())}) / {len(_CHECKS)}, 6) AS score, {' AND '.join(f'({c})' for c in _CHECKS.values())} AS valid FROM q"))
-def v07(spark: SparkSession, d: str) -> DataFrame:
-    checks = [F.contains("question", F.lit("?")), F.col("audio") != "", F.col("visual") != "", F.length("answer") >= 10, ~F.lower("answer").rlike(r"\b(maybe|probably|could be)\b")]
-    passed = F.size(F.filter(F.array(*checks), lambda x: x))
-    return sentences(spark, d).select("id", F.round(passed / len(checks), 6).alias("score"), (passed == len(checks)).alias("valid"))
-
-
-@query("v10_confidence_rules", as_double(over_sentences(r"SELECT id, round(greatest(0, least(1, 1.0 - CASE WHEN audio = '' AND visual = '' THEN 0.5 WHEN audio = '' OR visual = '' THEN 0.4 ELSE 0 END - CASE WHEN contains(lower(question), ' and ') THEN 0.3 ELSE 0 END - CASE WHEN regexp_matches(lower(question || answer), '\b(he|she|they)\b') THEN 0.2 ELSE 0 END)), 6) AS confidence FROM q"), "confidence"))
-def v10(spark: SparkSession, d: str) -> DataFrame:
-    none, one = (F.col("audio") == "") & (F.col("visual") == ""), (F.col("audio") == "") | (F.col("visual") == "")
-    off = F.when(none, 0.5).when(one, 0.4).otherwise(0.0) + F.when(F.contains(F.lower("question"), F.lit(" and ")), 0.3).otherwise(0.0) + F.when(F.lower(F.concat("question", "answer")).rlike(r"\b(he|she|they)\b"), 0.2).otherwise(0.0)
-    return sentences(spark, d).select("id", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - off)), 6).alias("confidence"))
-
-
 @query("v14_cue_quality", over_sentences(r"SELECT id, NOT regexp_matches(lower(audio || ' ' || visual), '\b(maybe|she|he|they|appears?)\b') AS clean FROM q"))
 def v14(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", (~F.lower(F.concat_ws(" ", "audio", "visual")).rlike(r"\b(maybe|she|he|they|appears?)\b")).alias("clean"))

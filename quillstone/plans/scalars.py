@@ -342,12 +342,6 @@ def v06(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", q.rlike(r"^(is|does|do|are|can)\b").alias("yes_no"), F.contains(q, F.lit(" and ")).alias("multi_part"), (F.length("answer") < 12).alias("generic"))
 
 
-@query("v11_answer_rules", over_sentences("SELECT id, len(list_filter(string_split(answer, ' '), lambda x: x <> '')) BETWEEN 3 AND 40 AS concise, regexp_matches(answer, '[.!?]$') AS ended, contains(lower(answer), 'some') OR contains(lower(answer), 'a') AS imprecise FROM q"))
-def v11(spark: SparkSession, d: str) -> DataFrame:
-    a = F.col("answer")
-    return sentences(spark, d).select("id", F.size(F.array_remove(F.split(a, " "), "")).between(3, 40).alias("concise"), a.rlike("[.!?]$").alias("ended"), S.any_contained(F.lower(a), ["some", "a"]).alias("imprecise"))
-
-
 @query("v12_audio_cue", over_sentences("SELECT id, CASE WHEN contains(lower(audio), 'none') THEN 'placeholder' WHEN lower(audio) IN ('music', 'whistle') THEN 'vague' WHEN length(audio) < 5 THEN 'short' WHEN len(list_filter(string_split(audio, ' '), lambda x: x <> '')) < 2 THEN 'one word' ELSE 'ok' END AS reason FROM q"))
 def v12(spark: SparkSession, d: str) -> DataFrame:
     a = F.lower("audio")
