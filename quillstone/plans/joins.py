@@ -316,13 +316,6 @@ def j37(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", "lang").join(F.broadcast(aliases), "lang", "left").select("doc_id", F.coalesce("name", "lang").alias("official"))
 
 
-@query("j38_set_keyed_lookup", as_double(with_views("timeline", "SELECT video_id, k, CASE WHEN k NOT LIKE '%|%' THEN 1.0 WHEN k = 'click|view' THEN 0.9 WHEN k = 'click|error|purchase|signup|view' THEN 0.5 ELSE 0.0 END AS score FROM (SELECT video_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS k FROM timeline WHERE ms < 60000 GROUP BY 1)"), "score"))
-def j38(spark: SparkSession, d: str) -> DataFrame:
-    scores = spark.sql("SELECT * FROM VALUES ('click|view', 0.9D), ('click|error|purchase|signup|view', 0.5D) AS s(k, known)")
-    sets = timeline(spark, d).filter("ms < 60000").groupBy("video_id").agg(F.array_join(F.array_sort(F.collect_set("event_type")), "|").alias("k"))
-    return sets.join(F.broadcast(scores), "k", "left").select("video_id", "k", F.when(~F.contains("k", F.lit("|")), 1.0).otherwise(F.coalesce("known", F.lit(0.0))).alias("score"))
-
-
 @query("j39_array_zip", "SELECT vec_id, i - 1 AS position, embedding[i] AS value, coalesce(CAST(embedding[i + 62] AS VARCHAR), 'missing-' || (i - 1)) IS NOT NULL AS padded FROM (SELECT vec_id, embedding, unnest(range(1, 5)) AS i FROM embeddings)")
 def j39(spark: SparkSession, d: str) -> DataFrame:
     rows = table(spark, d, "embeddings").select("vec_id", "embedding", F.posexplode(F.slice("embedding", 1, 4)).alias("position", "value"))

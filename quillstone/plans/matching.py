@@ -25,14 +25,6 @@ def j23(spark: SparkSession, d: str) -> DataFrame:
     return a.join(b, ["video_id", "k"]).filter("a < b AND a0 < b1 AND b0 < a1").select("video_id", "a", "b").distinct()
 
 
-@query("j24_containment_or_overlap", with_views("segments", f"SELECT c.video_id, c.seq, CASE WHEN contains(lower(s.text), c.cue) THEN 'exact' WHEN len(list_intersect({_WORDS.format('s.text')}, {_WORDS.format('c.cue')})) / len(list_distinct(list_concat({_WORDS.format('s.text')}, {_WORDS.format('c.cue')}))) > 0.02 THEN 'overlap' ELSE 'none' END AS found FROM (SELECT video_id, seq + 1 AS seq, lower(substr(text, 1, 25)) AS cue FROM segments) c JOIN segments s ON s.video_id = c.video_id AND s.seq = c.seq"))
-def j24(spark: SparkSession, d: str) -> DataFrame:
-    s = segments(spark, d).select("video_id", "seq", F.lower("text").alias("text"))
-    cues = s.select("video_id", (F.col("seq") + 1).alias("seq"), F.substring("text", 1, 25).alias("cue"))
-    split = lambda c: F.array_remove(F.split(c, " "), "")
-    return cues.join(s, ["video_id", "seq"]).select("video_id", "seq", F.when(F.contains("text", F.col("cue")), "exact").when(S.jaccard(split("text"), split("cue")) > 0.02, "overlap").otherwise("none").alias("found"))
-
-
 @query("j28_cue_grounding", with_views("segments", "SELECT c.video_id, c.word, EXISTS (SELECT 1 FROM segments s WHERE s.video_id = c.video_id AND s.speaker = 'assistant' AND list_contains(string_split(lower(s.text), ' '), c.word)) AS grounded FROM (SELECT DISTINCT video_id, unnest(list_filter(string_split(lower(text), ' '), lambda x: x <> '')) AS word FROM segments WHERE speaker = 'user') c"))
 def j28(spark: SparkSession, d: str) -> DataFrame:
     words = segments(spark, d).select("video_id", "speaker", F.explode(F.array_remove(F.split(F.lower("text"), " "), "")).alias("word"))
@@ -70,12 +62,6 @@ def f31(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.greatest(F.lit(0.0), score.cast("double")).alias("complexity"))
 
 
-@query("f33_sub_types", over_sentences("SELECT id, list_filter([CASE WHEN contains(lower(question), 'how many') THEN 'counting' END, CASE WHEN contains(lower(question), 'why') THEN 'reason' END, CASE WHEN contains(lower(question), 'first') THEN 'order' END], lambda x: x IS NOT NULL) AS types FROM q"))
-def f33(spark: SparkSession, d: str) -> DataFrame:
-    has = lambda w: F.contains(F.lower("question"), F.lit(w))
-    return sentences(spark, d).select("id", F.array_compact(F.array(F.when(has("how many"), "counting"), F.when(has("why"), "reason"), F.when(has("first"), "order"))).alias("types"))
-
-
 @query("f39_test_outcome", with_views("timeline", "SELECT seq, CASE WHEN event_type = 'error' THEN 'hallucination' WHEN marker > 70 THEN 'pass' WHEN marker < 30 THEN 'fail' ELSE 'unclear' END AS outcome FROM timeline"))
 def f39(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", F.when(F.col("event_type") == "error", "hallucination").when(F.col("marker") > 70, "pass").when(F.col("marker") < 30, "fail").otherwise("unclear").alias("outcome"))
@@ -93,30 +79,6 @@ def f51(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.aggregate(steps, F.col("answer"), lambda t, s: F.replace(t, s["a"], s["b"])).alias("text"))
 
 
-@query("v14_cue_quality", over_sentences(r"SELECT id, NOT regexp_matches(lower(audio || ' ' || visual), '\b(maybe|she|he|they|appears?)\b') AS clean FROM q"))
-def v14(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark, d).select("id", (~F.lower(F.concat_ws(" ", "audio", "visual")).rlike(r"\b(maybe|she|he|they|appears?)\b")).alias("clean"))
-
-
-@query("v17_combination_validity", with_views("timeline", "SELECT video_id, CASE WHEN k IN ('click|view', 'purchase|view') THEN 0.9 WHEN k NOT LIKE '%|%' THEN 1.0 ELSE 0.1 END >= 0.5 AS valid FROM (SELECT video_id, string_agg(DISTINCT event_type, '|' ORDER BY event_type) AS k FROM timeline WHERE ms < 20000 GROUP BY 1)"))
-def v17(spark: SparkSession, d: str) -> DataFrame:
-    k = F.array_join(F.array_sort(F.collect_set("event_type")), "|")
-    sets = timeline(spark, d).filter("ms < 20000").groupBy("video_id").agg(k.alias("k"))
-    return sets.select("video_id", (F.when(F.col("k").isin("click|view", "purchase|view"), 0.9).when(~F.contains("k", F.lit("|")), 1.0).otherwise(0.1) >= 0.5).alias("valid"))
-
-
-@query("v18_structure", over_sentences("SELECT id, CASE kind WHEN 'counting' THEN regexp_matches(lower(question), '^how many') AND regexp_matches(answer, '[0-9]') WHEN 'inference' THEN regexp_matches(lower(question), '^(why|is)') ELSE question <> '' END AS fits FROM q"))
-def v18(spark: SparkSession, d: str) -> DataFrame:
-    q = F.lower("question")
-    return sentences(spark, d).select("id", F.when(F.col("kind") == "counting", q.rlike("^how many") & F.col("answer").rlike("[0-9]")).when(F.col("kind") == "inference", q.rlike("^(why|is)")).otherwise(F.col("question") != "").alias("fits"))
-
-
-@query("v19_unified_first_reason", over_sentences("SELECT id, CASE WHEN audio = '' THEN 'no cue' WHEN regexp_matches(question, '(Dr|Mr)\\.') THEN 'name' WHEN NOT regexp_matches(lower(question), 'whistle|says|speaker') THEN 'no audio word' ELSE 'ok' END AS reason FROM q"))
-def v19(spark: SparkSession, d: str) -> DataFrame:
-    q = F.col("question")
-    return sentences(spark, d).select("id", F.when(F.col("audio") == "", "no cue").when(q.rlike(r"(Dr|Mr)\."), "name").when(~F.lower(q).rlike("whistle|says|speaker"), "no audio word").otherwise("ok").alias("reason"))
-
-
 @query("v20_multiplied_confidence", as_double(with_views("detections", "SELECT video_id, part, supp, line, round(CASE WHEN w < 5 THEN 0.7 ELSE 1 END * CASE WHEN h > 60 THEN 0.5 ELSE 1 END * CASE WHEN confidence < 0.95 THEN 0.8 ELSE 1 END, 6) AS confidence FROM detections"), "confidence"))
 def v20(spark: SparkSession, d: str) -> DataFrame:
     c = F.when(F.col("w") < 5, 0.7).otherwise(1.0) * F.when(F.col("h") > 60, 0.5).otherwise(1.0) * F.when(F.col("confidence") < 0.95, 0.8).otherwise(1.0)

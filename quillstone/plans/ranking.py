@@ -155,14 +155,6 @@ def t16(spark: SparkSession, d: str) -> DataFrame:
     return g.select("video_id", F.greatest(F.expr("47L"), F.least(F.expr("150L"), want)).alias("frames"))
 
 
-@query("t17_template_selection", with_views("timeline", "SELECT video_id, t AS template FROM (SELECT video_id, unnest(list_filter([CASE WHEN count(*) FILTER (event_type = 'purchase') >= 10 THEN 'counting' END, CASE WHEN count(*) FILTER (event_type = 'error') >= 12 THEN 'temporal' END, CASE WHEN count(DISTINCT event_type) >= 5 THEN 'holistic' END], lambda x: x IS NOT NULL)) AS t FROM timeline GROUP BY video_id)"))
-def t17(spark: SparkSession, d: str) -> DataFrame:
-    n = lambda kind: F.count_if(F.col("event_type") == kind)
-    g = timeline(spark, d).groupBy("video_id").agg(n("purchase").alias("p"), n("error").alias("e"), F.size(F.collect_set("event_type")).alias("k"))
-    fits = F.array_compact(F.array(F.when(F.col("p") >= 10, "counting"), F.when(F.col("e") >= 12, "temporal"), F.when(F.col("k") >= 5, "holistic")))
-    return g.select("video_id", F.explode(fits).alias("template"))
-
-
 @query("t18_first_applicable", with_views("segments", "SELECT video_id, min(seq) AS seq FROM segments WHERE speaker = 'assistant' AND length(text) > 200 GROUP BY 1"))
 def t18(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).filter((F.col("speaker") == "assistant") & (F.length("text") > 200)).groupBy("video_id").agg(F.min("seq").alias("seq"))

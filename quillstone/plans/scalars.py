@@ -121,11 +121,6 @@ _FILE_SIZE = "SELECT doc_id, CASE WHEN n_chars < 1024 THEN printf('%.1f B', CAST
 
 
 @query("f13_file_size", _FILE_SIZE)
-@query("f13_file_size_all", _FILE_SIZE)
-def f13(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", S.file_size(F.col("n_chars")).alias("size"))
-
-
 @query("f14_safe_json", "SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k FROM events")
 def f14(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.coalesce(F.from_json("props", "k INT", {"mode": "PERMISSIVE"})["k"], F.lit(-1)).alias("k"))
@@ -220,21 +215,6 @@ def f30(spark: SparkSession, d: str) -> DataFrame:
 TYPE_WORDS = {"temporal": ["before", "after", "when"], "counting": ["how many", "count", "number of", "total"], "comparative": ["difference", "compare", "distinction", "versus"], "inference": ["why", "purpose", "reason", "because"]}
 
 
-@query("f32_keyword_classifier", as_double(over_sentences("SELECT id, kind, round(least(1, n * 0.4), 6) AS score FROM (" + " UNION ALL ".join(f"SELECT id, '{k}' AS kind, {_contained('question', w, ' + ')} AS n FROM q" for k, w in TYPE_WORDS.items()) + ") WHERE n > 0"), "score"))
-def f32(spark: SparkSession, d: str) -> DataFrame:
-    q = F.lower("question")
-    scored = F.array(*[F.struct(F.lit(k).alias("kind"), S.count_contained(q, w).alias("n")) for k, w in TYPE_WORDS.items()])
-    return sentences(spark, d).select("id", F.explode(F.filter(scored, lambda x: x["n"] > 0)).alias("x")).select("id", F.col("x.kind").alias("kind"), F.round(F.least(F.lit(1.0), F.col("x.n") * 0.4), 6).alias("score"))
-
-
-@query("f34_cooccurrence_rule", with_views("timeline", "SELECT video_id, CASE WHEN list_contains(l, 'click') AND NOT list_contains(l, 'after-click') THEN replace(array_to_string(l, '; '), 'click', 'click; after-click') ELSE array_to_string(l, '; ') END AS types FROM (SELECT video_id, list_sort(list(DISTINCT event_type)) AS l FROM timeline WHERE ms < 100000 GROUP BY 1)"))
-def f34(spark: SparkSession, d: str) -> DataFrame:
-    t = timeline(spark, d).filter("ms < 100000").groupBy("video_id").agg(F.array_sort(F.collect_set("event_type")).alias("l"))
-    at = F.array_position("l", "click").cast("int")
-    fixed = F.when((at > 0) & ~F.array_contains("l", "after-click"), F.array_insert("l", F.when(at > 0, at + 1).otherwise(1), "after-click")).otherwise(F.col("l"))
-    return t.select("video_id", F.array_join(fixed, "; ").alias("types"))
-
-
 @query("f37_severity_class", with_views("timeline", "SELECT seq, CASE WHEN marker / 100 < 0.3 THEN 'none' WHEN marker / 100 < 0.5 THEN 'low' WHEN marker / 100 < 0.7 THEN 'medium' ELSE 'high' END AS severity FROM timeline"))
 def f37(spark: SparkSession, d: str) -> DataFrame:
     return timeline(spark, d).select("seq", S.severity_of(F.col("marker") / 100).alias("severity"))
@@ -290,11 +270,6 @@ def f47(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.trim(F.substr(last, F.lit(len("Answer:") + 1))).alias("answer"))
 
 
-@query("f48_progress", with_views("timeline", "SELECT video_id, round(count(DISTINCT event_type) / 9, 6) AS progress FROM timeline WHERE ms < 90000 GROUP BY 1"))
-def f48(spark: SparkSession, d: str) -> DataFrame:
-    return timeline(spark, d).filter("ms < 90000").groupBy("video_id").agg(F.round(F.size(F.collect_set("event_type")) / 9, 6).alias("progress"))
-
-
 @query("f49_allocation", with_views("timeline", "SELECT video_id, CASE WHEN n >= 20 THEN 20 ELSE n END AS premium, CASE WHEN n >= 20 THEN 10 ELSE 30 - n END AS rest FROM (SELECT video_id, count(*) FILTER (marker > 70) AS n FROM timeline GROUP BY 1)"))
 def f49(spark: SparkSession, d: str) -> DataFrame:
     g = timeline(spark, d).groupBy("video_id").agg(F.count_if(F.col("marker") > 70).alias("n"))
@@ -331,34 +306,12 @@ def v02(spark: SparkSession, d: str) -> DataFrame:
     return R.verdicts(sentences(spark, d).withColumn("text", F.concat("question", "answer")), rules, ["id"]).withColumn("violations", F.col("violations").cast("int"))
 
 
-@query("v04_titled_names", over_sentences(r"SELECT id, regexp_extract(question || ' ' || answer, '\b(?:Mr|Mrs|Ms|Dr)\.\s+[A-Z][a-z]+\b') AS name FROM q"))
-def v04(spark: SparkSession, d: str) -> DataFrame:
-    return sentences(spark, d).select("id", F.regexp_extract(F.concat_ws(" ", "question", "answer"), r"\b(?:Mr|Mrs|Ms|Dr)\.\s+[A-Z][a-z]+\b", 0).alias("name"))
-
-
-@query("v06_anchored_checks", over_sentences(r"SELECT id, regexp_matches(lower(question), '^(is|does|do|are|can)\b') AS yes_no, contains(lower(question), ' and ') AS multi_part, length(answer) < 12 AS generic FROM q"))
-def v06(spark: SparkSession, d: str) -> DataFrame:
-    q = F.lower("question")
-    return sentences(spark, d).select("id", q.rlike(r"^(is|does|do|are|can)\b").alias("yes_no"), F.contains(q, F.lit(" and ")).alias("multi_part"), (F.length("answer") < 12).alias("generic"))
-
-
 @query("v12_audio_cue", over_sentences("SELECT id, CASE WHEN contains(lower(audio), 'none') THEN 'placeholder' WHEN lower(audio) IN ('music', 'whistle') THEN 'vague' WHEN length(audio) < 5 THEN 'short' WHEN len(list_filter(string_split(audio, ' '), lambda x: x <> '')) < 2 THEN 'one word' ELSE 'ok' END AS reason FROM q"))
 def v12(spark: SparkSession, d: str) -> DataFrame:
     a = F.lower("audio")
     return sentences(spark, d).select("id", F.when(F.contains(a, F.lit("none")), "placeholder").when(a.isin("music", "whistle"), "vague").when(F.length(a) < 5, "short").when(F.size(S.tokens(a)) < 2, "one word").otherwise("ok").alias("reason"))
 
 
-@query("v13_noise_filter", with_views("segments", r"SELECT video_id, seq, CASE WHEN length(trim(text)) < 3 THEN '[short]' WHEN regexp_matches(text, '^[^\p{L}\p{N}]+$') THEN '[symbols]' WHEN contains(lower(text), 'copyright') THEN '[watermark]' ELSE 'kept' END AS state FROM segments"))
-def v13(spark: SparkSession, d: str) -> DataFrame:
-    t = F.col("text")
-    return segments(spark, d).select("video_id", "seq", F.when(F.length(F.trim(t)) < 3, "[short]").when(t.rlike(r"^[^\p{L}\p{N}]+$"), "[symbols]").when(F.contains(F.lower(t), F.lit("copyright")), "[watermark]").otherwise("kept").alias("state"))
-
-
 @query("v15_dual_cue", over_sentences("SELECT id, trim(audio) <> '' AND trim(visual) <> '' AS dual FROM q"))
 def v15(spark: SparkSession, d: str) -> DataFrame:
     return sentences(spark, d).select("id", F.forall(F.array("audio", "visual"), lambda c: F.trim(c) != "").alias("dual"))
-
-
-@query("v21_span_precision", with_views("timeline", "SELECT seq, ms % 100 > 50 AS imprecise, ms BETWEEN 3000 AND 715000 AS covered FROM timeline"))
-def v21(spark: SparkSession, d: str) -> DataFrame:
-    return timeline(spark, d).select("seq", (F.col("ms") % 100 > 50).alias("imprecise"), F.col("ms").between(3000, 715000).alias("covered"))
