@@ -54,7 +54,7 @@ def f20(spark: SparkSession, d: str) -> DataFrame:
     return detections(spark, d).select("video_id", "part", "supp", "line", F.when(F.col("w").isNull() | (F.col("w") <= 0), "center").when(c < 1 / 3, "left").when(c < 2 / 3, "center").otherwise("right").alias("position"))
 
 
-@query("f31_rule_complexity", as_double(over_sentences(r"SELECT id, greatest(0, least(3, len(regexp_extract_all(lower(question), '\b(before|after|while)\b'))) + least(2, len(regexp_extract_all(question, ','))) * 0.5 + least(2, length(question) // 40) - CASE WHEN length(question) < 20 THEN 1 ELSE 0 END) AS complexity FROM q"), "complexity"))
+@query("f31_rule_complexity", as_double(over_sentences(r"SELECT id, greatest(0, least(3, len(regexp_extract_all(regexp_replace(lower(question), '([^\p{L}\p{N}_])', '\1\1', 'g'), '(^|[^\p{L}\p{N}_])(before|after|while)($|[^\p{L}\p{N}_])'))) + least(2, len(regexp_extract_all(question, ','))) * 0.5 + least(2, length(question) // 40) - CASE WHEN length(question) < 20 THEN 1 ELSE 0 END) AS complexity FROM q"), "complexity"))
 def f31(spark: SparkSession, d: str) -> DataFrame:
     q = F.col("question")
     n = lambda p: F.regexp_count(F.lower(q), F.lit(p))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import rules as R
 from quillstone.functions import scalars as S
+from quillstone.functions import wording as W
 from quillstone.operators.joins import dot
 from quillstone.plans.base import query
 from quillstone.sources.adapters import as_double, detections, frames, questions, segments, table, timeline, with_views
@@ -25,13 +26,13 @@ _KIND = "CASE pmod7 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(SE
 _PARTS = {name: "CASE kind " + " ".join(f"WHEN '{k}' THEN {v[i]}" for k, v in SENTENCES.items()) + " END" for i, name in enumerate(("question", "answer", "audio", "visual"))}
 
 
-def _ascii_line(c: str, options: str = "") -> str:
-    """White space as spaces, and letters beyond ASCII as the letter x, so that word bounds are the same in all dialects."""
-    return f"regexp_replace(regexp_replace(coalesce({c}, ''), '[\\n\\t\\r]', ' '{options}), '[^ -~]', 'x'{options})"
+def _line(c: str, options: str = "") -> str:
+    """The text with line ends and tabs as spaces."""
+    return f"regexp_replace(coalesce({c}, ''), '[\\n\\t\\r]', ' '{options})"
 
 
 SENTENCES_SQL = (
-    f"turns AS (SELECT c.conv_id * 1000000 + c.turn AS id, (c.conv_id + c.turn) % 7 AS pmod7, {_ascii_line('c.text', ', ' + chr(39) + 'g' + chr(39))} AS said, {_ascii_line('n.text', ', ' + chr(39) + 'g' + chr(39))} AS reply "
+    f"turns AS (SELECT c.conv_id * 1000000 + c.turn AS id, (c.conv_id + c.turn) % 7 AS pmod7, {_line('c.text', ', ' + chr(39) + 'g' + chr(39))} AS said, {_line('n.text', ', ' + chr(39) + 'g' + chr(39))} AS reply "
     f"FROM conversations c LEFT JOIN conversations n ON n.conv_id = c.conv_id AND n.turn = c.turn + 1), kinds AS (SELECT id, {_KIND} AS kind, said, reply FROM turns), "
     f"q AS (SELECT id, kind, {', '.join(f'{sql} AS {name}' for name, sql in _PARTS.items())} FROM kinds)"
 )
@@ -40,9 +41,9 @@ SENTENCES_SQL = (
 def sentences(spark: SparkSession, d: str) -> DataFrame:
     """Questions on every turn of every conversation: id, kind, question, answer, audio, visual. Null texts are empty; the last turn has no reply."""
     turns = table(spark, d, "conversations").select("conv_id", "turn", "text")
-    said = turns.select((F.col("conv_id") * 1000000 + F.col("turn")).alias("id"), ((F.col("conv_id") + F.col("turn")) % 7).alias("pmod7"), "conv_id", "turn", F.expr(_ascii_line("text")).alias("said"))
+    said = turns.select((F.col("conv_id") * 1000000 + F.col("turn")).alias("id"), ((F.col("conv_id") + F.col("turn")) % 7).alias("pmod7"), "conv_id", "turn", F.expr(_line("text")).alias("said"))
     after = turns.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("next"))
-    both = said.join(after, ["conv_id", "turn"], "left").select("id", F.expr(_KIND).alias("kind"), "said", F.expr(_ascii_line("next")).alias("reply"))
+    both = said.join(after, ["conv_id", "turn"], "left").select("id", F.expr(_KIND).alias("kind"), "said", F.expr(_line("next")).alias("reply"))
     return both.select("id", "kind", *[F.expr(sql).alias(name) for name, sql in _PARTS.items()])
 
 
@@ -286,12 +287,21 @@ def f50(spark: SparkSession, d: str) -> DataFrame:
 # Rule engines.
 
 
+def _bounded(pattern: str) -> str:
+    """A word pattern with its bounds written out, as DuckDB's own know no letters beyond ASCII."""
+    return W.word(pattern.removeprefix(r"\b").removesuffix(r"\b"))
+
+
+#: Every character between words twice, so that neighbours don't share one.
+_APART = r"regexp_replace(lower({0}), '([^\p{{L}}\p{{N}}_])', '\1\1', 'g')"
+
+
 def _pattern_counts(patterns: list[str], column: str) -> str:
-    return " + ".join(f"len(regexp_extract_all(lower({column}), '{p}'))" for p in patterns)
+    return " + ".join(f"len(regexp_extract_all({_APART.format(column)}, '{_bounded(p)}'))" for p in patterns)
 
 
 def _pattern_hits(patterns: list[str], column: str) -> str:
-    return " + ".join(f"regexp_matches(lower({column}), '{p}')::INT" for p in patterns)
+    return " + ".join(f"regexp_matches({_APART.format(column)}, '{_bounded(p)}')::INT" for p in patterns)
 
 
 @query("v01_hedging", over_sentences(f"SELECT id, {_pattern_hits(R.HEDGING, 'answer')} AS violations, CAST({_pattern_counts(R.HEDGING, 'answer')} AS BIGINT) AS occurrences, ({_pattern_hits(R.HEDGING, 'answer')}) = 0 AS valid FROM q"))
