@@ -7,13 +7,19 @@ from pyspark.sql import functions as F
 
 from quillstone.operators.similarity import dedupe_replacing, pick_diverse, similar_pairs
 from quillstone.plans.base import query
-from quillstone.sources.adapters import segments, timeline, videos, with_views
+from quillstone.plans.validation import cued
+from quillstone.sources.adapters import timeline, videos, with_views
 from quillstone.streaming.events import budget_state, latest_state, review_progress
 
 
+def _asked(spark: SparkSession, d: str) -> DataFrame:
+    """Questions of twenty videos each, as one cluster."""
+    return cued(spark, d).select(F.expr("video_id DIV 20").alias("cluster"), "id", "question", F.length("answer").alias("score"))
+
+
 @query("j21_similar_text_pairs")
 def j21(spark: SparkSession, d: str) -> DataFrame:
-    return similar_pairs(segments(spark, d), "video_id", "seq", "text", 0.6)
+    return similar_pairs(_asked(spark, d), "cluster", "id", "question", 0.7)
 
 
 @query("t04_diverse_top_k")
@@ -24,7 +30,7 @@ def t04(spark: SparkSession, d: str) -> DataFrame:
 
 @query("t20_text_dedup_replacing")
 def t20(spark: SparkSession, d: str) -> DataFrame:
-    return dedupe_replacing(segments(spark, d).withColumn("score", F.length("text")), "video_id", "seq", "text", "score", 0.6)
+    return dedupe_replacing(_asked(spark, d), "cluster", "id", "question", "score", 0.7)
 
 
 @query("x03_review_progress", with_views("videos", "SELECT CAST(owner AS VARCHAR) AS video_id, count(*) AS total, count(*) FILTER (status = 'F') AS decided, count(*) FILTER (status <> 'F') AS pending FROM videos GROUP BY 1"))

@@ -7,11 +7,12 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.operators.joins import range_join
 from quillstone.operators.skew import shared_folder
 from quillstone.plans.base import query
 from quillstone.sources import files, store
 from quillstone.sources.adapters import cost_log, detections, table, timeline, videos, with_views
-from quillstone.streaming.connections import connection_counts
+from quillstone.streaming.connections import connection_counts, sessions
 
 
 def _place(spark: SparkSession) -> str:
@@ -115,12 +116,26 @@ w AS (SELECT *, lag(kind) OVER o AS before, ms - lag(ms) OVER o AS since, lead(m
 s AS (SELECT *, before IS NULL OR before = 'disconnect' OR since > 30000 AS shut FROM w)"""
 
 
+def _connected(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "error", "disconnect").otherwise("message")
+    return timeline(spark, d).select("video_id", (F.col("marker") % 4).alias("connection_id"), kind.alias("kind"), "ms", "seq")
+
+
+_SESSIONS = f"{_LINKS}, n AS (SELECT *, sum(shut::INT) OVER (PARTITION BY video_id, connection_id ORDER BY ms, seq) AS n FROM s WHERE NOT (kind = 'disconnect' AND shut)), spans AS (SELECT video_id, connection_id, min(ms) AS opened_at, coalesce(max(ms) FILTER (kind = 'disconnect'), max(ms) + 30000) AS closed_at FROM n GROUP BY video_id, connection_id, n)"
+
+
+@query("x01_deliveries", with_views("timeline", "SELECT t.video_id, t.event_type, count(*) AS sent FROM timeline t JOIN spans p ON p.video_id = t.video_id AND t.ms >= p.opened_at AND t.ms < p.closed_at GROUP BY ALL", more=_SESSIONS))
+def x01(spark: SparkSession, d: str) -> DataFrame:
+    """How often events of each type are sent: once to every connection of their video that is open."""
+    spans = sessions(_connected(spark, d), F.lit(30000), ["ms", "seq"])
+    sent = range_join(timeline(spark, d).select("video_id", "event_type", F.col("ms").alias("at")), spans, "video_id", "at", "opened_at", "closed_at", end_inclusive=False)
+    return sent.groupBy("video_id", "event_type").agg(F.count(F.lit(1)).alias("sent"))
+
+
 @query("x02_connection_counts", with_views("timeline", "SELECT video_id, opened, closed, opened - closed AS open FROM (SELECT video_id, count(*) FILTER (kind = 'message' AND shut) AS opened, count(*) FILTER ((kind = 'disconnect' AND NOT shut) OR (kind = 'message' AND (until > 30000 OR (final AND now - ms > 30000)))) AS closed FROM s GROUP BY 1)", more=_LINKS))
 def x02(spark: SparkSession, d: str) -> DataFrame:
-    t = timeline(spark, d)
-    events = t.select("video_id", (F.col("marker") % 4).alias("connection_id"), F.when(F.col("event_type") == "error", "disconnect").otherwise("message").alias("kind"), "ms", "seq")
-    now = t.agg(F.max("ms").alias("now"))
-    return connection_counts(events.join(F.broadcast(now)), F.col("now"), F.lit(30000), ["ms", "seq"])
+    now = timeline(spark, d).agg(F.max("ms").alias("now"))  # one row
+    return connection_counts(_connected(spark, d).join(F.broadcast(now)), F.col("now"), F.lit(30000), ["ms", "seq"])
 
 
 @query("x04_advanced_videos", with_views("detections", "SELECT video_id, count(*) AS total FROM detections GROUP BY 1 HAVING count(*) FILTER (class NOT IN ('R', 'A')) = 0"))

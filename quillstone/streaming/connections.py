@@ -68,6 +68,17 @@ def connection_counts(events: DataFrame, now: F.Column, idle: F.Column, order: l
     return e.groupBy("video_id").agg(F.count_if(says & shut).alias("opened"), F.count_if((ends & ~shut) | timed_out).alias("closed")).withColumn("open", F.col("opened") - F.col("closed"))
 
 
+def sessions(events: DataFrame, idle: F.Column, order: list[str]) -> DataFrame:
+    """video_id, connection_id, opened_at, closed_at of every connection that was open: from its first event to its disconnect, or ``idle`` behind its last event."""
+    own = Window.partitionBy("video_id", "connection_id").orderBy(*order)
+    at = order[0]
+    shut = F.lag("kind").over(own).isNull() | (F.lag("kind").over(own) == "disconnect") | (F.col(at) - F.lag(at).over(own) > idle)
+    live = events.withColumn("__shut", shut).filter(~((F.col("kind") == "disconnect") & F.col("__shut")))
+    numbered = live.withColumn("__n", F.sum(F.col("__shut").cast("int")).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ended = F.max(F.when(F.col("kind") == "disconnect", F.col(at)))
+    return numbered.groupBy("video_id", "connection_id", "__n").agg(F.min(at).alias("opened_at"), F.coalesce(ended, F.max(at) + idle).alias("closed_at")).drop("__n")
+
+
 def write_once(path: str) -> Callable[[DataFrame, int], None]:
     """A handler that gives each batch a folder of its own; a batch that is repeated replaces it."""
     return lambda batch, number: batch.write.mode("overwrite").parquet(f"{path}/batch={number}")

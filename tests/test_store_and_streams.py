@@ -96,6 +96,10 @@ def test_connections_stream_and_table(spark, tmp_path):
     table = spark.createDataFrame(rows, "video_id string, connection_id string, kind string, s long").withColumn("n", F.monotonically_increasing_id())
     counts = C.connection_counts(table, F.lit(at + 1000), F.lit(30), ["s", "n"]).collect()
     assert {r["video_id"]: (r["opened"], r["closed"]) for r in counts} == {v: (sum(n for k, n in want.items() if k[0] == v and k[2] == 1), sum(n for k, n in want.items() if k[0] == v and k[2] == -1)) for v in "abz"}
+    spans = Counter((r["video_id"], r["connection_id"], r["opened_at"], r["closed_at"]) for r in C.sessions(table, F.lit(30), ["s", "n"]).collect())
+    starts = Counter((v, c, t) for (v, c, delta, t), n in changes_of(rows, 30, 10**6).items() if delta == 1 for _ in range(n))
+    ends = Counter((v, c, t) for (v, c, delta, t), n in changes_of(rows, 30, 10**6).items() if delta == -1 for _ in range(n))
+    assert Counter(k[:3] for k in spans.elements()) == starts and Counter((*k[:2], k[3]) for k in spans.elements()) == ends
 
 
 def test_reviews_advance_once(spark, tmp_path):
