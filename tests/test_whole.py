@@ -26,5 +26,5 @@ def test_file_size_of_every_document(spark, tmp_path):
     spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     units = [(1024**3, "GB"), (1024**2, "MB"), (1024, "KB"), (1, "B")]
     want = [next(f"{n / u:.1f} {name}" for u, name in units if n >= u or u == 1) for n in sizes]
-    got = registry.QUERIES["f13_file_size_all"](spark, str(tmp_path)).collect()
+    got = registry.QUERIES["f13_file_size"](spark, str(tmp_path)).collect()
     assert [r["size"] for r in sorted(got, key=lambda r: r["doc_id"])] == want
