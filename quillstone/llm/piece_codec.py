@@ -12,6 +12,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 from itertools import chain, pairwise
 
@@ -24,7 +25,7 @@ from quillstone.llm.pieces import SPACE, Vocabulary, model_bytes, vocabulary
 
 #: Chunks longer than this get a heap; a task keeps two generations of so many encoded chunks, of about 150 bytes each;
 #: the newer stays in the worker for later tasks, beside what other stages need.
-LIST_WIDTH, KEPT_CHUNKS = 48, 400_000
+LIST_WIDTH, KEPT_CHUNKS = 48, 600_000
 _NEVER = float("inf")
 
 
@@ -35,12 +36,13 @@ class Agenda:
         self.vocab = vocab
         self.cost = {piece: -float(vocab.scores[i]) for piece, i in vocab.ids.items()}
 
-    def encode(self, chunk: str) -> tuple[int, ...]:
+    def encode(self, chunk: str) -> list[int]:
         symbols = self._merge_list(chunk) if len(chunk) <= LIST_WIDTH else self._merge_heap(chunk)
         ids = self.vocab.ids
-        if all(s in ids for s in symbols):
-            return tuple([ids[s] for s in symbols])
-        return tuple(chain.from_iterable([ids[s]] if s in ids else self._bytes(s) for s in symbols))
+        try:
+            return [ids[s] for s in symbols]
+        except KeyError:
+            return list(chain.from_iterable([ids[s]] if s in ids else self._bytes(s) for s in symbols))
 
     def _bytes(self, c: str) -> list[int]:
         """Byte pieces of a character that is no piece; the unknown id where the vocabulary has none."""
@@ -95,7 +97,7 @@ class Codec:
     def __init__(self, proto: bytes):
         self.vocab = vocabulary(proto)
         self.agenda = Agenda(self.vocab)
-        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers of the machine
         self.older: dict[str, bytes] = {}
         self.disputed: set[str] = set()
 
@@ -108,15 +110,16 @@ class Codec:
         if len(self.known) > KEPT_CHUNKS:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        missing = {c for cs in chunked for c in cs if c not in known}
-        known.update((c, older[c]) for c in missing if c in older)
-        new = [c for c in missing if c not in older]
+        missing = set(chain.from_iterable(chunked)).difference(known)
+        again = missing.intersection(older) if older else ()
+        known.update((c, older[c]) for c in again)
+        new = list(missing.difference(again))
         for c, checked in zip(new, self._library(new), strict=True):
             own = self.agenda.encode(c)
-            if list(own) != checked:
+            if own != checked:
                 self.disputed.add(c)
-                own = tuple(checked)
-            known[c] = np.array(own, np.int32).tobytes()
+                own = checked
+            known[c] = array("i", own).tobytes()
 
     def encode(self, texts: list[str]) -> Iterator[tuple[list[int], bool]]:
         """Per text: ids, and whether the library agrees on every chunk."""
