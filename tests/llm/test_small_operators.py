@@ -30,6 +30,11 @@ def empty(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+def clashing(frame, *names):
+    """frame with columns of names that operators use within."""
+    return frame.select("*", *[F.lit(f"clash {n}").alias(n) for n in names])
+
+
 def sha(s):
     return hashlib.sha256(s.encode() if isinstance(s, str) else s).hexdigest()
 
@@ -41,7 +46,7 @@ def sha(s):
 def test_exact_dedup(spark, docs, empty, counters):
     rng = random.Random(1)
     rows = ROWS + [(i, rng.choice(["hot", "hot", "hot", "p", "q", str(i)])) for i in range(10, 200)]
-    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, SCHEMA).withColumnRenamed("x", "digest"), counters=counters).collect()
+    got = exact_dedup.exact_dedup(clashing(spark.createDataFrame(rows, SCHEMA), "digest", "low", "keep_id", "group_size", "kept"), counters=counters).collect()
     groups = {}
     for i, t in rows:
         groups.setdefault(sha(t or ""), []).append(i)
@@ -74,7 +79,7 @@ def test_chat_round_trip(spark):
     rows = [(c, t, rng.choice(["user", "assistant", "<s>"]), "".join(rng.choices(bits, k=rng.randrange(8))) if rng.random() > 0.1 else None) for c in range(30) for t in range(rng.randrange(1, 9))]
     rows += [(None, None, None, "x"), (None, None, None, "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    formatted = chat_format.format_chat(turns.withColumnRenamed("extra", "formatted"))
+    formatted = chat_format.format_chat(clashing(turns, "formatted", "turns", "n_turns", "said"))
     for r in chat_format.read_back(formatted).collect():
         mine = sorted(((t, role or "", text or "") for c, t, role, text in rows if c == r["conv_id"]), key=lambda x: (x[0] is not None, x))
         assert [(x["role"], x["text"]) for x in r["turns"]] == [m[1:] for m in mine]
@@ -141,8 +146,25 @@ def test_codec_table(docs, empty):
     assert len(rows) == len(ROWS) and all(r["library_agrees"] for r in rows)
     assert [r["ids"] for r in rows if r["doc_id"] == 2] == [[]]
     assert piece_codec.piece_codec(empty).count() == 0
-    n = {r["doc_id"]: r["n_tokens"] for r in piece_codec.piece_digest(docs).collect()}
-    assert n[3] == 0 and n[7] > 30000
+    digests = piece_codec.piece_digest(clashing(docs, "n_tokens", "ids", "ids_sha256", "decoded", "library_agrees")).collect()
+    n = {r["doc_id"]: r["n_tokens"] for r in digests}
+    assert n[3] == 0 and n[7] > 30000 and len(digests) == len(ROWS)
+    library = sentencepiece.SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
+    want = Counter((i, len(ids := library.encode(t or "")), sha(",".join(map(str, ids))), sha(library.decode(ids))) for i, t in ROWS)
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in digests) == want
+
+
+def test_long_chunks_and_many_generations(monkeypatch):
+    """Texts without white space are one chunk each; a memory of a few chunks gives the same ids."""
+    library = sentencepiece.SentencePieceProcessor(model_file=path("piece_bpe_32k.model"))
+    rng = random.Random(61)
+    texts = ["".join(rng.choices("日本語のabc", k=rng.randrange(1, 400))) for _ in range(40)] + ["w%d x%d" % (i % 7, i) for i in range(60)]
+    monkeypatch.setattr(piece_codec, "KEPT_CHUNKS", 5)
+    codec = piece_codec.Codec(pieces.model_bytes())
+    for _ in range(2):
+        for at in range(0, len(texts), 9):
+            assert [g[0] for g in codec.encode(texts[at : at + 9])] == library.encode(texts[at : at + 9])
+        codec.rest()
 
 
 # Language ID
