@@ -242,7 +242,12 @@ def f40(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", t.alias("tokens"), F.round(t * 0.003 / 1000, 9).alias("price"))
 
 
-@query("f41_shorten_quote")
+_SHORT = """SELECT video_id, seq, CASE WHEN length(text) <= 60 THEN text WHEN sentence <> '' AND length(sentence) <= 60 THEN sentence WHEN clause <> '' AND length(clause) <= 60 THEN clause ELSE
+  list_reduce(list_prepend('', string_split(text, ' ')), lambda acc, w: CASE WHEN acc = '' THEN CASE WHEN length(w) <= 60 THEN w ELSE '' END WHEN length(acc) + 1 + length(w) <= 60 THEN acc || ' ' || w ELSE acc END) END AS quote
+FROM (SELECT *, regexp_extract(text, '^([^.!?]*[.!?])', 1) AS sentence, regexp_extract(text, '^([^,;]*)[,;]', 1) AS clause FROM segments)"""
+
+
+@query("f41_shorten_quote", with_views("segments", _SHORT))
 def f41(spark: SparkSession, d: str) -> DataFrame:
     return segments(spark, d).select("video_id", "seq", S.shorten(F.col("text"), 60).alias("quote"))
 

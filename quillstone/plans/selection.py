@@ -22,7 +22,14 @@ def j21(spark: SparkSession, d: str) -> DataFrame:
     return similar_pairs(_asked(spark, d), "cluster", "id", "question", 0.7)
 
 
-@query("t04_diverse_top_k")
+_DIVERSE = """g AS (SELECT video_id, 0 AS place, NULL::BIGINT AS seq, []::BIGINT[] AS seqs, []::VARCHAR[] AS kinds FROM (SELECT DISTINCT video_id FROM timeline) UNION ALL
+  SELECT video_id, place + 1, s, list_append(seqs, s), list_append(kinds, k) FROM (SELECT *, row_number() OVER (PARTITION BY video_id ORDER BY points DESC, s) AS best FROM (
+    SELECT *, 0.5::DOUBLE * difficulty + 0.3::DOUBLE * (CASE WHEN n = 0 THEN 2 ELSE 0 END - (3 * n + CASE WHEN n >= 2 THEN 10 ELSE 0 END))::DOUBLE + 0.2::DOUBLE * failure AS points FROM (
+      SELECT g.video_id, g.place, g.seqs, g.kinds, t.seq AS s, t.event_type AS k, t.marker / 10 AS difficulty, t.score AS failure, len(list_filter(g.kinds, lambda x: x = t.event_type)) AS n
+      FROM g JOIN timeline t ON t.video_id = g.video_id WHERE g.place < 4 AND NOT list_contains(g.seqs, t.seq)))) WHERE best = 1)"""
+
+
+@query("t04_diverse_top_k", with_views("timeline", "SELECT video_id, seq, place FROM g WHERE place > 0", more=_DIVERSE).replace("WITH ", "WITH RECURSIVE ", 1))
 def t04(spark: SparkSession, d: str) -> DataFrame:
     t = timeline(spark, d).select("video_id", "seq", "event_type", (F.col("marker") / 10).alias("difficulty"), F.col("score").alias("failure"))
     return pick_diverse(t, "video_id", "seq", "event_type", "difficulty", "failure")
