@@ -168,7 +168,9 @@ def _components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     anchored = checkpointed(linked_fps.unionByName(one_fp))
 
     wanted = met.select("node").unionByName(anchored.select(F.explode(F.array("a", "b")).alias("node"))).distinct().join(nodes, "node").select("th")
-    sets = checkpointed(_sets(texts.join(wanted, "th", "left_semi").dropDuplicates(["th"]).select("text"), shingle))
+    # One row of each text is read: that of its smallest id, so copies of a text aren't brought together.
+    first = wanted.join(rows.groupBy("th").agg(F.min("doc_id").alias("__id")), "th").withColumnRenamed("th", "__th")
+    sets = checkpointed(_sets(texts.join(first, (F.col("th") == F.col("__th")) & texts["doc_id"].eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["th"]).select("text"), shingle))
 
     def alike(n: str, m: str):
         return F.least(n, m) >= similarity * F.greatest(n, m) - 1e-9  # else the sizes alone rule it out

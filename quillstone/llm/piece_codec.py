@@ -186,7 +186,10 @@ def piece_codec(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def piece_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str | None = None) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, library_agrees of the same encoding and decoding, digested in place."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, library_agrees of the same encoding and decoding, digested in place.
+
+    A null text counts as empty, repeated rows give repeated rows, ids may be null, no other columns are read.
+    """
     spark = docs.sparkSession
     ship(spark)
     proto = spark.sparkContext.broadcast(model_bytes(model_path))
