@@ -16,6 +16,7 @@ Grams that a sample of the documents shows to be very frequent, and grams with v
 
 from __future__ import annotations
 
+import secrets
 import tempfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -36,7 +37,6 @@ HOT_PLACES, SAMPLE, HOT_GRAMS = 200_000, 32, 65_536
 #: Symbols of the transform held at once; bytes of text hashed at once; places combined before the shuffle.
 BLOCK, _SEGMENT, _COMBINED = 1 << 18, 1 << 19, 400_000
 _PLACE = np.uint64((1 << 20) - 1)
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 #: A span is a context's first string, the number of its strings less one, and where its gram begins; NO_GRAM if it was cut from one.
 _START, _MORE, NO_GRAM = 1 << 16, 1 << 8, 255
@@ -57,18 +57,23 @@ class _Powers:
         self.up, self.down = (np.cumprod(np.concatenate([one, np.full(n, x, np.uint64)])) for x in (base, pow(base, -1, 2**64)))
 
 
+def hash_keys() -> tuple[int, int]:
+    """Bases of the two hashes of a run, drawn anew, so that nobody can make texts that agree in them; of the largest order modulo 2**64."""
+    return tuple(secrets.randbits(61) << 3 | 5 for _ in range(2))
+
+
 _POWERS: dict[tuple[int, int], _Powers] = {}
 
 
 class SubstringHashes:
     """64-bit hashes of any substrings of a piece of text, from one running sum of its symbols times powers."""
 
-    def __init__(self, data: np.ndarray, which: int):
-        key = (which, _SEGMENT + 256)
-        if len(data) > key[1]:
-            key = (which, len(data))
+    def __init__(self, data: np.ndarray, base: int):
+        key = (base, max(_SEGMENT + 256, len(data)))
         if key not in _POWERS:
-            _POWERS[key] = _Powers(_BASES[which], key[1])
+            if len(_POWERS) > 4:  # of earlier runs
+                _POWERS.clear()
+            _POWERS[key] = _Powers(*key)
         self.powers = _POWERS[key]
         with np.errstate(over="ignore"):
             self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers.up[: len(data)])])
@@ -89,11 +94,11 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - n)], x[width - n :]) if width > n else x
 
 
-def _contexts(data: np.ndarray, edges: np.ndarray, hot: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _contexts(data: np.ndarray, edges: np.ndarray, hot: np.ndarray, length: int, gram: int, keys: tuple[int, int]) -> Iterator[tuple[np.ndarray, ...]]:
     """(document, gram, digest, span) of the contexts of texts that lie end to end, cut at edges, a piece at a time."""
     for at in range(int(edges[0]), max(int(edges[-1]) - length + 1, int(edges[0])), _SEGMENT):
         piece = data[at : min(at + _SEGMENT + length - 1, int(edges[-1]))]
-        hashes = SubstringHashes(piece, 0)
+        hashes = SubstringHashes(piece, keys[0])
         h = hashes.all(gram)
         # The place breaks ties to the left. It fits, as a piece is shorter than the low bits' range.
         owner = _sliding_min((h & ~_PLACE) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
@@ -108,20 +113,20 @@ def _contexts(data: np.ndarray, edges: np.ndarray, hot: np.ndarray, length: int,
             continue
         place = (owner[first] & _PLACE).astype(np.int64)
         grams = h[place]
-        digests = SubstringHashes(piece, 1)
+        digests = SubstringHashes(piece, keys[1])
         cut = np.isin(grams, hot) if len(hot) else np.zeros(len(grams), bool)
-        begin, keys, marks = first[~cut], grams[~cut], digests.of(first[~cut], last[~cut] + length)
+        begin, names, marks = first[~cut], grams[~cut], digests.of(first[~cut], last[~cut] + length)
         shape = (last - first)[~cut] * _MORE + (place - first)[~cut]
         if cut.any():
             counts = (last - first)[cut] + 1
             each = np.repeat(first[cut], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            begin, keys = np.concatenate([begin, each]), np.concatenate([keys, hashes.of(each, each + length)])
+            begin, names = np.concatenate([begin, each]), np.concatenate([names, hashes.of(each, each + length)])
             marks, shape = np.concatenate([marks, digests.of(each, each + length)]), np.concatenate([shape, np.full(len(each), NO_GRAM)])
         doc = np.searchsorted(edges, begin + at, "right") - 1
-        yield doc, keys, marks, (begin + at - edges[doc]) * _START + shape
+        yield doc, names, marks, (begin + at - edges[doc]) * _START + shape
 
 
-def places_of(batch: pa.RecordBatch, hot: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> Iterator[pa.RecordBatch]:
+def places_of(batch: pa.RecordBatch, hot: np.ndarray, keys: tuple[int, int], length: int = LENGTH, gram: int = GRAM) -> Iterator[pa.RecordBatch]:
     """gram, digest, id, tie, span of the contexts in a batch of (id, tie, text).
 
     Of equal contexts of about _COMBINED, all but the first are known to be copies: their span is complemented
@@ -151,7 +156,7 @@ def places_of(batch: pa.RecordBatch, hot: np.ndarray, length: int = LENGTH, gram
         return pa.RecordBatch.from_arrays(arrays, names=["gram", "digest", "id", "tie", "span"])
 
     held, n = [], 0
-    for part in _contexts(data, edges, hot, length, gram):
+    for part in _contexts(data, edges, hot, length, gram, keys):
         held.append(part)
         n += len(part[0])
         if n > _COMBINED:
@@ -455,6 +460,7 @@ def repeated_bytes(
     ship(spark)
     if not 0 < gram < length or 2 * length - gram >= NO_GRAM:
         raise ValueError(f"gram must be shorter than length, and contexts shorter than {NO_GRAM} bytes")
+    keys = hash_keys()
     named = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
     id_type = named.schema["id"].dataType.simpleString()
     # Rows that share an id are told apart by their text; the tie is 0 for all others.
@@ -465,7 +471,7 @@ def repeated_bytes(
     def find(hot):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                yield from places_of(batch, hot.value, length, gram)
+                yield from places_of(batch, hot.value, keys, length, gram)
 
         return run
 
