@@ -2,7 +2,7 @@
 
 Every three consecutive lines are hashed to 128 bits. Windows that occur more than once are found by a
 pre-aggregated group-by that keeps only the first place and a count, so a very common window never
-gathers its rows. Joined back, all places but the first are covered, and what the covered places of
+gathers its rows. Joined back, the most frequent by broadcast, all places but the first are covered, and what the covered places of
 a document add up to is cut out.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import text_or_empty
+from quillstone.llm.common import HOT_KEYS, checkpointed, text_or_empty
 
 WINDOW = 3
 
@@ -43,9 +43,13 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     result. Extra columns pass through; n_lines and n_removed_lines replace columns of those names.
     """
     windows = line_windows(docs, id_col, text_col)
-    repeated = windows.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    repeated = checkpointed(windows.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    # The most frequent windows are broadcast, and their places dealt out; any other window has fewer than a HOT_KEYS-th of all places.
+    hot = checkpointed(repeated.orderBy(F.desc("n"), "h1", "h2").limit(HOT_KEYS).select("h1", "h2", F.col("first").alias("hot")))
+    marked = windows.join(F.broadcast(hot), ["h1", "h2"], "left").select("h2", "place", "hot", F.when(F.col("hot").isNull(), F.col("h1")).otherwise(F.xxhash64("place")).alias("key"))
+    met = marked.join(repeated.select(F.col("h1").alias("key"), "h2", "first"), ["key", "h2"], "left")
     covered = (
-        windows.join(repeated, ["h1", "h2"]).filter(F.col("place") > F.col("first"))
+        met.filter(F.col("place") > F.coalesce("hot", "first"))
         .groupBy(F.col("place.doc_id").alias("__id"), F.col("place.th").alias("__th")).agg(F.array_sort(F.collect_set("place.pos")).alias("__at"))
     )
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed_lines")]

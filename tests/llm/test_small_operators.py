@@ -107,7 +107,9 @@ def brute_lines(rows):
     return out
 
 
-def test_line_dedup(spark, docs, empty):
+@pytest.mark.parametrize("hot", [line_dedup.HOT_KEYS, 0, 2])
+def test_line_dedup(spark, docs, empty, hot, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_KEYS", hot)
     rng = random.Random(4)
     rows = ROWS + [(i, "\n".join(rng.choices(["a", "b", " a", "", "c d"], k=rng.randrange(0, 14)))) for i in range(20, 60)] + [(20, "a\nb\na"), (20, "a\nb\na")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA + ", n_lines int")  # a name that clashes
