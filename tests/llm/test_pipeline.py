@@ -123,14 +123,26 @@ def test_marks_stay_with_their_letters():
 
 def test_toxicity_of_a_text_does_not_depend_on_its_neighbours():
     rng = np.random.default_rng(1)
-    toxicity_model = toxicity._train([rng.integers(0, 400, n) for n in rng.integers(0, 30, 60)], rng.integers(0, 2, 60).astype(np.float32))
-    docs = [np.array([], np.int64), np.array([3]), *[rng.integers(0, 400, n) for n in (2, 3, 7, 200)], np.array([3]), np.array([], np.int64)]
-    alone = np.array([toxicity.logits(toxicity_model, [d])[0] for d in docs])
+    model = toxicity._train([rng.integers(0, 400, (n, 2)) for n in rng.integers(0, 30, 60)], rng.integers(0, 2, 60).astype(np.float32))
+    docs = [np.empty((0, 2), np.int64), np.array([[3, 5]]), *[rng.integers(0, 400, (n, 2)) for n in (2, 3, 7, 200)], np.array([[3, 5]]), np.empty((0, 2), np.int64)]
+    alone = np.array([toxicity.logits(model, [d])[0] for d in docs])
     for seed in range(6):
         order = np.random.default_rng(seed).permutation(len(docs))
-        assert np.allclose(toxicity.logits(toxicity_model, [docs[i] for i in order]), alone[order], atol=2e-6)
+        assert np.allclose(toxicity.logits(model, [docs[i] for i in order]), alone[order], atol=2e-6)
     # Each pool is over the windows that begin in the text, and no others.
     for d, z in zip(docs, alone, strict=True):
-        padded = np.concatenate([d, np.full(3, toxicity._PAD)])
-        pooled = [max(sum(toxicity_model.embed[padded[i + j]] @ w[j][:, f] for j in range(len(w))) for i in range(max(len(d), 1))) for w in toxicity_model.filters for f in range(toxicity.FILTERS)]
-        assert abs(np.maximum(np.array(pooled) + toxicity_model.bias, 0) @ toxicity_model.out + toxicity_model.out_bias - z) < 1e-4
+        words = model.embed[np.concatenate([d, np.full((3, 2), toxicity._PAD)])].sum(axis=1)
+        pooled = [max(sum(words[i + j] @ w[j][:, f] for j in range(len(w))) for i in range(max(len(d), 1))) for w in model.filters for f in range(toxicity.FILTERS)]
+        assert abs(np.maximum(np.array(pooled) + model.bias, 0) @ model.out + model.out_bias - z) < 1e-4
+
+
+def test_rare_words_are_known_by_their_beginning():
+    rng = random.Random(3)
+    hasher = toxicity.WordHasher()
+    text = lambda bad: " ".join(rng.choices(EN, k=30) + (["scumm" + "".join(rng.choices("abcdefgh", k=6))] if bad else []))
+    rows = [(text(i % 3 == 0), i % 3 == 0) for i in range(600)]
+    ids = [np.array(hasher(t), np.int64).reshape(-1, 2) for t, _ in rows]
+    model = toxicity.fit(ids, np.array([y for _, y in rows], float), [None] * 600)
+    new = [(text(i % 3 == 0), i % 3 == 0) for i in range(150)]
+    z = toxicity.logits(model, [np.array(hasher(t), np.int64).reshape(-1, 2) for t, _ in new]) - model.thresholds[""]
+    assert np.mean((z > 0) == np.array([y for _, y in new])) > 0.97
