@@ -70,7 +70,7 @@ g AS (SELECT video_id, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::VARCHAR AS rea
 @query("t03_priority_no_overlap", with_views("timeline", "SELECT video_id, seq, reason IS NULL AS taken, reason, against FROM g WHERE n > 0", more=_EXCLUSIVE).replace("WITH ", "WITH RECURSIVE ", 1))
 def t03(spark: SparkSession, d: str) -> DataFrame:
     t = timeline(spark, d)
-    moments = t.select("video_id", "seq", "score", *[F.expr(sql).alias(c) for c, sql in {**_MOMENT, "mode": _MOMENT["mode"]}.items()])
+    moments = t.select("video_id", "seq", "score", *[F.expr(sql).alias(c) for c, sql in _MOMENT.items()])
     first = moments.withColumns({"content": F.expr(_CONTENT), "off": F.expr(_RADIUS)})
     judged = exclusive_spans(first, "video_id", "seq", "score", "start_ms", "end_ms", F.col("mode") == "cluster", [("content", F.col("content").isNotNull()), ("Protected radius", F.col("off"))])
     return judged.select("video_id", "seq", F.col("reason").isNull().alias("taken"), F.when(F.col("reason") == "content", F.col("content")).otherwise(F.col("reason")).alias("reason"), "against")

@@ -203,7 +203,7 @@ def j24(spark: SparkSession, d: str) -> DataFrame:
     words = F.array_remove(F.split(F.coalesce("text", F.lit("")), r"\s+"), "")
     s = segments(spark, d).select("video_id", "seq", "text", words.alias("w"))
     cue = F.when(F.col("seq") % 3 == 0, F.array_join(F.slice("w", 1, 4), " ")).when(F.col("seq") % 3 == 1, F.array_join(F.reverse(F.slice("w", 1, 40)), " ")).otherwise(F.array_join(F.array_append("w", "extra"), " "))
-    cues = s.select("video_id", (F.col("seq") - 1).alias("cue_seq"), F.expr("1").alias("one"), F.lower(F.trim(cue)).alias("q")).drop("one")
+    cues = s.select("video_id", (F.col("seq") - 1).alias("cue_seq"), F.lower(F.trim(cue)).alias("q"))
     tokens = lambda c: F.array_distinct(F.array_remove(F.split(c, r"\s+"), ""))
     met = dealt_join(cues.withColumn("wq", tokens("q")), s.select("video_id", "seq", F.trim(F.lower("text")).alias("t")).withColumn("wt", tokens("t")), ["video_id"], ["seq"])
     exact = F.contains("t", F.col("q")) | F.contains("q", F.col("t"))
