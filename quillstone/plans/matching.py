@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.functions import scalars as S
 from quillstone.operators.joins import band_join, nearest, nearest_within, range_join
 from quillstone.plans.base import query
 from quillstone.plans.scalars import over_sentences, sentences
 from quillstone.plans.templates import first
 from quillstone.sources.adapters import as_double, detections, segments, table, timeline, with_views
 
-_WORDS = "list_filter(string_split(lower({0}), ' '), lambda x: x <> '')"
-
 
 @query("j23_overlap_pairs", with_views("segments", "SELECT a.video_id, a.seq AS a, b.seq AS b FROM segments a JOIN segments b ON a.video_id = b.video_id AND a.seq < b.seq AND a.start_ms < b.end_ms + 60000 AND b.start_ms < a.end_ms + 60000"))
 def j23(spark: SparkSession, d: str) -> DataFrame:
