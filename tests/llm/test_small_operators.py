@@ -497,6 +497,18 @@ def test_toxicity_held_out(spark, empty):
     assert toxicity.score_toxicity(frame, blank).count() == len(rows)
 
 
+@pytest.mark.parametrize("part_rows", [2000, 20_000])
+def test_toxicity_learns_from_every_label(spark, part_rows):
+    rows = [(i, "vile talk" if i % 13 == 0 else "same", "en", int(i % 13 == 0)) for i in range(5200)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    one, two = (toxicity.fit_toxicity(f, f.select("doc_id", "toxic"), part_rows=part_rows) for f in (frame, frame.orderBy(F.desc("doc_id")).repartition(7)))
+    trained = frame.filter((F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) != 0) & (F.col("toxic") == 0)).count()
+    share = np.exp(one.lang_logs[toxicity.buckets_of("same")[0] % toxicity.LANG_BUCKETS, 0] - one.lang_logs.min())
+    assert round(share * 0.1 - 0.1) == trained > 3700
+    assert (one.embed == two.embed).all() and one.thresholds == two.thresholds and (one.out == two.out).all()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in toxicity.score_toxicity(spark.createDataFrame([(0, "same"), (1, "so vile")], SCHEMA), one).collect())
+
+
 # Repeats
 
 
