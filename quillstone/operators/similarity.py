@@ -6,6 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 from quillstone.operators.graph import components
 from quillstone.operators.skew import dealt_join, kept
 
+#: Kinds of characters told apart by a first bound; pairs of texts that a task compares.
+KINDS, PAIRS = 128, 100_000
 #: What Python's strip takes for white space, as a Java pattern.
 _SPACE = r"[\s\x1c-\x1f]+"
 
@@ -35,14 +38,45 @@ def common_length(a: str, b: str) -> int:
     return len(a) - free.bit_count()
 
 
+def _shared(a: pd.Series, b: pd.Series) -> np.ndarray:
+    """How many characters of each kind both texts of a pair have, in sum. Kinds that are equal modulo KINDS count as one, which only adds to it."""
+    texts, place = np.unique(np.concatenate([a.to_numpy(object), b.to_numpy(object)]).astype(object), return_inverse=True)
+    counts = np.stack([np.bincount(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) % KINDS, minlength=KINDS) for t in texts])
+    one, other = place[: len(a)], place[len(a) :]
+    return np.concatenate([np.minimum(counts[one[at : at + 1000]], counts[other[at : at + 1000]]).sum(axis=1) for at in range(0, len(a), 1000)])
+
+
 def can_exceed(a: str, b: str, above: float) -> bool:
-    """Whether matching blocks can cover more than the share ``above``: they hold no more than the characters of each kind that both have, nor than the longest common subsequence."""
+    """Whether matching blocks can cover more than the share ``above``, by the bounds of ``ratios_above``, for one pair."""
     least = above * (len(a) + len(b))
     if not a or not b:
         return a == b
     return 2 * sum((Counter(a) & Counter(b)).values()) > least and 2 * common_length(a, b) > least
 
 
+def ratios_above(a: pd.Series, b: pd.Series, above: float) -> np.ndarray:
+    """Ratios of pairs of texts, 0 where not over the share ``above``.
+
+    Matching blocks hold no more than the characters of each kind that both have, nor than the longest common subsequence; only pairs that pass both bounds are matched.
+    """
+    out = np.zeros(len(a))
+    if not len(a):
+        return out
+    total = a.str.len().to_numpy() + b.str.len().to_numpy()
+    least = above * total
+    match = SequenceMatcher(None)
+    near = np.flatnonzero((2 * _shared(a, b) > least) | (total == 0))
+    for i in sorted(near, key=lambda i: b.iat[i]):  # what is prepared for b is used again
+        x, y = a.iat[i], b.iat[i]
+        if x == y or 2 * common_length(x, y) > least[i]:
+            if match.b != y:
+                match.set_seq2(y)
+            match.set_seq1(x)
+            found = match.ratio()
+            out[i] = found if found > above else 0.0
+    return out
+
+
 def _compared(text: str) -> Column:
     """The text as ratio compares it: lower case, without white space of any kind at its ends."""
     return F.lower(F.regexp_replace(F.coalesce(F.col(text), F.lit("")), f"(?U)^{_SPACE}|{_SPACE}$", ""))
@@ -61,11 +95,11 @@ def similar_pairs(rows: DataFrame, by: str, key: str, text: str, above: float) -
 
     @F.pandas_udf("double")
     def ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([SequenceMatcher(None, x, y).ratio() if can_exceed(x, y, above) else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
+        return pd.Series(ratios_above(a, b, above))
 
     own = rows.select(by, F.col(key).alias("a"), _compared(text).alias("ta")).withColumn("k", _length_bucket("ta", above))
     other = own.select(by, F.col("a").alias("b"), F.col("ta").alias("tb"), F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"))
-    pairs = dealt_join(own, other, [by, "k"], ["b"]).filter("a < b")
+    pairs = dealt_join(own, other, [by, "k"], ["b"], work=PAIRS).filter("a < b")
     return pairs.withColumn("ratio", ratios("ta", "tb")).filter(F.col("ratio") > above).select(by, "a", "b", "ratio")
 
 
@@ -78,17 +112,14 @@ def dedupe_replacing(rows: DataFrame, by: str, order: str, text: str, score: str
 
     @F.pandas_udf("struct<ab:boolean,ba:boolean>")
     def alike(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        out = []
-        for x, y in zip(a, b, strict=True):  # ratios depend on the order
-            can = can_exceed(x, y, above)
-            out.append((can and SequenceMatcher(None, x, y).ratio() > above, can and SequenceMatcher(None, y, x).ratio() > above))
-        return pd.DataFrame(out, columns=["ab", "ba"])
+        # Ratios depend on the order.
+        return pd.DataFrame({"ab": ratios_above(a, b, above) > 0, "ba": ratios_above(b, a, above) > 0})
 
     own = kept(rows.select(by, order, score, _compared(text).alias("t")).withColumn("node", F.md5(F.concat_ws("\x1f", F.coalesce(F.col(by).cast("string"), F.lit("\x1e")), "t"))))
     texts = own.groupBy(F.coalesce(F.col(by).cast("string"), F.lit("\x1e")).alias("v"), "node").agg(F.first("t").alias("t")).withColumn("k", _length_bucket("t", above))
     one = texts.select("v", "k", F.col("node").alias("a"), F.col("t").alias("ta"))
     other = texts.select("v", F.explode(F.array(F.col("k") - 1, F.col("k"), F.col("k") + 1)).alias("k"), F.col("node").alias("b"), F.col("t").alias("tb"))
-    pairs = dealt_join(one, other, ["v", "k"], ["b"]).filter("a < b").select("a", "b", alike("ta", "tb").alias("is")).filter("is.ab OR is.ba")
+    pairs = dealt_join(one, other, ["v", "k"], ["b"], work=PAIRS).filter("a < b").select("a", "b", alike("ta", "tb").alias("is")).filter("is.ab OR is.ba")
     edges = kept(pairs.select("a", "b", "is.ab", "is.ba"))
     roots = components(edges)
     rooted = own.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

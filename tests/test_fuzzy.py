@@ -94,3 +94,13 @@ def test_dealt_join_is_a_join(spark):
     want = Counter(map(tuple, few.join(many, "k").collect()))
     assert Counter(map(tuple, skew.dealt_join(few, many, ["k"], ["y"], cell=5).select("k", "x", "y").collect())) == want
     assert skew.dealt_join(few.filter("k > 9"), many, ["k"], ["y"]).count() == 0 and skew.dealt_join(few, many.filter(F.lit(False)), ["k"], ["y"]).count() == 0
+
+
+def test_dealt_join_deals_by_pairs(spark):
+    few = spark.createDataFrame([(1, i) for i in range(30)] + [(k, k) for k in range(2, 40)] + [(None, 0)], "k int, x int")
+    many = spark.createDataFrame([(1, i) for i in range(40)] + [(k, -k) for k in range(3, 50)] + [(None, 8)], "k int, y int")
+    dealt = skew.dealt_join(few, many, ["k"], ["y"], work=100)
+    assert Counter(map(tuple, dealt.select("k", "x", "y").collect())) == Counter(map(tuple, few.join(many, "k").collect()))
+    # 1,237 pairs, however few bytes they are; all parts of key 1 are spread.
+    assert dealt.rdd.getNumPartitions() == 13 and dealt.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0] < 900
+    assert skew.dealt_join(few.filter("k > 99"), many, ["k"], ["y"], work=5).count() == 0
