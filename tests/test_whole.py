@@ -1,8 +1,11 @@
 """Queries that were cut once, on the pairs and rows that the cut lost."""
 
 import random
+from pathlib import Path
 
-from quillstone.plans import registry
+from pyspark.sql import functions as F
+
+from quillstone.plans import registry, stores
 
 
 def test_bit_similarity_meets_across_blocks(spark, tmp_path):
@@ -28,3 +31,15 @@ def test_file_size_of_every_document(spark, tmp_path):
     want = [next(f"{n / u:.1f} {name}" for u, name in units if n >= u or u == 1) for n in sizes]
     got = registry.QUERIES["f13_file_size"](spark, str(tmp_path)).collect()
     assert [r["size"] for r in sorted(got, key=lambda r: r["doc_id"])] == want
+
+
+def test_checkpoints_are_files_of_their_own_in_few_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stores, "DOCUMENTS", 30)
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").withColumn("user_id", 1000 + F.col("event_id") % 100)
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    path = Path(stores._written_checkpoints(spark, str(tmp_path)).removeprefix("file:"))
+    assert len(list(path.glob("folder=*"))) == 10
+    assert [len(f.read_text().splitlines()) for f in path.glob("folder=*/part-*")] == [1] * 100
+    got = registry.QUERIES["s05_checkpoint_scan"](spark, str(tmp_path)).collect()
+    assert len(got) == 100 and {r["video_id"] for r in got if not r["broken"]} == {v for v in range(1000, 1100) if v % 11}
+    assert {r["video_id"] for r in registry.QUERIES["s08_result_glob"](spark, str(tmp_path)).collect()} == {v for v in range(1000, 1100) if v % 11}
