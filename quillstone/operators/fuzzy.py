@@ -8,54 +8,108 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.operators.joins import band_join
 from quillstone.operators.similarity import common_length, ratio
-from quillstone.operators.skew import dealt_join, kept
+from quillstone.operators.skew import kept
 
 #: A likeness that rounds to this many percent is found.
 PERCENT = 80
+#: Quotes and texts of a cell, and pairs of them that a task takes; a text costs as much as EACH pairs before any quote is looked for.
+QUOTES, TEXTS, WORK, EACH = 2000, 500, 500_000, 50
+#: Kinds of characters that the first bound tells apart; quotes and windows that are bounded at once, and those compared at once.
+KINDS, SOME, WINDOWS, MATCHED = 48, 64, 4096, 1 << 16
 #: What Python's split takes for white space, as a Java pattern.
 _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 
-def percent(a: str, b: str) -> int:
-    return round(200 * common_length(a, b) / (len(a) + len(b))) if a or b else 100
+def _common_lengths(masks: np.ndarray, full: np.ndarray, q: np.ndarray, ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """``common_length`` of many quotes of up to 64 characters with a window each; each row of the table is one 64-bit number."""
+    every = full[q]
+    free = every.copy()
+    for i in range(sizes.max(initial=0)):
+        hit = free & masks[q, np.where(i < sizes, ids[np.minimum(starts + i, len(ids) - 1)], 0)]
+        free = (free + hit | free - hit) & every
+    return np.bitwise_count(every).astype(np.int64) - np.bitwise_count(free)
 
 
-def best_window(quote: str, words: list[str], least: int = PERCENT) -> int | None:
-    """The best percent of the windows of as many words as the quote has; None if none reaches ``least``.
+def best_windows(quotes: list[str], texts: list[str], least: int = PERCENT) -> np.ndarray:
+    """Per quote and text 100 if it is held verbatim, else the best percent of the windows of as many words as the quote has, -1 if none reaches ``least``.
 
-    How many characters of each kind a window shares with the quote bounds its likeness; only windows whose bound reaches
-    ``least`` are compared.
+    How many characters of each kind a window shares with the quote bounds its likeness; only windows whose bound reaches ``least`` are compared.
     """
-    n = len(quote.split())
-    if n == 0 or len(words) < n:
-        return None
-    text = " ".join(words)
-    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])[: len(words) - n + 1]
-    ends = ends[n - 1 :]
-    shared = np.zeros(len(starts), np.int64)
-    for c in set(quote):
-        count = np.concatenate([[0], np.cumsum(codes == ord(c))])
-        shared += np.minimum(count[ends] - count[starts], quote.count(c))
-    bound = 200 * shared / (len(quote) + ends - starts)
-    best = None
-    for i in np.flatnonzero(np.rint(bound) >= least):
-        found = percent(quote, text[starts[i] : ends[i]])
-        if found >= least and (best is None or found > best):
-            best = found
+    best = np.full((len(quotes), len(texts)), -1, np.int16)
+    words = [t.split() for t in texts]
+    flat = [w for some in words for w in some]
+    if flat and quotes:
+        whole = " ".join(flat)
+        sizes = np.array([len(w) for w in flat])
+        begins = np.cumsum(sizes + 1) - sizes - 1
+        owner = np.repeat(np.arange(len(texts)), [len(w) for w in words])
+        # Characters are numbered from 1; 0 is one that no quote has.
+        lengths = np.array([len(q) for q in quotes])
+        asked = np.frombuffer("".join(quotes).encode("utf-32-le"), np.uint32)
+        row = np.repeat(np.arange(len(quotes)), lengths)
+        place = np.arange(len(asked)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        known, number = np.unique(asked, return_inverse=True)
+        codes = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        at = np.searchsorted(known, codes).clip(max=max(len(known) - 1, 0))
+        ids = np.where(known[at] == codes, at + 1, 0) if len(known) else np.zeros(len(codes), np.int64)
+        masks = np.zeros((len(quotes), len(known) + 1), np.uint64)
+        short = lengths[row] <= 64
+        np.bitwise_or.at(masks, (row[short], number[short] + 1), np.uint64(1) << place[short].astype(np.uint64))
+        full = np.where(lengths > 0, np.uint64(2**64 - 1) >> (64 - lengths.clip(1, 64)).astype(np.uint64), np.uint64(0))
+        kinds, narrow = ids % KINDS + KINDS * (ids > 0), np.min_scalar_type(int(lengths.max()))
+        wanted = np.zeros((len(quotes), KINDS), np.int64)
+        np.add.at(wanted, (row, (number + 1) % KINDS), 1)
+        wanted = wanted.astype(narrow)
+        counts = np.array([len(q.split()) for q in quotes])
+        for n in np.unique(counts[counts > 0]):
+            first = np.arange(len(flat) - n + 1)
+            first = first[owner[first] == owner[first + n - 1]] if len(first) else first
+            mine = np.flatnonzero(counts == n)
+            have = np.flatnonzero(wanted[mine].any(axis=0))
+            for i in range(0, len(first), WINDOWS):
+                w = first[i : i + WINDOWS]
+                start, end = begins[w], begins[w + n - 1] + sizes[w + n - 1]
+                size = end - start
+                stretch = kinds[start[0] : end[-1]]
+                held = {}
+                for k in have:
+                    upto = np.concatenate([[0], np.cumsum(stretch == k + KINDS)])
+                    held[k] = (upto[end - start[0]] - upto[start - start[0]]).clip(max=int(lengths.max())).astype(narrow)
+                for j in range(0, len(mine), SOME):
+                    q = mine[j : j + SOME]
+                    shared = np.zeros((len(q), len(w)), narrow)
+                    for k in have:
+                        shared += np.minimum(wanted[q, k, None], held[k])
+                    top = int(lengths[q].max() + size.max())
+                    limit = np.ceil((least - 0.5) / 200 * np.arange(top + 1) - 1e-9)
+                    near, win = np.nonzero(shared >= limit.clip(max=np.iinfo(narrow).max).astype(narrow)[lengths[q][:, None] + size])
+                    for m in range(0, len(near), MATCHED):
+                        a, b = q[near[m : m + MATCHED]], win[m : m + MATCHED]
+                        common = np.zeros(len(a), np.int64)
+                        fit = lengths[a] <= 64
+                        common[fit] = _common_lengths(masks, full, a[fit], ids, start[b[fit]], size[b[fit]])
+                        for x in np.flatnonzero(~fit):
+                            common[x] = common_length(quotes[a[x]], whole[start[b[x]] : end[b[x]]])
+                        found = np.rint(200 * common / (lengths[a] + size[b])).astype(np.int16)
+                        like = found >= least
+                        np.maximum.at(best, (a[like], owner[w[b[like]]]), found[like])
+    for q, quote in enumerate(quotes):
+        best[q, [quote in t for t in texts]] = 100
     return best
 
 
-def bigrams(text: Column) -> Column:
-    """The distinct pairs of neighbouring characters."""
-    n = F.length(text)
-    return F.when(n < 2, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(text, i, F.lit(2)))))
+def _found(quotes: list[str], texts: list[str], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of quotes and texts, and percents, of what is found; equal quotes and equal texts are compared once."""
+    one, other = {q: i for i, q in enumerate(dict.fromkeys(quotes))}, {t: i for i, t in enumerate(dict.fromkeys(texts))}
+    best = best_windows(list(one), list(other), least)[np.ix_([one[q] for q in quotes], [other[t] for t in texts])]
+    q, t = np.nonzero(best >= 0)
+    return q, t, best[q, t]
 
 
 def quotes_in(text: Column) -> Column:
@@ -66,28 +120,39 @@ def quotes_in(text: Column) -> Column:
 def fuzzy_quotes(quotes: DataFrame, texts: DataFrame, by: str, quote: str, text: str, deal: list[str], least: int = PERCENT) -> DataFrame:
     """Pairs of a quote and a text of the same ``by`` that holds it, with ``percent`` (100 if verbatim). Case is ignored; other columns than ``by`` must differ.
 
-    A quote that is found in a window of as many words loses characters of its own (d) and gets new ones (e); with s the least likeness,
-    (2 - s) d + s e is at most (2 - 2 s) times its length. A lost character breaks two pairs of neighbours and a new one breaks one, so at most 4 (1 - s) / (2 - s) of
-    the quote's length are broken, and all other pairs are in the text. Texts that hold fewer are passed over before Python sees them; no find is lost. A null or empty
-    quote is in every text that isn't null.
+    Quotes and texts of a ``by`` meet in cells of about QUOTES and TEXTS; texts are dealt to them by a hash of ``deal``, quotes by one of all columns. The number of
+    tasks follows from that of pairs, not from bytes. A null or empty quote is in every text that isn't null.
     """
 
-    @F.pandas_udf("int")
-    def best(q: pd.Series, words: pd.Series) -> pd.Series:
-        return pd.Series([best_window(a, b.split(" ") if b else [], least) for a, b in zip(q, words, strict=True)], dtype="Int32")
-
-    s = (least - 0.5) / 100
-    # In the text as windows show it: words with single spaces between. In a quote, only pairs without white space of other kinds can be found there.
-    q = quotes.withColumn("__q", F.lower(F.coalesce(F.col(quote), F.lit("")))).withColumn("__pairs", bigrams(F.col("__q"))).withColumn(
-        "__need", F.size("__pairs") - F.floor(F.lit(4 * (1 - s) / (2 - s)) * F.length("__q") + F.lit(1e-9))
-    )
-    t = texts.filter(F.col(text).isNotNull()).withColumn("__words", F.trim(F.regexp_replace(F.lower(text), _SPACE, " "))).withColumn("__held", bigrams(F.col("__words")))
-    both = dealt_join(q, t, [by], deal).withColumn("__verbatim", F.contains(F.lower(text), F.col("__q")))
-    near = both.filter("__verbatim OR size(array_intersect(__pairs, __held)) >= __need")
-    # The branches are apart so that verbatim finds skip Python.
-    exact = near.filter("__verbatim").withColumn("percent", F.lit(100))
-    rough = near.filter("NOT __verbatim").withColumn("percent", best("__q", "__words")).filter("percent IS NOT NULL")
-    return exact.unionByName(rough).select(by, *[c for c in quotes.columns if c != by], *[c for c in texts.columns if c != by], "percent")
+    @F.arrow_udf("array<struct<q:int,t:int,percent:int>>")
+    def found(q: pa.Array, t: pa.Array) -> pa.Array:
+        parts = [_found(a, b, least) for a, b in zip(q.to_pylist(), t.to_pylist(), strict=True)]
+        columns = [pa.array(np.concatenate([p[i] for p in parts]).astype(np.int32) if parts else [], pa.int32()) for i in range(3)]
+        ends = np.concatenate([[0], np.cumsum([len(p[0]) for p in parts])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, names=["q", "t", "percent"]))
+
+    quotes, t = kept(quotes), texts.filter(F.col(text).isNotNull())
+    # A key is split only if it has over TEXTS texts or QUOTES quotes, so a row is broadcast for as many of them at most.
+    counts = kept(t.groupBy(by).agg(F.count(F.lit(1)).alias("__n")).join(quotes.groupBy(by).agg(F.count(F.lit(1)).alias("__m")), by))
+    work = counts.agg(F.sum(F.col("__n") * (F.col("__m") + EACH))).first()[0] or 0
+    tasks = max(1, -(-int(work) // WORK))
+    cells = counts.filter((F.col("__n") > TEXTS) | (F.col("__m") > QUOTES)).select(by, F.ceil(F.col("__m") / QUOTES).cast("int").alias("__qs"), F.ceil(F.col("__n") / TEXTS).cast("int").alias("__ts"))
+    qs, ts = F.coalesce("__qs", F.lit(1)), F.coalesce("__ts", F.lit(1))
+
+    def dealt(rows: DataFrame, own: str, parts: Column, key: list[str], other: str, others: Column, name: str) -> DataFrame:
+        """A row for each cell of one side, with its rows as an array, for each cell of the other side."""
+        placed = rows.join(F.broadcast(cells), by, "left").withColumn(own, F.pmod(F.xxhash64(*key), parts).cast("int")).withColumn(other, others)
+        lists = placed.groupBy(by, own, other).agg(F.collect_list(F.struct(*[c for c in rows.columns if c != by])).alias(name))
+        return lists.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).repartition(tasks, by, "__q", "__t")
+
+    left = dealt(quotes, "__q", qs, quotes.columns, "__t", ts, "__quotes")
+    right = dealt(t, "__t", ts, deal, "__q", qs, "__texts")
+    both = left.join(right, [by, "__q", "__t"])
+    # Lower case is Spark's.
+    low = lambda name, column: F.transform(name, lambda x: F.lower(F.coalesce(x[column], F.lit(""))))
+    hits = both.withColumn("__hit", F.explode(found(low("__quotes", quote), low("__texts", text))))
+    q, t = F.get("__quotes", F.col("__hit.q")), F.get("__texts", F.col("__hit.t"))
+    return hits.select(by, *[q[c].alias(c) for c in quotes.columns if c != by], *[t[c].alias(c) for c in texts.columns if c != by], F.col("__hit.percent").alias("percent"))
 
 
 def word_times(segments: DataFrame, by: str, seq: str, start: str, text: str, word_ms: int) -> DataFrame:

@@ -62,6 +62,36 @@ def test_no_quote_is_missed(spark, cell, monkeypatch):
     assert {100} < {k[3] for k in want}
 
 
+def test_quotes_of_crowded_keys_meet_in_cells(spark, monkeypatch):
+    quotes, texts = quotes_and_texts()
+    monkeypatch.setattr(fuzzy, "QUOTES", 7), monkeypatch.setattr(fuzzy, "TEXTS", 3), monkeypatch.setattr(fuzzy, "WORK", 200), monkeypatch.setattr(fuzzy, "EACH", 0)
+    quotes += [(4, 200 + i, q) for i in range(30) for q in ("we never go", "a man in white")]
+    texts += [(4, i, "we never go there again, a man in whhte said") for i in range(40)] + [(5, 1, "no quote")]
+    rows = spark.createDataFrame(quotes, "v long, q int, quote string"), spark.createDataFrame(texts, "v long, s int, text string")
+    got = fuzzy.fuzzy_quotes(*rows, "v", "quote", "text", ["s"])
+    want = Counter((v, q, s, brute_quote(quote, text)) for v, q, quote in quotes for w, s, text in texts if v == w and v is not None and text is not None and brute_quote(quote, text) is not None)
+    assert Counter((r["v"], r["q"], r["s"], r["percent"]) for r in got.collect()) == want
+    # 4,000 pairs and more are many tasks, however few bytes they are, and key 4 is spread over them.
+    spread = got.filter("v = 4").groupBy(F.spark_partition_id().alias("p")).count().agg(F.count("p"), F.max("count")).first()
+    assert got.rdd.getNumPartitions() >= 20 and spread[0] > 5 and spread[1] < 1200
+
+
+def test_best_windows_against_brute_force(monkeypatch):
+    monkeypatch.setattr(fuzzy, "SOME", 5), monkeypatch.setattr(fuzzy, "WINDOWS", 7), monkeypatch.setattr(fuzzy, "MATCHED", 11)
+    rng = random.Random(5)
+    made = lambda n, letters: " ".join("".join(rng.choices(letters, k=rng.randrange(1, 7))) for _ in range(n))
+    for letters in ("abc", "abcdefgh\u0131\U0001f600", [chr(0x4E00 + i) for i in range(90)]):
+        quotes = [made(rng.randrange(1, 4), letters) for _ in range(25)] + [made(30, letters), "a" * 300, "a" * 64, "ab" * 32 + "c", "", " ", "\x1d", "a\u00a0 b"]
+        texts = [made(rng.randrange(0, 12), letters) for _ in range(12)] + ["", "  ", "a" * 290, "a" * 61 + " x", quotes[25][1:] + " b", "\ta\x1cb\n", "ab" * 31 + "cc"]
+        for least in (80, 55):
+            got = fuzzy.best_windows(quotes, texts, least)
+            for q, quote in enumerate(quotes):
+                for t, text in enumerate(texts):
+                    words, n = text.split(), len(quote.split())
+                    found = [round(200 * fuzzy.common_length(quote, w) / (len(quote) + len(w))) for w in (" ".join(words[i : i + n]) for i in range(len(words) - n + 1)) if n]
+                    assert got[q, t] == (100 if quote in text else max((f for f in found if f >= least), default=-1)), (quote, text, least)
+
+
 def brute_sequence(near, cue, words):
     cue = (cue or "").lower().split()
     runs = [words[i : i + len(cue)] for i in range(len(words) - len(cue) + 1)] if cue else []
