@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.operators.joins import band_join, dot, iou, nearest, nearest_within, range_join
+from quillstone.operators.skew import kept
 from quillstone.plans.base import query
 from quillstone.sources.adapters import cost_log, detections, frames, questions, segments, table, timeline, videos, with_views
 
@@ -195,6 +200,8 @@ def j20(spark: SparkSession, d: str) -> DataFrame:
 
 #: j22 over all vectors: signs of 64 numbers, similar if 1 - hamming / 64 > 0.85. Of five bands, one differs in at most a bit.
 _J22_RADIUS, _J22_BANDS = 9, [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
+#: Signatures of a cell, pairs of signatures that a task compares, and how many of them a pair of cells costs besides.
+_J22_CELL, _J22_WORK, _J22_EACH = 2048, 100_000_000, 20_000
 _J22_WORD = "CAST(list_sum(list_transform(range(0, 32), lambda i: CASE WHEN embedding[i + {}] > 0 THEN CAST(1 AS BIGINT) << i ELSE 0 END)) AS BIGINT)"
 
 
@@ -207,13 +214,53 @@ def _signatures(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", bits.alias("bits"))
 
 
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The similar signatures x < y of each pair of cells."""
+    made = lambda found: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["x", "y"])
+    for batch in batches:
+        xs, ys = [(batch.column(c).values.to_numpy(), batch.column(c).offsets.to_numpy()) for c in ("xs", "ys")]
+        found, n = [], 0
+        for i, same in enumerate(batch.column("same").to_pylist()):
+            x, y = [values[at[i] : at[i + 1]] for values, at in (xs, ys)]
+            hit = np.bitwise_count(x.view(np.uint64)[:, None] ^ y.view(np.uint64)) <= _J22_RADIUS
+            j, k = np.nonzero(np.logical_and(hit, x[:, None] < y) if same else hit)
+            if len(j):
+                found.append((np.minimum(x[j], y[k]), np.maximum(x[j], y[k])))
+                n += len(j)
+            if n > 100_000:
+                yield made(found)
+                found, n = [], 0
+        if found:
+            yield made(found)
+
+
+def _met(own: DataFrame) -> DataFrame:
+    """Pairs x < y of distinct signatures (bits) that are similar, once for each band by which they meet.
+
+    Signatures of one value of a band are a cell, or several if they are many; cells of values that differ in at most a bit are compared as a whole. Rows are cells, not
+    pairs, and of cells there are as many as values (36,864 at most) until values have over _J22_CELL signatures. The number of tasks follows from that of pairs.
+    """
+    part = lambda at, n: F.shiftrightunsigned("bits", at).bitwiseAND(F.lit((1 << n) - 1))
+    own = kept(own)
+    each = own.select("bits", F.inline(F.array(*[F.struct(F.lit(k).alias("band"), part(at, n).alias("v")) for k, (at, n) in enumerate(_J22_BANDS)])))
+    # A row for each value of a band, however many signatures there are.
+    values = kept(each.groupBy("band", "v").agg(F.count(F.lit(1)).alias("n")).withColumn("parts", F.ceil(F.col("n") / _J22_CELL)))
+    # A value has 13 others beside it, each of which it meets once; products are no more than half the sum of squares.
+    cost = values.agg(F.sum(7 * (F.col("n") * F.col("n") + _J22_EACH * F.col("parts") * F.col("parts")))).first()[0] or 0
+    tasks = max(1, -(-int(cost) // _J22_WORK))
+    dealt = each.join(F.broadcast(values), ["band", "v"]).withColumn("part", F.pmod(F.xxhash64("bits"), "parts"))
+    cells = kept(dealt.groupBy("band", "v", "part").agg(F.collect_list("bits").alias("cell")))
+    widths = F.element_at(F.array(*[F.lit(n) for _, n in _J22_BANDS]), F.col("band") + 1)
+    beside = F.concat(F.array("w"), F.transform(F.sequence(F.lit(0), widths - 1), lambda j: F.col("w").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), j))))
+    one = cells.select("band", "v", "part", F.col("cell").alias("xs"))
+    other = cells.select("band", F.col("v").alias("w"), F.col("part").alias("q"), F.col("cell").alias("ys")).withColumn("v", F.explode(F.filter(beside, lambda v: v <= F.col("w"))))
+    both = one.join(other, ["band", "v"]).filter("v < w OR part <= q").withColumn("same", F.expr("v = w AND part = q"))
+    return both.repartition(tasks, "band", "v", "w", "part", "q").select("xs", "ys", "same").mapInArrow(_close, "x long, y long")
+
+
 def _similar_signatures(own: DataFrame) -> DataFrame:
     """Pairs x < y of distinct signatures (bits) that are similar."""
-    part = lambda at, n: F.shiftrightunsigned("bits", at).bitwiseAND(F.lit((1 << n) - 1))
-    exact = [F.struct(F.lit(k).alias("band"), part(at, n).alias("v")) for k, (at, n) in enumerate(_J22_BANDS)]
-    near = [F.struct(F.lit(k).alias("band"), part(at, n).bitwiseXOR(F.lit(m)).alias("v")) for k, (at, n) in enumerate(_J22_BANDS) for m in [0, *(1 << j for j in range(n))]]
-    one, other = own.select(F.col("bits").alias("x"), F.inline(F.array(*exact))), own.select(F.col("bits").alias("y"), F.inline(F.array(*near)))
-    return one.join(other, ["band", "v"]).filter((F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= _J22_RADIUS)).select("x", "y").distinct()
+    return _met(own).distinct()
 
 
 @query("j22_bit_similarity", f"{_J22_SQL}, c AS (SELECT lo, hi, min(vec_id) AS rep FROM h GROUP BY ALL) SELECT a.rep AS a, b.rep AS b FROM c a JOIN c b ON a.rep < b.rep WHERE {_J22_ALIKE} UNION ALL SELECT rep, vec_id FROM h JOIN c ON h.lo = c.lo AND h.hi = c.hi WHERE vec_id <> rep")

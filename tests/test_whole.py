@@ -5,7 +5,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from quillstone.plans import registry, stores
+from quillstone.plans import joins, registry, stores
 
 
 def test_bit_similarity_meets_across_blocks(spark, tmp_path):
@@ -24,6 +24,24 @@ def test_bit_similarity_meets_across_blocks(spark, tmp_path):
     assert any(a // 25 != b // 25 for a, b in want)
 
 
+def test_bit_similarity_compares_cells_in_many_tasks(spark, monkeypatch):
+    rng = random.Random(6)
+    # Many values, and a crowd that has all but the last band in common.
+    made = [rng.getrandbits(64) for _ in range(150)] + [rng.getrandbits(12) << 52 | 5 for _ in range(150)]
+    made += [b ^ sum(1 << at for at in rng.sample(range(64), rng.randrange(13))) for b in made] + [0, 2**64 - 1, 2**63, 2**63 - 1]
+    signed = sorted({b - 2**64 if b >= 2**63 else b for b in made})
+    own = spark.createDataFrame([(b,) for b in signed], "bits long")
+    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 9}
+    for cell in (joins._J22_CELL, 20):
+        monkeypatch.setattr(joins, "_J22_CELL", cell)
+        got = joins._similar_signatures(own).collect()
+        assert len(got) == len(want) and {(r["x"], r["y"]) for r in got} == want
+    monkeypatch.setattr(joins, "_J22_WORK", 10_000), monkeypatch.setattr(joins, "_J22_EACH", 0)
+    met = joins._met(own)
+    # The pairs of the crowd lie in one value of a band, and are spread over tasks.
+    assert met.rdd.getNumPartitions() > 50 and met.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count") * 5 < F.sum("count")).first()[0]
+
+
 def test_file_size_of_every_document(spark, tmp_path):
     sizes = [0, 1, 1023, 1024, 1280, 1536, 1792, 2304, 1024**2 - 1, 5 * 1024**2 // 4, 7 * 1024**2 // 4, 5 * 1024**3 // 4, *range(2000, 4000)]
     spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
