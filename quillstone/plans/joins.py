@@ -214,32 +214,32 @@ def _signatures(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", bits.alias("bits"))
 
 
-def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The similar signatures x < y of each pair of cells."""
-    made = lambda found: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["x", "y"])
-    for batch in batches:
-        xs, ys = [(batch.column(c).values.to_numpy(), batch.column(c).offsets.to_numpy()) for c in ("xs", "ys")]
-        found, n = [], 0
-        for i, same in enumerate(batch.column("same").to_pylist()):
-            x, y = [values[at[i] : at[i + 1]] for values, at in (xs, ys)]
-            hit = np.bitwise_count(x.view(np.uint64)[:, None] ^ y.view(np.uint64)) <= _J22_RADIUS
-            j, k = np.nonzero(np.logical_and(hit, x[:, None] < y) if same else hit)
-            if len(j):
-                found.append((np.minimum(x[j], y[k]), np.maximum(x[j], y[k])))
-                n += len(j)
-            if n > 100_000:
-                yield made(found)
-                found, n = [], 0
-        if found:
-            yield made(found)
-
-
 def _met(own: DataFrame) -> DataFrame:
     """Pairs x < y of distinct signatures (bits) that are similar, once for each band by which they meet.
 
     Signatures of one value of a band are a cell, or several if they are many; cells of values that differ in at most a bit are compared as a whole. Rows are cells, not
     pairs, and of cells there are as many as values (36,864 at most) until values have over _J22_CELL signatures. The number of tasks follows from that of pairs.
     """
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The similar signatures x < y of each pair of cells."""
+        made = lambda found: pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], names=["x", "y"])
+        for batch in batches:
+            xs, ys = [(batch.column(c).values.to_numpy(), batch.column(c).offsets.to_numpy()) for c in ("xs", "ys")]
+            found, n = [], 0
+            for i, same in enumerate(batch.column("same").to_pylist()):
+                x, y = [values[at[i] : at[i + 1]] for values, at in (xs, ys)]
+                hit = np.bitwise_count(x.view(np.uint64)[:, None] ^ y.view(np.uint64)) <= _J22_RADIUS
+                j, k = np.nonzero(np.logical_and(hit, x[:, None] < y) if same else hit)
+                if len(j):
+                    found.append((np.minimum(x[j], y[k]), np.maximum(x[j], y[k])))
+                    n += len(j)
+                if n > 100_000:
+                    yield made(found)
+                    found, n = [], 0
+            if found:
+                yield made(found)
+
     part = lambda at, n: F.shiftrightunsigned("bits", at).bitwiseAND(F.lit((1 << n) - 1))
     own = kept(own)
     each = own.select("bits", F.inline(F.array(*[F.struct(F.lit(k).alias("band"), part(at, n).alias("v")) for k, (at, n) in enumerate(_J22_BANDS)])))
@@ -255,7 +255,7 @@ def _met(own: DataFrame) -> DataFrame:
     one = cells.select("band", "v", "part", F.col("cell").alias("xs"))
     other = cells.select("band", F.col("v").alias("w"), F.col("part").alias("q"), F.col("cell").alias("ys")).withColumn("v", F.explode(F.filter(beside, lambda v: v <= F.col("w"))))
     both = one.join(other, ["band", "v"]).filter("v < w OR part <= q").withColumn("same", F.expr("v = w AND part = q"))
-    return both.repartition(tasks, "band", "v", "w", "part", "q").select("xs", "ys", "same").mapInArrow(_close, "x long, y long")
+    return both.repartition(tasks, "band", "v", "w", "part", "q").select("xs", "ys", "same").mapInArrow(close, "x long, y long")
 
 
 def _similar_signatures(own: DataFrame) -> DataFrame:
